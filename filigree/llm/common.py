@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,3 +79,72 @@ def powers(n: int, base: int = int(_BASE)) -> np.ndarray:
         out[0] = 1
     with np.errstate(over="ignore"):
         return np.multiply.accumulate(out) if n else out
+
+
+def by_size(batches, column: str, most: int = 2 << 20):
+    """The record batches cut so that each holds about most bytes of a text column at most (a longer text stands alone)."""
+    for batch in batches:
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
+        start, held = 0, 0
+        for i, n in enumerate(sizes.tolist()):
+            if held and held + n > most:
+                yield batch.slice(start, i - start)
+                start, held = i, 0
+            held += n
+        if start < batch.num_rows:
+            yield batch.slice(start)
+
+
+class Words:
+    """The words of some texts, hashed side by side: text[i] and hash[i] of word i, in order."""
+
+    _inverse = pow(int(_BASE), -1, 1 << 64)
+    _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def __init__(self, texts: list[bytes], gap: np.ndarray):
+        """gap: a table of 256 booleans, true for the bytes that stand between words; the line feed must be one."""
+        data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+        inside = ~gap[data]
+        edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        self.start, self.end = edge[::2], edge[1::2]
+        size = 1 << max(16, int(len(data)).bit_length())
+        if size not in self._tables:
+            self._tables.clear()
+            self._tables[size] = powers(size), powers(size, self._inverse)
+        up, down = self._tables[size]
+        with np.errstate(over="ignore"):
+            sums = np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], dtype=np.uint64)
+            sums = np.concatenate([np.zeros(1, np.uint64), sums])
+            self.hash = mix((sums[self.end] - sums[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64))
+        ends = np.cumsum([len(t) + 1 for t in texts]) if texts else np.zeros(0, np.int64)
+        self.text = np.searchsorted(ends, self.start, "right")
+        self.count = np.bincount(self.text, minlength=len(texts))
+
+
+def connected(ws: Workspace, edges: DataFrame) -> DataFrame:
+    """(id, component): the smallest id that each id of the (u, v) edges is connected with.
+
+    Each round hooks every root to the smallest root it has an edge to, follows hooks to hooks, and replaces the
+    ends of edges by their roots; edges inside one root go. Nothing is collected but whether edges remain.
+    """
+    edges = ws.keep(edges.select("u", "v").where("u <> v").distinct(), "edges")
+    ids = edges.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+    found = ws.keep(ids.select("id", F.col("id").alias("component")), "components")
+    left = edges
+    while not left.isEmpty():
+        hooks = left.groupBy(F.greatest("u", "v").alias("a")).agg(F.min(F.least("u", "v")).alias("b"))
+        hooks = ws.keep(hooks, "hooks")
+        for _ in range(3):
+            to = hooks.select(F.col("a").alias("b"), F.col("b").alias("c"))
+            hooks = hooks.join(to, "b", "left").select("a", F.coalesce("c", "b").alias("b"))
+        hooks = ws.keep(hooks, "hooks")
+        found = ws.keep(found.join(hooks.withColumnRenamed("a", "component"), "component", "left").select("id", F.coalesce("b", "component").alias("component")), "components")
+        a, b = hooks.select(F.col("a").alias("u"), F.col("b").alias("ru")), hooks.select(F.col("a").alias("v"), F.col("b").alias("rv"))
+        left = left.join(a, "u", "left").join(b, "v", "left").select(F.coalesce("ru", "u").alias("u"), F.coalesce("rv", "v").alias("v")).where("u <> v").distinct()
+        left = ws.keep(left, "edges")
+    return found
+
+
+def broadcast_if(df: DataFrame, most: int) -> DataFrame:
+    """A kept table, marked for broadcast if it is counted to have most rows at most; else as it is, for a shuffled join."""
+    return F.broadcast(df) if df.count() <= most else df

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filigree.llm import bpe, decontaminate, secrets
-from filigree.llm.common import table
+from filigree.llm import bpe, decontaminate, langid, neardup, secrets
+from filigree.llm.common import table, train_row
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -37,6 +37,18 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", F.size("hit").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), (F.size("hit") > 0).alias("contaminated"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    learned = train_row(F.col("doc_id"), 4, 2)
+    model = langid.learn(docs.where(learned))
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (~learned).alias("held_out"), "lang_pred", "score")
+
+
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode_documents(docs, vocabulary_path(), ("n_tokens", "ids_sha256", "decoded_sha256")).drop("text")
@@ -45,6 +57,8 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op5_language_id": op5_language_id,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_bpe": op7_bpe,
 }
 
