@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filigree.llm import bpe, decontaminate, langid, neardup, secrets
-from filigree.llm.common import table, train_row
+from filigree.llm import bpe, decontaminate, langid, neardup, quality, secrets, toxicity
+from filigree.llm.common import broadcast_if, table, train_row
 
 VOCABULARY = "byte_bpe_50k.json"
+#: Up to so many labelled ids are broadcast to the scan of documents; more are joined by a shuffle.
+BROADCAST_LABELS = 1_000_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -30,6 +32,16 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(secrets.rendered(base), 256).alias("base_sha256"), secrets.rendered(F.col("spans")).alias("spans"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learned = train_row(F.col("doc_id"), 5, 0)
+    labels = table(spark, sf_dir, "labels").where(learned & F.col("toxic").isNotNull()).select("doc_id", "toxic")
+    prior = labels.agg(F.avg("toxic")).first()[0] or 0.0
+    confirmed = docs.join(broadcast_if(labels.where("toxic = 1").select("doc_id"), BROADCAST_LABELS), "doc_id", "left_semi")
+    model = toxicity.learn(confirmed, docs.where(learned), prior)
+    return toxicity.predict(docs, model).select("doc_id", (~learned).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
@@ -54,12 +66,22 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, vocabulary_path(), ("n_tokens", "ids_sha256", "decoded_sha256")).drop("text")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learned = train_row(F.col("doc_id"), 5, 0)
+    labels = table(spark, sf_dir, "labels").where(learned & F.col("quality").isNotNull()).select("doc_id", F.col("quality").alias("label"))
+    model = quality.learn(docs.join(broadcast_if(labels, BROADCAST_LABELS), "doc_id"), threshold=0.3)
+    return quality.predict(docs, model).select("doc_id", (~learned).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
+    "op2_toxicity": op2_toxicity,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_language_id": op5_language_id,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_bpe": op7_bpe,
+    "op9_quality": op9_quality,
 }
 
 _WORDS = r"list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
