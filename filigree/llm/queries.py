@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filigree.llm import bpe, decontaminate, langid, neardup, quality, secrets, toxicity
+from filigree.llm import bpe, decontaminate, htmltext, langid, neardup, quality, secrets, spotsigs, toxicity
 from filigree.llm.common import broadcast_if, table, train_row
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -49,6 +49,17 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", F.size("hit").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), (F.size("hit") > 0).alias("contaminated"))
 
 
+def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    buckets = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spotsigs.with_next(docs, buckets).withColumn("edited", spotsigs.edited(F.col("text"), F.col("next_text")))
+    rows = rows.withColumn("edited_signatures", spotsigs.signatures(spotsigs.words_text(F.col("edited"))))
+    return rows.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", spotsigs.fingerprint(F.col("edited_signatures")).alias("edited_fingerprint"),
+        spotsigs.likeness(F.col("signatures"), F.col("edited_signatures")).alias("near_edited"), spotsigs.likeness(F.col("signatures"), F.col("next_signatures")).alias("near_next"),
+    )
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     learned = train_row(F.col("doc_id"), 4, 2)
@@ -74,14 +85,20 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predict(docs, model).select("doc_id", (~learned).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_toxicity": op2_toxicity,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_spotsigs": op4_spotsigs,
     "op5_language_id": op5_language_id,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_bpe": op7_bpe,
     "op9_quality": op9_quality,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 _WORDS = r"list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"

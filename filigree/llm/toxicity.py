@@ -42,7 +42,7 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], size: int, prior: float, steps: int = 1500, batch: int = 256, rate: float = 0.05, decay: float = 1e-4, seed: int = 5) -> tuple[np.ndarray, float]:
+def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], size: int, prior: float, steps: int = 1500, batch: int = 256, rate: float = 0.05, decay: float = 1e-6, seed: int = 5) -> tuple[np.ndarray, float]:
     """Weights and bias that make the non-negative risk small, with the sigmoid loss and Adam steps."""
     rng = np.random.default_rng(seed)
     w, m, v, t = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1), 0
@@ -83,7 +83,7 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], size: int
     return w[:size], float(w[size])
 
 
-def learn(positive: DataFrame, unlabelled: DataFrame, prior: float, bits: int = BITS, max_grams: int = 3000, max_positive: int = 2000, max_unlabelled: int = 8000) -> Model:
+def learn(positive: DataFrame, unlabelled: DataFrame, prior: float, bits: int = BITS, max_grams: int = 400, max_positive: int = 2000, max_unlabelled: int = 8000) -> Model:
     """A model from confirmed (doc_id, text) rows, unlabelled (doc_id, text) rows and the share of toxic texts among the latter."""
     rows = positive.select("doc_id", "text", F.lit(1).alias("label")).unionByName(unlabelled.select("doc_id", "text", F.lit(0).alias("label")))
     totals, counts = quality.class_counts(rows, word_ngrams, bits)
