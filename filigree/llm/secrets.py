@@ -46,8 +46,9 @@ SPAN = "struct<kind:string,start:bigint,end:bigint>"
 
 def spans_of(text: Column, rule: Rule) -> Column:
     """array<struct<kind, start, end>> of a rule's matches, in order; empty where its needed pattern doesn't occur."""
-    # A match with the text before it, so that lengths add up to offsets.
-    whole = F.lit(f"(?s)(.*?)({rule.pattern})")
+    # A match with the text before it, so that lengths add up to offsets. \G keeps the search from starting anew at
+    # every character behind the last match.
+    whole = F.lit(f"(?s)\\G(.*?)({rule.pattern})")
     gaps = F.regexp_extract_all(text, whole, F.lit(1))
     hits = F.regexp_extract_all(text, whole, F.lit(2))
     group, least = rule.least
