@@ -7,7 +7,7 @@ batch: after each batch the posterior probability that the pair's similarity rea
 prior) is bounded, and a pair falls out once that is below the chosen miss probability. Survivors are verified
 exactly, on the full sets of both texts. Links make components.
 
-Candidates of a bucket are not all pairs. First every member is paired with the bucket's smallest id. Then, in
+Candidates of a bucket are not all pairs. First every member is paired with the bucket's centre. Then, in
 buckets that still hold more than one component, the members outside the largest one are paired with members of
 other components. Pairs within a component decide nothing and are never made, so a bucket of n copies costs
 about n pairs, and no link between components is lost.
@@ -155,8 +155,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85, miss: float = 1e-7, band
     width = 4 * values
     bucket = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring("signature", i * width + 1, F.lit(width))))
     banded = heads.select("id", F.explode(bucket).alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("bucket", "low")
-    members = ws.keep(banded.join(shared, "bucket"), "members")
+    sizes = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    members = ws.keep(banded.join(sizes, "bucket"), "members")
+    # A bucket's centre is the member that shares the most buckets with the most others: of a group of copies, the
+    # text that the others were made from rather than one of them.
+    weight = members.groupBy("id").agg(F.sum("n").alias("w"))
+    centre = members.join(weight, "id").groupBy("bucket").agg(F.max(F.struct(F.col("w"), (-F.col("id")).alias("i"))).alias("x")).select("bucket", (-F.col("x.i")).alias("low"))
 
     def links(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
         pairs = ws.keep(pairs, "pairs")
@@ -165,7 +169,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, miss: float = 1e-7, band
         texts = rows.select(F.col("doc_id").alias("id"), "text").join(broadcast_if(ids, BROADCAST_IDS), "id", "left_semi").dropDuplicates(["id"])
         return pairs, ws.keep(similar(left, ws.keep(texts, "texts"), percent), "links")
 
-    tried, first = links(members.where("id <> low").select(F.col("low").alias("u"), F.col("id").alias("v")).distinct())
+    tried, first = links(members.join(centre, "bucket").where("id <> low").select(F.least("low", "id").alias("u"), F.greatest("low", "id").alias("v")).distinct())
     found = connected(ws, first)
     # Buckets with more than one component: members outside the largest against members of other components.
     placed = ws.keep(members.select("bucket", "id").join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("c")), "placed")

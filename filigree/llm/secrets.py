@@ -100,7 +100,7 @@ def rendered(spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """docs with every found span replaced by [kind]; overlapping spans are replaced as one, under the first kind. Other rows stay as they are."""
+    """docs with every found span replaced by [kind]; overlapping spans are replaced as one, under the first kind. A column n_chars follows the text. Other rows stay as they are."""
     cols = docs.columns
     found = findings(docs, ledger, rules)
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
@@ -111,4 +111,7 @@ def redact(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES)
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, F.concat(acc["out"], before, F.lit("["), s["kind"], F.lit("]"))).otherwise(acc["out"]).alias("out"))
 
     cut = F.aggregate("spans", zero, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.length("text"))))
-    return found.withColumn("text", F.when(F.size("spans") > 0, cut).otherwise(F.col("text"))).select(*cols)
+    out = found.withColumn("text", F.when(F.size("spans") > 0, cut).otherwise(F.col("text")))
+    if "n_chars" in cols:
+        out = out.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(*cols)
