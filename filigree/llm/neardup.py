@@ -7,10 +7,10 @@ batch: after each batch the posterior probability that the pair's similarity rea
 prior) is bounded, and a pair falls out once that is below the chosen miss probability. Survivors are verified
 exactly, on the full sets of both texts. Links make components.
 
-Candidates of a bucket are not all pairs. First every member is paired with the bucket's centre. Then, in
-buckets that still hold more than one component, the members outside the largest one are paired with members of
-other components. Pairs within a component decide nothing and are never made, so a bucket of n copies costs
-about n pairs, and no link between components is lost.
+Candidates of a bucket are not paired with each other. First every member is paired with the bucket's centre, a
+member that shares many buckets with many others. Buckets that then still hold more than one component are dealt to
+blocks, and pairs of blocks compare their sets exactly by one matrix product, returning no more links than connect
+their components. No link between components is lost, and no pair becomes a row unless it links.
 
 Bands: 24 of 5 values. A pair at the threshold of 0.85 shares no band with a probability of 8e-7; a similarity
 of 0.8 with 7e-5. Nothing is capped.
@@ -37,6 +37,8 @@ BANDS, VALUES, BATCH = 24, 5, 24
 SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 #: Up to so many ids of documents to verify are broadcast to the scan; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: A block of a bucket holds about so many documents and characters.
+BLOCK_DOCS, BLOCK_CHARS = 256, 2_000_000
 
 
 def shingle_sets(texts: list[str | None], n: int = 5) -> list[np.ndarray]:
@@ -143,6 +145,64 @@ def similar(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.select("u", "v", "a", "b").mapInArrow(run, pairs.select("u", "v").schema)
 
 
+def blockwise(mixed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) between different components (c) of each bucket of the (bucket, id, c) rows.
+
+    A bucket's members are dealt to blocks of bounded number and bounded text, and each pair of blocks is one task's
+    group, so no group grows with its bucket. Within it the sizes of all intersections come from one product of the
+    0/1 matrix of documents and shared shingles, and only as many links as connect its components are returned.
+    """
+    sized = mixed.join(texts.select("id", "text", F.length("text").alias("_n")), "id")
+    need = sized.groupBy("bucket").agg(F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("_n") / BLOCK_CHARS)).cast("int").alias("blocks"))
+    sized = mixed.join(texts, "id").join(need, "bucket").withColumn("mine", F.pmod(F.xxhash64("id", "bucket"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = sized.withColumn("other", other).select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "id", "c", "text")
+
+    def run(group: pa.Table) -> pa.Table:
+        ids, parts = group.column("id").to_pylist(), group.column("c").to_pylist()
+        root = {c: c for c in parts}
+
+        def top(c):
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        u, v = [], []
+        if len(root) > 1:
+            sets = shingle_sets(group.column("text").to_pylist())
+            for x, y in zip(*np.nonzero(np.triu(reaching(sets, percent), 1))):
+                a, b = top(parts[x]), top(parts[y])
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    u.append(min(ids[x], ids[y]))
+                    v.append(max(ids[x], ids[y]))
+        kind = group.schema.field("id").type
+        return pa.table([pa.array(u, kind), pa.array(v, kind)], names=["u", "v"])
+
+    kind = mixed.schema["id"].dataType.simpleString()
+    return dealt.groupBy("bucket", "i", "j").applyInArrow(run, f"u {kind}, v {kind}").distinct()
+
+
+def reaching(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """For each two of the sets, whether 100 * intersection >= percent * union; empty sets reach nothing."""
+    sizes = np.array([len(s) for s in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    shared = count > 1
+    number = np.cumsum(shared) - 1
+    keep = shared[column]
+    row, column = row[keep], number[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for a in range(0, int(shared.sum()), 4096):
+        lo, hi = np.searchsorted(column, [a, a + 4096])
+        has = np.zeros((len(sets), 4096), np.float32)
+        has[row[lo:hi], column[lo:hi] - a] = 1
+        common += has @ has.T
+    return (common > 0) & (100 * common >= percent * (sizes[:, None] + sizes[None, :] - common))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, miss: float = 1e-7, bands: int = BANDS, values: int = VALUES) -> DataFrame:
     """One row for each of docs: doc_id, n_shingles, component_id (smallest id reachable over links, its own included), kept (it is that id)."""
     ws = Workspace(docs.sparkSession, "neardup")
@@ -162,23 +222,20 @@ def near_duplicates(docs: DataFrame, percent: int = 85, miss: float = 1e-7, band
     weight = members.groupBy("id").agg(F.sum("n").alias("w"))
     centre = members.join(weight, "id").groupBy("bucket").agg(F.max(F.struct(F.col("w"), (-F.col("id")).alias("i"))).alias("x")).select("bucket", (-F.col("x.i")).alias("low"))
 
-    def links(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        pairs = ws.keep(pairs, "pairs")
-        left = ws.keep(plausible(pairs, heads, percent / 100, miss, bands, values), "plausible")
-        ids = ws.keep(left.select(F.explode(F.array("u", "v")).alias("id")).distinct(), "ids")
-        texts = rows.select(F.col("doc_id").alias("id"), "text").join(broadcast_if(ids, BROADCAST_IDS), "id", "left_semi").dropDuplicates(["id"])
-        return pairs, ws.keep(similar(left, ws.keep(texts, "texts"), percent), "links")
+    def texts_of(ids: DataFrame) -> DataFrame:
+        ids = broadcast_if(ws.keep(ids.distinct(), "ids"), BROADCAST_IDS)
+        return ws.keep(rows.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi").dropDuplicates(["id"]), "texts")
 
-    tried, first = links(members.join(centre, "bucket").where("id <> low").select(F.least("low", "id").alias("u"), F.greatest("low", "id").alias("v")).distinct())
+    pairs = ws.keep(members.join(centre, "bucket").where("id <> low").select(F.least("low", "id").alias("u"), F.greatest("low", "id").alias("v")).distinct(), "pairs")
+    left = ws.keep(plausible(pairs, heads, percent / 100, miss, bands, values), "plausible")
+    first = ws.keep(similar(left, texts_of(left.select(F.explode(F.array("u", "v")).alias("id"))), percent), "links")
     found = connected(ws, first)
-    # Buckets with more than one component: members outside the largest against members of other components.
-    placed = ws.keep(members.select("bucket", "id").join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("c")), "placed")
-    largest = placed.groupBy("bucket", "c").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "c")).alias("top"), F.count("*").alias("parts"))
-    largest = largest.where("parts > 1").select("bucket", F.col("top.c").alias("main"))
-    mixed = ws.keep(placed.join(largest, "bucket"), "mixed")
-    one, two = mixed.where("c <> main").select("bucket", "id", "c"), mixed.select("bucket", F.col("id").alias("id2"), F.col("c").alias("c2"), "main")
-    across = one.join(two, "bucket").where("c <> c2 and (c2 = main or id < id2)").select(F.least("id", "id2").alias("u"), F.greatest("id", "id2").alias("v")).distinct()
-    _, second = links(across.join(tried, ["u", "v"], "left_anti"))
+    # Buckets that still hold more than one component are compared whole, block by block.
+    placed = members.select("bucket", "id").join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("c"))
+    placed = ws.keep(placed, "placed")
+    parts = placed.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("bucket")
+    mixed = ws.keep(placed.join(parts, "bucket"), "mixed")
+    second = ws.keep(blockwise(mixed, texts_of(mixed.select("id")), percent), "links")
     if not second.isEmpty():
         found = connected(ws, first.unionByName(second))
 
