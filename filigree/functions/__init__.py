@@ -1 +1 @@
-"""See the modules."""
+"""Column functions: text, money, dates, ids and geometry. All of them stay in the JVM."""

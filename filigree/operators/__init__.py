@@ -1 +1 @@
-"""See the modules."""
+"""Relational operators over registry tables, and the parsers that turn documents into rows."""

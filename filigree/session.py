@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "filigree") -> SparkSession:
@@ -23,3 +25,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     """One of the driver's parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df as written to the checkpoint folder that all executors share (a temporary one only where none is set)."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="filigree-"))
+    return df.checkpoint()

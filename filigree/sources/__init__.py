@@ -1 +1 @@
-"""See the modules."""
+"""Readers of raw registry files and writers of tables."""
