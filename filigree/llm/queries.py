@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filigree.llm import bpe, decontaminate, htmltext, langid, neardup, quality, secrets, spotsigs, toxicity
+from filigree.llm import bpe, decontaminate, htmltext, langid, neardup, quality, secrets, spotsigs, suffixes, toxicity
 from filigree.llm.common import broadcast_if, table, train_row
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -77,6 +77,12 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, vocabulary_path(), ("n_tokens", "ids_sha256", "decoded_sha256")).drop("text")
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["b"] - s["a"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     learned = train_row(F.col("doc_id"), 5, 0)
@@ -97,6 +103,7 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_bpe": op7_bpe,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_quality": op9_quality,
     "op10_html_extraction": op10_html_extraction,
 }
