@@ -179,7 +179,8 @@ def companies(parsed: DataFrame) -> DataFrame:
 def filing_index(parsed: DataFrame) -> DataFrame:
     """One row for each filing; arrays that are too short give empty cells, and filings without a number go."""
     r = F.col("s.filings.recent")
-    zipped = F.arrays_zip(r["accessionNumber"].alias("a"), r["form"].alias("f"), r["filingDate"].alias("d"), r["reportDate"].alias("r"), r["primaryDocument"].alias("p"))
+    given = lambda c: F.coalesce(r[c], F.array().cast("array<string>"))
+    zipped = F.arrays_zip(given("accessionNumber").alias("a"), given("form").alias("f"), given("filingDate").alias("d"), given("reportDate").alias("r"), given("primaryDocument").alias("p"))
     x = F.col("x")
     blank = lambda c: F.coalesce(c, F.lit(""))
     return parsed.select(ids.strip_leading_zeros(F.col("s.cik")).alias("cik"), F.explode(zipped).alias("x")).where(blank(x["a"]) != "").select(x["a"].alias("accession_number"), "cik", blank(x["f"]).alias("form_type"), blank(x["d"]).alias("filed_date"), blank(x["r"]).alias("report_date"), blank(x["p"]).alias("primary_document"))
