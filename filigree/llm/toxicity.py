@@ -25,6 +25,8 @@ from filigree.llm import quality
 from filigree.llm.features import word_ngrams
 
 BITS = 20
+#: Standard deviations above chance from which an n-gram counts as a sign.
+SURE = 5.0
 
 
 class Model:
@@ -83,7 +85,7 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], size: int
     return w[:size], float(w[size])
 
 
-def learn(positive: DataFrame, unlabelled: DataFrame, prior: float, bits: int = BITS, max_grams: int = 400, max_positive: int = 2000, max_unlabelled: int = 8000) -> Model:
+def learn(positive: DataFrame, unlabelled: DataFrame, prior: float, bits: int = BITS, max_grams: int = 800, max_positive: int = 2000, max_unlabelled: int = 8000) -> Model:
     """A model from confirmed (doc_id, text) rows, unlabelled (doc_id, text) rows and the share of toxic texts among the latter."""
     rows = positive.select("doc_id", "text", F.lit(1).alias("label")).unionByName(unlabelled.select("doc_id", "text", F.lit(0).alias("label")))
     totals, counts = quality.class_counts(rows, word_ngrams, bits)
@@ -93,8 +95,9 @@ def learn(positive: DataFrame, unlabelled: DataFrame, prior: float, bits: int =
     p, u = counts[1] / totals[1], counts[0] / totals[0]
     # What the negatives would have, were the unlabelled cleared of their toxic share.
     clean = np.maximum(u - prior * p, 0) / max(1 - prior, 1e-9)
-    least = max(3, 0.002 * totals[1])
-    gain = np.where((counts[1] >= least) & (p > clean), (p - clean) * np.log((p + 1e-4) / (clean + 1e-4)), 0)
+    # A gram must occur far more often in confirmed texts than chance would have it in as many clean ones.
+    chance = clean * totals[1]
+    gain = np.where(counts[1] - chance >= SURE * np.sqrt(chance + 0.5), (p - clean) * np.log((p + 1e-4) / (clean + 1e-4)), 0)
     chosen = np.sort(np.argsort(-gain, kind="stable")[:max_grams])
     chosen = chosen[gain[chosen] > 0]
     where = np.full(1 << bits, -1, np.int32)
