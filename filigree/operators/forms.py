@@ -115,7 +115,32 @@ def ownership_roles(docs: DataFrame, text: str = "text") -> DataFrame:
     flags = {"isDirector": "director", "isOfficer": "officer", "isTenPercentOwner": "ten_percent_owner", "isOther": "other"}
     set_ = F.array_compact(F.array(*[F.when(money.truthy(rel[k]), F.lit(v)) for k, v in flags.items()]))
     owner = owner_of(F.col("d"))["reportingOwnerId"]["rptOwnerCik"]
-    return rows.select(*[c for c in docs.columns if c != text], ids.person_id(ids.strip_leading_zeros(owner)).alias("person_nid"), ids.strip_leading_zeros(F.col("d.issuer.issuerCik")).alias("issuer_cik"), rel["officerTitle"].alias("officer_title"), F.explode(set_).alias("role_type"))
+    return rows.select(*[c for c in docs.columns if c != text], ids.person_id(ids.strip_leading_zeros(owner)).alias("person_nid"), ids.strip_leading_zeros(F.col("d.issuer.issuerCik")).alias("issuer_cik"), rel["officerTitle"].alias("officer_title"), F.col("d.periodOfReport").alias("period"), F.explode(set_).alias("role_type"))
+
+
+def ownership_owners(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The owner of each ownership form."""
+    rows = parse_xml(docs, OWNERSHIP, "d", text)
+    owner = owner_of(F.col("d"))["reportingOwnerId"]
+    cik = ids.strip_leading_zeros(owner["rptOwnerCik"])
+    return rows.where(owner["rptOwnerCik"].isNotNull()).select(*[c for c in docs.columns if c != text], ids.person_id(cik).alias("person_nid"), cik.alias("owner_cik"), owner["rptOwnerName"].alias("display_name"))
+
+
+def ownership_holdings(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Holdings that an ownership form states besides transactions, numbered by lot."""
+    rows = parse_xml(docs, OWNERSHIP, "d", text)
+    none = F.array().cast(_HOLD)
+
+    def tagged(a: Column, flag: int) -> Column:
+        return F.transform(F.coalesce(a, none), lambda t: F.struct(t.alias("t"), F.lit(flag).alias("is_derivative")))
+
+    both = F.concat(tagged(F.col("d.nonDerivativeTable.nonDerivativeHolding"), 0), tagged(F.col("d.derivativeTable.derivativeHolding"), 1))
+    t = F.col("x.t")
+    return rows.select("*", F.posexplode(both).alias("lot", "x")).select(
+        *[c for c in docs.columns if c != text], "lot", ids.person_id(ids.strip_leading_zeros(owner_of(F.col("d"))["reportingOwnerId"]["rptOwnerCik"])).alias("person_nid"), ids.strip_leading_zeros(F.col("d.issuer.issuerCik")).alias("issuer_cik"),
+        t["securityTitle"]["value"].alias("security_title"), F.col("d.periodOfReport").alias("as_of_date"), money.number(F.coalesce(t["postTransactionAmounts"]["sharesOwnedFollowingTransaction"]["value"], F.lit("")), "").alias("shares"),
+        t["ownershipNature"]["directOrIndirectOwnership"]["value"].alias("direct_indirect"), F.col("x.is_derivative").alias("is_derivative"),
+    )
 
 
 def manager_holdings(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -130,12 +155,25 @@ def manager_holdings(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+_SELLER = "d.issuerInfo.nameOfPersonForWhoseAccountTheSecuritiesAreToBeSold"
+
+
+def past_sales(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Sales of the last three months that a notice lists, numbered after its planned ones."""
+    rows = parse_xml(docs, FORM_144, "d", text)
+    s, gross = F.col("s"), money.number(F.col("s.grossProceeds"))
+    planned = F.coalesce(F.size("d.securitiesInformation"), F.lit(0))
+    return rows.select(*[c for c in docs.columns if c != text], ids.strip_leading_zeros(F.col("d.issuerInfo.issuerCik")).alias("issuer_cik"), F.col(_SELLER).alias("seller"), planned.alias("_n"), F.posexplode("d.securitiesSoldInPast3Months").alias("_i", "s")).select(
+        *[c for c in docs.columns if c != text], "issuer_cik", "seller", (F.col("_i") + F.greatest("_n", F.lit(0))).alias("lot"), s["securitiesClassTitle"].alias("security_title"), s["saleDate"].alias("transaction_date"), money.number(s["amountOfSecuritiesSold"]).alias("shares"), gross.alias("total_value"),
+    )
+
+
 def planned_sales(docs: DataFrame, text: str = "text") -> DataFrame:
     """Sales that a notice plans."""
     rows = parse_xml(docs, FORM_144, "d", text)
     s = F.col("s")
-    return rows.select(*[c for c in docs.columns if c != text], ids.strip_leading_zeros(F.col("d.issuerInfo.issuerCik")).alias("issuer_cik"), F.posexplode("d.securitiesInformation").alias("lot", "s")).select(
-        *[c for c in docs.columns if c != text], "issuer_cik", "lot", s["securitiesClassTitle"].alias("security_class"), money.number(s["noOfUnitsSold"]).alias("shares"), s["approxSaleDate"].alias("approx_sale_date"),
+    return rows.select(*[c for c in docs.columns if c != text], ids.strip_leading_zeros(F.col("d.issuerInfo.issuerCik")).alias("issuer_cik"), F.col(_SELLER).alias("seller"), F.posexplode("d.securitiesInformation").alias("lot", "s")).select(
+        *[c for c in docs.columns if c != text], "issuer_cik", "seller", "lot", s["securitiesClassTitle"].alias("security_class"), money.number(s["noOfUnitsSold"]).alias("shares"), s["approxSaleDate"].alias("approx_sale_date"),
         s["brokerOrMarketmakerDetails"]["name"].alias("broker_name"), money.number(s["aggregateMarketValue"]).alias("aggregate_market_value"),
     )
 

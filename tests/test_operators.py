@@ -164,3 +164,26 @@ def test_ingest(spark, tmp_path):
     spark.createDataFrame([("b", 9), ("c", 3)], "accession string, v int").write.mode("append").parquet(land)
     landing.ingest(spark, land, first.schema, table, mark, "accession")
     assert rows(spark.read.parquet(table)) == [("a", 1), ("b", 2), ("c", 3)]
+
+
+def test_registry_tables(spark):
+    """An insider form, a manager's table, a current report and an exhibit become facts with keys and provenance."""
+    from filigree.plans import tables
+
+    table_13f = "<informationTable><infoTable><nameOfIssuer>APPLE</nameOfIssuer><cusip>037833100</cusip><value>50000</value><shrsOrPrnAmt><sshPrnamt>1000000</sshPrnamt></shrsOrPrnAmt></infoTable><infoTable><nameOfIssuer>MSFT</nameOfIssuer><cusip>594918104</cusip><value>40000</value></infoTable></informationTable>"
+    docs = spark.createDataFrame([
+        ("320193", "a-10k", "aapl-ex21.htm", "Apple Operations International    Ireland\nBraeburn Capital, Inc.   Nevada"),
+        ("320193", "a-4", "form4.xml", FORM4.replace("<value>1031414</value>", "<value>1031.5</value>")),
+        ("320193", "a-8k", "aapl-8k.htm", "<p>Item 5.02 Departure of Directors</p><p>Item 9.01 Financial Statements</p>"),
+        ("1364742", "b-13f", "13f-infotable.xml", table_13f),
+        ("1", "stray", "form4.xml", FORM4),
+    ], "cik string, accession_number string, document string, text string")
+    index = spark.createDataFrame([("a-10k", "320193", "10-K", "2024-11-01", "", "x"), ("a-4", "320193", "4", "2024-09-15", "", "x"), ("a-8k", "320193", "8-K", "2024-09-01", "", "x"), ("b-13f", "1364742", "13F-HR", "2024-08-01", "", "x")], "accession_number string, cik string, form_type string, filed_date string, report_date string, primary_document string")
+    parsed = forms.submissions(spark.createDataFrame([(json.dumps({"cik": "0000320193", "name": "Apple", "sic": "3571", "sicDescription": "Computers"}),)], "value string"))
+    got = tables.build(docs, index, parsed, extracted_at="now")
+    assert len(got) == 35
+    few = {t: got[t] for t in ("company", "sic", "insider_transaction", "role", "institutional_holding", "security", "corporate_event", "subsidiary", "merger")}
+    assert {r.table: r.rows for r in tables.report(few).collect()} == {"company": 1, "sic": 1, "insider_transaction": 2, "role": 1, "institutional_holding": 2, "security": 2, "corporate_event": 2, "subsidiary": 2, "merger": 0}
+    tx = got["insider_transaction"].orderBy("transaction_nid").collect()
+    assert [r.transaction_nid for r in tx] == ["a-4-0-sale", "a-4-1-purchase"] and tx[0].source_url.endswith("/320193/a4/form4.xml") and tx[0].source_extracted_at == "now"
+    assert [r.event_nid for r in got["corporate_event"].orderBy("event_nid").collect()] == ["a-8k-5.02", "a-8k-9.01"]
