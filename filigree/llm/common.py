@@ -51,10 +51,15 @@ class Workspace:
         back.filigree_path = path
         return back
 
-    def drop(self, df: DataFrame) -> None:
-        """Removes a kept table that nothing reads any more."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(df.filigree_path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+    def keep_only(self, *dfs: DataFrame) -> None:
+        """Removes the kept tables but dfs, once nothing reads them any more."""
+        files = self.spark._jvm.org.apache.hadoop.fs
+        root = files.Path(self.root)
+        system = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        left = {df.filigree_path.rpartition("/")[2] for df in dfs}
+        for found in system.listStatus(root):
+            if found.getPath().getName() not in left:
+                system.delete(found.getPath(), True)
 
 
 # ---- numpy helpers for tasks -------------------------------------------------------------------

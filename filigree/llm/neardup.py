@@ -240,6 +240,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, miss: float = 1e-7, band
         found = connected(ws, first.unionByName(second))
 
     classes = ws.keep(heads.select("digest", "n_shingles", "id").join(found, "id", "left").select("digest", "n_shingles", F.coalesce("component", "id").alias("component_id")), "classes")
+    ws.keep_only(drawn, classes)
     result = drawn.where("digest is not null and doc_id is not null").select("doc_id", "n_shingles", "digest").join(classes, ["digest", "n_shingles"]).select("doc_id", "n_shingles", "component_id")
     alone = drawn.where("digest is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return result.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
