@@ -211,12 +211,12 @@ def repeated_spans(docs: DataFrame, ws: Workspace) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     hits = ws.keep(source.mapInArrow(tell, f"doc_id {kind}, d bigint, h bigint, c bigint, start bigint, count bigint, body binary"), "hits")
     times = ws.keep(hits.groupBy("h", "c").agg(F.count("*").alias("times")), "times")
-    whole = hits.select("doc_id", "d", "c", "start", "count").join(times.where("times > 1").select("c"), "c").select("doc_id", "d", F.struct(F.col("start").alias("a"), (F.col("start") + F.col("count") - 1 + LENGTH).alias("b")).alias("span"))
 
-    # Stretches of one hash that differ: each once.
+    # Stretches of one hash that differ: each once. One shuffle on c brings a stretch's copies together and picks one.
     various = times.groupBy("h").agg(F.count("*").alias("m")).where("m > 1")
-    bodies = hits.where("body is not null").groupBy("h", "c", "count").agg(F.max("body").alias("body")).join(various, "h")
-    bodies = ws.keep(bodies, "bodies")
+    wanted = ws.keep(times.join(various, "h").select("c", "m"), "wanted")
+    bodies = hits.where("body is not null").select("c", "h", "count", "body").join(wanted, "c").groupBy("c").agg(F.max("h").alias("h"), F.max("m").alias("m"), F.max(F.struct("count", "body")).alias("x"))
+    bodies = ws.keep(bodies.select("c", "h", "m", "x.count", "x.body"), "bodies")
     total = bodies.agg(F.sum(F.length("body"))).first()[0] or 0
     groups = int(max(1, total // GROUP_BYTES))
 
@@ -231,11 +231,14 @@ def repeated_spans(docs: DataFrame, ws: Workspace) -> DataFrame:
     big = bodies.where(F.col("m") > MOST_STRETCHES).select("c", "body", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("a")).select("c", "a", F.substring("body", (F.col("a") + 1).cast("int"), F.lit(LENGTH)).alias("w"))
     twice = big.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w")
     large = big.join(twice, "w").groupBy("c").agg(F.collect_list(F.struct("a", (F.col("a") + 1).alias("b"))).alias("ranges"))
-    parts = small.unionByName(large).join(times.where("times = 1").select("c"), "c", "left_semi")
-    some_of = hits.select("doc_id", "d", "c", "start").join(parts, "c").select("doc_id", "d", "start", F.explode("ranges").alias("r"))
-    some_of = some_of.select("doc_id", "d", F.struct((F.col("start") + F.col("r.a")).alias("a"), (F.col("start") + F.col("r.b") - 1 + LENGTH).alias("b")).alias("span"))
+    parts = ws.keep(small.unionByName(large).join(times.where("times = 1").select("c"), "c", "left_semi"), "parts")
+    # What is known of a stretch: that it repeats whole (no ranges), or which of its windows repeat.
+    known = times.where("times > 1").select("c", F.lit(None).cast(spans).alias("ranges")).unionByName(parts)
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("count").alias("b")))
+    told = hits.select("doc_id", "d", "c", "start", "count").join(known, "c").select("doc_id", "d", "start", F.explode(F.coalesce("ranges", whole)).alias("r"))
+    told = told.select("doc_id", "d", F.struct((F.col("start") + F.col("r.a")).alias("a"), (F.col("start") + F.col("r.b") - 1 + LENGTH).alias("b")).alias("span"))
     full = copies.select("doc_id", "d", F.struct(F.lit(0).cast("long").alias("a"), F.col("n").cast("long").alias("b")).alias("span")).distinct()
-    return whole.unionByName(some_of).unionByName(full).groupBy("doc_id", "d").agg(F.collect_list("span").alias("spans"))
+    return told.unionByName(full).groupBy("doc_id", "d").agg(F.collect_list("span").alias("spans"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -260,9 +263,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     merged = ws.keep(spans.mapInArrow(merge, f"doc_id {kind}, d bigint, removed array<struct<a:bigint,b:bigint>>"), "merged")
+    ws.keep_only(merged)
     merged = merged.withColumnRenamed("doc_id", "_id")
     rows = docs.select(*cols).withColumn("_raw", F.coalesce("text", F.lit("")).cast("binary")).withColumn("_d", F.xxhash64(F.coalesce("text", F.lit(""))))
-    joined = rows.join(merged, rows["doc_id"].eqNullSafe(merged["_id"]) & (rows["_d"] == merged["d"]), "left").withColumn("removed", F.coalesce("removed", zero))
+    # Only texts that lose something are shuffled to their spans.
+    keys = broadcast_if(merged.select("_id", "d"), 1_000_000)
+    match = lambda m: rows["doc_id"].eqNullSafe(m["_id"]) & (rows["_d"] == m["d"])
+    cut = rows.join(keys, match(keys), "left_semi")
+    cut = cut.join(merged, cut["doc_id"].eqNullSafe(merged["_id"]) & (cut["_d"] == merged["d"])).drop("_id", "d")
+    joined = cut.unionByName(rows.join(keys, match(keys), "left_anti").withColumn("removed", zero))
     starts = F.concat(F.array(F.lit(0).cast("long")), F.transform("removed", lambda s: s["b"]))
     ends = F.concat(F.transform("removed", lambda s: s["a"]), F.array(F.octet_length("_raw").cast("long")))
     pieces = F.zip_with(starts, ends, lambda a, b: F.hex(F.substring(F.col("_raw"), (a + 1).cast("int"), (b - a).cast("int"))))
