@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 
 from filigree.llm.common import ascii_lower
 
-#: Characters between words, and words with what stands before them (fixed values).
+#: Characters between words of a lower-cased text; those of a text as it is, and words with what stands before them (fixed values).
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-CHUNK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]*[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+OUTSIDE = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
+CHUNK = rf"[{OUTSIDE}]*[^{OUTSIDE}]+"
 
 
 def words_of(text: Column) -> Column:
@@ -85,6 +86,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, remove: st
     if remove == "documents":
         return found.where(F.size("hit") == 0).select(*cols)
     chunks = F.regexp_extract_all("text", F.lit(CHUNK), F.lit(0))
-    rest = F.regexp_extract("text", r"[\x00-\x2F\x3A-\x60\x7B-\x7F]*\z", 0)
+    rest = F.regexp_extract("text", rf"[{OUTSIDE}]*\z", 0)
     cut = F.concat(F.array_join(F.filter(chunks, lambda _, i: ~F.array_contains("hit", i + 1)), ""), rest)
     return found.withColumn("text", F.when(F.size("hit") > 0, cut).otherwise(F.col("text"))).select(*cols)
