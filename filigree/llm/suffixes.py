@@ -13,9 +13,9 @@ first cut down, without losing a repeat, to the places where repeats can begin:
    anchor hash, to a group of bounded size, and the groups' texts are sorted by the difference-cover algorithm. Groups of
    one hash that outgrow a task are compared window by window, by a shuffle on the windows themselves.
 
-A text that occurs more than once is removed whole, and one of its copies stands for it above. Anchor hashes that repeat
-are told to the scan by two bitmaps of fixed size (8 MB each); a bit set by chance costs a row, not a result. Hashes of
-stretches have 64 bits; windows of step 3 are told apart by their sorted bytes.
+A text that occurs more than once is removed whole, and one of its copies stands for it above. Anchor hashes that repeat,
+and the places that stand for a stretch, are told to the scans by three bitmaps of fixed size (8 MB each); a bit set by
+chance costs a row, not a result. Hashes of stretches have 64 bits; windows of step 3 are told apart by their sorted bytes.
 
 Cases: a null text counts as empty. Texts under 200 bytes keep all their bytes. Rows that share an id are told apart by
 their texts; equal rows are copies of each other. Extra columns are kept, other than n_bytes, removed and kept. Matches
@@ -210,12 +210,21 @@ def repeated_spans(docs: DataFrame, ws: Workspace) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     hits = ws.keep(source.mapInArrow(tell, f"doc_id {kind}, d bigint, h bigint, c bigint, start bigint, count bigint, body binary"), "hits")
-    times = ws.keep(hits.groupBy("h", "c").agg(F.count("*").alias("times")), "times")
+    place = F.xxhash64("doc_id", "d", "start")
+    times = ws.keep(hits.groupBy("h", "c").agg(F.count("*").alias("times"), F.min(place).alias("u")), "times")
 
-    # Stretches of one hash that differ: each once. One shuffle on c brings a stretch's copies together and picks one.
+    # Stretches of one hash that differ: each once, from one of the places where it stands. A bitmap of those places
+    # keeps the other copies out of the shuffle on c, which brings together what a bit has let through by chance.
     various = times.groupBy("h").agg(F.count("*").alias("m")).where("m > 1")
-    wanted = ws.keep(times.join(various, "h").select("c", "m"), "wanted")
-    bodies = hits.where("body is not null").select("c", "h", "count", "body").join(wanted, "c").groupBy("c").agg(F.max("h").alias("h"), F.max("m").alias("m"), F.max(F.struct("count", "body")).alias("x"))
+    wanted = ws.keep(times.join(various, "h").select("c", "m", "u"), "wanted")
+    chosen = spark.sparkContext.broadcast(bitmap(wanted.select(F.col("u").alias("h"))))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(has_bit(chosen.value, batch.column("u").to_numpy().view(np.uint64))))
+
+    picked = hits.where("body is not null").select(place.alias("u"), "c", "h", "count", "body").mapInArrow(pick, "u bigint, c bigint, h bigint, count bigint, body binary").drop("u")
+    bodies = picked.join(wanted.select("c", "m"), "c").groupBy("c").agg(F.max("h").alias("h"), F.max("m").alias("m"), F.max(F.struct("count", "body")).alias("x"))
     bodies = ws.keep(bodies.select("c", "h", "m", "x.count", "x.body"), "bodies")
     total = bodies.agg(F.sum(F.length("body"))).first()[0] or 0
     groups = int(max(1, total // GROUP_BYTES))
