@@ -30,10 +30,10 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(ascii_lower(text), F.lit("")), GAP), "")
 
 
-def windows_of(words: Column, k: int) -> Column:
-    """The hash of each k consecutive words, by position."""
+def window_starts(words: Column, k: int) -> Column:
+    """The 1-based positions at which k consecutive words begin; null where there are fewer words."""
     last = F.size(words) - k + 1
-    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, k)))).otherwise(F.array().cast("array<bigint>"))
+    return F.when(last >= 1, F.sequence(F.lit(1), last))
 
 
 def benchmark_windows(benchmark: DataFrame, n: int = 10) -> DataFrame:
@@ -53,15 +53,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 10, broadcast_win
     grams = benchmark_windows(benchmark, n)
     known = {r["k"]: r["n"] for r in grams.groupBy("k").agg(F.count("*").alias("n")).collect()}  # at most n rows
     right = grams.select(F.col("k").alias("gk"), F.col("hash").alias("gh"), "gram", "items")
-    if sum(known.values()) <= broadcast_windows:
+    small = sum(known.values()) <= broadcast_windows
+    if small:
         right = F.broadcast(right)
     clash = [c for c in docs.columns if c in ("n_words", "hit", "items")]
     docs = docs.drop(*clash).withColumn("_key", F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"), F.length("text").alias("n")))
     words = docs.select("_key", words_of(F.col("text")).alias("w"))
     found = None
     for k in sorted(known):
-        at = words.select("_key", "w", F.posexplode(windows_of(F.col("w"), k)).alias("pos", "h"))
-        hits = at.join(right, (at.h == right.gh) & (right.gk == k) & (F.slice("w", at.pos + 1, k) == right.gram)).select("_key", (at.pos + 1).alias("pos"), F.lit(k).alias("k"), "items")
+        # Windows are hashed after the explode, in compiled code; a shuffled row has its window's words, not all of w.
+        at = words.select("_key", "w", F.explode(window_starts(F.col("w"), k)).alias("pos"))
+        own = F.slice("w", F.col("pos"), k)
+        at = at.withColumn("h", F.xxhash64(own)) if small else at.select("_key", "pos", own.alias("own"), F.xxhash64(own).alias("h"))
+        same = (own if small else at.own) == right.gram
+        hits = at.join(right, (at.h == right.gh) & (right.gk == k) & same).select("_key", "pos", F.lit(k).alias("k"), "items")
         found = hits if found is None else found.unionByName(hits)
     counts = words.select("_key", F.size("w").cast("long").alias("n_words"))
     if found is None:
