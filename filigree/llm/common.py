@@ -65,6 +65,7 @@ class Workspace:
 # ---- numpy helpers for tasks -------------------------------------------------------------------
 
 _BASE = np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
+INVERSE = pow(int(_BASE), -1, 1 << 64)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -103,7 +104,6 @@ def by_size(batches, column: str, most: int = 2 << 20):
 class Words:
     """The words of some texts, hashed side by side: text[i] and hash[i] of word i, in order."""
 
-    _inverse = pow(int(_BASE), -1, 1 << 64)
     _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def __init__(self, texts: list[bytes], gap: np.ndarray):
@@ -115,7 +115,7 @@ class Words:
         size = 1 << max(16, int(len(data)).bit_length())
         if size not in self._tables:
             self._tables.clear()
-            self._tables[size] = powers(size), powers(size, self._inverse)
+            self._tables[size] = powers(size), powers(size, INVERSE)
         up, down = self._tables[size]
         with np.errstate(over="ignore"):
             sums = np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], dtype=np.uint64)

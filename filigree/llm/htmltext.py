@@ -2,11 +2,13 @@
 
 A page is cut into blocks, each in a zone: article (inside article or main), chrome (menus, page headers and
 footers, sidebars, notices, adverts, forms, comments, by element, role or class) or open (anything else that
-shows). For each host the tokens of its pages' blocks outside the article are concatenated and sorted as a suffix
-array; runs of at least min_run tokens that distinct pages share are boilerplate, and open blocks lose the tokens
-that such runs cover and keep their unique runs. A check by markup follows: what an article holds is kept even
-where pages share it (copies of an article are no boilerplate), and chrome is dropped even where it occurs once.
-The text of a page with an article is its article blocks; of another page, what is left of its open blocks.
+shows). For each host the tokens of all its pages' blocks, articles included, are concatenated and sorted as a suffix
+array; runs of at least min_run tokens that distinct pages share are boilerplate candidates. A check by markup
+follows. Open blocks, on pages with an article too, lose the tokens that shared runs cover and keep their unique
+runs. An article loses each block that as a whole is a block of another page as well (a notice, a license line); runs
+within a block that is otherwise its own are common phrases and stay. An article more than half of whose tokens are in
+shared runs is a copy or near copy of another and is kept whole. Chrome is dropped even where it occurs once. The text
+of a page is what is left of its article and open blocks, in page order.
 
 A host's pages are dealt to groups of about group_pages by a hash of their content, so a host with a third of
 all pages is many tasks; a run counts as shared where two pages of a group have it.
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from filigree.llm.common import by_size
+from filigree.llm.common import INVERSE, by_size, mix, powers
 
 #: Element names and words of class, id and role (fixed values).
 BLOCKS = set("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split())
@@ -42,7 +44,8 @@ MARKS = set("ad ads advert adverts advertisement advertising banner sponsor spon
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 ARTICLE, CHROME_ZONE, OPEN = 0, 1, 2
-SALTS = 32
+#: So many page keys are remembered by a task that parses pages, so that equal ones are sent once.
+MOST_SEEN = 100_000
 
 
 def marked(name: str, attributes: str) -> bool:
@@ -163,53 +166,99 @@ def covered(streams: list[list[str]], min_run: int) -> list[np.ndarray]:
     return [hit[e - n - 1 : e - 1] for e, n in zip(edges, sizes)]
 
 
-def extract(pages: DataFrame, min_run: int = 5, group_pages: int = 1000, text: str = "html") -> DataFrame:
-    """pages with text and n_chars (its code points)."""
-    kept = [c for c in pages.columns if c not in ("text", "n_chars")]
+def run_hashes(streams: list[list[str]], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the token runs from starts to ends, places in the streams set end to end; the same in every task."""
+    ids, words = pd.factorize(np.array([t for s in streams for t in s], object))
+    known = pd.util.hash_array(np.asarray(words, object), categorize=False) if len(words) else np.zeros(0, np.uint64)
+    up, down = powers(len(ids) + 1), powers(len(ids) + 1, INVERSE)
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(known[ids] * up[: len(ids)], dtype=np.uint64)])
+        return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+class Host:
+    """The distinct pages of a host's group: their blocks, tokens and block places."""
+
+    def __init__(self, group: pa.Table, min_run: int):
+        self.min_run = min_run
+        self.keys = [(k["a"], k["b"]) for k in group.column("_key").to_pylist()]
+        full = {}
+        for i, (key, zones) in enumerate(zip(self.keys, group.column("_zones").is_valid().to_pylist())):
+            if zones:
+                full.setdefault(key, i)
+        own = group.select(["_zones", "_blocks"]).take(pa.array(list(full.values()), pa.int64()))
+        self.page = {key: n for n, key in enumerate(full)}
+        self.zones, self.blocks = own.column("_zones").to_pylist(), own.column("_blocks").to_pylist()
+        self.words = [[b.split() for b in page] for page in self.blocks]
+        self.streams = [[w for b in page for w in b] for page in self.words]
+        self.sizes = np.array([len(b) for page in self.words for b in page], np.int64)
+        self.owner = np.repeat(np.arange(len(self.words)), [len(page) for page in self.words])
+        self.ends = np.cumsum(self.sizes)
+
+    def repeated(self) -> np.ndarray:
+        """For each block, whether all of it, min_run tokens at least, is a block of another page too."""
+        return self.shared(run_hashes(self.streams, self.ends - self.sizes, self.ends)) & (self.sizes >= self.min_run)
+
+    def shared(self, hashes: np.ndarray) -> np.ndarray:
+        _, at = np.unique(hashes, return_inverse=True)
+        low, high = np.full(len(hashes), len(self.words)), np.full(len(hashes), -1)
+        np.minimum.at(low, at, self.owner)
+        np.maximum.at(high, at, self.owner)
+        return (low < high)[at]
+
+    def texts(self, hits: list[np.ndarray], repeated: np.ndarray) -> list[str]:
+        """The text of each page, by the runs that pages share and then by markup."""
+        out, block = [], 0
+        for zones, blocks, page, hit in zip(self.zones, self.blocks, self.words, hits):
+            of = np.repeat(np.array(zones, np.int64), [len(w) for w in page]) == ARTICLE
+            copy = 2 * np.count_nonzero(hit & of) > np.count_nonzero(of)
+            lines, at = [], 0
+            for zone, text, words in zip(zones, blocks, page):
+                if zone == ARTICLE:
+                    lines += [text] if copy or not repeated[block] else []
+                elif zone == OPEN:
+                    left = [w for w, h in zip(words, hit[at : at + len(words)].tolist()) if not h]
+                    lines += [" ".join(left)] if left else []
+                at += len(words)
+                block += 1
+            out.append("\n".join(lines))
+        return out
+
+
+def extract(pages: DataFrame, min_run: int = 5, group_pages: int = 1000, text: str = "html", keep_text: bool = True) -> DataFrame:
+    """pages with text and n_chars (its code points); without keep_text, the markup isn't kept and so isn't shuffled."""
+    kept = [c for c in pages.columns if c not in ("text", "n_chars") and (keep_text or c != text)]
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[^:/?#]*:?//(?:[^@/?#]*@)?([^:/?#]*)", 1))
-    keyed = pages.select(*kept).withColumns({"_host": host, "_key": F.struct(F.xxhash64(text).alias("a"), F.sha2(F.coalesce(text, F.lit("")), 224).alias("b"))})
+    blank = F.coalesce(text, F.lit("")) == ""
+    keyed = pages.select(*pages.columns).withColumns({"_host": host, "_key": F.struct(F.xxhash64(text).alias("a"), F.sha2(F.coalesce(text, F.lit("")), 224).alias("b"))})
+    # Only hosts of several groups are listed: a row for each group_pages pages at most, so that it may be broadcast.
+    groups = pages.groupBy(host.alias("_host")).count().where(F.col("count") > group_pages).select("_host", F.ceil(F.col("count") / group_pages).cast("int").alias("_groups"))
+    # Equal pages meet in a group; pages without markup have nothing to compare and go anywhere.
+    deal = F.when(blank, F.xxhash64("url")).otherwise(F.col("_key.a"))
+    dealt = keyed.join(F.broadcast(groups), "_host", "left").withColumn("_groups", F.coalesce("_groups", F.lit(1))).withColumn("_group", F.pmod(deal, F.col("_groups")).cast("int"))
+    carried = [*kept, "_host", "_key", "_groups", "_group"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
         for batch in by_size(batches, text):
-            found = [blocks_of(h or "") for h in batch.column(text).to_pylist()]
-            main = [any(z == ARTICLE for z, _ in own) for own in found]
-            rest = pa.array([[{"zone": z, "text": t} for z, t in own if z != ARTICLE] for own in found], pa.list_(pa.struct([("zone", pa.int32()), ("text", pa.string())])))
-            yield pa.RecordBatch.from_arrays([batch.column("_host"), batch.column("_key"), pa.array(main), rest], names=["_host", "_key", "_main", "_rest"])
+            found = []
+            for at, key, page in zip(batch.column("_host").to_pylist(), batch.column("_key").to_pylist(), batch.column(text).to_pylist()):
+                name = (at, key["a"], key["b"])
+                found.append(None if name in seen else blocks_of(page or ""))
+                seen.add(name)
+            if len(seen) > MOST_SEEN:
+                seen.clear()
+            zones = pa.array([None if own is None else [z for z, _ in own] for own in found], pa.list_(pa.int32()))
+            blocks = pa.array([None if own is None else [t for _, t in own] for own in found], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in carried] + [zones, blocks], names=[*carried, "_zones", "_blocks"])
 
-    def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_size(batches, text):
-            found = [blocks_of(h or "") for h in batch.column(text).to_pylist()]
-            main = [any(z == ARTICLE for z, _ in own) for own in found]
-            body = ["\n".join(t for z, t in own if z == ARTICLE) for own in found]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in (*kept, "_key")] + [pa.array(main), pa.array(body, pa.string())], names=[*kept, "_key", "_main", "_body"])
-
-    key = keyed.schema["_key"].dataType.simpleString()
-    parsed = keyed.select("_host", "_key", text).mapInArrow(cut, f"_host string, _key {key}, _main boolean, _rest array<struct<zone:int,text:string>>")
-    # Equal pages once; then groups of a host.
-    streams = parsed.where(F.size("_rest") > 0).groupBy("_host", "_key").agg(F.first(F.struct("_main", "_rest")).alias("x")).select("_host", "_key", "x._main", "x._rest")
-    groups = streams.groupBy("_host").agg(F.ceil(F.count("*") / group_pages).cast("int").alias("_groups"))
-    # A host may have a third of all pages: pages are salted, and a host's one row is there for every salt.
-    groups = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = streams.withColumn("_salt", F.pmod(F.col("_key.a"), F.lit(SALTS)).cast("int"))
-    dealt = salted.join(groups, ["_host", "_salt"]).withColumn("_group", F.pmod(F.col("_key.a"), F.col("_groups")).cast("int"))
+    fields = [dealt.schema[c] for c in carried]
+    parsed = dealt.select(*dict.fromkeys([*carried, text])).mapInArrow(cut, T.StructType(fields + [T.StructField("_zones", T.ArrayType(T.IntegerType())), T.StructField("_blocks", T.ArrayType(T.StringType()))]))
 
     def strip(group: pa.Table) -> pa.Table:
-        own = group.column("_rest").to_pylist()
-        hits = covered([[w for b in page for w in b["text"].split()] for page in own], min_run)
-        out = []
-        for page, hit, main in zip(own, hits, group.column("_main").to_pylist()):
-            lines, at = [], 0
-            for b in page if not main else ():
-                words = b["text"].split()
-                left = [w for w, h in zip(words, hit[at : at + len(words)].tolist()) if not h]
-                at += len(words)
-                if b["zone"] == OPEN and left:
-                    lines.append(" ".join(left))
-            out.append("\n".join(lines))
-        return pa.table([group.column("_host"), group.column("_key"), pa.array(out, pa.string())], names=["_host", "_key", "_open"])
+        own = Host(group, min_run)
+        texts = own.texts(covered(own.streams, min_run), own.repeated())
+        return group.select(kept).append_column("text", pa.array([texts[own.page[k]] for k in own.keys], pa.string()))
 
-    unique = dealt.select("_host", "_group", "_key", "_main", "_rest").groupBy("_host", "_group").applyInArrow(strip, f"_host string, _key {key}, _open string")
-    whole = keyed.drop("_host").mapInArrow(bodies, T.StructType([keyed.schema[c] for c in (*kept, "_key")] + [T.StructField("_main", T.BooleanType()), T.StructField("_body", T.StringType())]))
-    open_text = unique.where("_open <> ''").groupBy("_key").agg(F.min("_open").alias("_open"))
-    joined = whole.join(open_text, "_key", "left").withColumn("text", F.when(F.col("_main"), F.col("_body")).otherwise(F.coalesce("_open", F.lit(""))))
-    return joined.select(*kept, "text", F.length("text").cast("long").alias("n_chars"))
+    out = parsed.groupBy("_host", "_group").applyInArrow(strip, T.StructType([pages.schema[c] for c in kept] + [T.StructField("text", T.StringType())]))
+    return out.select(*kept, "text", F.length("text").cast("long").alias("n_chars"))

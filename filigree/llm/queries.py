@@ -92,7 +92,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return htmltext.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+    return htmltext.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"), keep_text=False)
 
 
 QUERIES = {

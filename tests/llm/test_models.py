@@ -75,3 +75,14 @@ def test_shared_runs():
     a, b, c = "p q r s t u v".split(), "z q r s t u y".split(), "q r s".split()
     hits = htmltext.covered([a, b, c, []], 5)
     assert [h.tolist() for h in hits] == [[False, True, True, True, True, True, False]] * 2 + [[False] * 3, []]
+
+
+def test_articles_meet_the_suffix_array(spark):
+    notice, copied = "All rights of this text remain with us", " ".join(f"copied{i}" for i in range(30))
+    html = [f"<body><div>Lead of page {w}</div><article><p>Story {w} {w}a {w}b {w}c {w}d {w}e {w}f {w}g {w}h {w}i {w}j</p><p>{notice}</p></article><div>More news stands on this page</div></body>" for w in ("x", "y")]
+    html += [f"<article><p>{copied}</p><p>{notice}</p></article>", f"<article><p>{copied}</p><p>{notice}</p></article><nav>n</nav>"]
+    pages = spark.createDataFrame([(i, f"http://h.i/{i}", h) for i, h in enumerate(html)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in htmltext.extract(pages).collect()}
+    for i, w in enumerate("xy"):  # the lead stands outside the article; notice and footer are on both pages
+        assert got[i] == f"Lead of page {w}\nStory {w} {w}a {w}b {w}c {w}d {w}e {w}f {w}g {w}h {w}i {w}j"
+    assert got[2] == got[3] == f"{copied}\n{notice}"  # a copy of an article is no boilerplate
