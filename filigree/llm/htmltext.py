@@ -11,7 +11,10 @@ shared runs is a copy or near copy of another and is kept whole. Chrome is dropp
 of a page is what is left of its article and open blocks, in page order.
 
 A host's pages are dealt to groups of about group_pages by a hash of their content, so a host with a third of
-all pages is many tasks; a run counts as shared where two pages of a group have it.
+all pages is many tasks. Runs that two pages of one group share are found by its suffix array; runs that pages of
+different groups share, by their hashes: each group lists those of its runs in slices, and learns of each whether
+another group has it, by a few leading bits first and by all 64 for what is left. So the number of groups doesn't
+change the result.
 
 Cases: null or empty html gives the empty text. Unclosed elements end with the page. Equal pages count as one
 page when runs are compared; equal rows are kept as often as they come. A url without a host is a host of its own.
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -133,13 +137,18 @@ def suffix_array(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray
             return order, rank
 
 
-def covered(streams: list[list[str]], min_run: int) -> list[np.ndarray]:
-    """For each page's tokens, which of them lie in a run of min_run tokens that another page has too."""
+def covered(streams: list[list[str]], min_run: int, also: np.ndarray | None = None, ids: np.ndarray | None = None) -> list[np.ndarray]:
+    """For each page's tokens, which of them lie in a run of min_run tokens that another page has too.
+
+    also: places in the streams set end to end where runs begin that are known to be shared with a page elsewhere;
+    ids: the tokens there as numbers, if they are known.
+    """
     sizes = [len(s) for s in streams]
     total = sum(sizes)
     if not total:
         return [np.zeros(0, bool) for _ in streams]
-    ids, _ = pd.factorize(np.array([t for s in streams for t in s], object))
+    if ids is None:
+        ids, _ = pd.factorize(np.array([t for s in streams for t in s], object))
     page = np.repeat(np.arange(len(streams)), sizes)
     # Each page ends with a separator of its own, so that no run crosses pages.
     ends = np.cumsum(sizes)
@@ -161,14 +170,17 @@ def covered(streams: list[list[str]], min_run: int) -> list[np.ndarray]:
     change = np.zeros(len(tokens) + min_run + 1, np.int64)
     np.add.at(change, starts, 1)
     np.add.at(change, starts + min_run, -1)
+    if also is not None and len(also):
+        also = also + page[also]  # behind the separators of the pages before
+        np.add.at(change, also, 1)
+        np.add.at(change, also + min_run, -1)
     hit = np.cumsum(change)[: len(tokens)] > 0
     edges = ends + np.arange(len(streams)) + 1
     return [hit[e - n - 1 : e - 1] for e, n in zip(edges, sizes)]
 
 
-def run_hashes(streams: list[list[str]], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the token runs from starts to ends, places in the streams set end to end; the same in every task."""
-    ids, words = pd.factorize(np.array([t for s in streams for t in s], object))
+def run_hashes(ids: np.ndarray, words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the runs from starts to ends of the tokens words[ids]; the same in every task."""
     known = pd.util.hash_array(np.asarray(words, object), categorize=False) if len(words) else np.zeros(0, np.uint64)
     up, down = powers(len(ids) + 1), powers(len(ids) + 1, INVERSE)
     with np.errstate(over="ignore"):
@@ -176,35 +188,114 @@ def run_hashes(streams: list[list[str]], starts: np.ndarray, ends: np.ndarray) -
         return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Ascending 64-bit values as compressed byte planes of their differences."""
+    steps = np.diff(values, prepend=np.uint64(0)).astype("<u8")
+    return zlib.compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
+
+def sliced(codes: np.ndarray, shift: int, groups: int) -> tuple[int, np.ndarray]:
+    """Into how many slices a host's codes are dealt, and where ascending codes begin in each; 8 groups' worth a slice."""
+    slices = -(-groups // 8)
+    place = (((codes << np.uint64(shift)) >> np.uint64(32)) * np.uint64(slices)) >> np.uint64(32)
+    return slices, np.searchsorted(place, np.arange(slices + 1).astype(np.uint64))
+
+
+def meet(lists: pa.Table) -> pa.Table:
+    """For each group's list of a slice, a bit for each code: whether another group of the host has it."""
+    codes = [unpacked(b) for b in lists.column("_codes").to_pylist()]
+    found, times = np.unique(np.concatenate(codes), return_counts=True)
+    masks = [zlib.compress(np.packbits((times > 1)[np.searchsorted(found, c)]).tobytes(), 1) for c in codes]
+    return lists.drop_columns(["_codes"]).append_column("_mask", pa.array(masks, pa.binary()))
+
+
+def marks_of(masks: pa.Table, codes: np.ndarray, shift: int, groups: int) -> np.ndarray:
+    """The bits of meet for a group's ascending codes, from its rows of all slices."""
+    out = np.zeros(len(codes), bool)
+    _, edges = sliced(codes, shift, groups)
+    for at, mask in zip(masks.column("_slice").to_pylist(), masks.column("_mask").to_pylist()):
+        n = int(edges[at + 1] - edges[at])
+        out[edges[at] : edges[at + 1]] = np.unpackbits(np.frombuffer(zlib.decompress(mask), np.uint8), count=n)
+    return out
+
+
+def packed_rows(masks: pa.Table) -> bytes:
+    """A table of masks in one value."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, masks.schema) as out:
+        out.write_table(masks)
+    return sink.getvalue().to_pybytes()
+
+
+def rows_of(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all()
+
+
+NO_LISTS = pa.table({"_host": pa.array([], pa.string()), "_slice": pa.array([], pa.int32()), "_group": pa.array([], pa.int32()), "_codes": pa.array([], pa.binary())})
+
+
 class Host:
     """The distinct pages of a host's group: their blocks, tokens and block places."""
 
     def __init__(self, group: pa.Table, min_run: int):
         self.min_run = min_run
         self.keys = [(k["a"], k["b"]) for k in group.column("_key").to_pylist()]
-        full = {}
-        for i, (key, zones) in enumerate(zip(self.keys, group.column("_zones").is_valid().to_pylist())):
-            if zones:
-                full.setdefault(key, i)
-        own = group.select(["_zones", "_blocks"]).take(pa.array(list(full.values()), pa.int64()))
+        full: dict[tuple, str] = {}
+        for key, blocks in zip(self.keys, group.column("_blocks").to_pylist()):
+            if blocks is not None:
+                full.setdefault(key, blocks)
         self.page = {key: n for n, key in enumerate(full)}
-        self.zones, self.blocks = own.column("_zones").to_pylist(), own.column("_blocks").to_pylist()
+        own = [page.split("\n") if page else [] for page in full.values()]
+        self.zones, self.blocks = [[int(b[0]) for b in page] for page in own], [[b[1:] for b in page] for page in own]
         self.words = [[b.split() for b in page] for page in self.blocks]
         self.streams = [[w for b in page for w in b] for page in self.words]
         self.sizes = np.array([len(b) for page in self.words for b in page], np.int64)
         self.owner = np.repeat(np.arange(len(self.words)), [len(page) for page in self.words])
         self.ends = np.cumsum(self.sizes)
 
-    def repeated(self) -> np.ndarray:
-        """For each block, whether all of it, min_run tokens at least, is a block of another page too."""
-        return self.shared(run_hashes(self.streams, self.ends - self.sizes, self.ends)) & (self.sizes >= self.min_run)
-
-    def shared(self, hashes: np.ndarray) -> np.ndarray:
-        _, at = np.unique(hashes, return_inverse=True)
-        low, high = np.full(len(hashes), len(self.words)), np.full(len(hashes), -1)
+        self.groups = group.column("_groups")[0].as_py()
+
+    def hash(self) -> None:
+        """Hashes of whole blocks and, in a host of several groups, of each run of min_run tokens within a page."""
+        self.ids, words = pd.factorize(np.array([t for s in self.streams for t in s], object))
+        begins, runs = self.ends - self.sizes, np.zeros(0, np.int64)
+        if self.groups > 1:
+            lengths = np.array([len(s) for s in self.streams], np.int64)
+            room = np.repeat(np.cumsum(lengths), lengths) - np.arange(lengths.sum())  # tokens left on the page
+            runs = np.flatnonzero(room >= self.min_run)
+        both = run_hashes(self.ids, words, np.concatenate([begins, runs]), np.concatenate([self.ends, runs + self.min_run]))
+        self.block_hash, self.runs, self.run_hash = both[: len(begins)], runs, both[len(begins) :]
+        self.long = self.sizes >= self.min_run
+        self.codes = np.unique(np.concatenate([self.block_hash[self.long], self.run_hash])) if self.groups > 1 else self.run_hash
+
+    def coarse(self) -> tuple[np.ndarray, int]:
+        """Leading bits of the codes, some six bits more than it takes to tell a host's runs apart, and the shift to them."""
+        shift = max(0, 64 - 25 - (self.groups - 1).bit_length())
+        return np.unique(self.codes >> np.uint64(shift)), shift
+
+    def candidates(self, masks: pa.Table) -> np.ndarray:
+        """The codes whose leading bits another group has too."""
+        coarse, shift = self.coarse()
+        return self.codes[marks_of(masks, coarse, shift, self.groups)[np.searchsorted(coarse, self.codes >> np.uint64(shift))]]
+
+    def lists(self, group: pa.Table, codes: np.ndarray, shift: int) -> pa.Table:
+        slices, edges = sliced(codes, shift, self.groups)
+        used = [n for n in range(slices) if edges[n] < edges[n + 1]]
+        first = {c: group.column(c)[0].as_py() for c in ("_host", "_group")}
+        return pa.table({"_host": pa.array([first["_host"]] * len(used), pa.string()), "_slice": pa.array(used, pa.int32()), "_group": pa.array([first["_group"]] * len(used), pa.int32()), "_codes": pa.array([packed(codes[edges[n] : edges[n + 1]]) for n in used], pa.binary())})
+
+    def repeated(self, elsewhere: np.ndarray) -> np.ndarray:
+        """For each block, whether all of it, min_run tokens at least, is a run of another page too."""
+        _, at = np.unique(self.block_hash, return_inverse=True)
+        low, high = np.full(len(at), len(self.words)), np.full(len(at), -1)
         np.minimum.at(low, at, self.owner)
         np.maximum.at(high, at, self.owner)
-        return (low < high)[at]
+        return ((low < high)[at] | np.isin(self.block_hash, elsewhere)) & self.long
 
     def texts(self, hits: list[np.ndarray], repeated: np.ndarray) -> list[str]:
         """The text of each page, by the runs that pages share and then by markup."""
@@ -230,7 +321,7 @@ def extract(pages: DataFrame, min_run: int = 5, group_pages: int = 1000, text: s
     kept = [c for c in pages.columns if c not in ("text", "n_chars") and (keep_text or c != text)]
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[^:/?#]*:?//(?:[^@/?#]*@)?([^:/?#]*)", 1))
     blank = F.coalesce(text, F.lit("")) == ""
-    keyed = pages.select(*pages.columns).withColumns({"_host": host, "_key": F.struct(F.xxhash64(text).alias("a"), F.sha2(F.coalesce(text, F.lit("")), 224).alias("b"))})
+    keyed = pages.select(*pages.columns).withColumns({"_host": host, "_key": F.struct(F.xxhash64(text).alias("a"), F.unhex(F.sha2(F.coalesce(text, F.lit("")), 224)).alias("b"))})
     # Only hosts of several groups are listed: a row for each group_pages pages at most, so that it may be broadcast.
     groups = pages.groupBy(host.alias("_host")).count().where(F.col("count") > group_pages).select("_host", F.ceil(F.col("count") / group_pages).cast("int").alias("_groups"))
     # Equal pages meet in a group; pages without markup have nothing to compare and go anywhere.
@@ -248,17 +339,44 @@ def extract(pages: DataFrame, min_run: int = 5, group_pages: int = 1000, text: s
                 seen.add(name)
             if len(seen) > MOST_SEEN:
                 seen.clear()
-            zones = pa.array([None if own is None else [z for z, _ in own] for own in found], pa.list_(pa.int32()))
-            blocks = pa.array([None if own is None else [t for _, t in own] for own in found], pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in carried] + [zones, blocks], names=[*carried, "_zones", "_blocks"])
+            # Block texts have no line breaks.
+            blocks = pa.array([None if own is None else "\n".join(f"{z}{t}" for z, t in own) for own in found], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in carried] + [blocks], names=[*carried, "_blocks"])
 
     fields = [dealt.schema[c] for c in carried]
-    parsed = dealt.select(*dict.fromkeys([*carried, text])).mapInArrow(cut, T.StructType(fields + [T.StructField("_zones", T.ArrayType(T.IntegerType())), T.StructField("_blocks", T.ArrayType(T.StringType()))]))
+    parsed = dealt.select(*dict.fromkeys([*carried, text])).mapInArrow(cut, T.StructType(fields + [T.StructField("_blocks", T.StringType())]))
+
+    def first(group: pa.Table) -> pa.Table:
+        if group.column("_groups")[0].as_py() == 1:
+            return NO_LISTS
+        own = Host(group, min_run)
+        own.hash()
+        return own.lists(group, *own.coarse())
+
+    def second(group: pa.Table, masks: pa.Table) -> pa.Table:
+        if not group.num_rows or not masks.num_rows:
+            return NO_LISTS.append_column("_coarse", pa.array([], pa.binary()))
+        own = Host(group, min_run)
+        own.hash()
+        out = own.lists(group, own.candidates(masks), 0)
+        return out.append_column("_coarse", pa.array([packed_rows(masks)] + [None] * (out.num_rows - 1) if out.num_rows else [], pa.binary()))
 
-    def strip(group: pa.Table) -> pa.Table:
+    def strip(group: pa.Table, masks: pa.Table) -> pa.Table:
         own = Host(group, min_run)
-        texts = own.texts(covered(own.streams, min_run), own.repeated())
+        own.hash()
+        elsewhere = np.zeros(0, np.uint64)
+        if masks.num_rows:
+            found = own.candidates(rows_of(next(b for b in masks.column("_coarse").to_pylist() if b is not None)))
+            elsewhere = found[marks_of(masks, found, 0, own.groups)]
+        hits = covered(own.streams, min_run, own.runs[np.isin(own.run_hash, elsewhere)], own.ids)
+        texts = own.texts(hits, own.repeated(elsewhere))
         return group.select(kept).append_column("text", pa.array([texts[own.page[k]] for k in own.keys], pa.string()))
 
-    out = parsed.groupBy("_host", "_group").applyInArrow(strip, T.StructType([pages.schema[c] for c in kept] + [T.StructField("text", T.StringType())]))
+    # What a host's groups share: first by leading bits of hashes, then by the whole hashes of those that met.
+    lists = "_host string, _slice int, _group int, _codes binary"
+    pages_of = parsed.groupBy("_host", "_group")
+    near = pages_of.applyInArrow(first, lists).groupBy("_host", "_slice").applyInArrow(meet, lists.replace("_codes", "_mask"))
+    exact = pages_of.cogroup(near.groupBy("_host", "_group")).applyInArrow(second, lists + ", _coarse binary")
+    shared = exact.groupBy("_host", "_slice").applyInArrow(meet, "_host string, _slice int, _group int, _coarse binary, _mask binary")
+    out = pages_of.cogroup(shared.groupBy("_host", "_group")).applyInArrow(strip, T.StructType([pages.schema[c] for c in kept] + [T.StructField("text", T.StringType())]))
     return out.select(*kept, "text", F.length("text").cast("long").alias("n_chars"))

@@ -1,5 +1,7 @@
 """Language, quality and toxicity models, and page extraction, on the small tables and on edge cases."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,3 +88,17 @@ def test_articles_meet_the_suffix_array(spark):
     for i, w in enumerate("xy"):  # the lead stands outside the article; notice and footer are on both pages
         assert got[i] == f"Lead of page {w}\nStory {w} {w}a {w}b {w}c {w}d {w}e {w}f {w}g {w}h {w}i {w}j"
     assert got[2] == got[3] == f"{copied}\n{notice}"  # a copy of an article is no boilerplate
+
+
+def test_groups_of_a_host_change_nothing(spark):
+    rng = random.Random(5)
+    own = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    html = [f"<div>{own(9)}</div><div>{own(7)}</div>" for _ in range(60)]
+    for n in range(12):  # each notice is on two pages only
+        for i in (n, 59 - n):
+            html[i] += f"<p>Notice number {n} of this very site</p>"
+    html += [f"<article><p>{own(30)}</p><p>Article line {n // 2} stands on two pages</p></article>" for n in range(24)] + html[:1]
+    pages = spark.createDataFrame([(i, "http://h.i/", h) for i, h in enumerate(html)], "page_id long, url string, html string")
+    one, many = ({r.page_id: r.text for r in htmltext.extract(pages, group_pages=g, keep_text=False).collect()} for g in (1000, 2))
+    assert one == many and len(one) == len(html)
+    assert not any("Notice" in t or "Article line" in t for t in many.values())
