@@ -16,7 +16,8 @@ different groups share, by their hashes: each group lists those of its runs in s
 another group has it, by a few leading bits first and by all 64 for what is left. So the number of groups doesn't
 change the result.
 
-Cases: null or empty html gives the empty text. Unclosed elements end with the page. Equal pages count as one
+Cases: null or empty html gives the empty text. Elements whose end tags may be left out end as in HTML, other
+unclosed ones with the element around them or the page. Equal pages count as one
 page when runs are compared; equal rows are kept as often as they come. A url without a host is a host of its own.
 Extra columns are kept, other than text and n_chars.
 """
@@ -45,6 +46,16 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 MARKS = set("ad ads advert adverts advertisement advertising banner sponsor sponsored promo cookie cookies consent gdpr notice notification newsletter subscribe subscription signup login popup modal overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead share sharing social related recommended comment comments commentlist disqus replies respond widget toolbar pagination pager".split())
 
+#: Words of layout that may stand beside a mark in a class or id, and elements that hold the content whatever these say.
+LAYOUT = set("area bar block box button buttons container bottom desktop first fixed footer foot global group head header holder icon icons inner item items js last left link links list main menu middle mobile module outer page panel posts primary right row secondary section site slot sticky top unit wrap wrapper zone".split())
+CONTENT = set("html body main article".split())
+_LISTS, _TABLES = {"ul", "ol", "menu"}, {"table"}
+#: Start tags that close elements whose end tags may be left out: which, and what bounds the search.
+CLOSES = {
+    "li": ({"li"}, _LISTS), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"optgroup"}), "optgroup": ({"option", "optgroup"}, set()),
+    "td": ({"td", "th"}, _TABLES | {"tr"}), "th": ({"td", "th"}, _TABLES | {"tr"}), "tr": ({"tr", "td", "th"}, _TABLES),
+} | {x: ({"tr", "td", "th", "thead", "tbody", "tfoot"}, _TABLES) for x in ("thead", "tbody", "tfoot")}
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 ARTICLE, CHROME_ZONE, OPEN = 0, 1, 2
@@ -52,29 +63,63 @@ ARTICLE, CHROME_ZONE, OPEN = 0, 1, 2
 MOST_SEEN = 100_000
 
 
+def describes(name: str) -> bool:
+    """True where a class or id says what an element is: of its words, one is a mark and the others are of layout."""
+    words = [w for w in re.split(r"[^a-z]+", name.lower()) if w]
+    return any(w in MARKS for w in words) and all(w in MARKS or w in LAYOUT for w in words)
+
+
 def marked(name: str, attributes: str) -> bool:
     """True where an element's name, role, class or id says that it isn't content."""
     if name in CHROME:
         return True
-    for kind, *value in _NAMES.findall(attributes) if attributes else ():
-        words = set(re.split(r"[^a-z]+", "".join(value).lower()))
-        if kind.lower() == "role" and words & ROLES or kind.lower() != "role" and words & MARKS:
+    for kind, *value in _NAMES.findall(attributes) if attributes and name not in CONTENT else ():
+        words = "".join(value).split()
+        if any(w.lower() in ROLES for w in words) if kind.lower() == "role" else any(describes(w) for w in words):
             return True
     return False
 
 
+def implied_end(stack: list[str], name: str) -> int:
+    """The depth at which the start tag of a block closes an element whose end tag was left out; the stack's size where it closes none."""
+    if stack and stack[-1] == "head":
+        return len(stack) - 1
+    if "p" in stack[-8:] and name != "button":  # a block ends the paragraph around it
+        for at in range(len(stack) - 1, -1, -1):
+            if stack[at] == "p":
+                return at
+            if stack[at] in BLOCKS or stack[at] in CHROME:
+                break
+    closes, bounds = CLOSES.get(name, ((), ()))
+    low = len(stack)
+    for at in range(len(stack) - 1, -1, -1) if closes else ():
+        if stack[at] in bounds:
+            break
+        if stack[at] in closes:
+            low = at
+    return low
+
+
 def blocks_of(page: str) -> list[tuple[int, str]]:
     """(zone, text) of each block in page order; character references are decoded and white space is one space."""
     out: list[tuple[int, str]] = []
     parts: list[str] = []
-    article, off, off_name = 0, 0, ""  # depth in articles; depth of same-named elements within one that is chrome
+    stack: list[str] = []  # open blocks and marked elements
+    held: dict[str, int] = {}  # how many of each name are open
+    off = -1  # the depth of the outermost element that is chrome
     at, raw = 0, ""
 
     def flush() -> None:
         text = " ".join("".join(parts).split())
         parts.clear()
         if text:
-            out.append((CHROME_ZONE if off else ARTICLE if article else OPEN, text))
+            out.append((CHROME_ZONE if off >= 0 else ARTICLE if held.get("article", 0) + held.get("main", 0) else OPEN, text))
+
+    def cut(depth: int) -> None:
+        nonlocal off
+        while len(stack) > depth:
+            held[stack.pop()] -= 1
+        off = -1 if off >= depth else off
 
     while at < len(page):
         if raw:  # up to the end tag, whatever stands there
@@ -98,26 +143,29 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
         if not closing and name in RAW:
             raw = "" if attributes.endswith("/") else name
             continue
-        if name in BLOCKS or name in CHROME:
+        block = name in BLOCKS or name in CHROME
+        if block:
             flush()
         if name in VOID:
             continue
-        if off:
-            if name == off_name:
-                off += -1 if closing else 1
-            elif name == "body" and off_name == "head":
-                off = 0
-            continue
         if closing:
-            if name in ("article", "main") and article:
-                article -= 1
+            if held.get(name) and name not in ("html", "body"):
+                depth = len(stack) - 1 - stack[::-1].index(name)
+                # The end of an inline element closes no block around it.
+                if block or not any(x in BLOCKS or x in CHROME for x in stack[depth + 1 :]):
+                    flush()
+                    cut(depth)
             continue
-        if marked(name, attributes) or name == "header" and not article:
-            if name not in BLOCKS:
-                flush()
-            off, off_name = 1, name
-        elif name in ("article", "main") or 'role="main"' in attributes and name == "div":
-            article += name in ("article", "main")
+        if block:
+            cut(implied_end(stack, name))
+        chrome = marked(name, attributes) or name == "header" and not held.get("article", 0) + held.get("main", 0)
+        if block or off < 0 and chrome or off >= 0 and held.get(name):
+            if chrome and off < 0:
+                if not block:
+                    flush()
+                off = len(stack)
+            stack.append(name)
+            held[name] = held.get(name, 0) + 1
     flush()
     return out
 

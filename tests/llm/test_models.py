@@ -102,3 +102,13 @@ def test_groups_of_a_host_change_nothing(spark):
     one, many = ({r.page_id: r.text for r in htmltext.extract(pages, group_pages=g, keep_text=False).collect()} for g in (1000, 2))
     assert one == many and len(one) == len(html)
     assert not any("Notice" in t or "Article line" in t for t in many.values())
+
+
+@pytest.mark.parametrize("html", [
+    '<body class="single has-sidebar"><p>Kept text</body>', '<main class="content no-comments"><p>Kept text</p></main>', '<article class="post comment-status-open sidebar" id="related">Kept text</article>',
+    '<p id="share-prices">Kept text</p>', '<h2 id="related-work">Kept text</h2>', '<p class="ad">gone<p>Kept text', '<ul><li class="menu">gone<li>Kept text</ul>', '<div><p class="ad">gone</div>Kept text',
+    '<table><tr><td class="ad">gone<td>Kept text</table>', '<table><tr class="ad-slot"><td>gone<tr><td>Kept text</table>', '<dl><dt class="promo">gone<dd>Kept text</dl>', '<div class="top-banner"><ul><li>gone<li>gone</ul></div>Kept text',
+    '<span class="ad">gone <b>gone</b></span>Kept text', '<nav><div>gone</div>gone</nav>Kept text', '<head><title>t</title><div>Kept text</div>', '<ul class="nav"><li>gone<ul><li>gone</ul>gone</ul><p>Kept text',
+])
+def test_marks_and_left_out_end_tags(html):
+    assert [t for z, t in htmltext.blocks_of(html) if z != htmltext.CHROME_ZONE] == ["Kept text"]
