@@ -97,9 +97,22 @@ def beneficial_owners(html: Column) -> Column:
     return F.coalesce(distinct_by(rows, lambda x: F.concat_ws("|", x["name"], x["shares"].cast("string"))), F.array().cast("array<struct<name:string,holder_type:string,shares:bigint,percent_of_class:double>>"))
 
 
+def compensation_place(html: Column) -> Column:
+    """0-based place of the first heading of the summary table with its column labels in the text of the next 6,000 characters; contents entries have none."""
+    heading = "summary compensation table"
+    parts = F.split(html, f"(?i){heading}")
+    ends = F.aggregate(F.slice(parts, 1, F.size(parts) - 1), F.array().cast("array<int>"), lambda acc, s: F.concat(acc, F.array((F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + F.length(s) + len(heading)).cast("int"))))
+
+    def labelled(end: Column) -> Column:
+        text = F.lower(strip_html(piece(html, end - len(heading), 6000), "cells"))
+        return F.contains(text, F.lit("salary")) & F.contains(text, F.lit("total"))
+
+    return F.try_element_at(F.filter(ends, labelled), F.lit(1)) - len(heading)
+
+
 def compensation_rows(html: Column) -> Column:
     """array<struct<name, fiscal_year, amounts>> of the summary table; a row without a name carries the last one on."""
-    place = at(F.lower(html), "summary compensation table")
+    place = compensation_place(html)
     rows = table_rows(piece(html, place, 40_000))
 
     def read(cells: Column) -> Column:
@@ -231,10 +244,10 @@ def selling_holders(html: Column) -> Column:
     place = first_of(F.lower(html), ["selling stockholder", "selling securityholder"])
 
     def read(cells: Column) -> Column:
-        name = F.try_element_at(cells, F.lit(1))
-        good = (F.size(F.split(name, r"\s+")).between(2, 8)) & (F.length(name) <= 70) & (F.length(F.regexp_replace(name, "[^A-Za-z]", "")) >= 5) & ~name.rlike(r"\d")
-        counts = F.filter(F.transform(F.slice(cells, 2, 100), money.share_count), lambda v: v >= 100)
-        return F.when(good & (F.size(counts) >= 2), F.struct(name.alias("holder_name"), counts[0].alias("shares_before"), counts[1].alias("shares_offered"), F.try_element_at(counts, F.lit(3)).alias("shares_after")))
+        good = lambda c: (F.size(F.split(c, r"\s+")).between(2, 8)) & (F.length(c) <= 70) & (F.length(F.regexp_replace(c, "[^A-Za-z]", "")) >= 5) & ~c.rlike(r"\d") & ~contains_any(F.lower(c), ["shares", "name of"])
+        name = F.try_element_at(F.filter(cells, good), F.lit(1))
+        counts = F.filter(F.transform(cells, money.share_count), lambda v: v >= 100)
+        return F.when(name.isNotNull() & (F.size(counts) >= 2), F.struct(name.alias("holder_name"), counts[0].alias("shares_before"), counts[1].alias("shares_offered"), F.try_element_at(counts, F.lit(3)).alias("shares_after")))
 
     return F.slice(F.filter(F.transform(table_rows(piece(html, place, 30_000)), read), lambda x: x.isNotNull()), 1, 60)
 

@@ -187,3 +187,16 @@ def test_registry_tables(spark):
     tx = got["insider_transaction"].orderBy("transaction_nid").collect()
     assert [r.transaction_nid for r in tx] == ["a-4-0-sale", "a-4-1-purchase"] and tx[0].source_url.endswith("/320193/a4/form4.xml") and tx[0].source_extracted_at == "now"
     assert [r.event_nid for r in got["corporate_event"].orderBy("event_nid").collect()] == ["a-8k-5.02", "a-8k-9.01"]
+
+
+def test_summary_table_is_found_by_its_labels(spark):
+    table = "<table><tr><th>Name</th><th>Year</th><th>Sal<b>ary</b> Salary</th><th>Total</th></tr><tr><td>Jane Q Doe</td><td>2023</td><td>$1,000</td><td>2,000</td></tr></table>"
+    docs = ["<p>SUMMARY Compensation Table 12</p>" + "<p>filler</p>" * 4000 + "<p>See the Summary Compensation Table.</p>" + "words " * 1100 + "<h2>Summary compensation table</h2>" + table, "<p>Summary Compensation Table</p>", table, None]
+    rows = spark.createDataFrame(list(enumerate(docs)), "id int, html string").select("id", F.explode(prose.compensation_rows(F.col("html"))).alias("x"))
+    assert [(r.id, r.x.name, r.x.fiscal_year, r.x.amounts) for r in rows.collect()] == [(0, "Jane Q Doe", 2023, [1000.0, 2000.0])]
+
+
+def test_selling_holder_behind_other_cells(spark):
+    html = "<h2>Selling Stockholders</h2><table><tr><td>Name of holder</td><td>5,000</td><td>6,000</td></tr><tr><td>1</td><td>*</td><td>River Stone Partners</td><td>2,500</td><td>1,000</td></tr></table>"
+    rows = spark.createDataFrame([(html,)], "html string").select(F.explode(prose.selling_holders(F.col("html"))).alias("x"))
+    assert [(r.x.holder_name, r.x.shares_before, r.x.shares_offered) for r in rows.collect()] == [("River Stone Partners", 2500.0, 1000.0)]
