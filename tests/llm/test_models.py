@@ -17,27 +17,43 @@ def test_language_held_out(spark):
 
 
 def test_language_cases(spark):
-    model = langid.Model({"en": ["the cat and the hat"], "de": ["der hund und die katze"]}, 1000)
-    docs = spark.createDataFrame([(1, "the hat"), (2, None), (3, ""), (4, "12 !"), (5, "und der hund" * 400), (6, "q" * 500)], "doc_id long, score string").withColumnRenamed("score", "text").withColumn("score", F.lit("old"))
+    model = langid.Model({"en": ["the cat and the hat"], "de": ["der hund und die katze"]})
+    docs = spark.createDataFrame([(1, "the hat"), (2, None), (3, ""), (4, "12 !"), (5, "und der hund" * 400), (6, "q" * 500), (7, "½ ²"), (8, "①②"), (9, "\u0301\u0301")], "doc_id long, score string").withColumnRenamed("score", "text").withColumn("score", F.lit("old"))
     got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(docs, model).collect()}
-    assert got[1][0] == "en" and got[5][0] == "de" and [got[i] for i in (2, 3, 4)] == [("und", 0.0)] * 3
+    assert got[1][0] == "en" and got[5][0] == "de" and [got[i] for i in (2, 3, 4, 7, 8, 9)] == [("und", 0.0)] * 6
     assert all(0 <= s <= 1 for _, s in got.values())
-    assert {r.lang_pred for r in langid.predict(docs, langid.Model({}, 10)).collect()} == {"und"}
+    assert {r.lang_pred for r in langid.predict(docs, langid.Model({})).collect()} == {"und"}
     assert langid.predict(docs.limit(0), model).count() == 0
 
 
-def test_phrases_by_hand():
-    model = langid.Model({"x": ["abab", "bc"]}, 1000)
-
-    def count(word):
-        text, s, n = " abab bc ", f" {word} ", 0
-        while s:
-            k = max((k for k in range(1, len(s) + 1) if s[:k] in text), default=1)
-            s, n = s[k:], n + 1
+@pytest.mark.parametrize("dense", [langid.DENSE, 0])
+def test_whole_texts_by_hand(monkeypatch, dense):
+    def count(text, sample):
+        n = 0
+        while text:
+            k = 1
+            while k < len(text) and text[: k + 1] in sample:
+                k += 1
+            text, n = text[k:], n + 1
         return n
 
-    for w in ("ab", "abab", "ba", "bcab", "zz", "abz", "c"):
-        assert model.parse([w])[0, 0] == count(w), w
+    monkeypatch.setattr(langid, "DENSE", dense)
+    rng = random.Random(1)
+    for _ in range(40):
+        sample = "".join(rng.choice("ab cé") for _ in range(rng.choice([0, 1, 5, 60, 300])))
+        words = [["".join(rng.choice("abcdé") for _ in range(rng.randint(1, 9))) for _ in range(rng.randint(0, 20))] for _ in range(6)] + [sample.split()]
+        want = [count(f" {' '.join(own)} ", sample) if own else 0 for own in words]
+        assert langid.counted([langid.SuffixAutomaton(sample)], words) == [want]
+
+
+def test_learning(spark):
+    rows = [(i, f"the cat number {'abcdefgh'[i % 8]} sat", "en") for i in range(30)] + [(40, "der hund " * 900, "de"), (41, None, "fr"), (42, "...", "fr"), (43, "le chat", None), (1, "the cat", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.learn(docs, max_docs=4, max_chars=50, max_letters=60)
+    assert model.langs == ["de", "en"]  # a language whose rows are all long is learned from one of them, whole
+    got = langid.predict(docs, model).where("lang is not null and text rlike '[a-z]'").collect()
+    assert all(r.lang_pred == r.lang and r.accepted for r in got)
+    assert langid.learn(docs.limit(0)).langs == []
 
 
 @pytest.mark.parametrize(("name", "label", "least"), [("op9_quality", "quality", 0.97), ("op2_toxicity", "toxic", 0.92)])
