@@ -18,7 +18,7 @@ from filigree.llm.common import Workspace, table
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in which a language is found."""
     found = langid.predict(docs, langid.learn(docs))
-    return found.where(langid.accepted(F.col("lang_pred"), F.col("rate"))).select(*docs.columns)
+    return found.where("accepted").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
