@@ -31,16 +31,22 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="filigree-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
 
 class Workspace:
-    """A folder for intermediate tables that lives as long as the session; each step's lineage is cut there."""
+    """A folder for intermediate tables, removed when the driver ends; each step's lineage is cut there."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
+        root = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(root)
+        system.deleteOnExit(root)
 
     def keep(self, df: DataFrame, name: str = "step") -> DataFrame:
         """Writes df and returns it as read back; a lost executor costs no earlier step."""
@@ -108,7 +114,7 @@ class Words:
 
     def __init__(self, texts: list[bytes], gap: np.ndarray):
         """gap: a table of 256 booleans, true for the bytes that stand between words; the line feed must be one."""
-        data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+        self.data = data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
         inside = ~gap[data]
         edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
         self.start, self.end = edge[::2], edge[1::2]

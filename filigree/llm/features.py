@@ -51,22 +51,54 @@ def shape_ngrams(texts: list[str | None], bits: int = 18) -> list[np.ndarray]:
     return out
 
 
-def word_ngrams(texts: list[str | None], bits: int = 20) -> list[np.ndarray]:
-    """Features of wording: lower-cased words of letters, and byte 4- and 5-grams of words with their edges."""
-    out = []
-    for t in texts:
-        data = np.frombuffer(b" " + (t or "").lower().encode("utf-8", "surrogatepass") + b" ", np.uint8)
-        gap = NOT_LETTER[data]
-        flat = np.where(gap, np.uint8(32), data)
-        flat = flat[~(gap & np.concatenate([[False], gap[:-1]]))]  # one space for each run of other bytes
-        words = Words([flat.tobytes()], NOT_LETTER)
-        grams = []
-        edge = flat == 32
-        for n in (4, 5):  # a gram lies within one word: a space may stand at its ends only
+class WordGrams:
+    """The distinct words of each of some texts, and hashed n-grams of each distinct word.
+
+    text[i] has word[i], each pair once; gram[k] is an n-gram of word owner[k]: the whole lower-cased word of letters, and
+    the byte 4- and 5-grams of the word between two spaces. A word is hashed once however often the texts have it.
+    """
+
+    def __init__(self, texts: list[str | None], bits: int = 20):
+        words = Words([(t or "").lower().encode("utf-8", "surrogatepass") for t in texts], NOT_LETTER)
+        hashes, first, number = np.unique(words.hash, return_index=True, return_inverse=True)
+        self.n_texts, self.n_words = len(texts), len(hashes)
+        self.text, self.word = np.divmod(np.unique(words.text * max(self.n_words, 1) + number), max(self.n_words, 1))
+        # The distinct words, a space before each and one after the last.
+        start, size = words.start[first], words.end[first] - words.start[first]
+        begin = np.cumsum(size + 1) - size
+        flat = np.full(int((size + 1).sum()) + 1, 32, np.uint8)
+        at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        flat[np.repeat(begin, size) + at] = words.data[np.repeat(start, size) + at]
+        edge, of = flat == 32, np.repeat(np.arange(self.n_words), size + 1)
+        grams, owners = [mix(hashes + np.uint64(77))], [np.arange(self.n_words)]
+        for n in (4, 5):
             h = _grams(flat, n, n)
             inner = np.zeros(len(h), bool)
             for i in range(1, n - 1):
                 inner |= edge[i : i + len(h)]
-            grams.append(h[~inner])
-        out.append(_distinct([mix(words.hash + np.uint64(77)), *grams], bits))
-    return out
+            whole = np.flatnonzero(~inner)
+            grams.append(h[whole])
+            owners.append(of[whole])
+        self.owner = np.concatenate(owners)
+        self.gram = (np.concatenate(grams) >> np.uint64(64 - bits)).astype(np.int64)
+
+    def sums(self, weights: np.ndarray) -> np.ndarray:
+        """For each text the weights of its words' n-grams, added up."""
+        each = np.bincount(self.owner, weights[self.gram], self.n_words)
+        return np.bincount(self.text, each[self.word], self.n_texts)
+
+    def counts(self, texts: np.ndarray, bits: int) -> np.ndarray:
+        """How often each n-gram stands in the distinct words of the chosen texts."""
+        times = np.bincount(self.word[texts[self.text]], minlength=self.n_words)
+        return np.bincount(self.gram, times[self.owner], 1 << bits).astype(np.int64)
+
+    def of_texts(self) -> list[np.ndarray]:
+        """The n-grams of each text's distinct words; one that stands in several words comes several times."""
+        order = np.argsort(self.owner, kind="stable")
+        gram = self.gram[order]
+        size = np.bincount(self.owner, minlength=self.n_words)
+        begin = np.cumsum(size) - size
+        times = size[self.word]
+        flat = gram[np.repeat(begin[self.word] - np.cumsum(times) + times, times) + np.arange(int(times.sum()))]
+        ends = np.cumsum(np.bincount(self.text, times, self.n_texts).astype(np.int64))
+        return np.split(flat, ends[:-1]) if self.n_texts else []

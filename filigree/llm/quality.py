@@ -7,17 +7,18 @@ coordinate descent on a bounded sample of labelled rows. The model is interpolat
 A logistic curve through the sample's margins turns a margin into a score; it is placed so that the score's
 threshold balances both classes' errors.
 
-Bounds: the model has 2 ** bits weights; the fit takes the max_rows labelled rows with the smallest id hashes.
-Counts cover all labelled rows, scores all texts.
+Bounds: the model has 2 ** bits weights; the fit takes the max_rows labelled rows with the smallest id hashes among those
+of at most max_chars characters. Tasks compute their features; only these reach the driver. Counts cover all labelled rows,
+scores all texts.
 
 Cases: null and empty texts have no n-grams and get the score of the bias. With labels of one class only, or none,
 every score is that class's share (0.5 without labels). Labels whose document is missing are ignored. Repeated
-labels count as often as they come. Extra columns are kept, other than score.
+labels count as often as they come; in the sample an id comes once. Extra columns are kept, other than score.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +32,15 @@ from filigree.llm.features import shape_ngrams
 BITS = 18
 
 
-def class_counts(rows: DataFrame, features, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """How many rows of each label (0, 1) there are, and for each n-gram how many of them have it: 2 x 2 ** bits, summed by Spark."""
+def summed(rows: DataFrame, count: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """count's results (rows of each label; 2 x 2 ** bits counts) over the text and label of all rows, summed by Spark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, (1 << bits) + 1), np.int64)
         for batch in by_size(batches, "text"):
-            for label, f in zip(batch.column("label").to_pylist(), features(batch.column("text").to_pylist(), bits)):
-                sums[label, f] += 1
-                sums[label, -1] += 1
+            totals, counts = count(batch)
+            sums[:, -1] += totals
+            sums[:, :-1] += counts
         label, gram = np.nonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), pa.array(gram, pa.int32()), pa.array(sums[label, gram])], names=["label", "gram", "n"])
 
@@ -50,6 +51,18 @@ def class_counts(rows: DataFrame, features, bits: int) -> tuple[np.ndarray, np.n
     return out[:, -1], out[:, :-1]
 
 
+def class_counts(rows: DataFrame, features, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many rows of each label (0, 1) there are, and for each n-gram how many of them have it."""
+
+    def count(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        label = np.array(batch.column("label").to_pylist(), np.int64)
+        own = features(batch.column("text").to_pylist(), bits)
+        each = [[f for f, k in zip(own, label.tolist()) if k == which] for which in (0, 1)]
+        return np.bincount(label, minlength=2), np.stack([np.bincount(np.concatenate(x), minlength=1 << bits) if x else np.zeros(1 << bits, np.int64) for x in each])
+
+    return summed(rows, count, bits)
+
+
 def dual_coordinate_descent(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, size: int, cost: np.ndarray, passes: int = 12, seed: int = 3) -> np.ndarray:
     """Weights (the last is the bias) of a linear model with hinge loss: each dual variable in turn moves to its best value within 0..cost."""
     w, alpha = np.zeros(size + 1), np.zeros(len(y))
@@ -91,18 +104,25 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.margins(features) + self.offset, -30, 30)))
 
 
-def sample_rows(rows: DataFrame, most: int) -> list[tuple[str | None, int]]:
-    """The (text, label) rows with the smallest id hashes, most at the most."""
+def sample_features(rows: DataFrame, features: Callable[[list], list[np.ndarray]], most: int) -> list[tuple[np.ndarray, int]]:
+    """(features, label) of the rows with the smallest id hashes, one for each id and most at the most; tasks compute the features."""
     key = F.xxhash64(F.col("doc_id").cast("string"))
     # The threshold hash comes from ids alone, so that texts beyond the sample aren't sorted.
-    edge = rows.select(key.alias("h")).orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    edge = rows.select(key.alias("h")).distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
     if edge is None:
         return []
-    got = rows.where(key <= edge).select(key.alias("h"), "text", "label").toArrow().to_pylist()
-    return [(r["text"], int(r["label"])) for r in sorted(got, key=lambda r: (r["h"], r["text"] or ""))[:most]]
+    chosen = rows.where(key <= edge).groupBy(key.alias("h")).agg(F.min(F.struct("text", "label")).alias("x")).select("h", "x.text", F.col("x.label").cast("int").alias("label"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_size(batches, "text"):
+            found = [f.astype(np.int32) for f in features(batch.column("text").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("label"), pa.array(found, pa.list_(pa.int32()))], names=["h", "label", "f"])
+
+    got = chosen.mapInArrow(run, "h bigint, label int, f array<int>").toArrow().sort_by("h")
+    return [(np.asarray(f.values.to_numpy(), np.int64), int(label)) for f, label in zip(got["f"], got["label"].to_pylist())]
 
 
-def learn(rows: DataFrame, bits: int = BITS, max_rows: int = 3000, threshold: float = 0.3, smooth: float = 1.0, mix_in: float = 0.9, cost: float = 1.0) -> Model:
+def learn(rows: DataFrame, bits: int = BITS, max_rows: int = 3000, max_chars: int = 20_000, threshold: float = 0.3, smooth: float = 1.0, mix_in: float = 0.9, cost: float = 1.0) -> Model:
     """A model from (doc_id, text, label) rows, label 1 for good texts; threshold is the score from which a text counts as good."""
     totals, counts = class_counts(rows, shape_ngrams, bits)
     if not totals.all():
@@ -112,8 +132,11 @@ def learn(rows: DataFrame, bits: int = BITS, max_rows: int = 3000, threshold: fl
     p, q = smooth + counts[1], smooth + counts[0]
     scale = np.log((p / p.sum()) / (q / q.sum()))
     scale[counts.sum(0) < 4] = 0  # an n-gram of a few texts tells little of others
-    sample = sample_rows(rows, max_rows)
-    features = [f for a in range(0, len(sample), 256) for f in shape_ngrams([t for t, _ in sample[a : a + 256]], bits)]
+    short = rows.where(F.coalesce(F.length("text"), F.lit(0)) <= max_chars)
+    sample = sample_features(short, lambda texts: shape_ngrams(texts, bits), max_rows)
+    if not sample:
+        return Model(bits, np.zeros((1 << bits) + 1), np.zeros(1 << bits), 1.0, float(np.log(totals[1] / totals[0])))
+    features = [f for f, _ in sample]
     y = np.array([1.0 if label else -1.0 for _, label in sample])
     values = [scale[f] / (np.sqrt(scale[f] @ scale[f]) or 1.0) for f in features]
 

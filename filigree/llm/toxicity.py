@@ -4,115 +4,161 @@ Only confirmed toxic texts are labelled; the rest is unlabelled text that holds
 prior. The risk of a classifier is estimated as prior x (loss of the positives as positive) plus (loss of the
 unlabelled as negative minus prior x loss of the positives as negative); the last bracket estimates the negatives'
 risk and may not fall below zero: where it does in a minibatch, the step goes the other way, which keeps a flexible
-model from calling every positive's neighbour negative. The classifier is linear over n-gram indicators, trained in
-numpy with minibatches.
+model from calling every positive's neighbour negative. The classifier is linear over the n-grams of a text's distinct
+words, trained in numpy with minibatches.
 
-Spark counts over all confirmed texts and all unlabelled texts how many have each n-gram; the max_grams n-grams
-whose presence tells most make the model's input. The fit itself takes bounded samples: max_positive and
-max_unlabelled rows with the smallest id hashes. Scores cover every text.
+Spark counts every n-gram over all confirmed and all unlabelled texts. From these counts each of the 2 ** bits n-grams
+gets a scale: the log of how much more often confirmed texts have it than clean ones would, shrunk where that may be
+chance. No n-gram is left out. Scaled rows are brought to length 1. The fit starts from the scales and takes bounded samples: max_positive and max_unlabelled
+rows with the smallest id hashes, among those of at most max_chars characters, whose n-grams are computed by tasks.
+N-grams that no sampled row has keep the factor that all began with. Scores cover every text.
 
 Cases: null and empty texts have no n-grams and get the score of the bias. Without confirmed texts every score is 0.
-Extra columns are kept, other than score. Equal texts get equal scores.
+Extra columns are kept, other than score. Equal texts get equal scores. Rows that share an id are one row of the samples,
+but count as often as they come.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filigree.llm import quality
-from filigree.llm.features import word_ngrams
+from filigree.llm.features import WordGrams
 
 BITS = 20
-#: Standard deviations above chance from which an n-gram counts as a sign.
-SURE = 5.0
+#: How many standard deviations above chance halve the distrust in an n-gram.
+SURE = 6.0
 
 
 class Model:
-    """A weight for each chosen n-gram, laid out over all hash values."""
+    """A weight for each n-gram, the squares of the scales that bring a text to length 1, and the bias."""
+
+    def __init__(self, bits: int, weights: np.ndarray, squares: np.ndarray, bias: float):
+        self.bits, self.weights, self.squares, self.bias = bits, weights.astype(np.float32), squares.astype(np.float32), bias
 
-    def __init__(self, bits: int, weights: np.ndarray, bias: float):
-        self.bits, self.weights, self.bias = bits, weights, bias
+    def scores(self, grams: WordGrams) -> np.ndarray:
+        return sigmoid(grams.sums(self.weights) / lengths(grams.sums(self.squares)) + self.bias)
 
-    def scores(self, features: list[np.ndarray]) -> np.ndarray:
-        z = np.array([self.weights[f].sum() for f in features], float) + self.bias
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+def lengths(squares: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum(squares, 1e-12))
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], size: int, prior: float, steps: int = 1500, batch: int = 256, rate: float = 0.05, decay: float = 1e-6, seed: int = 5) -> tuple[np.ndarray, float]:
-    """Weights and bias that make the non-negative risk small, with the sigmoid loss and Adam steps."""
+class Rows:
+    """Rows of feature numbers, set end to end."""
+
+    def __init__(self, rows: list[np.ndarray]):
+        self.flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+        self.sizes = np.array([len(r) for r in rows], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def sums(self, weights: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the rows at, the weights added up; their features; and which of them has each."""
+        sizes = self.sizes[at]
+        flat = self.flat[np.repeat(self.begins[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))]
+        owner = np.repeat(np.arange(len(at)), sizes)
+        return np.bincount(owner, weights[flat], len(at)), flat, owner
+
+
+def starting_bias(zp: np.ndarray, zu: np.ndarray, prior: float) -> float:
+    """The bias at which the non-negative risk of the margins, each error counted as one, is least."""
+    edges = np.unique(np.concatenate([zp, zu]))
+    cuts = np.concatenate([[edges[0] - 1], (edges[1:] + edges[:-1]) / 2, [edges[-1] + 1]])
+    missed = np.searchsorted(np.sort(zp), cuts) / len(zp)
+    taken = 1 - np.searchsorted(np.sort(zu), cuts) / len(zu)
+    risk = prior * missed + np.maximum(taken - prior * (1 - missed), 0)
+    best = np.flatnonzero(risk <= risk.min() + 1e-12)
+    return -float((cuts[best[0]] + cuts[best[-1]]) / 2)
+
+
+def fit_nnpu(positive: Rows, unlabelled: Rows, scale: np.ndarray, prior: float, steps: int = 500, batch: int = 64, rate: float = 0.03, decay: float = 1e-4, seed: int = 5) -> tuple[np.ndarray, float, float]:
+    """Factors of the scales, bias and the factor of features without a row, that make the non-negative risk small; sigmoid loss, Adam steps."""
     rng = np.random.default_rng(seed)
-    w, m, v, t = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1), 0
-    # A first slope to stand on: zero weights give every text the same loss.
-    w[size] = -1.0
-
-    def margin(rows: list[np.ndarray]) -> np.ndarray:
-        return np.array([w[f].sum() for f in rows]) + w[size]
-
-    def gradient(rows: list[np.ndarray], each: np.ndarray) -> np.ndarray:
-        g = np.zeros(size + 1)
-        if rows:
-            np.add.at(g, np.concatenate(rows), np.repeat(each, [len(f) for f in rows]))
-        g[size] += each.sum()
-        return g
-
-    def draws(rows: list[np.ndarray], n: int):
-        """Minibatches of n rows, each row once before any comes again."""
+    size = len(scale)
+    every_p, every_u = np.arange(len(positive)), np.arange(len(unlabelled))
+    lp, lu = (lengths(rows.sums(scale**2, at)[0]) for rows, at in ((positive, every_p), (unlabelled, every_u)))
+    zp, zu = positive.sums(scale, every_p)[0] / lp, unlabelled.sums(scale, every_u)[0] / lu
+    start = 2 / max(float(zu.std()), 1e-6)  # so that texts begin some units apart
+    w, m, v = np.full(size + 1, start), np.zeros(size + 1), np.zeros(size + 1)
+    w[size] = starting_bias(start * zp, start * zu, prior)
+
+    def draws(n_rows: int, n: int) -> Iterator[np.ndarray]:
+        """Minibatches of n row numbers, each row once before any comes again."""
         order = np.zeros(0, np.int64)
         while True:
             while len(order) < n:
-                order = np.concatenate([order, rng.permutation(len(rows))])
-            yield [rows[i] for i in order[:n]]
+                order = np.concatenate([order, rng.permutation(n_rows)])
+            yield order[:n]
             order = order[n:]
 
-    some_p, some_u = draws(positive, min(batch, len(positive))), draws(unlabelled, min(4 * batch, len(unlabelled)))
-    for p, u, _ in zip(some_p, some_u, range(steps)):
-        zp, zu = margin(p), margin(u)
+    some_p, some_u = draws(len(positive), min(batch, len(positive))), draws(len(unlabelled), min(4 * batch, len(unlabelled)))
+    for t, p, u in zip(range(1, steps + 1), some_p, some_u):
+        own = w[:size] * scale
+        (zp, fp, op), (zu, fu, ou) = positive.sums(own, p), unlabelled.sums(own, u)
         # loss as positive: sigmoid(-z); as negative: sigmoid(z)
-        dp, du = sigmoid(zp) * (1 - sigmoid(zp)), sigmoid(zu) * (1 - sigmoid(zu))
-        rest = sigmoid(zu).mean() - prior * sigmoid(zp).mean()
-        g_rest = gradient(u, du / len(u)) - prior * gradient(p, dp / len(p))
-        g = -prior * gradient(p, dp / len(p)) + g_rest if rest >= 0 else -g_rest
-        g[:size] += decay * w[:size]
-        t += 1
+        sp, su = sigmoid(zp / lp[p] + w[size]), sigmoid(zu / lu[u] + w[size])
+        dp, du = prior * sp * (1 - sp) / len(p), su * (1 - su) / len(u)
+        if su.mean() - prior * sp.mean() >= 0:
+            dp = -2 * dp
+        else:
+            du = -du
+        g = np.append((np.bincount(fp, (dp / lp[p])[op], size) + np.bincount(fu, (du / lu[u])[ou], size)) * scale, dp.sum() + du.sum())
+        g[:size] += decay * (w[:size] - start)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return w[:size], float(w[size])
+        w -= rate * start * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
+    return w[:size], float(w[size]), start
+
+
+def word_counts(rows: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many rows of each label (0, 1) there are, and for each n-gram in how many distinct words of them it stands, summed by Spark."""
+
+    def count(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        grams, label = WordGrams(batch.column("text").to_pylist(), bits), np.array(batch.column("label").to_pylist())
+        return np.bincount(label, minlength=2), np.stack([grams.counts(label == k, bits) for k in (0, 1)])
+
+    return quality.summed(rows, count, bits)
 
 
-def learn(positive: DataFrame, unlabelled: DataFrame, prior: float, bits: int = BITS, max_grams: int = 800, max_positive: int = 2000, max_unlabelled: int = 8000) -> Model:
+def learn(positive: DataFrame, unlabelled: DataFrame, prior: float, bits: int = BITS, max_positive: int = 2000, max_unlabelled: int = 6000, max_chars: int = 10_000) -> Model:
     """A model from confirmed (doc_id, text) rows, unlabelled (doc_id, text) rows and the share of toxic texts among the latter."""
     rows = positive.select("doc_id", "text", F.lit(1).alias("label")).unionByName(unlabelled.select("doc_id", "text", F.lit(0).alias("label")))
-    totals, counts = quality.class_counts(rows, word_ngrams, bits)
-    weights = np.zeros(1 << bits)
+    totals, counts = word_counts(rows, bits)
     if not totals.all() or prior <= 0:
-        return Model(bits, weights, -30.0 if not totals[1] else 0.0)
+        return Model(bits, np.zeros(1 << bits), np.zeros(1 << bits), -30.0 if not totals[1] else 0.0)
     p, u = counts[1] / totals[1], counts[0] / totals[0]
-    # What the negatives would have, were the unlabelled cleared of their toxic share.
-    clean = np.maximum(u - prior * p, 0) / max(1 - prior, 1e-9)
-    # A gram must occur far more often in confirmed texts than chance would have it in as many clean ones.
-    chance = clean * totals[1]
-    gain = np.where(counts[1] - chance >= SURE * np.sqrt(chance + 0.5), (p - clean) * np.log((p + 1e-4) / (clean + 1e-4)), 0)
-    chosen = np.sort(np.argsort(-gain, kind="stable")[:max_grams])
-    chosen = chosen[gain[chosen] > 0]
-    where = np.full(1 << bits, -1, np.int32)
-    where[chosen] = np.arange(len(chosen))
+    # How often the confirmed texts would have it, were they clean: the unlabelled cleared of their toxic share.
+    chance = np.maximum(u - prior * p, 0) / max(1 - prior, 1e-9) * totals[1]
+    sure = (counts[1] - chance) ** 2 / (chance + 0.5)
+    scale = np.log((counts[1] + 1) / (chance + 1)) * sure / (sure + SURE**2)
 
     def features(df: DataFrame, most: int) -> list[np.ndarray]:
-        got = quality.sample_rows(df.select("doc_id", "text", F.lit(0).alias("label")), most)
-        found = [f for a in range(0, len(got), 128) for f in word_ngrams([t for t, _ in got[a : a + 128]], bits)]
-        return [where[f][where[f] >= 0] for f in found]
+        short = df.where(F.coalesce(F.length("text"), F.lit(0)) <= max_chars)
+        return [f for f, _ in quality.sample_features(short.withColumn("label", F.lit(0)), lambda texts: WordGrams(texts, bits).of_texts(), most)]
 
-    w, bias = fit_nnpu(features(positive, max_positive), features(unlabelled, max_unlabelled), len(chosen), prior)
-    weights[chosen] = w
-    return Model(bits, weights, bias)
+    some_p, some_u = features(positive, max_positive), features(unlabelled, max_unlabelled)
+    if not some_p or not some_u:
+        some_p, some_u = some_p or [np.zeros(0, np.int64)], some_u or [np.zeros(0, np.int64)]
+    met = np.unique(np.concatenate([*some_p, *some_u]))
+    where = np.zeros(1 << bits, np.int64)
+    where[met] = np.arange(len(met))
+    w, bias, start = fit_nnpu(Rows([where[f] for f in some_p]), Rows([where[f] for f in some_u]), scale[met], prior)
+    weights = start * scale
+    weights[met] = w * scale[met]
+    return Model(bits, weights, scale**2, bias)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """docs with score, 0 to 1."""
-    return quality.predict(docs, model, word_ngrams)
+    return quality.predict(docs, model, WordGrams)
