@@ -49,6 +49,7 @@ MARKS = set("ad ads advert adverts advertisement advertising banner sponsor spon
 #: Words of layout that may stand beside a mark in a class or id, and elements that hold the content whatever these say.
 LAYOUT = set("area bar block box button buttons container bottom desktop first fixed footer foot global group head header holder icon icons inner item items js last left link links list main menu middle mobile module outer page panel posts primary right row secondary section site slot sticky top unit wrap wrapper zone".split())
 CONTENT = set("html body main article".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 _LISTS, _TABLES = {"ul", "ol", "menu"}, {"table"}
 #: Start tags that close elements whose end tags may be left out: which, and what bounds the search.
 CLOSES = {
@@ -56,7 +57,9 @@ CLOSES = {
     "td": ({"td", "th"}, _TABLES | {"tr"}), "th": ({"td", "th"}, _TABLES | {"tr"}), "tr": ({"tr", "td", "th"}, _TABLES),
 } | {x: ({"tr", "td", "th", "thead", "tbody", "tfoot"}, _TABLES) for x in ("thead", "tbody", "tfoot")}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
+#: A comment, a tag, or another mark; each also ends with the page, so that no place is looked at from two starts. Quotes
+#: hold a value only behind an equals sign.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]|=\s*+(?:\"[^\"]*+\"|'[^']*+')?)*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)", re.S)
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 ARTICLE, CHROME_ZONE, OPEN = 0, 1, 2
 #: So many page keys are remembered by a task that parses pages, so that equal ones are sent once.
@@ -74,13 +77,15 @@ def marked(name: str, attributes: str) -> bool:
     if name in CHROME:
         return True
     for kind, *value in _NAMES.findall(attributes) if attributes and name not in CONTENT else ():
+        if kind.lower() == "id" and name in HEADINGS:  # headings have ids to be linked to
+            continue
         words = "".join(value).split()
         if any(w.lower() in ROLES for w in words) if kind.lower() == "role" else any(describes(w) for w in words):
             return True
     return False
 
 
-def implied_end(stack: list[str], name: str) -> int:
+def implied_end(stack: list[str], held: dict[str, int], name: str) -> int:
     """The depth at which the start tag of a block closes an element whose end tag was left out; the stack's size where it closes none."""
     if stack and stack[-1] == "head":
         return len(stack) - 1
@@ -92,11 +97,13 @@ def implied_end(stack: list[str], name: str) -> int:
                 break
     closes, bounds = CLOSES.get(name, ((), ()))
     low = len(stack)
-    for at in range(len(stack) - 1, -1, -1) if closes else ():
-        if stack[at] in bounds:
-            break
+    if not any(held.get(x) for x in closes):
+        return low
+    for at in range(len(stack) - 1, -1, -1):
         if stack[at] in closes:
             low = at
+        elif stack[at] in bounds or low < len(stack):
+            break
     return low
 
 
@@ -123,7 +130,7 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
 
     while at < len(page):
         if raw:  # up to the end tag, whatever stands there
-            m = re.compile(rf"</{re.escape(raw)}\b[^>]*>", re.I).search(page, at)
+            m = re.compile(rf"</{re.escape(raw)}\b[^>]*+(?:>|\Z)", re.I).search(page, at)
             at, raw = (m.end() if m else len(page)), ""
             continue
         m = _TOKEN.search(page, at)
@@ -150,14 +157,14 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
             continue
         if closing:
             if held.get(name) and name not in ("html", "body"):
-                depth = len(stack) - 1 - stack[::-1].index(name)
+                depth = next(at for at in range(len(stack) - 1, -1, -1) if stack[at] == name)
                 # The end of an inline element closes no block around it.
                 if block or not any(x in BLOCKS or x in CHROME for x in stack[depth + 1 :]):
                     flush()
                     cut(depth)
             continue
         if block:
-            cut(implied_end(stack, name))
+            cut(implied_end(stack, held, name))
         chrome = marked(name, attributes) or name == "header" and not held.get("article", 0) + held.get("main", 0)
         if block or off < 0 and chrome or off >= 0 and held.get(name):
             if chrome and off < 0:

@@ -1,11 +1,13 @@
 """Language, quality and toxicity models, and page extraction, on the small tables and on edge cases."""
 
 import random
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from filigree.llm import htmltext, langid, quality, toxicity
+from filigree.llm import features, htmltext, langid, quality, toxicity
 from filigree.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -56,16 +58,45 @@ def test_learning(spark):
     assert langid.learn(docs.limit(0)).langs == []
 
 
-@pytest.mark.parametrize(("name", "label", "least"), [("op9_quality", "quality", 0.97), ("op2_toxicity", "toxic", 0.92)])
-def test_classifiers_held_out(spark, name, label, least):
-    out = QUERIES[name](spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("held_out")
-    assert out.agg(F.avg((F.col("predicted") == F.col(label)).cast("int"))).first()[0] >= least
+def held_out(spark, name, label):
+    """(recall of label 1, false alarms among label 0, area under the curve) on held-out rows."""
+    rows = QUERIES[name](spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("held_out").select(label, "predicted", "score").collect()
+    ones, zeros = [r for r in rows if r[label] == 1], [r for r in rows if r[label] == 0]
+    area = sum((a.score > b.score) + (a.score == b.score) / 2 for a in ones for b in zeros) / (len(ones) * len(zeros))
+    return sum(r.predicted for r in ones) / len(ones), sum(r.predicted for r in zeros) / len(zeros), area
+
+
+def test_quality_held_out(spark):
+    recall, alarms, area = held_out(spark, "op9_quality", "quality")
+    assert recall >= 0.97 and alarms <= 0.03 and area >= 0.99
+
+
+def test_toxicity_held_out(spark):
+    recall, alarms, area = held_out(spark, "op2_toxicity", "toxic")  # 41 confirmed texts, 6 held out
+    assert recall >= 0.6 and alarms <= 0.03 and area >= 0.95
+
+
+def test_word_grams_against_plain_python():
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("ab é1.") for _ in range(rng.randint(0, 80))) for _ in range(30)] + [None, "", "...", "İİ ab ab"]
+    grams = features.WordGrams(texts, 20)
+    one = lambda w: features.WordGrams([w], 20).gram.tolist()
+    words = lambda t: set("".join(c if c.isalpha() or ord(c) >= 128 else " " for c in (t or "").lower()).split())
+    for text, own in zip(texts, grams.of_texts()):
+        assert sorted(own.tolist()) == sorted(g for w in words(text) for g in one(w))
+    weights = np.arange(1 << 20, dtype=float)
+    assert grams.sums(weights).tolist() == [float(sum(own.tolist())) for own in grams.of_texts()]
+    assert grams.counts(np.ones(len(texts), bool), 20).sum() == sum(map(len, grams.of_texts()))
 
 
 def test_classifier_cases(spark):
     rows = spark.createDataFrame([(1, "good words here", 1), (2, None, 1), (3, "", 1)], "doc_id long, text string, label int")
     model = quality.learn(rows)  # one class only
     assert all(r.score > 0.99 for r in quality.predict(rows, model).collect())
+    assert quality.predict(rows.limit(0), model).count() == 0
+    twice = rows.unionByName(spark.createDataFrame([(1, "good words here", 1), (9, "bad " * 3000, 0), (None, "bad", 0)], rows.schema)).withColumn("score", F.lit("old"))
+    for made in (quality.predict(twice, quality.learn(twice, max_chars=100)), toxicity.predict(twice, toxicity.learn(twice.where("label = 0"), twice, 0.3, max_chars=100))):
+        assert made.columns == ["doc_id", "text", "label", "score"] and all(0 <= r.score <= 1 for r in made.collect()) and made.count() == 6
     empty = rows.limit(0)
     assert [r.score for r in quality.predict(rows, quality.learn(empty)).select("score").distinct().collect()] == [0.5]
     assert {r.score < 1e-6 for r in toxicity.predict(rows, toxicity.learn(empty, rows, 0.1)).collect()} == {True}
@@ -128,3 +159,22 @@ def test_groups_of_a_host_change_nothing(spark):
 ])
 def test_marks_and_left_out_end_tags(html):
     assert [t for z, t in htmltext.blocks_of(html) if z != htmltext.CHROME_ZONE] == ["Kept text"]
+
+
+@pytest.mark.parametrize("html", ['<a "' * 250_000, "<a " * 300_000, '<a =">"' * 140_000, "<div>x" * 90_000 + "</div>" * 90_000, "<div><li>" * 110_000, "<td>" + "<div>" * 100_000 + "<td></td>" * 50_000, "<script>" + "</script " * 100_000, "<a ='" * 200_000])
+def test_long_broken_pages_take_no_time(html):
+    began = time.process_time()
+    htmltext.blocks_of(html)
+    assert time.process_time() - began < 8
+
+
+def test_equal_pages_on_two_hosts(spark):
+    html = "<div>This line stands on two pages here</div><p>Own text</p>"
+    other = "<div>This line stands on two pages here</div><p>Else</p>"
+    pages = spark.createDataFrame([(1, "http://a/1", html), (2, "http://b/1", html), (3, "http://a/2", other)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in htmltext.extract(pages).collect()}
+    assert got == {1: "Own text", 2: "This line stands on two pages here\nOwn text", 3: "Else"}
+
+
+def test_quotes_hold_values_only():
+    assert htmltext.blocks_of('<p>a<a href="x>y">b</a> <a title=">">c</a> <a ">d</a> 1 < 2<h2 id="notice">N</h2>') == [(2, "ab c d 1 < 2"), (2, "N")]
