@@ -14,8 +14,9 @@ first cut down, without losing a repeat, to the places where repeats can begin:
    one hash that outgrow a task are compared window by window, by a shuffle on the windows themselves.
 
 A text that occurs more than once is removed whole, and one of its copies stands for it above. Anchor hashes that repeat,
-and the places that stand for a stretch, are told to the scans by three bitmaps of fixed size (8 MB each); a bit set by
-chance costs a row, not a result. Hashes of stretches have 64 bits; windows of step 3 are told apart by their sorted bytes.
+and the places that stand for a stretch, are told to the scans by three bitmaps, of 16 bits for each such hash up to MOST_BITS
+in all (32 MB); a bit set by chance costs a row, not a result. A stretch is known by its anchor hash and a 64-bit BLAKE2 digest
+of its bytes together, 128 bits; windows of step 3 are compared by their bytes.
 
 Cases: a null text counts as empty. Texts under 200 bytes keep all their bytes. Rows that share an id are told apart by
 their texts; equal rows are copies of each other. Extra columns are kept, other than n_bytes, removed and kept. Matches
@@ -24,6 +25,7 @@ never cross documents. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from filigree.llm.common import Workspace, broadcast_if, by_size, mix, powers
 
 LENGTH, ANCHOR = 200, 100
-BITS = 26
+LEAST_BITS, MOST_BITS = 20, 28
 #: A group of stretches holds about so many bytes; a hash with more stretches than MOST_STRETCHES is compared by shuffle.
 GROUP_BYTES, MOST_STRETCHES = 600_000, 1_500
 _BASE = 0x9E3779B97F4A7C15
@@ -136,6 +138,11 @@ def repeated_starts(texts: list[bytes], counts: list[int], length: int = LENGTH)
     pieces = Prefixes(flat.astype(np.uint8))
     heads = pieces.of(order, order + length)
     same = heads[1:] == heads[:-1]
+    raw = np.lib.stride_tricks.sliding_window_view(np.concatenate([flat, np.zeros(length, np.int64)]).astype(np.uint8), length)
+    maybe = np.flatnonzero(same)
+    for at in range(0, len(maybe), 4096):  # equal hashes are compared byte by byte
+        own = maybe[at : at + 4096]
+        same[own] = (raw[order[own]] == raw[order[own + 1]]).all(1)
     hit = np.zeros(len(flat), bool)
     hit[order] = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(order) else False
     return [hit[b : b + c] for b, c in zip(begin.tolist(), counts)]
@@ -147,20 +154,25 @@ def ranges(flags: np.ndarray) -> list[dict]:
 
 
 def bitmap(rows: DataFrame) -> np.ndarray:
-    """A bitmap of BITS bits index with the upper bits of each h set; gathered as at most 2 ** (BITS - 6) words."""
-    word = F.shiftrightunsigned("h", 64 - BITS + 6)
-    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - BITS}) % 64 as int))")
+    """A bitmap with the bit of the upper bits of each h set, sized by the number of rows; gathered as at most 2 ** (MOST_BITS - 6) words."""
+    bits = min(MOST_BITS, max(LEAST_BITS, (16 * rows.count()).bit_length()))
+    word = F.shiftrightunsigned("h", 64 - bits + 6)
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - bits}) % 64 as int))")
     got = rows.groupBy(word.alias("w")).agg(F.bit_or(bit).alias("b")).toArrow()
-    out = np.zeros(1 << (BITS - 6), np.uint64)
+    out = np.zeros(1 << (bits - 6), np.uint64)
     out[got["w"].to_numpy()] = got["b"].to_numpy().astype(np.int64).view(np.uint64)
     return out
 
 
 def has_bit(words: np.ndarray, h: np.ndarray) -> np.ndarray:
-    at = h >> np.uint64(64 - BITS)
+    at = h >> np.uint64(64 - 5 - len(words).bit_length())
     return (words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
 
 
+def digest_of(body: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(body, digest_size=8).digest(), "little", signed=True)
+
+
 def repeated_spans(docs: DataFrame, ws: Workspace) -> DataFrame:
     """(doc_id, d, spans): byte spans that repeated strings cover, for documents that have any; d tells rows of one id apart."""
     spark = docs.sparkSession
@@ -189,24 +201,23 @@ def repeated_spans(docs: DataFrame, ws: Workspace) -> DataFrame:
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some, mixed = shared.value
         for batch in by_size(batches, "text"):
-            cols: list[list] = [[], [], [], [], [], [], []]
-            ids = batch.column("doc_id")
-            index = []
+            index, hashes, digests, starts, counts, bodies = [], [], [], [], [], []
             for i, t in enumerate(batch.column("text").to_pylist()):
                 raw = t.encode()
-                gram, content, first, count = stretches(np.frombuffer(raw, np.uint8))
+                gram, _, first, count = stretches(np.frombuffer(raw, np.uint8))
                 keep = has_bit(some, gram)
-                gram, content, first, count = gram[keep], content[keep], first[keep], count[keep]
-                body = has_bit(mixed, gram)
+                gram, first, count = gram[keep], first[keep], count[keep]
                 index += [i] * len(gram)
-                cols[0].append(gram.view(np.int64))
-                cols[1].append(content.view(np.int64))
-                cols[2].append(first)
-                cols[3].append(count)
-                cols[4] += [raw[f : f + c - 1 + LENGTH] if b else None for f, c, b in zip(first.tolist(), count.tolist(), body.tolist())]
+                hashes.append(gram.view(np.int64))
+                starts.append(first)
+                counts.append(count)
+                for f, c, b in zip(first.tolist(), count.tolist(), has_bit(mixed, gram).tolist()):
+                    body = raw[f : f + c - 1 + LENGTH]
+                    digests.append(digest_of(body))
+                    bodies.append(body if b else None)
             take = pa.array(index, pa.int64())
-            whole = [pa.array(np.concatenate(x).astype(np.int64)) for x in cols[:4]]
-            yield pa.RecordBatch.from_arrays([ids.take(take), batch.column("d").take(take), *whole, pa.array(cols[4], pa.binary())], names=["doc_id", "d", "h", "c", "start", "count", "body"])
+            h, start, count = (pa.array(np.concatenate(x).astype(np.int64)) for x in (hashes, starts, counts))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("d").take(take), h, pa.array(digests, pa.int64()), start, count, pa.array(bodies, pa.binary())], names=["doc_id", "d", "h", "c", "start", "count", "body"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     hits = ws.keep(source.mapInArrow(tell, f"doc_id {kind}, d bigint, h bigint, c bigint, start bigint, count bigint, body binary"), "hits")
@@ -214,9 +225,9 @@ def repeated_spans(docs: DataFrame, ws: Workspace) -> DataFrame:
     times = ws.keep(hits.groupBy("h", "c").agg(F.count("*").alias("times"), F.min(place).alias("u")), "times")
 
     # Stretches of one hash that differ: each once, from one of the places where it stands. A bitmap of those places
-    # keeps the other copies out of the shuffle on c, which brings together what a bit has let through by chance.
+    # keeps the other copies out of the shuffle on (h, c), which brings together what a bit has let through by chance.
     various = times.groupBy("h").agg(F.count("*").alias("m")).where("m > 1")
-    wanted = ws.keep(times.join(various, "h").select("c", "m", "u"), "wanted")
+    wanted = ws.keep(times.join(various, "h").select("h", "c", "m", "u"), "wanted")
     chosen = spark.sparkContext.broadcast(bitmap(wanted.select(F.col("u").alias("h"))))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,8 +235,8 @@ def repeated_spans(docs: DataFrame, ws: Workspace) -> DataFrame:
             yield batch.filter(pa.array(has_bit(chosen.value, batch.column("u").to_numpy().view(np.uint64))))
 
     picked = hits.where("body is not null").select(place.alias("u"), "c", "h", "count", "body").mapInArrow(pick, "u bigint, c bigint, h bigint, count bigint, body binary").drop("u")
-    bodies = picked.join(wanted.select("c", "m"), "c").groupBy("c").agg(F.max("h").alias("h"), F.max("m").alias("m"), F.max(F.struct("count", "body")).alias("x"))
-    bodies = ws.keep(bodies.select("c", "h", "m", "x.count", "x.body"), "bodies")
+    bodies = picked.join(wanted.select("h", "c", "m"), ["h", "c"]).groupBy("h", "c").agg(F.max("m").alias("m"), F.max(F.struct("count", "body")).alias("x"))
+    bodies = ws.keep(bodies.select("h", "c", "m", "x.count", "x.body"), "bodies")
     total = bodies.agg(F.sum(F.length("body"))).first()[0] or 0
     groups = int(max(1, total // GROUP_BYTES))
 
@@ -233,18 +244,28 @@ def repeated_spans(docs: DataFrame, ws: Workspace) -> DataFrame:
         hits_ = repeated_starts(group.column("body").to_pylist(), group.column("count").to_pylist())
         found = [ranges(x) for x in hits_]
         keep = pa.array([bool(x) for x in found], pa.bool_())
-        return pa.table([group.column("c"), pa.array(found, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))], names=["c", "ranges"]).filter(keep)
+        return pa.table([group.column("h"), group.column("c"), pa.array(found, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))], names=["h", "c", "ranges"]).filter(keep)
 
     spans = "array<struct<a:bigint,b:bigint>>"
-    small = bodies.where(F.col("m") <= MOST_STRETCHES).select(F.pmod("h", F.lit(groups)).alias("g"), "c", "count", "body").groupBy("g").applyInArrow(sort, f"c bigint, ranges {spans}")
-    big = bodies.where(F.col("m") > MOST_STRETCHES).select("c", "body", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("a")).select("c", "a", F.substring("body", (F.col("a") + 1).cast("int"), F.lit(LENGTH)).alias("w"))
+    small = bodies.where(F.col("m") <= MOST_STRETCHES).select(F.pmod("h", F.lit(groups)).alias("g"), "h", "c", "count", "body").groupBy("g").applyInArrow(sort, f"h bigint, c bigint, ranges {spans}")
+    big = bodies.where(F.col("m") > MOST_STRETCHES).select("h", "c", "body", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("a"))
+    big = big.select("h", "c", "a", F.substring("body", (F.col("a") + 1).cast("int"), F.lit(LENGTH)).alias("w")).withColumn("k", F.xxhash64("w"))
+    # Hashes of windows go first; the windows themselves only where a hash comes again.
+    again = big.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k")
+    big = big.join(again, "k", "left_semi")
     twice = big.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w")
-    large = big.join(twice, "w").groupBy("c").agg(F.collect_list(F.struct("a", (F.col("a") + 1).alias("b"))).alias("ranges"))
-    parts = ws.keep(small.unionByName(large).join(times.where("times = 1").select("c"), "c", "left_semi"), "parts")
+    large = big.join(twice, "w").groupBy("h", "c").agg(F.collect_list(F.struct("a", (F.col("a") + 1).alias("b"))).alias("ranges"))
+    parts = ws.keep(small.unionByName(large).join(times.where("times = 1").select("h", "c"), ["h", "c"], "left_semi"), "parts")
     # What is known of a stretch: that it repeats whole (no ranges), or which of its windows repeat.
-    known = times.where("times > 1").select("c", F.lit(None).cast(spans).alias("ranges")).unionByName(parts)
+    known = times.where("times > 1").select("h", "c", F.lit(None).cast(spans).alias("ranges"), "times").unionByName(parts.withColumn("times", F.lit(1).cast("long")))
+    # A stretch that stands in very many places goes to several tasks: there are few of these, four for each partition at most.
+    share = max(1, (times.agg(F.sum("times")).first()[0] or 0) // (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    salts = F.ceil(F.col("times") / share).cast("int")
+    hot = F.broadcast(times.where(F.col("times") > share).select("h", "c", salts.alias("_salts")))
+    known = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.when(F.col("times") > share, salts).otherwise(1) - 1))).drop("times")
+    placed = hits.select("doc_id", "d", "h", "c", "start", "count").join(hot, ["h", "c"], "left").withColumn("_salt", F.pmod(F.xxhash64("doc_id", "start"), F.coalesce("_salts", F.lit(1))).cast("int"))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("count").alias("b")))
-    told = hits.select("doc_id", "d", "c", "start", "count").join(known, "c").select("doc_id", "d", "start", F.explode(F.coalesce("ranges", whole)).alias("r"))
+    told = placed.join(known, ["h", "c", "_salt"]).select("doc_id", "d", "start", F.explode(F.coalesce("ranges", whole)).alias("r"))
     told = told.select("doc_id", "d", F.struct((F.col("start") + F.col("r.a")).alias("a"), (F.col("start") + F.col("r.b") - 1 + LENGTH).alias("b")).alias("span"))
     full = copies.select("doc_id", "d", F.struct(F.lit(0).cast("long").alias("a"), F.col("n").cast("long").alias("b")).alias("span")).distinct()
     return told.unionByName(full).groupBy("doc_id", "d").agg(F.collect_list("span").alias("spans"))

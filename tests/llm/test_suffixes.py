@@ -56,6 +56,30 @@ def test_copies_with_one_id(spark):
     assert suffixes.remove_repeats(empty).count() == 0
 
 
+def test_equal_anchor_hashes_with_unlike_bytes(spark, monkeypatch):
+    rows = corpus()
+    grams = suffixes.mix  # every anchor hash gets one of four values, so that unlike stretches meet
+    monkeypatch.setattr(suffixes, "mix", lambda h: grams(h) & np.uint64(3 << 40))
+    assert [x.tolist() for x in suffixes.repeated_starts([b"a" * 300, b"b" * 300], [101, 101])] == [[True] * 101] * 2
+    raw = "".join(chr(97 + i % 26) for i in range(500)).encode()
+    assert len(set(suffixes.stretches(np.frombuffer(raw, np.uint8))[0].tolist())) == 1
+    monkeypatch.undo()
+    assert result(spark, rows) == brute(rows)
+
+
+def test_forced_hash_clash(monkeypatch):
+    texts = [bytes(np.random.default_rng(i).integers(97, 123, 260, dtype=np.uint8)) for i in range(3)] 
+    monkeypatch.setattr(suffixes.Prefixes, "of", lambda self, a, b: np.zeros(len(a), np.uint64))  # all windows hash alike
+    assert not any(x.any() for x in suffixes.repeated_starts(texts, [61] * 3))
+    assert [x.sum() for x in suffixes.repeated_starts([*texts, texts[0]], [61] * 4)] == [61, 0, 0, 61]
+
+
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "k" * 250, 7, "r", "k"), (2, "short", 8, "r", "k")], "doc_id long, text string, n_bytes int, removed string, kept string")
+    out = {r.doc_id: r for r in suffixes.remove_repeats(docs).collect()}
+    assert out[1].n_bytes == 250 and bytes(out[1].kept) == b"" and bytes(out[2].kept) == b"short"
+
+
 def test_difference_cover():
     rng = np.random.default_rng(2)
     for _ in range(200):
