@@ -9,15 +9,17 @@ exactly, on the full sets of both texts. Links make components.
 
 Candidates of a bucket are not paired with each other. First every member is paired with the bucket's centre, a
 member that shares many buckets with many others. Buckets that then still hold more than one component are dealt to
-blocks, and pairs of blocks compare their sets exactly by one matrix product, returning no more links than connect
-their components. No link between components is lost, and no pair becomes a row unless it links.
+blocks of signatures, and pairs of blocks find by the same sequential test which members may still link with another
+component. Only the texts of these are read: dealt to blocks again, pairs of blocks compare their sets exactly by one
+matrix product, returning no more links than connect their components. No link between components is lost, and no pair
+becomes a row unless it links.
 
 Bands: 24 of 5 values. A pair at the threshold of 0.85 shares no band with a probability of 8e-7; a similarity
 of 0.8 with 7e-5. Nothing is capped.
 
 Cases: null and empty texts and texts without words have an empty set and link with nothing; a text of fewer than
 five words has its whole sequence as its one shingle. Rows with a null id are kept and get a null component. Rows
-that share an id are one document for linking. An empty table gives an empty result. deduplicate() keeps extra
+that share an id are one document for linking, by any of its texts. Ids may be of any type that can be ordered. An empty table gives an empty result. deduplicate() keeps extra
 columns; near_duplicates() returns its own four.
 """
 
@@ -39,6 +41,8 @@ SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 BROADCAST_IDS = 1_000_000
 #: A block of a bucket holds about so many documents and characters.
 BLOCK_DOCS, BLOCK_CHARS = 256, 2_000_000
+#: A block of signatures holds about so many.
+BLOCK_SIGNATURES = 1024
 
 
 def shingle_sets(texts: list[str | None], n: int = 5) -> list[np.ndarray]:
@@ -145,18 +149,50 @@ def similar(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.select("u", "v", "a", "b").mapInArrow(run, pairs.select("u", "v").schema)
 
 
-def blockwise(mixed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def dealt(sized: DataFrame, need: DataFrame, carried: list[str]) -> DataFrame:
+    """The (bucket, id, ...) rows dealt to pairs (i, j) of their bucket's blocks, of which need has the number."""
+    sized = sized.join(broadcast_if(need, BROADCAST_IDS), "bucket").withColumn("mine", F.pmod(F.xxhash64("id", "bucket"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    return sized.withColumn("other", other).select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), *carried)
+
+
+def undecided(ws: Workspace, mixed: DataFrame, signed: DataFrame, threshold: float, miss: float, bands: int, values: int) -> DataFrame:
+    """The (bucket, id, c) rows whose signatures leave a link with another component of their bucket in reach."""
+    steps = least_matches(threshold, bands * values, BATCH, miss)
+    need = ws.keep(mixed.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK_SIGNATURES).cast("int").alias("blocks")), "blocks")
+    rows = dealt(mixed.join(signed.select("id", "signature"), "id"), need, ["id", "c", "signature"])
+
+    def run(group: pa.Table) -> pa.Table:
+        signs = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint32).reshape(group.num_rows, -1)
+        _, part = np.unique(np.array(group.column("c").to_pylist(), object).astype(str), return_inverse=True)
+        live = np.zeros(group.num_rows, bool)
+        first, least = steps[0]
+        for a in range(0, group.num_rows if part.any() else 0, 128):
+            matches = np.zeros((len(part[a : a + 128]), group.num_rows), np.int16)
+            for k in range(first):
+                matches += signs[a : a + 128, k, None] == signs[None, :, k]
+            x, y = np.nonzero((matches >= least) & (part[a : a + 128, None] != part[None, :]))
+            n, done = matches[x, y].astype(np.int64), first
+            for upto, enough in steps[1:]:
+                n += (signs[a + x, done:upto] == signs[y, done:upto]).sum(1)
+                on = n >= enough
+                x, y, n, done = x[on], y[on], n[on], upto
+            live[a + x] = live[y] = True
+        return group.select(["bucket", "id", "c"]).filter(pa.array(live))
+
+    return rows.groupBy("bucket", "i", "j").applyInArrow(run, mixed.select("bucket", "id", "c").schema).distinct()
+
+
+def blockwise(ws: Workspace, mixed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) between different components (c) of each bucket of the (bucket, id, c) rows.
 
     A bucket's members are dealt to blocks of bounded number and bounded text, and each pair of blocks is one task's
     group, so no group grows with its bucket. Within it the sizes of all intersections come from one product of the
     0/1 matrix of documents and shared shingles, and only as many links as connect its components are returned.
     """
-    sized = mixed.join(texts.select("id", "text", F.length("text").alias("_n")), "id")
-    need = sized.groupBy("bucket").agg(F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("_n") / BLOCK_CHARS)).cast("int").alias("blocks"))
-    sized = mixed.join(texts, "id").join(need, "bucket").withColumn("mine", F.pmod(F.xxhash64("id", "bucket"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = sized.withColumn("other", other).select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "id", "c", "text")
+    sized = mixed.join(texts.select("id", F.length("text").alias("_n")), "id")
+    need = ws.keep(sized.groupBy("bucket").agg(F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("_n") / BLOCK_CHARS)).cast("int").alias("blocks")), "blocks")
+    rows = dealt(mixed.join(texts, "id"), need, ["id", "c", "text"])
 
     def run(group: pa.Table) -> pa.Table:
         ids, parts = group.column("id").to_pylist(), group.column("c").to_pylist()
@@ -180,7 +216,7 @@ def blockwise(mixed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         return pa.table([pa.array(u, kind), pa.array(v, kind)], names=["u", "v"])
 
     kind = mixed.schema["id"].dataType.simpleString()
-    return dealt.groupBy("bucket", "i", "j").applyInArrow(run, f"u {kind}, v {kind}").distinct()
+    return rows.groupBy("bucket", "i", "j").applyInArrow(run, f"u {kind}, v {kind}").distinct()
 
 
 def reaching(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -220,11 +256,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, miss: float = 1e-7, band
     # A bucket's centre is the member that shares the most buckets with the most others: of a group of copies, the
     # text that the others were made from rather than one of them.
     weight = members.groupBy("id").agg(F.sum("n").alias("w"))
-    centre = members.join(weight, "id").groupBy("bucket").agg(F.max(F.struct(F.col("w"), (-F.col("id")).alias("i"))).alias("x")).select("bucket", (-F.col("x.i")).alias("low"))
+    centre = members.join(weight, "id").groupBy("bucket").agg(F.max(F.struct("w", "id")).alias("x")).select("bucket", F.col("x.id").alias("low"))
 
     def texts_of(ids: DataFrame) -> DataFrame:
         ids = broadcast_if(ws.keep(ids.distinct(), "ids"), BROADCAST_IDS)
-        return ws.keep(rows.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi").dropDuplicates(["id"]), "texts")
+        return ws.keep(rows.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi").distinct(), "texts")
 
     pairs = ws.keep(members.join(centre, "bucket").where("id <> low").select(F.least("low", "id").alias("u"), F.greatest("low", "id").alias("v")).distinct(), "pairs")
     left = ws.keep(plausible(pairs, heads, percent / 100, miss, bands, values), "plausible")
@@ -234,8 +270,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, miss: float = 1e-7, band
     placed = members.select("bucket", "id").join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("c"))
     placed = ws.keep(placed, "placed")
     parts = placed.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("bucket")
-    mixed = ws.keep(placed.join(parts, "bucket"), "mixed")
-    second = ws.keep(blockwise(mixed, texts_of(mixed.select("id")), percent), "links")
+    mixed = ws.keep(placed.join(broadcast_if(ws.keep(parts, "parts"), BROADCAST_IDS), "bucket"), "mixed")
+    mixed = ws.keep(undecided(ws, mixed, heads, percent / 100, miss, bands, values), "undecided")
+    second = ws.keep(blockwise(ws, mixed, texts_of(mixed.select("id")), percent), "links")
     if not second.isEmpty():
         found = connected(ws, first.unionByName(second))
 

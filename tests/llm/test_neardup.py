@@ -7,6 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from filigree.llm import neardup
+from filigree.llm.common import Workspace
 
 
 def brute(rows, percent=85):
@@ -53,6 +54,7 @@ def test_components(spark, monkeypatch):
     want = brute(rows)
     for size in (256, 5):  # blocks smaller than a group of copies give the same
         monkeypatch.setattr(neardup, "BLOCK_DOCS", size)
+        monkeypatch.setattr(neardup, "BLOCK_SIGNATURES", size)
         got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(docs).collect()}
         assert got == want
     assert all(r.kept == (r.doc_id == r.component_id) for r in neardup.near_duplicates(docs).collect())
@@ -66,6 +68,27 @@ def test_ties_nulls_and_extra_columns(spark):
     assert neardup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_one_bucket_of_many_documents(spark):
+    """3,000 documents share the values of one band by force; a few link, and no text of the rest is read."""
+    ws = Workspace(spark, "t")
+    rng = np.random.default_rng(3)
+    signs = rng.integers(0, 1 << 32, (3000, 120), dtype=np.uint32)
+    signs[:, :5] = 7
+    for a, b in ((10, 2990), (10, 1500), (77, 78)):
+        signs[b] = signs[a]
+        signs[b, 100:108] = 1
+    signed = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(signs)], "id long, signature binary")
+    mixed = spark.range(3000).select(F.lit(1).cast("long").alias("bucket"), "id", F.col("id").alias("c"))
+    got = neardup.undecided(ws, mixed, signed, 0.85, 1e-7, 24, 5)
+    assert sorted(r.id for r in got.collect()) == [10, 77, 78, 1500, 2990]
+
+
+def test_text_ids(spark):
+    rows = [("a", "one two three four five six"), ("b", "one two three four five six"), ("c", "else"), ("b", "else")]
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got[("a", 2)] == got[("b", 2)] == "a" and got[("c", 1)] == "b"
+
+
 def test_signatures_and_bounds():
     family = neardup.hash_family(2000)
     a, b = np.arange(0, 300, dtype=np.uint64), np.arange(30, 330, dtype=np.uint64)
@@ -76,7 +99,7 @@ def test_signatures_and_bounds():
 
 
 def test_connected(spark):
-    from filigree.llm.common import Workspace, connected
+    from filigree.llm.common import connected
 
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (200, 150), (150, 101)]
     got = connected(Workspace(spark, "t"), spark.createDataFrame(edges, "u long, v long"))
