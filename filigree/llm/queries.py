@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filigree.llm import bpe, decontaminate, htmltext, langid, neardup, quality, secrets, spotsigs, suffixes, toxicity
-from filigree.llm.common import broadcast_if, table, train_row
+from filigree.llm.common import Workspace, broadcast_if, table, train_row
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Up to so many labelled ids are broadcast to the scan of documents; more are joined by a shuffle.
@@ -25,7 +25,8 @@ def of_kind(kind: str):
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secrets.findings(docs, secrets.scan(docs))
+    ledger = secrets.update(docs, f"{Workspace(spark, 'secrets').root}/ledger")
+    found = secrets.findings(docs, ledger)
     kinds = [r.kind for r in secrets.BASE]
     base = F.filter("spans", lambda s: s["kind"].isin(kinds))
     counts = [F.size(F.filter("spans", of_kind(k))).cast("long").alias(f"n_{k}") for k in kinds]

@@ -43,6 +43,7 @@ BASE = (ASSIGN, ACCESS, HEX)
 RULES = (*BASE, PEM)
 SALTS = 32
 SPAN = "struct<kind:string,start:bigint,end:bigint>"
+LEDGER = f"blob_id string, rule string, version int, spans array<{SPAN}>"
 
 
 def spans_of(text: Column, rule: Rule) -> Column:
@@ -74,15 +75,28 @@ def ledger_of(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Ledger rows for the pairs of blob and rule version that the ledger doesn't have yet."""
-    rows = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("blob_id", F.sha2("text", 256))
+    blobs = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("blob_id", F.sha2("text", 256)).groupBy("blob_id").agg(F.first("text").alias("text"))
     if ledger is None:
-        return ledger_of(rows.groupBy("blob_id").agg(F.first("text").alias("text")), rules)
-    new = None
-    for rule in rules:  # a rule whose version is new is run on every blob, an old one on new blobs
-        seen = ledger.where((F.col("rule") == rule.kind) & (F.col("version") == rule.version)).select("blob_id")
-        part = ledger_of(rows.join(seen, "blob_id", "left_anti").groupBy("blob_id").agg(F.first("text").alias("text")), (rule,))
-        new = part if new is None else new.unionByName(part)
-    return new
+        return ledger_of(blobs, rules)
+    # Each blob once, with the rule versions it has been scanned by; a blob that lacks none isn't looked at.
+    name = lambda r: f"{r.kind} {r.version}"
+    seen = ledger.groupBy("blob_id").agg(F.collect_set(F.concat_ws(" ", "rule", "version")).alias("seen"))
+    left = blobs.join(seen, "blob_id", "left").withColumn("seen", F.coalesce("seen", F.array().cast("array<string>")))
+    lacking = {r.kind: ~F.array_contains("seen", name(r)) for r in rules}
+    left = left.where(reduce(lambda a, b: a | b, lacking.values()))
+    rows = F.array(*[F.when(lacking[r.kind], F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version"), spans_of(F.col("text"), r).alias("spans"))) for r in rules])
+    return left.select("blob_id", F.explode(F.array_compact(rows)).alias("x")).select("blob_id", "x.rule", "x.version", "x.spans")
+
+
+def update(docs: DataFrame, path: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The ledger stored at path, after the pairs of blob and rule version that it lacks have been scanned and appended."""
+    spark = docs.sparkSession
+    files = spark._jvm.org.apache.hadoop.fs
+    place = files.Path(path)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    ledger = spark.read.schema(LEDGER).parquet(path) if found else None
+    scan(docs, ledger, rules).write.mode("append").parquet(path)
+    return spark.read.schema(LEDGER).parquet(path)
 
 
 def findings(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
