@@ -5,8 +5,9 @@ words is a window, as is a whole item of fewer words. The windows' hashes are jo
 windows of every document; a hit is confirmed word by word. Words inside a confirmed hit can be removed, or
 the documents that have one.
 
-The benchmark's windows are counted first: up to broadcast_windows of them are broadcast, more are joined by a
-shuffle on the hash. A benchmark that grows changes the join, not the result.
+The benchmark's windows are measured first: windows of up to broadcast_bytes, words and item ids together, are broadcast;
+a larger benchmark is joined by a shuffle: hashes alone first, then the words of windows whose hash was found. A benchmark
+that grows changes the join, not the result.
 
 Cases: null or empty texts and texts without words have no words, no hits and are clean. Rows with the same id
 and text get the same result. An item without words, or null, matches nothing. Items that share a window are
@@ -45,15 +46,16 @@ def benchmark_windows(benchmark: DataFrame, n: int = 10) -> DataFrame:
     return grams.groupBy("k", F.xxhash64("gram").alias("hash"), "gram").agg(F.collect_set("item_id").alias("items"))
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 10, broadcast_windows: int = 500_000) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 10, broadcast_bytes: int = 64 << 20) -> DataFrame:
     """docs with n_words, hit (1-based positions of hit words), items (ids of the items found).
 
     Documents are told apart by (doc_id, text), so rows may repeat.
     """
     grams = benchmark_windows(benchmark, n)
-    known = {r["k"]: r["n"] for r in grams.groupBy("k").agg(F.count("*").alias("n")).collect()}  # at most n rows
+    weight = F.length(F.array_join("gram", " ")) + 8 * F.size("items") + 64
+    known = {r["k"]: r["n"] for r in grams.groupBy("k").agg(F.sum(weight).alias("n")).collect()}  # at most n rows
     right = grams.select(F.col("k").alias("gk"), F.col("hash").alias("gh"), "gram", "items")
-    small = sum(known.values()) <= broadcast_windows
+    small = sum(known.values()) <= broadcast_bytes
     if small:
         right = F.broadcast(right)
     clash = [c for c in docs.columns if c in ("n_words", "hit", "items")]
@@ -61,11 +63,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 10, broadcast_win
     words = docs.select("_key", words_of(F.col("text")).alias("w"))
     found = None
     for k in sorted(known):
-        # Windows are hashed after the explode, in compiled code; a shuffled row has its window's words, not all of w.
+        # Windows are hashed after the explode, in compiled code.
         at = words.select("_key", "w", F.explode(window_starts(F.col("w"), k)).alias("pos"))
         own = F.slice("w", F.col("pos"), k)
-        at = at.withColumn("h", F.xxhash64(own)) if small else at.select("_key", "pos", own.alias("own"), F.xxhash64(own).alias("h"))
-        same = (own if small else at.own) == right.gram
+        if small:
+            at, same = at.withColumn("h", F.xxhash64(own)), own == right.gram
+        else:  # what is shuffled first are hashes; then, for documents with a hit, the words of its windows
+            met = at.select("_key", "pos", F.xxhash64(own).alias("h")).join(right.where(F.col("gk") == k).select(F.col("gh").alias("h")).distinct(), "h", "left_semi")
+            places = met.groupBy("_key").agg(F.collect_set("pos").alias("places"))
+            at = words.dropDuplicates(["_key"]).join(places, "_key").select("_key", "w", F.explode("places").alias("pos")).select("_key", "pos", own.alias("own"), F.xxhash64(own).alias("h"))
+            same = at.own == right.gram
         hits = at.join(right, (at.h == right.gh) & (right.gk == k) & same).select("_key", "pos", F.lit(k).alias("k"), "items")
         found = hits if found is None else found.unionByName(hits)
     counts = words.select("_key", F.size("w").cast("long").alias("n_words"))
