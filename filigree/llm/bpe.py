@@ -5,8 +5,8 @@ them, the rank of each adjacent pair. The smallest rank is looked for, the bound
 deleted, and the two neighbouring ranks are looked up again, until no adjacent pair can be merged. Words
 longer than LONG bytes, which a scan would make quadratic, keep the same ranks in a heap.
 
-Each task remembers the words it has met (up to CACHE of them; then it starts over), since natural text
-repeats most of its words. The vocabulary is read once by the driver and broadcast: its size is that of the
+Each task remembers the words of up to LONG letters that it has met (up to CACHE of them; then it starts over), since
+natural text repeats most of its words. The vocabulary is read once by the driver and broadcast: its size is that of the
 vocabulary file, whatever the corpus.
 
 Cases: a null text is encoded as the empty text: no ids, and it decodes to the empty text. Added tokens of the
@@ -123,7 +123,8 @@ class _Seen(dict):
     def __missing__(self, word: str) -> tuple[str, bytes]:
         ids = self.encoder.word_ids(word.encode())
         found = ",".join(map(str, ids)), b"".join(map(self.encoder.pieces.__getitem__, ids))
-        self[word] = found
+        if len(word) <= LONG:
+            self[word] = found
         return found
 
 
