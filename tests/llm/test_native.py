@@ -7,6 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from filigree.llm import decontaminate, secrets, spotsigs
+from filigree.llm.queries import QUERIES
 
 TEXTS = [
     "password = 'abcdefghijkl' and token: password: abcdefghijklmnop",
@@ -30,7 +31,7 @@ def spans(text):
     return [f"{k}:{a}:{b}" for a, _, k, b in sorted(out)]
 
 
-def test_secrets(spark):
+def test_secrets(spark, tmp_path):
     docs = spark.createDataFrame([(i, t, "e") for i, t in enumerate(TEXTS * 2)], "doc_id long, text string, spans string")
     ledger = secrets.scan(docs)
     assert ledger.count() == len({t or "" for t in TEXTS}) * len(secrets.RULES)
@@ -39,6 +40,11 @@ def test_secrets(spark):
     assert secrets.scan(docs, ledger).count() == 0  # nothing is scanned twice
     new = secrets.Rule("hex", 2, r"[0-9a-f]+", "[0-9a-f]{4}", (0, 4))
     assert {(r.rule, r.version) for r in secrets.scan(docs, ledger, (*secrets.RULES[:2], new)).collect()} == {("hex", 2)}
+    store = str(tmp_path / "ledger")
+    assert secrets.update(docs, store).count() == ledger.count() == secrets.update(docs.unionByName(docs), store).count()
+    more = docs.unionByName(spark.createDataFrame([(99, "0123456789abcdef9", "e")], docs.schema))
+    assert secrets.update(more, store).count() == ledger.count() + len(secrets.RULES)
+    assert secrets.update(more, store, (*secrets.RULES, new)).where("version = 2").count() == len({t or "" for t in TEXTS}) + 1
     clean = {r.doc_id: r.text for r in secrets.redact(docs, ledger).collect()}
     assert clean[3] == "" and clean[4] is None and clean[0] == "[assign]' and token: password: abcdefghijklmnop"
     assert secrets.scan(docs.limit(0)).count() == 0
@@ -53,7 +59,6 @@ def test_leaks(spark):
     word = lambda: rng.choice(["a", "b", "c", "É", "9"])
     items = [(1, " ".join(word() for _ in range(14))), (2, "B a!"), (3, None), (4, "..."), (5, "zz " * 10), (6, "B a!")]
     docs = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([0, 1, 5, 9, 10, 40, 400])] + [(7, None), (8, "x " + items[0][1] + " y, ZZ" + " zz" * 11), (8, "dup")]
-    got = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
     want = []
     for i, t in docs:
         w, hit, found = words(t), set(), set()
@@ -66,7 +71,12 @@ def test_leaks(spark):
                     hit |= set(range(j + 1, j + k + 1))
                     found.add(item)
         want.append((i, len(w), sorted(hit), sorted(found)))
-    assert sorted((r.doc_id, r.n_words, sorted(r.hit), sorted(r["items"])) for r in got) == sorted(want)
+    for most in (64 << 20, 0):  # broadcast and shuffled
+        frame = spark.createDataFrame([(*d, "e", 1) for d in docs], "doc_id long, text string, hit string, n_words int")
+        got = decontaminate.find_leaks(frame, spark.createDataFrame(items, "item_id long, text string"), broadcast_bytes=most).collect()
+        assert sorted((r.doc_id, r.n_words, sorted(r.hit), sorted(r["items"])) for r in got) == sorted(want)
+    long = spark.createDataFrame([(1, "w " * 60_000 + items[0][1])], "doc_id long, text string")
+    assert decontaminate.find_leaks(long, spark.createDataFrame(items[:1], "item_id long, text string")).first().n_words == 60_014
     cut = decontaminate.decontaminate(spark.createDataFrame([(1, "Keep B a!, this B a")], "doc_id long, text string"), spark.createDataFrame([(2, "b A")], "item_id long, text string"), remove="spans")
     assert cut.first().text == "Keep!, this"
     empty = spark.createDataFrame([], "item_id long, text string")
@@ -87,4 +97,61 @@ def test_fingerprints(spark):
     assert spotsigs.with_next(docs.limit(0), 4).count() == 0
     classes, pairs = spotsigs.similar_pairs(docs)
     assert {r.doc_id: r["class"] for r in classes.collect()}[4] == 0 and pairs.count() == 0
-    assert hashlib.sha256(b"").hexdigest()
+
+
+def signature_set(text):
+    """What signatures() hashes, by hand."""
+    words = re.findall(r"[^\W\d_]+", (text or "").lower())
+    out = set()
+    for i, w in enumerate(words):
+        if w in spotsigs.ANCHORS:
+            content = [j for j in range(i + 1, len(words)) if words[j] not in spotsigs.ANCHORS][:2]
+            if len(content) == 2:
+                out.add(" ".join(words[i : content[1] + 1]))
+    return out or ({" ".join(words)} if words else set())
+
+
+def test_query_against_brute_force(spark, tmp_path):
+    rng = random.Random(8)
+    word = lambda: rng.choice(["the", "a", "of", "der", "cat", "Dog", "sun", "é9", "mat.", "ran\n"])
+    rows = [(i * 7, " ".join(word() for _ in range(rng.choice([0, 1, 3, 30, 200])))) for i in range(40)] + [(500, None), (501, "12"), (502, "é" * 41)]
+    spark.createDataFrame([(*r, "extra") for r in rows], "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in QUERIES["op4_spotsigs"](spark, str(tmp_path)).collect()}
+    order = sorted(rows, reverse=True)
+    jaccard = lambda a, b: 1.0 if not a and not b else len(a & b) / len(a | b)
+    assert len(got) == len(rows)
+    for k, (i, t) in enumerate(order):
+        t, nxt = t or "", order[(k + 1) % len(order)][1] or ""
+        half = len(t) // 2
+        edited = t[: len(t) - half] + nxt[:half]
+        r = got[i]
+        assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
+        assert abs(r.near_edited - jaccard(signature_set(t), signature_set(edited))) < 1e-12
+        assert abs(r.near_next - jaccard(signature_set(t), signature_set(nxt))) < 1e-12
+        assert (r.fingerprint == r.edited_fingerprint) == (signature_set(t) == signature_set(edited))
+
+
+def test_similar_pairs_against_brute_force(spark):
+    rng = random.Random(4)
+    base = [rng.choice(["the", "a", "of"] + [f"w{c}" for c in "abcdefghijkl"]) + "x" * (rng.random() < 0.2) for _ in range(150)]
+    rows = []
+    for i in range(60):
+        own = list(base)
+        for _ in range(rng.choice([0, 1, 2, 5, 60])):
+            own[rng.randrange(len(own))] = rng.choice(["new", "the", "odd"])
+        rows.append((f"id{i:03}", " ".join(own).replace("w", "v")))
+    sets = {i: signature_set(t) for i, t in rows}
+    want = {(a, b) for a, x in sets.items() for b, y in sets.items() if a < b and x != y and len(x & y) / len(x | y) >= 0.8}
+    for block in (512, 4):
+        classes, pairs = spotsigs.similar_pairs(spark.createDataFrame(rows, "doc_id string, text string"), block=block)
+        members: dict[str, list[str]] = {}
+        for r in classes.collect():
+            members.setdefault(r["class"], []).append(r.doc_id)
+        got = {(min(a, b), max(a, b)) for r in pairs.collect() for a in members[r.a] for b in members[r.b]}
+        assert got == want and len(want) > 20
+
+
+def test_next_of_text_ids_and_repeated_ids(spark):
+    docs = spark.createDataFrame([("b", "two"), ("a", "one"), ("b", "two"), (None, "none"), ("c", None)], "doc_id string, text string")
+    got = sorted((r.doc_id or "", r.text, r.next_text) for r in spotsigs.with_next(docs, 3).collect())
+    assert got == [("", "none", ""), ("a", "one", "none"), ("b", "two", "one"), ("b", "two", "two"), ("c", "", "two")]
