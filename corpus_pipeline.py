@@ -22,8 +22,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near-duplicates."""
-    return neardup.deduplicate(docs)
+    """Keeps the document with the smallest id of each group of near-duplicates: five-word shingles, a similarity of 0.8 or more."""
+    return neardup.deduplicate(docs, 80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
