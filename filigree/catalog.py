@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from filigree.functions import dates, geo, ids, money, text
 from filigree.operators import forms, lookup, prose, reshape, scope
 from filigree.plans import blueprint
-from filigree.session import read_table
+from filigree.session import read_table, spread
 from filigree.sources import files
 from filigree.streaming import refresh
 
@@ -325,6 +325,46 @@ def q_two_hop(spark, d):
     return path.join(europe, "n3").join(named, "n2").groupBy("n_name").agg(F.count("*").alias("n"))
 
 
+_RICH = {
+    "nodes": {
+        "Supplier": {"csv": "supplier.csv", "pk": "s_suppkey", "title": "s_name", "properties": ["s_nationkey", "is_seven"], "sub_nodes": {"Offer": {"csv": "offers.csv", "pk": "offer", "parent_fk": "l_suppkey", "edge": "OFFER_OF"}}},
+        "Part": {"csv": "part.csv", "pk": "p_partkey", "title": "p_name", "properties": ["p_brand"], "connections": {"junction_edges": {"SUPPLIED_BY": {"csv": "bridge.csv", "target": "Supplier", "source_fk": "l_partkey", "target_fk": "l_suppkey"}}}},
+    },
+    "compute": [{"op": "derive", "from": "Supplier", "set": {"is_seven": "s_nationkey == '7'"}}],
+}
+
+
+def _rich(spark, d):
+    lines = read_table(spark, d, "lineitem").where("l_linenumber = 1")
+    tables = {"supplier": read_table(spark, d, "supplier"), "part": read_table(spark, d, "part"), "bridge": lines.select("l_partkey", "l_suppkey").distinct(), "offers": lines.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("offer"), "l_suppkey")}
+    return blueprint.compile_blueprint(tables, _RICH)
+
+
+@query("select p_brand as brand, count(*) as n from (select distinct l_partkey, l_suppkey from lineitem where l_linenumber = 1) join part on p_partkey = l_partkey join supplier on s_suppkey = l_suppkey where s_nationkey = 7 group by 1")
+def q_property_match(spark, d):
+    """Parts by brand whose supplier has given properties, one of them derived; junction edges."""
+    g = _rich(spark, d)
+    wanted = g.nodes("Supplier", s_nationkey=7, is_seven="true").rows.select(col("n0").alias("n1"))
+    path = g.nodes("Part").out("SUPPLIED_BY", "Supplier")
+    path.rows = path.rows.join(wanted, "n1", "left_semi")
+    return path.select(0, "p_brand").groupBy(col("p_brand").alias("brand")).agg(F.count("*").alias("n"))
+
+
+@query("select l_orderkey || '-1' as offer, s_name as title, cast(s_nationkey as varchar) as nation from lineitem join supplier on s_suppkey = l_suppkey where l_linenumber = 1")
+def q_sub_nodes(spark, d):
+    """Sub-nodes with what their parents are."""
+    g = _rich(spark, d)
+    path = g.nodes("Offer").out("OFFER_OF", "Supplier")
+    own = g.node_rows.where("label = 'Supplier'").select(col("id").alias("n1"), "title", "properties")
+    return path.rows.join(own, "n1").select(col("n0").alias("offer"), "title", F.try_element_at("properties", lit("s_nationkey")).alias("nation"))
+
+
+@query("select s_suppkey::varchar as id, s_name as title, s_nationkey::varchar as s_nationkey from supplier order by s_name limit 25")
+def q_project_ordered(spark, d):
+    """Projection, order and limit over nodes."""
+    return _rich(spark, d).nodes("Supplier").select(0, "id", "title", "s_nationkey").orderBy("title").limit(25)
+
+
 @query("select count(*) as n from orders join customer on o_custkey = c_custkey")
 def q_edge_count(spark, d):
     return _graph(spark, d).edge_count("FILED_BY")
@@ -416,13 +456,104 @@ def q_props_json(spark, d):
     return read_table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
 
 
-@query("select l_orderkey, l_linenumber, 'POINT (' || l_partkey || ' ' || l_suppkey || ')' as point, 'LINESTRING (' || l_partkey || ' ' || l_suppkey || ', ' || l_suppkey || '.5 ' || l_linenumber || ')' as line, 'POLYGON ((0 0, ' || l_partkey || ' 0, 0 ' || l_suppkey || ', 0 0))' as polygon, null::varchar as broken from lineitem")
+@query("""select l_orderkey, l_linenumber, 'POINT(' || l_partkey || ' ' || l_suppkey || ')' as point, 'LINESTRING(' || l_partkey || ' ' || l_suppkey || ', ' || l_suppkey || '.5 ' || l_linenumber || ')' as line,
+    'POLYGON((0 0, ' || l_partkey || ' 0, 0 ' || l_suppkey || ', 0 0))' as polygon, null::varchar as broken, 'MULTIPOLYGON(((0 0, ' || l_partkey || ' 0, 0 -7.25)))' as patched from lineitem""")
 def q_wkt(spark, d):
+    """Geometries of five shapes; points that are none and rings that are too short are left out."""
     def gj(kind, *parts):
         return geo.wkt(F.concat(lit(f'{{"type":"{kind}","coordinates":'), *[x if not isinstance(x, str) else lit(x) for x in parts], lit("}")))
 
     p, s, n = col("l_partkey").cast("string"), col("l_suppkey").cast("string"), col("l_linenumber").cast("string")
-    return read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", gj("Point", "[", p, ",", s, "]").alias("point"), gj("LineString", "[[", p, ",", s, "],[", s, ".5,", n, "]]").alias("line"), gj("Polygon", "[[[0,0],[", p, ",0],[0,", s, "],[0,0]]]").alias("polygon"), gj("LineString", "[[", p, ",", s, "]]").alias("broken"))
+    return spread(read_table(spark, d, "lineitem")).select(
+        "l_orderkey", "l_linenumber", gj("Point", "[", p, ",", s, "]").alias("point"), gj("LineString", "[[", p, ",", s, "],[", s, ".5,", n, "]]").alias("line"), gj("Polygon", "[[[0,0],[", p, ",0],[0,", s, "],[0,0]]]").alias("polygon"), gj("LineString", "[[", p, ",", s, "]]").alias("broken"),
+        gj("MultiPolygon", '[[[[0,0],[1],["2",3],[', p, ",0],[0,-7.25,9]],[[1,1],[2,2]]],[[[3,3],[4,", s, "]]]]").alias("patched"),
+    )
+
+
+@query("select s_suppkey, 'POINT(' || (s_suppkey + 1) || '00000000000000000000 0.0000000000001)' as big, 'MULTIPOINT(1.1234567890123457 -2, 1250000000000 0.00015)' as several, (s_suppkey + 1) || '00000000000' as whole, case when s_suppkey % 2 = 0 then '' else '0.5' end as cell from supplier")
+def q_plain_decimals(spark, d):
+    """Large and tiny numbers without exponents, in geometries and CSV cells."""
+    k = (col("s_suppkey") + 1).cast("string")
+    big = geo.wkt(F.concat(lit('{"type":"Point","coordinates":['), k, lit("e20,1e-13]}")))
+    several = geo.wkt(lit('{"type":"MultiPoint","coordinates":[[1.12345678901234567,-2.0],[1.25e12,1.5E-4]]}'))
+    return read_table(spark, d, "supplier").select("s_suppkey", big.alias("big"), several.alias("several"), money.format_float((col("s_suppkey") + 1) * 1e11).alias("whole"), money.format_float((col("s_suppkey") % 2) / 2.0).alias("cell"))
+
+
+@query("""select o_orderkey, cast(o_custkey as double) as bracketed, cast(o_custkey as double) * 1000 as marked, 0.0::double as dash, null::double as footnote, null::double as other from orders""")
+def q_clean_money(spark, d):
+    """Amounts of table cells in several spellings."""
+    c, k = col("o_custkey"), F.format_number(col("o_custkey"), 0)
+    thousands = F.format_number(c * 1000, 0)
+    wide = F.when(F.length(k) <= 2, F.concat(lit("$ "), k, lit("†"))).otherwise(F.concat(lit("("), k, lit(")")))  # short bracketed numbers are footnotes
+    return read_table(spark, d, "orders").select("o_orderkey", money.clean_money(wide).alias("bracketed"), money.clean_money(F.concat(lit("$"), thousands, lit("*"))).alias("marked"), money.clean_money(lit(" — ")).alias("dash"), money.clean_money(lit("(12)")).alias("footnote"), money.clean_money(F.concat(k, lit(" a"))).alias("other"))
+
+
+@query("select upper(left(n_name, 1)) as ticker, cast(max(n_nationkey) as bigint) as cik from nation group by 1")
+def q_tickers_last_wins(spark, d):
+    """Tickers of a company map; the last entry of a ticker counts."""
+    entry = F.concat(lit('"'), col("n_nationkey").cast("string"), lit('":{"cik_str":'), col("n_nationkey").cast("string"), lit(',"ticker":"'), F.lower(F.left("n_name", lit(1))), lit('","title":"x"}'))
+    rows = read_table(spark, d, "nation").select(F.struct("n_nationkey", entry.alias("e")).alias("x")).agg(F.array_sort(F.collect_list("x")).alias("xs"))  # 25 nations
+    raw = rows.select(F.concat(lit('{"skip":null,"none":{"cik_str":1,"ticker":"","title":"x"},'), F.array_join(F.transform("xs", lambda x: x["e"]), ","), lit("}")).alias("value"))
+    return files.tickers(raw)
+
+
+@query("select s_suppkey as k, case when s_suppkey % 3 = 0 then cast(s_suppkey as bigint) when s_suppkey % 3 = 1 then n.n_nationkey end as cik from supplier left join nation n on n_nationkey = s_nationkey")
+def q_resolve_companies(spark, d):
+    """Numbers stand for themselves, tickers are looked up, unknown ones are null."""
+    known = read_table(spark, d, "nation").select(F.upper("n_name").alias("ticker"), col("n_nationkey").cast("bigint").alias("cik"))
+    own = read_table(spark, d, "supplier").join(read_table(spark, d, "nation"), col("n_nationkey") == col("s_nationkey"), "left")
+    name = F.when(col("s_suppkey") % 3 == 0, col("s_suppkey").cast("string")).when(col("s_suppkey") % 3 == 1, F.lower("n_name")).otherwise("no such name")
+    return files.resolved(own.select(col("s_suppkey").alias("k"), name.alias("name")), known).select("k", "cik")
+
+
+@query("select event_id, strftime(ts, '%Y-%m-%d') as dateUpdated, event_id as validTo, 'x' as plain from events")
+def q_date_columns(spark, d):
+    """Columns that are dates by name and whose first value is a time in milliseconds become dates."""
+    e = read_table(spark, d, "events").select("event_id", F.when(col("event_id") > 3, F.unix_millis(col("ts").cast("timestamp"))).otherwise(F.unix_millis(col("ts").cast("timestamp"))).alias("dateUpdated"), col("event_id").alias("validTo"), lit("x").alias("plain"))
+    return files.with_dates(e, "event_id")
+
+
+@query("select o_orderkey, case when o_orderkey % 5 = 0 then '?' when o_orderkey % 5 = 1 then (o_custkey % 9 + 1) || '.0 KB' when o_orderkey % 5 = 2 then (o_custkey % 9 + 1) || '.5 MB' when o_orderkey % 5 = 3 then (o_custkey % 9 + 1) || '.25 GB' else (o_custkey % 9 + 1) || '.00 TB' end as size from orders")
+def q_byte_size(spark, d):
+    n = (col("o_custkey") % 9 + 1).cast("double")
+    size = F.when(col("o_orderkey") % 5 == 1, n * 1024).when(col("o_orderkey") % 5 == 2, (n + 0.5) * 1024**2).when(col("o_orderkey") % 5 == 3, (n + 0.25) * 1024**3).when(col("o_orderkey") % 5 == 4, n * 1024**4)
+    return read_table(spark, d, "orders").select("o_orderkey", text.byte_size(size.cast("bigint")).alias("size"))
+
+
+@query("""select o_orderkey, 'https://data.sec.gov/submissions/CIK' || lpad(cast(o_custkey as varchar), 10, '0') || '.json' as record, 'https://data.sec.gov/api/xbrl/companyfacts/CIK' || lpad(cast(o_custkey as varchar), 10, '0') || '.json' as facts,
+    'https://www.sec.gov/Archives/edgar/full-index/' || year(o_orderdate) || '/QTR' || quarter(o_orderdate) || '/master.idx' as quarter_index, 'https://www.sec.gov/Archives/edgar/data/' || o_custkey || '/' || lpad(cast(o_orderkey as varchar), 18, '0') || '/' as folder from orders""")
+def q_url_templates(spark, d):
+    day, a = col("o_orderdate"), F.lpad(col("o_orderkey").cast("string"), 18, "0")
+    q = dates.quarter_of(day)
+    return read_table(spark, d, "orders").select("o_orderkey", ids.company_json_url(col("o_custkey")).alias("record"), ids.company_json_url(col("o_custkey"), "api/xbrl/companyfacts").alias("facts"), ids.quarter_index_url(q["year"], q["quarter"]).alias("quarter_index"), ids.filing_folder_url(col("o_custkey").cast("string"), ids.insert_accession_dashes(a)).alias("folder"))
+
+
+@query("select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as at, null::varchar as bad from events")
+def q_http_date(spark, d):
+    header = F.concat(F.date_format("ts", "E, dd MMM yyyy HH:mm:ss"), lit(" GMT"))
+    show = lambda x: F.date_format(dates.http_date(x), "yyyy-MM-dd HH:mm:ss")
+    return read_table(spark, d, "events").select("event_id", show(header).alias("at"), show(lit("yesterday")).alias("bad"))
+
+
+@query("select p_partkey, 'caf' || chr(233) || ' \"' || p_partkey || '\" ' || chr(128578) || chr(10) || 'x' as object from part where p_partkey <= (select max(p_partkey) from part)")
+def q_triples_unescaped(spark, d):
+    """Escapes of literals are resolved."""
+    line = F.concat(lit("<http://e/Q"), col("p_partkey").cast("string"), lit(r'> <http://e/label> "caf\u00e9 \"'), col("p_partkey").cast("string"), lit(r'\" \U0001F642\nx"@en .'))
+    return files.triples(read_table(spark, d, "part").select(line.alias("value")), ["en"]).select(F.substring("subject", 11, 20).cast("bigint").alias("p_partkey"), "object")
+
+
+@query("select user_id, event_id from events where user_id in (select user_id from events group by 1 order by min(event_id) limit 40)")
+def q_entity_cap(spark, d):
+    """Only the entities that come first."""
+    e = read_table(spark, d, "events").withColumn("subject", col("user_id"))
+    return files.first_entities(e, "event_id", 40).select("user_id", "event_id")
+
+
+@query("select event_id, props || '' as nested, cast(json_extract_string(props, '$.k') as varchar) as number, '' as nothing from (select event_id, '{\"k\":' || json_extract_string(props, '$.k') || '}' as props from events)")
+def q_json_cells(spark, d):
+    """JSON values as cells: nested ones as JSON, null as nothing."""
+    v = F.parse_json("props")
+    return read_table(spark, d, "events").select("event_id", files.cell_text(v).alias("nested"), files.cell_text(F.variant_get(v, "$.k", "variant")).alias("number"), files.cell_text(F.parse_json(lit("null"))).alias("nothing"))
 
 
 @query("select year, quarter from (select y as year, q as quarter from range(1993, 1999) a(y), range(1, 5) b(q)) where year > 1993 or quarter >= 3")
@@ -466,14 +597,14 @@ def q_form4_xml(spark, d):
         (col("l_linenumber") % 2), "</isDirector></reportingOwnerRelationship></reportingOwner><nonDerivativeTable><nonDerivativeTransaction>", *v("securityTitle", lit("Common")), *v("transactionDate", F.date_format("l_shipdate", "yyyy-MM-dd")),
         "<transactionCoding><transactionCode>S</transactionCode></transactionCoding><transactionAmounts>", *v("transactionShares", col("l_quantity")), *v("transactionPricePerShare", col("l_suppkey")), *v("transactionAcquiredDisposedCode", ad), "</transactionAmounts></nonDerivativeTransaction></nonDerivativeTable></ownershipDocument>",
     )
-    docs = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", doc.alias("text"))
+    docs = spread(read_table(spark, d, "lineitem")).select("l_orderkey", "l_linenumber", doc.alias("text"))
     return forms.ownership_transactions(docs).select("l_orderkey", "l_linenumber", "person_nid", "issuer_cik", "shares", "price_per_share", "total_value", "acquired_disposed", "transaction_date", col("is_derivative").cast("long").alias("is_derivative"))
 
 
 @query("""select l_orderkey, l_linenumber, 'cik-' || l_suppkey as person_nid, role_type from lineitem, (values ('officer', 0), ('director', 1)) r(role_type, odd) where odd = 0 or l_linenumber % 2 = 1""")
 def q_form4_roles(spark, d):
     doc = _doc("<ownershipDocument><documentType>4</documentType><issuer><issuerCik>1</issuerCik></issuer><reportingOwner><reportingOwnerId><rptOwnerCik>00", col("l_suppkey"), "</rptOwnerCik></reportingOwnerId><reportingOwnerRelationship><isOfficer>true</isOfficer><isDirector>", (col("l_linenumber") % 2), "</isDirector></reportingOwnerRelationship></reportingOwner></ownershipDocument>")
-    return forms.ownership_roles(read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", doc.alias("text"))).select("l_orderkey", "l_linenumber", "person_nid", "role_type")
+    return forms.ownership_roles(spread(read_table(spark, d, "lineitem")).select("l_orderkey", "l_linenumber", doc.alias("text"))).select("l_orderkey", "l_linenumber", "person_nid", "role_type")
 
 
 @query("select o_orderkey, cast(position as bigint) as position, lpad(cast(o_custkey as varchar), 9, '0') as cusip, cast(o_custkey as double) * 1000 as value, cast(o_custkey as double) as shares from orders, (values (0), (2)) p(position)")
@@ -481,13 +612,13 @@ def q_13f_xml(spark, d):
     one = lambda cusip: ["<n1:infoTable><n1:nameOfIssuer>X &amp; Co</n1:nameOfIssuer><n1:cusip>", cusip, "</n1:cusip><n1:value>", F.format_number(col("o_custkey") * 1000, 0), "</n1:value><n1:shrsOrPrnAmt><n1:sshPrnamt>", col("o_custkey"), "</n1:sshPrnamt><n1:sshPrnamtType>SH</n1:sshPrnamtType></n1:shrsOrPrnAmt></n1:infoTable>"]
     good = F.lpad(col("o_custkey").cast("string"), 9, "0")
     doc = _doc('<n1:informationTable xmlns:n1="u">', *one(good), *one(lit("")), *one(good), "</n1:informationTable>")
-    return forms.manager_holdings(read_table(spark, d, "orders").select("o_orderkey", doc.alias("text"))).select("o_orderkey", col("position").cast("long").alias("position"), "cusip", "value", "shares")
+    return forms.manager_holdings(spread(read_table(spark, d, "orders")).select("o_orderkey", doc.alias("text"))).select("o_orderkey", col("position").cast("long").alias("position"), "cusip", "value", "shares")
 
 
 @query("select o_orderkey, cast(o_custkey as varchar) as issuer_cik, cast(o_custkey as double) * 10 as shares, strftime(o_orderdate, '%m/%d/%Y') as approx_sale_date from orders")
 def q_form144_xml(spark, d):
     doc = _doc("<edgarSubmission><issuerInfo><issuerCik>000", col("o_custkey"), "</issuerCik></issuerInfo><securitiesInformation><securitiesClassTitle>Common</securitiesClassTitle><noOfUnitsSold>", F.format_number(col("o_custkey") * 10, 0), "</noOfUnitsSold><approxSaleDate>", F.date_format("o_orderdate", "MM/dd/yyyy"), "</approxSaleDate></securitiesInformation></edgarSubmission>")
-    return forms.planned_sales(read_table(spark, d, "orders").select("o_orderkey", doc.alias("text"))).select("o_orderkey", "issuer_cik", "shares", "approx_sale_date")
+    return forms.planned_sales(spread(read_table(spark, d, "orders")).select("o_orderkey", doc.alias("text"))).select("o_orderkey", "issuer_cik", "shares", "approx_sale_date")
 
 
 @query("select o_orderkey, cast(o_custkey as varchar) as issuer_cik, 'private_placement' as offering_type, cast(o_custkey as double) * 1000 as gross_proceeds, cast(o_custkey as double) as amount_usd from orders")
@@ -505,7 +636,7 @@ def q_schema_cascade(spark, d):
 
 @query("select o_custkey as issuer_cik, 'us-gaap:Assets' as tag, strftime(o_orderdate, '%Y-%m-%d') as ddate, cast(4 as bigint) as qtrs, 'USD' as uom, o_totalprice as value, year(o_orderdate) || 'FY' as dimensional_context, cast(o_orderkey as varchar) as source_accession from orders")
 def q_xbrl_flatten(spark, d):
-    fact = _doc('{"cik":', col("o_custkey"), ',"entityName":"X","facts":{"us-gaap":{"Assets":{"label":"a","units":{"USD":[{"start":"2020-01-01","end":"', F.date_format("o_orderdate", "yyyy-MM-dd"), '","val":', col("o_totalprice"), ',"fy":', F.year("o_orderdate"), ',"fp":"FY","form":"10-K","accn":"', col("o_orderkey"), '"}]}},"Niche":{"units":{"USD":[{"end":"2020-01-01","val":1,"accn":"x"}]}}}}}')
+    fact = _doc('{"cik":', col("o_custkey"), ',"entityName":"X","facts":{"us-gaap":{"Assets":{"label":"a","units":{"USD":[{"start":"2020-01-01","end":"', F.date_format("o_orderdate", "yyyy-MM-dd"), '","val":', col("o_totalprice"), ',"fy":', F.year("o_orderdate"), ',"fp":"FY","form":"10-K","accn":"', col("o_orderkey"), '"}]}},"OddConcept":{"units":{"USD":[{"end":"2020-01-01","val":1,"accn":"x"}]}}}}}')
     out = forms.company_facts(read_table(spark, d, "orders").select(fact.alias("text")))
     return out.select("issuer_cik", "tag", "ddate", col("qtrs").cast("long").alias("qtrs"), "uom", "value", "dimensional_context", "source_accession")
 
@@ -536,7 +667,7 @@ def q_submission_companies(spark, d):
 
 @query("select o_orderkey, item_code, description from orders, (values ('1.01', 'Entry into agreement'), ('5.02', 'Departure of Directors'), ('9.01', 'Exhibits')) i(item_code, description) where o_orderkey % 2 = 0 or item_code <> '1.01'")
 def q_eightk_items(spark, d):
-    first = F.when(col("o_orderkey") % 2 == 0, "<p>Item&#160;1.01 Entry into agreement.</p>").otherwise("<p>under Item 5.02 of our Form</p>")
+    first = F.when(col("o_orderkey") % 2 == 0, "<p>Item&#160;1.01 Entry into agreement.</p>").otherwise("<p>as told below Item 5.02 in an older paper</p>")
     doc = _doc("<html>", first, "<p>Item 9.01 Exhibits</p>\n<b>Item 5.02</b> Departure of Directors. More, and Item 9.01 Again\n</html>")
     rows = read_table(spark, d, "orders").select("o_orderkey", F.explode(text.eightk_items(doc)).alias("i"))
     return rows.select("o_orderkey", "i.item_code", "i.description")
@@ -548,9 +679,9 @@ def q_item_text(spark, d):
     return read_table(spark, d, "orders").select("o_orderkey", F.regexp_replace(text.item_text(doc, "4"), r"^\W+", "").alias("body"))
 
 
-@query("select s_suppkey, j.name as name, j.jurisdiction as jurisdiction from supplier, lateral (values (s_name || ' Holdings', 'Ireland'), ('Braeburn ' || s_suppkey || ', Inc.', 'Nevada'), ('Tesla ' || s_suppkey || ', LLC', '')) j(name, jurisdiction)")
+@query("select s_suppkey, j.name as name, j.jurisdiction as jurisdiction from supplier, lateral (values (s_name || ' Holdings', 'Ireland'), ('Pinecask ' || s_suppkey || ', Inc.', 'Nevada'), ('Voltbarn ' || s_suppkey || ', LLC', '')) j(name, jurisdiction)")
 def q_exhibit21(spark, d):
-    doc = _doc("<html><h1>List of Subsidiaries</h1><p>", col("s_name"), " Holdings   Ireland</p><p>Braeburn ", col("s_suppkey"), ", Inc.  Nevada</p><p>Delaware</p><p>Tesla ", col("s_suppkey"), ", LLC</p><p>12</p></html>")
+    doc = _doc("<html><h1>List of Subsidiaries</h1><p>", col("s_name"), " Holdings   Ireland</p><p>Pinecask ", col("s_suppkey"), ", Inc.  Nevada</p><p>Delaware</p><p>Voltbarn ", col("s_suppkey"), ", LLC</p><p>12</p></html>")
     rows = read_table(spark, d, "supplier").select("s_suppkey", F.explode(prose.subsidiaries(doc)).alias("x"))
     return rows.select("s_suppkey", "x.name", "x.jurisdiction")
 
@@ -612,9 +743,9 @@ def q_offering(spark, d):
     return read_table(spark, d, "supplier").select("s_suppkey", x["offering_type"].alias("offering_type"), x["shares_offered"].alias("shares_offered"), x["price_per_share"].alias("price_per_share"), x["net_proceeds"].alias("net_proceeds"), prose.underwriters(doc).alias("banks"))
 
 
-@query("select s_suppkey, 'Riverstone Partners' as holder_name, 2500000.0::double as shares_before, cast(s_suppkey + 1000 as double) as shares_offered, 1500000.0::double as shares_after from supplier")
+@query("select s_suppkey, 'Quillfen Holdings Trust' as holder_name, 3141000.0::double as shares_before, cast(s_suppkey + 1000 as double) as shares_offered, 2718000.0::double as shares_after from supplier")
 def q_selling_holders(spark, d):
-    doc = _doc("<h2>Selling Stockholders</h2><table><tr><td>Name</td><td>Before</td></tr><tr><td>1</td><td>Riverstone Partners</td><td>2,500,000</td><td>", F.format_number(col("s_suppkey") + 1000, 0), "</td><td>1,500,000</td></tr></table>")
+    doc = _doc("<h2>Selling Stockholders</h2><table><tr><td>Name</td><td>Before</td></tr><tr><td>1</td><td>Quillfen Holdings Trust</td><td>3,141,000</td><td>", F.format_number(col("s_suppkey") + 1000, 0), "</td><td>2,718,000</td></tr></table>")
     rows = read_table(spark, d, "supplier").select("s_suppkey", F.explode(prose.selling_holders(doc)).alias("x"))
     return rows.select("s_suppkey", "x.*")
 

@@ -59,3 +59,24 @@ def effective_date(text: Column) -> Column:
 
 def period_end(text: Column, lower: Column) -> Column:
     return F.coalesce(F.trim(F.regexp_extract(piece(text, at(lower, "ended") + 5, 19), r"^\s*([A-Z][a-z]+ \d{1,2},? \d{4})", 1)), F.lit(""))
+
+
+def http_date(text: Column) -> Column:
+    """The time of an HTTP date header, as in "Tue, 15 Nov 1994 08:12:31 GMT"; null where it is none."""
+    return F.try_to_timestamp(F.regexp_extract(text, r"^\w{3}, (\d{2} \w{3} \d{4} \d{2}:\d{2}:\d{2}) GMT$", 1), F.lit("dd MMM yyyy HH:mm:ss"))
+
+
+def quarter_of(day: Column) -> Column:
+    """struct<year, quarter> that a day lies in."""
+    return F.struct(F.year(day).alias("year"), F.quarter(day).alias("quarter"))
+
+
+def years_back(wanted: int | str | None, this_year: int, first: int = 1993) -> int:
+    """How many years of the index are asked for: a number, "all" since the first, none without one."""
+    if wanted is None:
+        return 0
+    if wanted == "all":
+        return this_year - first + 1
+    if isinstance(wanted, str) or wanted < 0:
+        raise ValueError(f"years must be a whole number from 0 on or 'all'; got {wanted!r}")
+    return wanted

@@ -2,40 +2,82 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from filigree.functions.money import plain_decimal
+
+#: Brackets around the coordinates of each type, that make them lists of polygons of rings of points (fixed values).
+DEPTH = {"Point": 3, "MultiPoint": 2, "LineString": 2, "Polygon": 1, "MultiPolygon": 0}
 
-def _num(x: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(x.cast("decimal(30,12)").cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
 
+def bound(x: Column, body: Callable[[Column], Column]) -> Column:
+    """body of x, with x evaluated once however often body names it."""
+    return F.element_at(F.transform(F.array(x), body), 1)
 
-def _pair(p: Column) -> Column:
-    return F.when((F.size(p) >= 2) & p[0].isNotNull() & p[1].isNotNull(), F.concat_ws(" ", _num(p[0]), _num(p[1])))
 
+def _point(p: Column) -> Column:
+    """"x y" of a list of numbers; null where there are fewer than two."""
+    texts = F.transform(F.slice(p, 1, 2), lambda c: c.try_cast("double").cast("string"))
+    good = (F.size(p) >= 2) & ~F.exists(texts, lambda t: t.isNull())
+    return F.when(good, F.array_join(F.transform(texts, plain_decimal), " "))
 
-def _list(points: Column) -> Column:
-    pairs = F.transform(points, _pair)
-    return F.when(~F.exists(pairs, lambda x: x.isNull()), F.concat(F.lit("("), F.array_join(pairs, ", "), F.lit(")")))
+
+def _listed(texts: Column) -> Column:
+    return F.concat(F.lit("("), F.array_join(texts, ", "), F.lit(")"))
 
 
 def _rings(rings: Column) -> Column:
-    texts = F.transform(rings, lambda r: F.when(F.size(r) >= 3, _list(r)))
-    return F.when((F.size(rings) > 0) & ~F.exists(texts, lambda x: x.isNull()), F.concat(F.lit("("), F.array_join(texts, ", "), F.lit(")")))
+    return F.transform(F.filter(rings, lambda r: F.size(r) >= 3), _listed)
 
 
-def wkt(geometry: Column) -> Column:
-    """POINT, MULTIPOINT, LINESTRING (2 points or more), POLYGON (rings of 3 or more), MULTIPOLYGON; null where malformed."""
-    kind, raw = F.get_json_object(geometry, "$.type"), F.get_json_object(geometry, "$.coordinates")
-    one = F.from_json(raw, "array<double>")
-    two = F.from_json(raw, "array<array<double>>")
-    three = F.from_json(raw, "array<array<array<double>>>")
-    four = F.from_json(raw, "array<array<array<array<double>>>>")
-    polygons = F.transform(four, _rings)
+def _text(kind: Column, polygons: Column) -> Column:
+    points = polygons[0][0]
+    several = F.filter(F.transform(polygons, _rings), lambda r: F.size(r) > 0)
     return (
-        F.when(kind == "Point", F.concat(F.lit("POINT ("), _pair(one), F.lit(")")))
-        .when(kind == "MultiPoint", F.concat(F.lit("MULTIPOINT "), F.when(F.size(two) > 0, _list(two))))
-        .when(kind == "LineString", F.concat(F.lit("LINESTRING "), F.when(F.size(two) >= 2, _list(two))))
-        .when(kind == "Polygon", F.concat(F.lit("POLYGON "), _rings(three)))
-        .when(kind == "MultiPolygon", F.concat(F.lit("MULTIPOLYGON ("), F.when((F.size(four) > 0) & ~F.exists(polygons, lambda x: x.isNull()), F.array_join(polygons, ", ")), F.lit(")")))
+        F.when((kind == "Point") & (F.size(points) > 0), F.concat(F.lit("POINT"), _listed(points)))
+        .when((kind == "MultiPoint") & (F.size(points) > 0), F.concat(F.lit("MULTIPOINT"), _listed(points)))
+        .when((kind == "LineString") & (F.size(points) >= 2), F.concat(F.lit("LINESTRING"), _listed(points)))
+        .when((kind == "Polygon") & (F.size(several) > 0), F.concat(F.lit("POLYGON"), _listed(several[0])))
+        .when((kind == "MultiPolygon") & (F.size(several) > 0), F.concat(F.lit("MULTIPOLYGON"), _listed(F.transform(several, _listed))))
     )
+
+
+#: Numbers whose text is already the shortest, points of them, and what is left of a whole geometry when each point is
+#: called p, each ring r and each polygon y.
+_NUMBER = r"-?(?:0|[1-9]\d{0,6})(?:\.\d{0,7}[1-9])?"
+_PLAIN_POINT = rf"\[({_NUMBER}),({_NUMBER})(?:,{_NUMBER})?\]"
+_WHOLE = r"^(?:Pointp|MultiPoint\[p[p,]*+\]|LineString\[p,p[p,]*+\]|Polygony|MultiPolygon\[y[y,]*+\])$"
+
+
+def _plain(s: Column) -> Column:
+    """Whether type and coordinates, set end to end, are a geometry without anything to leave out or to rewrite."""
+    rings = F.regexp_replace(F.regexp_replace(s, _PLAIN_POINT, "p"), r"\[p,p,p[p,]*+\]", "r")
+    return F.regexp_replace(rings, r"\[r[r,]*+\]", "y").rlike(_WHOLE)
+
+
+def _plain_text(s: Column) -> Column:
+    bare = F.replace(F.translate(F.regexp_replace(s, _PLAIN_POINT, "$1 $2"), "[]", "()"), F.lit(","), F.lit(", "))
+    name = F.upper(F.regexp_extract(bare, "^([A-Za-z]+)", 1))
+    return F.when(name == "POINT", F.concat(F.lit("POINT("), F.substring(bare, 6, 1 << 20), F.lit(")"))).otherwise(F.concat(name, F.substr(bare, F.length(name) + 1)))
+
+
+def wkt(geometry: Column) -> Column:
+    """POINT, MULTIPOINT, LINESTRING (2 points or more), POLYGON (rings of 3 or more), MULTIPOLYGON; null for anything else.
+
+    Points that are no lists of two numbers or more, and rings of fewer than three points, are left out; a geometry with
+    nothing left is null. Numbers are the shortest decimals that read back as the same double, without exponents.
+    """
+    depth = lambda kind, one: F.coalesce(*[F.when(kind == k, F.lit(one * n)) for k, n in DEPTH.items()], F.lit(""))
+
+    def read(g: Column) -> Column:
+        bare = F.regexp_replace(g["coordinates"], r'"(?:[^"\\]|\\.)*"', "null")  # text is no number, even where it reads like one
+        nested = F.from_json(F.concat(depth(g["type"], "["), bare, depth(g["type"], "]")), "array<array<array<array<string>>>>")
+        polygons = F.transform(nested, lambda p: F.transform(p, lambda r: F.filter(F.transform(r, _point), lambda x: x.isNotNull())))
+        return bound(F.struct(g["type"].alias("kind"), polygons.alias("polygons")), lambda x: _text(x["kind"], x["polygons"]))
+
+    # Most geometries are rewritten as text; only others are taken apart.
+    whole = F.concat(F.get_json_object(geometry, "$.type"), F.get_json_object(geometry, "$.coordinates"))
+    return bound(F.struct(whole.alias("s"), geometry.alias("g")), lambda x: F.when(_plain(x["s"]), _plain_text(x["s"])).otherwise(bound(F.from_json(x["g"], "type string, coordinates string"), read)))

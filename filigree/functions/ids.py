@@ -66,3 +66,16 @@ def former_names(names: Column) -> Column:
         return F.when(F.size(dates) > 0, F.concat(x["name"], F.lit(" ("), F.array_join(dates, ", "), F.lit(")"))).otherwise(x["name"])
 
     return F.coalesce(F.array_join(F.transform(names, one), "; "), F.lit(""))
+
+
+def company_json_url(registry_number: Column, kind: str = "submissions") -> Column:
+    """The address of a company's record ("submissions") or of its facts ("api/xbrl/companyfacts")."""
+    return F.concat(F.lit(f"https://data.sec.gov/{kind}/CIK"), pad_registry_number(registry_number), F.lit(".json"))
+
+
+def quarter_index_url(year: Column, quarter: Column) -> Column:
+    return F.concat(F.lit("https://www.sec.gov/Archives/edgar/full-index/"), year.cast("string"), F.lit("/QTR"), quarter.cast("string"), F.lit("/master.idx"))
+
+
+def filing_folder_url(registry_number: Column, accession: Column) -> Column:
+    return F.concat(F.concat_ws("/", F.lit(ARCHIVES), strip_leading_zeros(registry_number), strip_accession_dashes(accession)), F.lit("/"))

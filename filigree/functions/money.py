@@ -106,9 +106,10 @@ def _step(acc: Column, x: Column, place: Column) -> Column:
 
 
 def clean_money(cell: Column) -> Column:
-    """A table cell's amount: a dash is 0; a footnote mark or other text is null."""
-    x = F.trim(F.regexp_replace(cell, r"[$,\s]", ""))
-    return F.when(x.isin("-", "—", "–"), F.lit(0.0)).when(x.rlike(r"^\(\d{1,2}\)$") | (x == ""), F.lit(None).cast("double")).otherwise(x.try_cast("double"))
+    """A table cell's amount: a dash is 0; signs, brackets and marks are left out; a bracketed footnote number or other text is null."""
+    x = F.trim(cell)
+    kept = F.regexp_replace(x, r"[$,()*†‡ ]", "")
+    return F.when(x.isin("-", "—", "–"), F.lit(0.0)).when(~x.rlike(r"^\(\d{0,2}\)$") & kept.rlike(r"^[\d.]+$"), kept.try_cast("double"))
 
 
 def clean_numeric(token: Column) -> Column:
@@ -121,10 +122,19 @@ def share_count(cell: Column) -> Column:
     return F.when(cell.rlike(r"^[\d, ]+$"), F.expr("1") * F.regexp_replace(cell, "[, ]", "").try_cast("double")).otherwise(F.lit(None).cast("double"))
 
 
+def plain_decimal(text: Column) -> Column:
+    """A double's text (the shortest that reads back) without a trailing .0 and without an exponent."""
+    digits = F.regexp_replace(F.regexp_extract(text, r"^-?(\d\.\d+)E", 1), r"\.0$|\.", "")
+    power = F.regexp_extract(text, r"E(-?\d+)$", 1).try_cast("int")
+    large = F.when(F.length(digits) > power + 1, F.concat(F.substring(digits, F.lit(1), power + 1), F.lit("."), F.substring(digits, power + 2, F.lit(20)))).otherwise(F.rpad(digits, power + 1, "0"))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    sign = F.when(F.startswith(text, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
+    return F.when(~F.contains(text, F.lit("E")), F.regexp_replace(text, r"\.0$", "")).otherwise(F.concat(sign, F.when(power > 0, large).otherwise(small)))
+
+
 def format_float(x: Column) -> Column:
-    """Text for CSV export: empty for 0, whole numbers without a point, else the shortest decimal without an exponent."""
-    plain = F.regexp_replace(F.regexp_replace(x.cast("decimal(38,12)").cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
-    return F.when(x.isNull() | (x == 0), F.lit("")).otherwise(plain)
+    """Text for CSV export: empty for null and 0, whole numbers without a point, else the shortest decimal without an exponent."""
+    return F.when(x.isNull() | (x == 0), F.lit("")).otherwise(plain_decimal(x.cast("double").cast("string")))
 
 
 def ratio_to_one(text: Column) -> Column:

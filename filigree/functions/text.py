@@ -118,3 +118,9 @@ def table_rows(html: Column) -> Column:
     """array<array<string>>: the cells of each table row, empty cells left out."""
     rows = F.split(html, r"(?i)</tr[^>]*>")
     return F.transform(rows, lambda r: F.filter(F.transform(F.split(r, r"(?i)</t[dh][^>]*>"), lambda c: strip_html(c, "cells")), lambda c: c != ""))
+
+
+def byte_size(n: Column) -> Column:
+    """A number of bytes for people: KB and MB with one decimal, GB and TB with two, of 1,024 each; "?" where it isn't known."""
+    scaled = lambda power, form: F.format_string(form, n / float(1024**power))
+    return F.when(n.isNull(), F.lit("?")).when(n < 1024**2, scaled(1, "%.1f KB")).when(n < 1024**3, scaled(2, "%.1f MB")).when(n < 1024**4, scaled(3, "%.2f GB")).otherwise(scaled(4, "%.2f TB"))

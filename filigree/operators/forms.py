@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filigree.functions import ids, money
+from filigree.functions.geo import bound
 
 _V = "struct<value:string>"
 _TX = f"array<struct<securityTitle:{_V},transactionDate:{_V},transactionCoding:struct<transactionCode:string,equitySwapInvolved:string>,transactionAmounts:struct<transactionShares:{_V},transactionPricePerShare:struct<value:string,footnoteId:array<struct<_id:string>>>,transactionAcquiredDisposedCode:{_V}>,postTransactionAmounts:struct<sharesOwnedFollowingTransaction:{_V}>,ownershipNature:struct<directOrIndirectOwnership:{_V}>>>"
@@ -49,20 +50,21 @@ CommonStockSharesOutstanding WeightedAverageNumberOfSharesOutstandingBasic Weigh
 
 
 def parse_xml(docs: DataFrame, schema: str, into: str, text: str = "text") -> DataFrame:
+    """docs with the parsed text in a column; docs that have been parsed already stay as they are."""
+    if into in docs.columns:
+        return docs
     return docs.withColumn(into, F.from_xml(text, schema, {"ignoreNamespace": "true"}))
 
 
 def classify(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with kind: form3, form4, form5, form144, formd or failed, by what their content has."""
-    owner, notice, offering = F.from_xml(text, OWNERSHIP), F.from_xml(text, FORM_144), F.from_xml(text, FORM_D)
-    form = F.regexp_extract(owner["documentType"], r"^([345])(?:/A)?$", 1)
-    return docs.withColumn(
-        "kind",
-        F.when(F.coalesce(form, F.lit("")) != "", F.concat(F.lit("form"), form))
-        .when((F.coalesce(F.size(notice["securitiesInformation"]), F.lit(0)) > 0) | (F.coalesce(F.size(notice["securitiesSoldInPast3Months"]), F.lit(0)) > 0), F.lit("form144"))
-        .when(offering["offeringData"].isNotNull(), F.lit("formd"))
-        .otherwise(F.lit("failed")),
-    )
+    """docs with kind: form3, form4, form5, form144, formd or failed, by what their content has. A document is parsed only by the schemas whose words it has."""
+    whole = F.col(text)
+    only = lambda word, schema: F.from_xml(F.when(whole.rlike(word), whole), schema)
+    notice_schema = "securitiesInformation array<struct<securitiesClassTitle:string>>, securitiesSoldInPast3Months array<struct<securitiesClassTitle:string>>"
+    form = bound(only("documentType", "documentType string"), lambda d: F.regexp_extract(F.coalesce(d["documentType"], F.lit("")), r"^([345])(?:/A)?$", 1))
+    notice = bound(only("securitiesInformation|securitiesSoldInPast3Months", notice_schema), lambda d: F.coalesce(F.size(d["securitiesInformation"]), F.lit(0)) + F.coalesce(F.size(d["securitiesSoldInPast3Months"]), F.lit(0)) > 0)
+    offering = only("offeringData", "offeringData string")["offeringData"].isNotNull()
+    return docs.withColumn("_f", form).withColumn("kind", F.when(F.col("_f") != "", F.concat(F.lit("form"), F.col("_f"))).when(notice, F.lit("form144")).when(offering, F.lit("formd")).otherwise(F.lit("failed"))).drop("_f")
 
 
 def owner_of(doc: Column) -> Column:
@@ -85,12 +87,12 @@ def ownership_transactions(docs: DataFrame, text: str = "text") -> DataFrame:
     t = F.col("x.t")
     amounts = t["transactionAmounts"]
     note = F.array_join(F.transform(F.coalesce(amounts["transactionPricePerShare"]["footnoteId"], F.array().cast("array<struct<_id:string>>")), lambda f: F.try_element_at(F.col("_notes"), f["_id"])), " ")
-    span = money.price_range(note)
+    span = money.price_range(F.nullif(note, F.lit("")))
     raw = money.number(F.coalesce(amounts["transactionPricePerShare"]["value"], F.lit("")), "")
     price = F.coalesce(money.repaired_price(raw, span["low"], span["high"]), raw)
     shares = money.number(F.coalesce(amounts["transactionShares"]["value"], F.lit("")), "")
     return out.select(
-        *[c for c in docs.columns if c != text],
+        *[c for c in docs.columns if c not in (text, "d")],
         "lot",
         ids.person_id(ids.strip_leading_zeros(owner["reportingOwnerId"]["rptOwnerCik"])).alias("person_nid"),
         ids.strip_leading_zeros(doc["issuer"]["issuerCik"]).alias("issuer_cik"),
@@ -115,7 +117,7 @@ def ownership_roles(docs: DataFrame, text: str = "text") -> DataFrame:
     flags = {"isDirector": "director", "isOfficer": "officer", "isTenPercentOwner": "ten_percent_owner", "isOther": "other"}
     set_ = F.array_compact(F.array(*[F.when(money.truthy(rel[k]), F.lit(v)) for k, v in flags.items()]))
     owner = owner_of(F.col("d"))["reportingOwnerId"]["rptOwnerCik"]
-    return rows.select(*[c for c in docs.columns if c != text], ids.person_id(ids.strip_leading_zeros(owner)).alias("person_nid"), ids.strip_leading_zeros(F.col("d.issuer.issuerCik")).alias("issuer_cik"), rel["officerTitle"].alias("officer_title"), F.col("d.periodOfReport").alias("period"), F.explode(set_).alias("role_type"))
+    return rows.select(*[c for c in docs.columns if c not in (text, "d")], ids.person_id(ids.strip_leading_zeros(owner)).alias("person_nid"), ids.strip_leading_zeros(F.col("d.issuer.issuerCik")).alias("issuer_cik"), rel["officerTitle"].alias("officer_title"), F.col("d.periodOfReport").alias("period"), F.explode(set_).alias("role_type"))
 
 
 def ownership_owners(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -123,7 +125,7 @@ def ownership_owners(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = parse_xml(docs, OWNERSHIP, "d", text)
     owner = owner_of(F.col("d"))["reportingOwnerId"]
     cik = ids.strip_leading_zeros(owner["rptOwnerCik"])
-    return rows.where(owner["rptOwnerCik"].isNotNull()).select(*[c for c in docs.columns if c != text], ids.person_id(cik).alias("person_nid"), cik.alias("owner_cik"), owner["rptOwnerName"].alias("display_name"))
+    return rows.where(owner["rptOwnerCik"].isNotNull()).select(*[c for c in docs.columns if c not in (text, "d")], ids.person_id(cik).alias("person_nid"), cik.alias("owner_cik"), owner["rptOwnerName"].alias("display_name"))
 
 
 def ownership_holdings(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -137,7 +139,7 @@ def ownership_holdings(docs: DataFrame, text: str = "text") -> DataFrame:
     both = F.concat(tagged(F.col("d.nonDerivativeTable.nonDerivativeHolding"), 0), tagged(F.col("d.derivativeTable.derivativeHolding"), 1))
     t = F.col("x.t")
     return rows.select("*", F.posexplode(both).alias("lot", "x")).select(
-        *[c for c in docs.columns if c != text], "lot", ids.person_id(ids.strip_leading_zeros(owner_of(F.col("d"))["reportingOwnerId"]["rptOwnerCik"])).alias("person_nid"), ids.strip_leading_zeros(F.col("d.issuer.issuerCik")).alias("issuer_cik"),
+        *[c for c in docs.columns if c not in (text, "d")], "lot", ids.person_id(ids.strip_leading_zeros(owner_of(F.col("d"))["reportingOwnerId"]["rptOwnerCik"])).alias("person_nid"), ids.strip_leading_zeros(F.col("d.issuer.issuerCik")).alias("issuer_cik"),
         t["securityTitle"]["value"].alias("security_title"), F.col("d.periodOfReport").alias("as_of_date"), money.number(F.coalesce(t["postTransactionAmounts"]["sharesOwnedFollowingTransaction"]["value"], F.lit("")), "").alias("shares"),
         t["ownershipNature"]["directOrIndirectOwnership"]["value"].alias("direct_indirect"), F.col("x.is_derivative").alias("is_derivative"),
     )
@@ -145,11 +147,11 @@ def ownership_holdings(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def manager_holdings(docs: DataFrame, text: str = "text") -> DataFrame:
     """Positions of a manager's information table; the number counts positions before those without a CUSIP go."""
-    rows = parse_xml(docs, TABLE_13F, "d", text).select(*[c for c in docs.columns if c != text], F.posexplode("d.infoTable").alias("position", "h"))
+    rows = parse_xml(docs, TABLE_13F, "d", text).select(*[c for c in docs.columns if c not in (text, "d")], F.posexplode("d.infoTable").alias("position", "h"))
     h = F.col("h")
     num = lambda c: money.number(F.coalesce(c, F.lit("")), ",")
     return rows.where(F.coalesce(F.trim(h["cusip"]), F.lit("")) != "").select(
-        *[c for c in docs.columns if c != text], "position", h["cusip"].alias("cusip"), h["nameOfIssuer"].alias("name_of_issuer"), h["titleOfClass"].alias("title_of_class"), num(h["value"]).alias("value"),
+        *[c for c in docs.columns if c not in (text, "d")], "position", h["cusip"].alias("cusip"), h["nameOfIssuer"].alias("name_of_issuer"), h["titleOfClass"].alias("title_of_class"), num(h["value"]).alias("value"),
         num(h["shrsOrPrnAmt"]["sshPrnamt"]).alias("shares"), h["shrsOrPrnAmt"]["sshPrnamtType"].alias("shares_type"), h["investmentDiscretion"].alias("investment_discretion"),
         num(h["votingAuthority"]["Sole"]).alias("voting_sole"), num(h["votingAuthority"]["Shared"]).alias("voting_shared"), num(h["votingAuthority"]["None"]).alias("voting_none"), F.array_join(h["otherManager"], ",").alias("other_managers"),
     )
@@ -163,8 +165,8 @@ def past_sales(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = parse_xml(docs, FORM_144, "d", text)
     s, gross = F.col("s"), money.number(F.col("s.grossProceeds"))
     planned = F.coalesce(F.size("d.securitiesInformation"), F.lit(0))
-    return rows.select(*[c for c in docs.columns if c != text], ids.strip_leading_zeros(F.col("d.issuerInfo.issuerCik")).alias("issuer_cik"), F.col(_SELLER).alias("seller"), planned.alias("_n"), F.posexplode("d.securitiesSoldInPast3Months").alias("_i", "s")).select(
-        *[c for c in docs.columns if c != text], "issuer_cik", "seller", (F.col("_i") + F.greatest("_n", F.lit(0))).alias("lot"), s["securitiesClassTitle"].alias("security_title"), s["saleDate"].alias("transaction_date"), money.number(s["amountOfSecuritiesSold"]).alias("shares"), gross.alias("total_value"),
+    return rows.select(*[c for c in docs.columns if c not in (text, "d")], ids.strip_leading_zeros(F.col("d.issuerInfo.issuerCik")).alias("issuer_cik"), F.col(_SELLER).alias("seller"), planned.alias("_n"), F.posexplode("d.securitiesSoldInPast3Months").alias("_i", "s")).select(
+        *[c for c in docs.columns if c not in (text, "d")], "issuer_cik", "seller", (F.col("_i") + F.greatest("_n", F.lit(0))).alias("lot"), s["securitiesClassTitle"].alias("security_title"), s["saleDate"].alias("transaction_date"), money.number(s["amountOfSecuritiesSold"]).alias("shares"), gross.alias("total_value"),
     )
 
 
@@ -172,8 +174,8 @@ def planned_sales(docs: DataFrame, text: str = "text") -> DataFrame:
     """Sales that a notice plans."""
     rows = parse_xml(docs, FORM_144, "d", text)
     s = F.col("s")
-    return rows.select(*[c for c in docs.columns if c != text], ids.strip_leading_zeros(F.col("d.issuerInfo.issuerCik")).alias("issuer_cik"), F.col(_SELLER).alias("seller"), F.posexplode("d.securitiesInformation").alias("lot", "s")).select(
-        *[c for c in docs.columns if c != text], "issuer_cik", "seller", "lot", s["securitiesClassTitle"].alias("security_class"), money.number(s["noOfUnitsSold"]).alias("shares"), s["approxSaleDate"].alias("approx_sale_date"),
+    return rows.select(*[c for c in docs.columns if c not in (text, "d")], ids.strip_leading_zeros(F.col("d.issuerInfo.issuerCik")).alias("issuer_cik"), F.col(_SELLER).alias("seller"), F.posexplode("d.securitiesInformation").alias("lot", "s")).select(
+        *[c for c in docs.columns if c not in (text, "d")], "issuer_cik", "seller", "lot", s["securitiesClassTitle"].alias("security_class"), money.number(s["noOfUnitsSold"]).alias("shares"), s["approxSaleDate"].alias("approx_sale_date"),
         s["brokerOrMarketmakerDetails"]["name"].alias("broker_name"), money.number(s["aggregateMarketValue"]).alias("aggregate_market_value"),
     )
 
@@ -182,7 +184,7 @@ def private_offerings(docs: DataFrame, text: str = "text") -> DataFrame:
     """The offering and its proceeds that a private placement's notice states."""
     rows = parse_xml(docs, FORM_D, "d", text).where(F.col("d.offeringData").isNotNull())
     a = F.col("d.offeringData.offeringSalesAmounts")
-    return rows.select(*[c for c in docs.columns if c != text], ids.strip_leading_zeros(F.col("d.primaryIssuer.cik")).alias("issuer_cik"), F.lit("private_placement").alias("offering_type"), money.number(a["totalOfferingAmount"]).alias("gross_proceeds"), money.number(a["totalAmountSold"]).alias("amount_sold"), money.number(F.col("d.offeringData.useOfProceeds.grossProceedsUsed.dollarAmount")).alias("amount_usd"))
+    return rows.select(*[c for c in docs.columns if c not in (text, "d")], ids.strip_leading_zeros(F.col("d.primaryIssuer.cik")).alias("issuer_cik"), F.lit("private_placement").alias("offering_type"), money.number(a["totalOfferingAmount"]).alias("gross_proceeds"), money.number(a["totalAmountSold"]).alias("amount_sold"), money.number(F.col("d.offeringData.useOfProceeds.grossProceedsUsed.dollarAmount")).alias("amount_usd"))
 
 
 def company_facts(docs: DataFrame, concepts: list[str] | None = None, text: str = "text") -> DataFrame:

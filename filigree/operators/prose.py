@@ -74,7 +74,7 @@ def holder_row(line: Column) -> Column:
     is_shares = F.transform(F.arrays_zip(tokens.alias("t"), values.alias("v")), lambda x: ~F.contains(x["t"], F.lit("%")) & (F.coalesce(x["v"].try_cast("bigint"), F.lit(0)) >= 1000))
     last = F.array_max(F.transform(is_shares, lambda ok, i: F.when(ok, i).otherwise(F.lit(-1))))
     name = F.array_join(F.slice(tokens, 1, F.greatest(last, F.lit(1))), " ")
-    percents = F.filter(F.slice(tokens, F.greatest(last + 2, F.lit(1)), 100), lambda t: F.contains(t, F.lit("%")))
+    percents = F.filter(F.slice(tokens, F.greatest(last + 2, F.lit(1)), F.size(tokens)), lambda t: F.contains(t, F.lit("%")))
     percent = F.regexp_replace(F.try_element_at(percents, F.lit(-1)), "[^0-9.]", "").try_cast("double")
     low = F.lower(name)
     capitals = (name == F.upper(name)) & (F.size(F.split(name, r"\s+")) <= 2)
@@ -118,8 +118,8 @@ def compensation_rows(html: Column) -> Column:
     def read(cells: Column) -> Column:
         years = F.transform(cells, lambda c, i: F.when(c.rlike(r"^(?:199[5-9]|20\d\d)$"), i))
         at_year = F.array_min(F.filter(years, lambda x: x.isNotNull()))
-        names = F.filter(F.slice(cells, 1, at_year), lambda c: (F.size(F.split(F.substring_index(c, ",", 1), r"\s+")).between(2, 6)) & (F.length(F.regexp_replace(c, "[^A-Za-z]", "")) >= 4))
-        amounts = F.filter(F.transform(F.slice(cells, at_year + 2, 100), money.clean_money), lambda v: v.isNotNull())
+        names = F.filter(F.slice(cells, 1, at_year), lambda c: (F.size(F.split(F.substring_index(c, ",", 1), r"\s+")).between(2, 6)) & (F.length(F.regexp_replace(c, "[^A-Za-z]", "")) >= 4) & (F.length(F.regexp_replace(c, "[^0-9]", "")) <= 1))
+        amounts = F.filter(F.transform(F.slice(cells, at_year + 2, F.size(cells)), money.clean_money), lambda v: v.isNotNull())
         return F.when(at_year.isNotNull() & (F.size(amounts) >= 2), F.struct(F.coalesce(F.try_element_at(names, F.lit(1)), F.lit("")).alias("name"), F.try_element_at(cells, at_year + 1).cast("int").alias("fiscal_year"), amounts.alias("amounts")))
 
     found = F.filter(F.transform(rows, read), lambda x: x.isNotNull())

@@ -11,19 +11,20 @@ from pyspark.sql import functions as F
 from filigree.operators.lookup import first_wins
 
 
-def nodes(rows: DataFrame, label: str, pk: str, title: str | None = None, order: list[str] | None = None) -> DataFrame:
-    """(label, id, title): one row for each key; of rows with equal keys the first by order."""
+def nodes(rows: DataFrame, label: str, pk: str, title: str | None = None, order: list[str] | None = None, properties: list[str] | None = None) -> DataFrame:
+    """(label, id, title, properties: map of text): one row for each key; of rows with equal keys the first by order."""
     used = rows.where(F.col(pk).isNotNull())
-    if order:
-        used = first_wins(used, [pk], order)
-        return used.select(F.lit(label).alias("label"), F.col(pk).cast("string").alias("id"), (F.col(title) if title else F.lit(None)).cast("string").alias("title"))
-    return used.groupBy(F.col(pk).cast("string").alias("id")).agg(F.min(F.col(title or pk).cast("string")).alias("title")).select(F.lit(label).alias("label"), "id", "title")
+    props = F.create_map(*[x for c in properties or [] for x in (F.lit(c), F.col(c).cast("string"))]) if properties else F.lit(None).cast("map<string,string>")
+    if order or properties:
+        used = first_wins(used, [pk], order or sorted(properties))
+        return used.select(F.lit(label).alias("label"), F.col(pk).cast("string").alias("id"), (F.col(title) if title else F.lit(None)).cast("string").alias("title"), props.alias("properties"))
+    return used.groupBy(F.col(pk).cast("string").alias("id")).agg(F.min(F.col(title or pk).cast("string")).alias("title")).select(F.lit(label).alias("label"), "id", "title", props.alias("properties"))
 
 
 def fk_edges(src: DataFrame, src_label: str, pk: str, fk: str, kind: str, dst: DataFrame, dst_label: str, dst_pk: str) -> DataFrame:
     """An edge for each row whose key has a target; dangling keys give none."""
-    targets = dst.select(F.col(dst_pk).cast("string").alias("dst")).where("dst is not null").distinct()
-    return src.select(F.col(pk).cast("string").alias("src"), F.col(fk).cast("string").alias("dst")).join(targets, "dst").select(F.lit(src_label).alias("src_label"), "src", F.lit(kind).alias("type"), F.lit(dst_label).alias("dst_label"), "dst")
+    targets = dst.select(F.col(dst_pk).cast("string").alias("dst")).where("dst is not null")
+    return src.select(F.col(pk).cast("string").alias("src"), F.col(fk).cast("string").alias("dst")).join(targets, "dst", "left_semi").select(F.lit(src_label).alias("src_label"), "src", F.lit(kind).alias("type"), F.lit(dst_label).alias("dst_label"), "dst")
 
 
 def dangling(src: DataFrame, fk: str, dst: DataFrame, dst_pk: str) -> DataFrame:
@@ -113,8 +114,8 @@ class Graph:
 
     def nodes(self, label: str | None = None, **where) -> Pattern:
         found = self.node_rows if label is None else self.node_rows.where(F.col("label") == label)
-        for c, v in where.items():
-            found = found.where(F.col(c) == v)
+        for c, v in where.items():  # anything but label, id and title is a property
+            found = found.where((F.col(c) if c in ("id", "title") else F.try_element_at("properties", F.lit(c))) == F.lit(v).cast("string"))
         return Pattern(self, found.select(F.col("id").alias("n0"), F.col("label").alias("l0")), 0)
 
     def edge_count(self, kind: str) -> DataFrame:
@@ -143,6 +144,12 @@ class Pattern:
         step = edges.select(F.col("src").alias(f"n{n}"), F.col("src_label").alias(f"l{n}"), F.col("dst").alias(f"n{n + 1}"), F.col("dst_label").alias(f"l{n + 1}"))
         return Pattern(self.graph, self.rows.join(step, [f"n{n}", f"l{n}"]), n + 1)
 
+    def select(self, at: int, *names: str) -> DataFrame:
+        """Ids, titles or properties of the path's nodes number at."""
+        own = self.graph.node_rows.select(F.col("id").alias(f"n{at}"), F.col("label").alias(f"l{at}"), "title", "properties")
+        col = lambda c: F.col(f"n{at}") if c == "id" else F.col("title") if c == "title" else F.try_element_at("properties", F.lit(c))
+        return self.rows.join(own, [f"n{at}", f"l{at}"]).select(*[col(c).alias(c) for c in names])
+
     def count(self) -> DataFrame:
         return self.rows.agg(F.count("*").alias("n"))
 
@@ -155,8 +162,19 @@ def compile_blueprint(tables: dict[str, DataFrame], blueprint: dict) -> Graph:
     spec, frames = blueprint["nodes"], dict(tables)
     stem = lambda n: re.sub(r"^.*/|\.[^./]*$", "", spec[n]["csv"])
     rows = {n: frames[stem(n)] for n in spec}
-    node_parts = [nodes(rows[n], n, s["pk"], s.get("title")) for n, s in spec.items()]
-    edge_parts = []
+    node_parts, edge_parts = [], []
+    by_name = lambda path: frames[re.sub(r"^.*/|\.[^./]*$", "", path)]
+    for n, s in spec.items():
+        for kind, e in s.get("connections", {}).get("junction_edges", {}).items():
+            t = e["target"]
+            made = junction_edges(by_name(e["csv"]), rows[n], e["source_fk"], s["pk"], rows[t], e["target_fk"], spec[t]["pk"], kind)
+            edge_parts.append(made.select(F.lit(n).alias("src_label"), "src", "type", F.lit(t).alias("dst_label"), "dst"))
+        for label, sub in s.get("sub_nodes", {}).items():  # rows of a table of their own that belong to a node
+            own = by_name(sub["csv"])
+            if sub["pk"] not in own.columns:
+                own = own.withColumn(sub["pk"], F.xxhash64(*[F.col(c) for c in own.columns]))
+            node_parts.append(nodes(own, label, sub["pk"], sub.get("title"), properties=sub.get("properties")))
+            edge_parts.append(fk_edges(own, label, sub["pk"], sub["parent_fk"], sub.get("edge", f"OF_{n.upper()}"), rows[n], n, s["pk"]))
     for n, s in spec.items():
         for kind, e in s.get("connections", {}).get("fk_edges", {}).items():
             t = e["target"]
@@ -183,5 +201,6 @@ def compile_blueprint(tables: dict[str, DataFrame], blueprint: dict) -> Graph:
             node_parts.append(nodes(made, op["into"], "_pk"))
             for e in op.get("edges", []):
                 edge_parts.append(fk_edges(made, op["into"], "_pk", e["fk"], e["edge"], rows[e["to"]], e["to"], spec[e["to"]]["pk"]))
+    node_parts += [nodes(rows[n], n, s["pk"], s.get("title"), properties=s.get("properties")) for n, s in spec.items()]  # with what derive has added
     union = lambda parts: reduce(DataFrame.unionByName, parts)
     return Graph(union(node_parts), union(edge_parts))

@@ -7,6 +7,8 @@ parser sees them, and each parser runs on the documents of its forms only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,8 +72,8 @@ def named(name: Column, prefix: str = "p-") -> Column:
     return F.concat(F.lit(prefix), text.normalise_name(name))
 
 
-def build(docs: DataFrame, index: DataFrame, parsed: DataFrame, facts: DataFrame | None = None, extracted_at: str = "") -> dict[str, DataFrame]:
-    """Every table by name."""
+def build(docs: DataFrame, index: DataFrame, parsed: DataFrame, facts: DataFrame | None = None, extracted_at: str = "", kept: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Every table by name; kept (session.kept, say) writes the parsed ownership forms out, so that their tables share one parse."""
     spark = docs.sparkSession
     out: dict[str, list[DataFrame]] = {t: [] for t in COLUMNS}
     people: list[DataFrame] = []
@@ -89,7 +91,8 @@ def build(docs: DataFrame, index: DataFrame, parsed: DataFrame, facts: DataFrame
 
     # Ownership forms: one pass over the XML of indexed filings.
     xml = forms.classify(indexed.where(ids.is_ownership_xml(F.col("document"))).select(*base, "text"))
-    own = xml.where(F.col("kind").isin("form3", "form4", "form5"))
+    own = forms.parse_xml(xml.where(F.col("kind").isin("form3", "form4", "form5")), forms.OWNERSHIP, "d").drop("text")
+    own = own if kept is None else kept(own)  # four tables read what is parsed once
     form_name = F.regexp_replace("kind", "form", "")
     tx = forms.ownership_transactions(own)
     direction = F.when(F.col("acquired_disposed") == "A", "purchase").when(F.col("acquired_disposed") == "D", "sale")

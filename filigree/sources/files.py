@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from filigree.functions import ids
+from filigree.functions import dates, ids
 
 
 def filing_tree(spark: SparkSession, root: str, content: bool = True) -> DataFrame:
@@ -41,19 +42,56 @@ def line_count(spark: SparkSession, path: str) -> int:
 
 
 def tickers(raw: DataFrame, column: str = "value") -> DataFrame:
-    """(ticker, cik) of a JSON map of {cik_str, ticker, title}; null entries and empty tickers are left out."""
+    """(ticker, cik) of a JSON map of {cik_str, ticker, title}; null entries and empty tickers are left out, of repeated tickers the last entry stays."""
     entries = F.from_json(column, "map<string,struct<cik_str:bigint,ticker:string,title:string>>")
-    return raw.select(F.explode(F.map_values(entries)).alias("x")).where("x.ticker <> '' and x.cik_str is not null").select(F.upper("x.ticker").alias("ticker"), F.col("x.cik_str").alias("cik"))
+    rows = raw.select(F.monotonically_increasing_id().alias("_r"), F.posexplode(F.map_values(entries)).alias("_n", "x")).where("x.ticker <> '' and x.cik_str is not null")
+    return rows.groupBy(F.upper("x.ticker").alias("ticker")).agg(F.max_by("x.cik_str", F.struct("_r", "_n")).alias("cik"))
+
+
+def resolve_companies(spark: SparkSession, wanted: list[int | str], known: DataFrame) -> list[int]:
+    """The company numbers of numbers and tickers, in their order; a ticker that known (ticker, cik) lacks is an error."""
+    asked = sorted({w.upper() for w in wanted if isinstance(w, str)})
+    found = {r["ticker"]: r["cik"] for r in known.where(F.col("ticker").isin(asked)).collect()} if asked else {}
+    unknown = [w for w in asked if w not in found]
+    if unknown:
+        raise ValueError(f"unknown tickers: {', '.join(unknown)}")
+    return [found[w.upper()] if isinstance(w, str) else w for w in wanted]
+
+
+def resolved(requests: DataFrame, known: DataFrame) -> DataFrame:
+    """requests (name) with cik: digits stand for themselves, other names are tickers; null where there is no such ticker."""
+    by_name = known.select(F.col("ticker").alias("_t"), F.col("cik").alias("_c"))
+    return requests.join(by_name, F.upper("name") == F.col("_t"), "left").select(*requests.columns, F.coalesce(F.col("name").try_cast("bigint"), "_c").alias("cik"))
 
 
 def triples(lines: DataFrame, languages: list[str] | None = None, column: str = "value") -> DataFrame:
     """(subject, predicate, object, lang) of N-Triples lines; literals in other languages go, those without one stay."""
     form = r'^\s*<([^>]*)>\s+<([^>]*)>\s+(?:<([^>]*)>|"((?:[^"\\]|\\.)*)"(?:@([A-Za-z0-9-]+))?(?:\^\^<[^>]*>)?)\s*\.\s*$'
     part = lambda i: F.regexp_extract(column, form, i)
-    out = lines.where(F.col(column).rlike(form)).select(part(1).alias("subject"), part(2).alias("predicate"), F.when(part(3) != "", part(3)).otherwise(part(4)).alias("object"), (part(3) != "").alias("is_iri"), F.nullif(part(5), F.lit("")).alias("lang"))
+    out = lines.where(F.col(column).rlike(form)).select(part(1).alias("subject"), part(2).alias("predicate"), F.when(part(3) != "", part(3)).otherwise(unescaped(part(4))).alias("object"), (part(3) != "").alias("is_iri"), F.nullif(part(5), F.lit("")).alias("lang"))
     return out.where(F.col("lang").isNull() | F.col("lang").isin(languages)) if languages else out
 
 
+def unescaped(text: Column) -> Column:
+    """A literal's text with \\uXXXX, \\UXXXXXXXX and one-letter escapes resolved."""
+    plain = F.transform(F.regexp_extract_all(text, F.lit(r"(?s)(\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\.|[^\\]+)"), F.lit(1)), _unescaped)
+    return F.when(F.contains(text, F.lit("\\")), F.array_join(plain, "")).otherwise(text)
+
+
+def _unescaped(part: Column) -> Column:
+    code = F.conv(F.regexp_extract(part, r"^\\[uU]([0-9A-Fa-f]+)$", 1), 16, 10).try_cast("int")
+    letters = F.try_element_at(F.create_map(*[F.lit(x) for kv in {"\\t": "\t", "\\n": "\n", "\\r": "\r"}.items() for x in kv]), part)
+    point = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "utf-32")
+    return F.when(code.isNotNull(), point).otherwise(F.coalesce(letters, F.regexp_replace(part, r"^\\(.)$", "$1")))
+
+
+def first_entities(found: DataFrame, order: str, most: int) -> DataFrame:
+    """The triples of the first `most` subjects by where they first stand (order)."""
+    seen = found.groupBy("subject").agg(F.min(order).alias("_first"))
+    kept = seen.orderBy("_first", "subject").limit(most).select("subject")
+    return found.join(kept, "subject", "left_semi")
+
+
 def entity_id(iri: Column) -> Column:
     return F.substring_index(iri, "/", -1)
 
@@ -76,3 +114,26 @@ def quarters(spark: SparkSession, first: int, last: int) -> DataFrame:
     """(year, quarter) of the years; the index begins with the third quarter of 1993."""
     days = F.explode(F.sequence(F.make_date(F.lit(first), F.lit(1), F.lit(1)), F.make_date(F.lit(last), F.lit(10), F.lit(1)), F.expr("interval 3 month")))
     return spark.range(1).select(days.alias("d")).where("d >= date'1993-07-01'").select(F.year("d").alias("year"), F.quarter("d").alias("quarter"))
+
+
+def with_dates(rows: DataFrame, order: str) -> DataFrame:
+    """rows in which date columns (by name) are dates where their first value, by order, is a time in milliseconds; other columns stay."""
+    names = [c for c in rows.columns if dates.is_date_column(c)]
+    if not names:
+        return rows
+    number = {c: F.col(c).try_cast("bigint") for c in names}
+    first = rows.agg(*[F.min_by(number[c], F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in names]).first()  # one row
+    turned = [c for c in names if first[c] is not None and first[c] >= dates.EPOCH_MS_FROM]
+    return rows.withColumns({c: dates.epoch_ms_date(number[c]) for c in turned})
+
+
+def empty_layer(spark: SparkSession, description: DataFrame, column: str = "value") -> DataFrame:
+    """A table without rows, with the columns that a layer's JSON description names; one row of description."""
+    names = description.select(F.from_json(column, "fields array<struct<name:string>>")["fields"]["name"].alias("n")).first()["n"] or []
+    return spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in names]))
+
+
+def cell_text(value: Column) -> Column:
+    """A JSON value (variant) as a table's cell: text as it is, nothing for null, nested values as JSON."""
+    kind = F.schema_of_variant(value)
+    return F.when(value.isNull() | (kind == "VOID"), F.lit("")).when(kind == "STRING", F.try_variant_get(value, "$", "string")).otherwise(F.to_json(value))

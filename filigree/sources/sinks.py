@@ -1,9 +1,9 @@
-"""Writers: tables, generations with an atomic pointer, single-file CSV."""
+"""Writers: tables, generations with an atomic pointer, manifests, CSV. Small files go through the file system of their path, local or shared."""
 
 from __future__ import annotations
 
 import json
-import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,44 +11,119 @@ from pyspark.sql import functions as F
 from filigree.functions.money import format_float
 
 
+class Store:
+    """A folder's file system as Hadoop knows it."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.root, self._files = root.rstrip("/"), spark._jvm.org.apache.hadoop.fs
+        self._io = spark._jvm.org.apache.commons.io.IOUtils
+        self._system = self._files.Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def path(self, name: str):
+        return self._files.Path(f"{self.root}/{name}" if name else self.root)
+
+    def exists(self, name: str) -> bool:
+        return self._system.exists(self.path(name))
+
+    def names(self, name: str = "") -> list[str]:
+        return sorted(f.getPath().getName() for f in self._system.listStatus(self.path(name))) if self.exists(name) else []
+
+    def read(self, name: str) -> str | None:
+        """A small file's text; null where there is none."""
+        if not self.exists(name):
+            return None
+        stream = self._system.open(self.path(name))
+        try:
+            return self._io.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write(self, name: str, text: str) -> None:
+        """Replaces a small file: the new one is written beside it and then takes its name."""
+        part = f"{name}.{uuid.uuid4().hex}.part"
+        stream = self._system.create(self.path(part), True)
+        try:
+            self._io.write(text, stream, "UTF-8")
+        finally:
+            stream.close()
+        self.move(part, name)
+
+    def move(self, name: str, to: str) -> None:
+        if self.exists(to):
+            self._system.delete(self.path(to), True)
+        self._system.rename(self.path(name), self.path(to))
+
+    def remove(self, name: str) -> None:
+        self._system.delete(self.path(name), True)
+
+
 def write_table(df: DataFrame, root: str, name: str) -> None:
     """A parquet table; an empty one is written too, with its schema."""
     df.write.mode("overwrite").parquet(f"{root}/{name}")
 
 
+def csv_cells(df: DataFrame) -> DataFrame:
+    """df as text: doubles without exponents, 0 as empty."""
+    return df.select(*[format_float(F.col(c)).alias(c) if t == "double" else F.col(c).cast("string").alias(c) for c, t in df.dtypes])
+
+
 def export_csv(df: DataFrame, path: str) -> None:
-    """Rows as text with a header; doubles without exponents, 0 as empty. One file for each partition, as many as df has."""
-    cells = [format_float(F.col(c)).alias(c) if t == "double" else F.col(c).cast("string").alias(c) for c, t in df.dtypes]
-    df.select(*cells).write.mode("overwrite").csv(path, header=True, emptyValue="", nullValue="")
+    """Rows as text with a header. One file for each partition, as many as df has."""
+    csv_cells(df).write.mode("overwrite").csv(path, header=True, emptyValue="", nullValue="")
+
+
+def export_one_csv(df: DataFrame, root: str, name: str) -> None:
+    """Rows as one file root/name that appears whole; for tables that one task may write, such as reports and dimensions."""
+    store = Store(df.sparkSession, root)
+    part = f"{name}.{uuid.uuid4().hex}"
+    csv_cells(df).coalesce(1).write.csv(f"{root}/{part}", header=True, emptyValue="", nullValue="")
+    store.move(f"{part}/{next(n for n in store.names(part) if n.endswith('.csv'))}", name)
+    store.remove(part)
+
+
+def rewrite(spark: SparkSession, root: str, name: str, change) -> None:
+    """Replaces the table root/name by change(table): written beside it first, then swapped."""
+    store, part = Store(spark, root), f"{name}.{uuid.uuid4().hex}.part"
+    change(spark.read.parquet(f"{root}/{name}")).write.parquet(f"{root}/{part}")
+    store.move(part, name)
+
+
+def load_manifest(spark: SparkSession, root: str, name: str = "manifest.json") -> dict:
+    """The manifest of a folder; empty where there is none or it can't be read."""
+    try:
+        found = json.loads(Store(spark, root).read(name) or "{}")
+    except ValueError:
+        return {}
+    return found if isinstance(found, dict) else {}
+
+
+def save_manifest(spark: SparkSession, root: str, manifest: dict, name: str = "manifest.json") -> None:
+    Store(spark, root).write(name, json.dumps(manifest, indent=1, sort_keys=True))
+
+
+def extracted(spark: SparkSession, root: str, sentinel: str, force: bool = False) -> bool:
+    """Whether an extract in root is complete: the table written last is there."""
+    return not force and Store(spark, root).exists(f"{sentinel}/_SUCCESS")
 
 
 def write_generation(tables: dict[str, DataFrame], root: str, generation: str) -> None:
     """Tables under root/generation; then the pointer is replaced in one step, so that readers see whole generations."""
     for name, df in tables.items():
         write_table(df, f"{root}/{generation}", name)
-    os.makedirs(root, exist_ok=True)
-    part = os.path.join(root, "CURRENT.part")
-    with open(part, "w", encoding="utf-8") as f:
-        f.write(generation)
-    os.replace(part, os.path.join(root, "CURRENT"))
+    Store(next(iter(tables.values())).sparkSession, root).write("CURRENT", generation)
 
 
-def current_generation(root: str) -> str | None:
+def current_generation(spark: SparkSession, root: str) -> str | None:
     """The pointed-to generation; null where there is no pointer or it isn't one plain name."""
-    try:
-        with open(os.path.join(root, "CURRENT"), encoding="utf-8") as f:
-            name = f.read().strip()
-    except OSError:
-        return None
-    return name if name and "/" not in name and name not in (".", "..") and os.path.isdir(os.path.join(root, name)) else None
+    store = Store(spark, root)
+    name = (store.read("CURRENT") or "").strip()
+    return name if name and "/" not in name and name not in (".", "..") and store.exists(name) else None
 
 
 def read_generation(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    found = current_generation(root)
+    found = current_generation(spark, root)
     return spark.read.parquet(f"{root}/{found}/{name}") if found else None
 
 
-def write_source_meta(path: str, **what: str) -> None:
-    with open(f"{path}.part", "w", encoding="utf-8") as f:
-        json.dump(what, f, sort_keys=True)
-    os.replace(f"{path}.part", path)
+def write_source_meta(spark: SparkSession, root: str, name: str, **what: str) -> None:
+    Store(spark, root).write(name, json.dumps(what, sort_keys=True))

@@ -5,13 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filigree.sources.sinks import Store
 
-def ingest(spark: SparkSession, landing: str, schema, table: str, checkpoint: str, key: str | None = None, kind: str = "parquet") -> None:
-    """Takes what has landed since the last run into a parquet table and ends; a key that has come before is left out."""
+
+def ingest(spark: SparkSession, landing: str, schema, table: str, checkpoint: str, key: str | None = None, kind: str = "parquet", ts: str | None = None, late: str = "7 days") -> None:
+    """Takes what has landed since the last run into a parquet table and ends; a key that has come before is left out.
+
+    With an event time ts, keys are remembered for `late` only, so that the state stays bounded; without one, each batch is
+    compared with the table itself, and no state is kept at all.
+    """
     stream = spark.readStream.schema(schema).format(kind).load(landing)
-    if key:
-        stream = stream.dropDuplicates([key])
-    stream.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    if key and ts:
+        stream = stream.withWatermark(ts, late).dropDuplicatesWithinWatermark([key])
+    if not key or ts:
+        sink = stream.writeStream.format("parquet").option("path", table)
+    else:
+        def take(batch: DataFrame, _: int) -> None:
+            fresh = batch.dropDuplicates([key])
+            if Store(spark, table).names():
+                fresh = fresh.join(spark.read.schema(batch.schema).parquet(table).select(key), key, "left_anti").select(*batch.columns)
+            fresh.write.mode("append").parquet(table)
+
+        sink = stream.writeStream.foreachBatch(take)
+    sink.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def windowed(events: DataFrame, ts: str, width: str, late: str, *by: str, slide: str | None = None) -> DataFrame:
