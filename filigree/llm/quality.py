@@ -104,13 +104,13 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.margins(features) + self.offset, -30, 30)))
 
 
-def sample_features(rows: DataFrame, features: Callable[[list], list[np.ndarray]], most: int) -> list[tuple[np.ndarray, int]]:
-    """(features, label) of the rows with the smallest id hashes, one for each id and most at the most; tasks compute the features."""
+def sample_features(rows: DataFrame, features: Callable[[list], list[np.ndarray]], most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features end to end, how many of each row, labels) of the rows with the smallest id hashes, one for each id and most at the most; tasks compute the features."""
     key = F.xxhash64(F.col("doc_id").cast("string"))
     # The threshold hash comes from ids alone, so that texts beyond the sample aren't sorted.
     edge = rows.select(key.alias("h")).distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
     if edge is None:
-        return []
+        return np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
     chosen = rows.where(key <= edge).groupBy(key.alias("h")).agg(F.min(F.struct("text", "label")).alias("x")).select("h", "x.text", F.col("x.label").cast("int").alias("label"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +119,8 @@ def sample_features(rows: DataFrame, features: Callable[[list], list[np.ndarray]
             yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("label"), pa.array(found, pa.list_(pa.int32()))], names=["h", "label", "f"])
 
     got = chosen.mapInArrow(run, "h bigint, label int, f array<int>").toArrow().sort_by("h")
-    return [(np.asarray(f.values.to_numpy(), np.int64), int(label)) for f, label in zip(got["f"], got["label"].to_pylist())]
+    f = got["f"].combine_chunks()
+    return f.flatten().to_numpy(), np.diff(f.offsets.to_numpy()).astype(np.int64), got["label"].to_numpy()
 
 
 def learn(rows: DataFrame, bits: int = BITS, max_rows: int = 3000, max_chars: int = 20_000, threshold: float = 0.3, smooth: float = 1.0, mix_in: float = 0.9, cost: float = 1.0) -> Model:
@@ -133,11 +134,11 @@ def learn(rows: DataFrame, bits: int = BITS, max_rows: int = 3000, max_chars: in
     scale = np.log((p / p.sum()) / (q / q.sum()))
     scale[counts.sum(0) < 4] = 0  # an n-gram of a few texts tells little of others
     short = rows.where(F.coalesce(F.length("text"), F.lit(0)) <= max_chars)
-    sample = sample_features(short, lambda texts: shape_ngrams(texts, bits), max_rows)
-    if not sample:
+    flat, sizes, labels = sample_features(short, lambda texts: shape_ngrams(texts, bits), max_rows)
+    if not len(sizes):
         return Model(bits, np.zeros((1 << bits) + 1), np.zeros(1 << bits), 1.0, float(np.log(totals[1] / totals[0])))
-    features = [f for f, _ in sample]
-    y = np.array([1.0 if label else -1.0 for _, label in sample])
+    features = np.split(flat, np.cumsum(sizes)[:-1])
+    y = np.where(labels > 0, 1.0, -1.0)
     values = [scale[f] / (np.sqrt(scale[f] @ scale[f]) or 1.0) for f in features]
 
     def fit(at: np.ndarray) -> Model:

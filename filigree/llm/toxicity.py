@@ -56,10 +56,8 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 class Rows:
     """Rows of feature numbers, set end to end."""
 
-    def __init__(self, rows: list[np.ndarray]):
-        self.flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-        self.sizes = np.array([len(r) for r in rows], np.int64)
-        self.begins = np.cumsum(self.sizes) - self.sizes
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray):
+        self.flat, self.sizes, self.begins = flat, sizes, np.cumsum(sizes) - sizes
 
     def __len__(self) -> int:
         return len(self.sizes)
@@ -131,7 +129,7 @@ def word_counts(rows: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return quality.summed(rows, count, bits)
 
 
-def learn(positive: DataFrame, unlabelled: DataFrame, prior: float, bits: int = BITS, max_positive: int = 2000, max_unlabelled: int = 6000, max_chars: int = 10_000) -> Model:
+def learn(positive: DataFrame, unlabelled: DataFrame, prior: float, bits: int = BITS, max_positive: int = 1000, max_unlabelled: int = 3000, max_chars: int = 10_000) -> Model:
     """A model from confirmed (doc_id, text) rows, unlabelled (doc_id, text) rows and the share of toxic texts among the latter."""
     rows = positive.select("doc_id", "text", F.lit(1).alias("label")).unionByName(unlabelled.select("doc_id", "text", F.lit(0).alias("label")))
     totals, counts = word_counts(rows, bits)
@@ -143,17 +141,18 @@ def learn(positive: DataFrame, unlabelled: DataFrame, prior: float, bits: int =
     sure = (counts[1] - chance) ** 2 / (chance + 0.5)
     scale = np.log((counts[1] + 1) / (chance + 1)) * sure / (sure + SURE**2)
 
-    def features(df: DataFrame, most: int) -> list[np.ndarray]:
+    def features(df: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
         short = df.where(F.coalesce(F.length("text"), F.lit(0)) <= max_chars)
-        return [f for f, _ in quality.sample_features(short.withColumn("label", F.lit(0)), lambda texts: WordGrams(texts, bits).of_texts(), most)]
-
-    some_p, some_u = features(positive, max_positive), features(unlabelled, max_unlabelled)
-    if not some_p or not some_u:
-        some_p, some_u = some_p or [np.zeros(0, np.int64)], some_u or [np.zeros(0, np.int64)]
-    met = np.unique(np.concatenate([*some_p, *some_u]))
-    where = np.zeros(1 << bits, np.int64)
+        flat, sizes, _ = quality.sample_features(short.withColumn("label", F.lit(0)), lambda texts: WordGrams(texts, bits).of_texts(), most)
+        return (flat, sizes) if len(sizes) else (flat, np.zeros(1, np.int64))  # where all rows are longer, one without n-grams
+
+    (fp, np_), (fu, nu) = features(positive, max_positive), features(unlabelled, max_unlabelled)
+    has = np.zeros(1 << bits, bool)
+    has[fp] = has[fu] = True
+    met = np.flatnonzero(has)
+    where = np.zeros(1 << bits, np.int32)
     where[met] = np.arange(len(met))
-    w, bias, start = fit_nnpu(Rows([where[f] for f in some_p]), Rows([where[f] for f in some_u]), scale[met], prior)
+    w, bias, start = fit_nnpu(Rows(where[fp], np_), Rows(where[fu], nu), scale[met], prior)
     weights = start * scale
     weights[met] = w * scale[met]
     return Model(bits, weights, scale**2, bias)
