@@ -14,7 +14,7 @@ first cut down, without losing a repeat, to the places where repeats can begin:
    one hash that outgrow a task are compared window by window, by a shuffle on the windows themselves.
 
 A text that occurs more than once is removed whole, and one of its copies stands for it above. Anchor hashes that repeat,
-and the places that stand for a stretch, are told to the scans by three bitmaps, of 16 bits for each such hash up to MOST_BITS
+and the places that stand for a stretch, are told to the scans by three bitmaps, of 256 bits for each such hash up to 2 ** MOST_BITS
 in all (32 MB); a bit set by chance costs a row, not a result. A stretch is known by its anchor hash and a 64-bit BLAKE2 digest
 of its bytes together, 128 bits; windows of step 3 are compared by their bytes.
 
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from filigree.llm.common import Workspace, broadcast_if, by_size, mix, powers
 
 LENGTH, ANCHOR = 200, 100
-LEAST_BITS, MOST_BITS = 20, 28
+LEAST_BITS, MOST_BITS = 26, 28
 #: A group of stretches holds about so many bytes; a hash with more stretches than MOST_STRETCHES is compared by shuffle.
 GROUP_BYTES, MOST_STRETCHES = 600_000, 1_500
 _BASE = 0x9E3779B97F4A7C15
@@ -155,7 +155,7 @@ def ranges(flags: np.ndarray) -> list[dict]:
 
 def bitmap(rows: DataFrame) -> np.ndarray:
     """A bitmap with the bit of the upper bits of each h set, sized by the number of rows; gathered as at most 2 ** (MOST_BITS - 6) words."""
-    bits = min(MOST_BITS, max(LEAST_BITS, (16 * rows.count()).bit_length()))
+    bits = min(MOST_BITS, max(LEAST_BITS, (256 * rows.count()).bit_length()))
     word = F.shiftrightunsigned("h", 64 - bits + 6)
     bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - bits}) % 64 as int))")
     got = rows.groupBy(word.alias("w")).agg(F.bit_or(bit).alias("b")).toArrow()
