@@ -17,7 +17,10 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.root, self._files = root.rstrip("/"), spark._jvm.org.apache.hadoop.fs
         self._io = spark._jvm.org.apache.commons.io.IOUtils
-        self._system = self._files.Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+        # An own instance without checksum files, so that other programs may write small files there too.
+        self._system = self._files.FileSystem.newInstance(self._files.Path(self.root).toUri(), spark._jsc.hadoopConfiguration())
+        self._system.setVerifyChecksum(False)
+        self._system.setWriteChecksum(False)
 
     def path(self, name: str):
         return self._files.Path(f"{self.root}/{name}" if name else self.root)
