@@ -774,7 +774,7 @@ def q_ntriples(spark, d):
     return files.entity_graph(files.triples(a.union(b), ["en"]))[1]
 
 
-@query("select f.id, f.wkt from (select cast(n_nationkey as varchar) as id, 'POINT (' || n_nationkey || ' ' || n_regionkey || ')' as wkt from nation) f")
+@query("select f.id, f.wkt from (select cast(n_nationkey as varchar) as id, 'POINT(' || n_nationkey || ' ' || n_regionkey || ')' as wkt from nation) f")
 def q_geojson_features(spark, d):
     doc = _doc('{"type":"FeatureCollection","features":[{"type":"Feature","properties":{"id":', col("n_nationkey"), '},"geometry":{"type":"Point","coordinates":[', col("n_nationkey"), ",", col("n_regionkey"), "]}}]}")
     rows = files.features(read_table(spark, d, "nation").select(doc.alias("value")))

@@ -20,9 +20,9 @@ def bound(x: Column, body: Callable[[Column], Column]) -> Column:
 
 def _point(p: Column) -> Column:
     """"x y" of a list of numbers; null where there are fewer than two."""
-    texts = F.transform(F.slice(p, 1, 2), lambda c: c.try_cast("double").cast("string"))
-    good = (F.size(p) >= 2) & ~F.exists(texts, lambda t: t.isNull())
-    return F.when(good, F.array_join(F.transform(texts, plain_decimal), " "))
+    numbers = F.transform(F.slice(p, 1, 2), lambda c: c.try_cast("double"))
+    good = (F.size(p) >= 2) & ~F.exists(numbers, lambda t: t.isNull())
+    return F.when(good, F.array_join(F.transform(numbers, plain_decimal), " "))
 
 
 def _listed(texts: Column) -> Column:

@@ -122,19 +122,27 @@ def share_count(cell: Column) -> Column:
     return F.when(cell.rlike(r"^[\d, ]+$"), F.expr("1") * F.regexp_replace(cell, "[, ]", "").try_cast("double")).otherwise(F.lit(None).cast("double"))
 
 
-def plain_decimal(text: Column) -> Column:
-    """A double's text (the shortest that reads back) without a trailing .0 and without an exponent."""
-    digits = F.regexp_replace(F.regexp_extract(text, r"^-?(\d\.\d+)E", 1), r"\.0$|\.", "")
+def shortest(x: Column) -> Column:
+    """The shortest text that reads back as the same double, maybe with an exponent. Spark's own text is it up to 15 digits; a longer one may have digits too many (2E23, say). Numbers under 1E-307 keep Spark's text."""
+    text = x.cast("string")
+    forms = [F.format_string(f"%.{n}e", x) for n in (14, 15, 16)]
+    return F.when(F.length(text) <= 16, text).otherwise(F.coalesce(*[F.when(f.try_cast("double") == x, f) for f in forms], text))
+
+
+def plain_decimal(x: Column) -> Column:
+    """A double as the shortest decimal that reads back, without an exponent and without a trailing .0."""
+    text = F.replace(F.upper(shortest(x)), F.lit("E+"), F.lit("E"))
+    digits = F.regexp_replace(F.replace(F.regexp_extract(text, r"^-?(\d\.\d+)E", 1), F.lit("."), F.lit("")), r"(?<=\d)0+$", "")
     power = F.regexp_extract(text, r"E(-?\d+)$", 1).try_cast("int")
     large = F.when(F.length(digits) > power + 1, F.concat(F.substring(digits, F.lit(1), power + 1), F.lit("."), F.substring(digits, power + 2, F.lit(20)))).otherwise(F.rpad(digits, power + 1, "0"))
     small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
     sign = F.when(F.startswith(text, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
-    return F.when(~F.contains(text, F.lit("E")), F.regexp_replace(text, r"\.0$", "")).otherwise(F.concat(sign, F.when(power > 0, large).otherwise(small)))
+    return F.when(power.isNull(), F.regexp_replace(x.cast("string"), r"\.0$", "")).otherwise(F.concat(sign, F.when(power >= 0, large).otherwise(small)))
 
 
 def format_float(x: Column) -> Column:
     """Text for CSV export: empty for null and 0, whole numbers without a point, else the shortest decimal without an exponent."""
-    return F.when(x.isNull() | (x == 0), F.lit("")).otherwise(plain_decimal(x.cast("double").cast("string")))
+    return F.when(x.isNull() | (x == 0), F.lit("")).otherwise(plain_decimal(x.cast("double")))
 
 
 def ratio_to_one(text: Column) -> Column:

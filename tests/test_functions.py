@@ -73,6 +73,8 @@ def test_money(spark):
     assert [value(spark, money.clean_money(F.col("c")), c=c) for c in ("—", "(5)", "$1,200", "x")] == [0.0, None, 1200.0, None]
     assert [value(spark, money.clean_numeric(F.col("c")), c=c) for c in ("1,234*", "8.2%", "(1)", "Smith")] == ["1234", "8.2", "1", ""]
     assert [value(spark, money.format_float(F.col("x")), x=x) for x in (0.0, 60.0, 1e10, 0.1, 12345678.5)] == ["", "60", "10000000000", "0.1", "12345678.5"]
+    assert [value(spark, money.format_float(F.col("x")), x=x) for x in (2e23, 95e20, -2e23, 0.1 + 0.2, 1e-7, 123456789012345680.0, 1.7976931348623157e308, 9007199254740993.0)] == [
+        "2" + "0" * 23, "95" + "0" * 20, "-2" + "0" * 23, "0.30000000000000004", "0.0000001", "123456789012345680", "17976931348623157" + "0" * 292, "9007199254740992"]
     assert value(spark, money.ratio_to_one(F.col("s")), s="The ratio in 2024 was 312 to 1.") == 312.0
     low = F.lower(F.col("s"))
     assert value(spark, money.nearest_decimal(F.col("s"), low, ["per diluted share"]), s="or a loss of ($0.42) per diluted share, 9.99 later") == -0.42
