@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filigree.llm import bpe, decontaminate, htmltext, langid, neardup, quality, secrets, spotsigs, suffixes, toxicity
+from filigree.llm import bpe, decontaminate, htmltext, langid, neardup, pii, quality, secrets, spotsigs, suffixes, toxicity
 from filigree.llm.common import Workspace, broadcast_if, table, train_row
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -96,6 +96,13 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"), keep_text=False)
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
+    counts = [F.size(F.filter("spans", of_kind(k))).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(secrets.rendered(base), 256).alias("base_sha256"), secrets.rendered(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_toxicity": op2_toxicity,
@@ -107,6 +114,7 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_quality": op9_quality,
     "op10_html_extraction": op10_html_extraction,
+    "op13_pii": op13_pii,
 }
 
 _WORDS = r"list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
