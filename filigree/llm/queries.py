@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filigree.llm import bpe, decontaminate, htmltext, langid, neardup, pii, quality, secrets, spotsigs, suffixes, toxicity
+from filigree.llm import bpe, decontaminate, divergence, htmltext, langid, neardup, pii, quality, secrets, spotsigs, suffixes, toxicity
 from filigree.llm.common import Workspace, broadcast_if, table, train_row
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -96,6 +96,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"), keep_text=False)
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
 def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
@@ -114,6 +118,7 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_quality": op9_quality,
     "op10_html_extraction": op10_html_extraction,
+    "op12_divergence": op12_divergence,
     "op13_pii": op13_pii,
 }
 
@@ -155,4 +160,19 @@ n as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(rang
 it as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id)
 select d.doc_id, cast(len(d.w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join n on d.doc_id = n.doc_id left join it on d.doc_id = it.doc_id""",
+    "op12_divergence": r"""
+with w as (select coalesce(lang, '') as lang, coalesce(source, '') as source, doc, unnest(list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) as term
+    from (select lang, source, text, row_number() over () as doc from documents)),
+kept as (select lang, term, cast(count(*) as bigint) as lang_count from w group by all having count(distinct doc) >= 3),
+c as (select w.lang, source, term, cast(count(*) as bigint) as c from w join kept using (lang, term) group by all),
+v as (select lang, cast(count(*) as bigint) as v, cast(sum(lang_count) as bigint) as lang_n from kept group by lang),
+g as (select g.lang, g.source, coalesce(v, 0) as v, lang_n, cast(coalesce(n, 0) as bigint) as n from (select distinct coalesce(lang, '') as lang, coalesce(source, '') as source from documents) g
+    left join v using (lang) left join (select lang, source, sum(c) as n from c group by all) using (lang, source)),
+dense as (select g.lang, g.source, k.term, coalesce(c.c, 0) as c, k.lang_count, 1 + (1000000000 * (coalesce(c.c, 0) + 1)) // (g.n + g.v) as p, 1 + (1000000000 * (k.lang_count + 1)) // (g.lang_n + g.v) as q
+    from g join kept k using (lang) left join c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+pairs as (select a.lang, a.source, b.source as item, cast(sum((a.p - b.p) * (a.p - b.p) // b.p) as bigint) as value from dense a join dense b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+every as (select lang, a.source, b.source as item, coalesce(value, 0) as value from g a join g b using (lang) left join pairs p on p.lang = a.lang and p.source = a.source and p.item = b.source where a.source <> b.source),
+terms as (select lang, source, term as item, (p - q) * (p - q) // q as value from dense where c > 0 and p > q),
+ranks as (select 'pair' as part, *, row_number() over (partition by lang, source order by value desc, item) as rank from every union all select 'term', *, row_number() over (partition by lang, source order by value desc, item) from terms)
+select lang, source, part, item, value, rank from ranks where part = 'pair' or rank <= 200""",
 }
