@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filigree.llm import bpe, decontaminate, divergence, htmltext, langid, neardup, pii, quality, secrets, spotsigs, suffixes, toxicity
+from filigree.llm import bpe, decontaminate, divergence, htmltext, langid, neardup, pii, quality, search, secrets, spotsigs, suffixes, toxicity
 from filigree.llm.common import Workspace, broadcast_if, table, train_row
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -96,6 +96,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"), keep_text=False)
 
 
+def op11_block_max_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
 
@@ -118,6 +122,7 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_quality": op9_quality,
     "op10_html_extraction": op10_html_extraction,
+    "op11_block_max_wand": op11_block_max_wand,
     "op12_divergence": op12_divergence,
     "op13_pii": op13_pii,
 }
@@ -160,6 +165,19 @@ n as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(rang
 it as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id)
 select d.doc_id, cast(len(d.w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join n on d.doc_id = n.doc_id left join it on d.doc_id = it.doc_id""",
+    "op11_block_max_wand": r"""
+with w as (select doc, doc_id, unnest(list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) as term
+    from (select doc_id, text, row_number() over () as doc from documents)),
+n as (select doc, doc_id, cast(count(*) as bigint) as n from w group by all),
+s as (select cast(count(*) as bigint) as docs, cast(sum(n) as bigint) as terms from n),
+q as (select distinct item, item_id, unnest(list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) as term
+    from (select item_id, text, row_number() over () as item from benchmark)),
+p as (select doc, term, cast(count(*) as bigint) as tf from w where term in (select term from q) group by all),
+d as (select term, cast(count(*) as bigint) as df from p group by all),
+i as (select doc, doc_id, term, cast(floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double)) as bigint) * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms))) as added
+    from p join d using (term) join n using (doc) cross join s),
+r as (select item_id, item, doc_id, cast(sum(added) as bigint) as score from q join i using (term) group by item_id, item, doc, doc_id)
+select item_id, cast(rank as integer) as rank, doc_id, score from (select *, row_number() over (partition by item order by score desc, doc_id) as rank from r where score > 0) where rank <= 10""",
     "op12_divergence": r"""
 with w as (select coalesce(lang, '') as lang, coalesce(source, '') as source, doc, unnest(list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) as term
     from (select lang, source, text, row_number() over () as doc from documents)),
