@@ -617,19 +617,19 @@ def q_13f_xml(spark, d):
 
 @query("select o_orderkey, cast(o_custkey as varchar) as issuer_cik, cast(o_custkey as double) * 10 as shares, strftime(o_orderdate, '%m/%d/%Y') as approx_sale_date from orders")
 def q_form144_xml(spark, d):
-    doc = _doc("<edgarSubmission><issuerInfo><issuerCik>000", col("o_custkey"), "</issuerCik></issuerInfo><securitiesInformation><securitiesClassTitle>Common</securitiesClassTitle><noOfUnitsSold>", F.format_number(col("o_custkey") * 10, 0), "</noOfUnitsSold><approxSaleDate>", F.date_format("o_orderdate", "MM/dd/yyyy"), "</approxSaleDate></securitiesInformation></edgarSubmission>")
+    doc = _doc("<edgarSubmission><issuerInfo><issuerCik>000", col("o_custkey"), "</issuerCik></issuerInfo><securitiesInformation><noOfUnitsToBeSold>7</noOfUnitsToBeSold></securitiesInformation><securitiesToBeSoldInfo><securitiesClassTitle>Common</securitiesClassTitle><noOfUnitsToBeSold>", F.format_number(col("o_custkey") * 10, 0), "</noOfUnitsToBeSold><approxSaleDate> ", F.date_format("o_orderdate", "MM/dd/yyyy"), "</approxSaleDate></securitiesToBeSoldInfo></edgarSubmission>")
     return forms.planned_sales(spread(read_table(spark, d, "orders")).select("o_orderkey", doc.alias("text"))).select("o_orderkey", "issuer_cik", "shares", "approx_sale_date")
 
 
-@query("select o_orderkey, cast(o_custkey as varchar) as issuer_cik, 'private_placement' as offering_type, cast(o_custkey as double) * 1000 as gross_proceeds, cast(o_custkey as double) as amount_usd from orders")
+@query("select o_orderkey, cast(o_custkey as varchar) as issuer_cik, 'private_placement' as offering_type, cast(o_custkey as double) * 1000 as gross_proceeds, cast(o_custkey as double) as net_proceeds, 'Plant & machines' as narrative from orders")
 def q_formd_xml(spark, d):
-    doc = _doc("<edgarSubmission><primaryIssuer><cik>0", col("o_custkey"), "</cik></primaryIssuer><offeringData><offeringSalesAmounts><totalOfferingAmount>$", F.format_number(col("o_custkey") * 1000, 0), "</totalOfferingAmount></offeringSalesAmounts><useOfProceeds><grossProceedsUsed><dollarAmount>", col("o_custkey"), "</dollarAmount></grossProceedsUsed></useOfProceeds></offeringData></edgarSubmission>")
-    return forms.private_offerings(read_table(spark, d, "orders").select("o_orderkey", doc.alias("text"))).select("o_orderkey", "issuer_cik", "offering_type", "gross_proceeds", "amount_usd")
+    doc = _doc("<edgarSubmission><primaryIssuer><cik>0", col("o_custkey"), "</cik></primaryIssuer><offeringData><offeringSalesAmounts><totalOfferingAmount>$", F.format_number(col("o_custkey") * 1000, 0), "</totalOfferingAmount><totalAmountSold>", col("o_custkey"), "</totalAmountSold></offeringSalesAmounts><useOfProceeds><useOfProceedsSummary>Plant &amp; machines</useOfProceedsSummary></useOfProceeds></offeringData></edgarSubmission>")
+    return forms.private_offerings(read_table(spark, d, "orders").select("o_orderkey", doc.alias("text"))).select("o_orderkey", "issuer_cik", "offering_type", "gross_proceeds", "net_proceeds", "narrative")
 
 
 @query("select o_orderkey, case o_orderkey % 4 when 0 then 'form3' when 1 then 'form144' when 2 then 'formd' else 'failed' end as kind from orders")
 def q_schema_cascade(spark, d):
-    docs = {0: "<ownershipDocument><documentType>3/A</documentType></ownershipDocument>", 1: "<e><securitiesInformation><noOfUnitsSold>1</noOfUnitsSold></securitiesInformation></e>", 2: "<e><offeringData><offeringSalesAmounts/></offeringData></e>", 3: "<informationTable/>"}
+    docs = {0: "<ownershipDocument><documentType>3/A</documentType></ownershipDocument>", 1: "<e><securitiesToBeSoldInfo><noOfUnitsToBeSold>1</noOfUnitsToBeSold></securitiesToBeSoldInfo></e>", 2: "<e><offeringData><offeringSalesAmounts><totalOfferingAmount>5</totalOfferingAmount></offeringSalesAmounts></offeringData></e>", 3: "<informationTable/>"}
     pick = F.element_at(F.create_map(*[lit(x) for kv in docs.items() for x in kv]), (col("o_orderkey") % 4).cast("int"))
     return forms.classify(read_table(spark, d, "orders").select("o_orderkey", pick.alias("text"))).select("o_orderkey", "kind")
 

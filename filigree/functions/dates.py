@@ -44,11 +44,11 @@ def max_year(text: Column, place: Column | None = None, window: int = 0) -> Colu
 
 def month_date(text: Column) -> Column:
     """The first "Month DD, YYYY" of the earliest month of the year that occurs with a year; null without one."""
-    def one(month: str) -> Column:
+    def one(month: Column) -> Column:
         tail = piece(text, at(text, month), 20)
         return F.when(F.size(years(tail, 1990, 2099)) > 0, F.trim(F.regexp_extract(piece(tail, F.lit(0), 18), r"(?s)^([^.]*)", 1)))
 
-    return F.coalesce(*[one(m) for m in MONTHS])
+    return F.try_element_at(F.array_compact(F.transform(F.array(*[F.lit(m) for m in MONTHS]), one)), F.lit(1))
 
 
 def effective_date(text: Column) -> Column:

@@ -35,6 +35,11 @@ def archives_url(registry_number: Column, accession: Column, document: Column) -
     return F.concat_ws("/", F.lit(ARCHIVES), strip_leading_zeros(registry_number), strip_accession_dashes(accession), document)
 
 
+def archives_path(registry_number: Column, accession: Column, document: Column) -> Column:
+    """A document's path in the archives, as provenance has it."""
+    return F.concat_ws("/", F.lit("/Archives/edgar/data"), F.regexp_replace(registry_number, "^0+", ""), strip_accession_dashes(accession), document)
+
+
 def filing_path_parts(path: Column) -> Column:
     """struct<cik, accession, document> of .../{cik}/{accession}/{document}."""
     parts = F.split(path, "/")
@@ -46,16 +51,20 @@ def stem(path: Column) -> Column:
 
 
 def is_ownership_xml(name: Column) -> Column:
-    return F.lower(name).endswith(".xml")
+    return name.endswith(".xml")
 
 
 def is_information_table(name: Column) -> Column:
-    low = F.lower(name)
-    return low.endswith(".xml") & F.contains(low, F.lit("13f")) & F.contains(low, F.lit("infotable"))
+    """An XML name with 13f, 13F or infotable in it."""
+    return name.endswith(".xml") & name.rlike("13[fF]|infotable")
+
+
+def is_prose(name: Column) -> Column:
+    return F.lower(name).rlike(r"\.(?:html?|txt)$")
 
 
 def is_exhibit21(name: Column) -> Column:
-    return F.lower(name).rlike(r"ex[-_]?(?:hibit)?[-_]?21.*\.(?:html?|txt)$")
+    return is_prose(name) & F.lower(name).rlike("ex(?:hibit)?-?21")
 
 
 def former_names(names: Column) -> Column:

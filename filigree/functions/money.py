@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -79,22 +81,28 @@ def shares_near(text: Column, lower: Column, labels: list[str], window: int = 12
     return F.coalesce(*[one(x) for x in labels])
 
 
+def _first(labels: list[str], one: Callable[[Column], Column]) -> Column:
+    """one of the first label that gives a value."""
+    return F.try_element_at(F.array_compact(F.transform(F.array(*[F.lit(x) for x in labels]), one)), F.lit(1))
+
+
 def money_near(text: Column, lower: Column, labels: list[str], window: int = 140) -> Column:
-    return F.coalesce(*[first_dollar(piece(text, at(lower, x), window + len(x))) for x in labels])
+    return _first(labels, lambda x: first_dollar(piece(text, at(lower, x), F.length(x) + window)))
 
 
 def nearest_decimal(text: Column, lower: Column, labels: list[str], window: int = 60) -> Column:
     """The decimal under 1000 nearest a label; one in parentheses is a loss."""
-    def one(label: str) -> Column:
+    form = r"(?s)\G(.*?)(\(?\$?\s?\(?\d+\.\d+)"
+
+    def one(label: Column) -> Column:
         place = at(lower, label)
         start = F.greatest(place - window, F.lit(0))
-        around = piece(text, start, place + len(label) + window - start)
-        marks = F.regexp_extract_all(around, F.lit(r"(?s)\G(.*?)(\(?\$?\s?\(?\d+\.\d+)"), F.lit(1))
-        found = F.regexp_extract_all(around, F.lit(r"(?s)\G(.*?)(\(?\$?\s?\(?\d+\.\d+)"), F.lit(2))
+        around = piece(text, start, place + F.length(label) + window - start)
+        marks, found = (F.regexp_extract_all(around, F.lit(form), F.lit(g)) for g in (1, 2))
         ends = F.aggregate(F.arrays_zip(marks.alias("m"), found.alias("f")), F.struct(F.lit(0).alias("p"), F.array().cast("array<struct<d:int,v:double>>").alias("o")), lambda a, x: _step(a, x, place - start), lambda a: a["o"])
         return F.try_element_at(F.array_sort(ends), F.lit(1))["v"]
 
-    return F.coalesce(*[one(x) for x in labels])
+    return _first(labels, one)
 
 
 def _step(acc: Column, x: Column, place: Column) -> Column:

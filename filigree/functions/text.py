@@ -41,7 +41,7 @@ def collapse_ws(text: Column) -> Column:
 
 def normalise_name(name: Column) -> Column:
     """ASCII letters and digits in lower case, white space as hyphens, nothing else."""
-    return F.regexp_replace(F.regexp_replace(F.lower(F.regexp_replace(name, r"[^A-Za-z0-9\s]", "")), r"\s", "-"), r"^-+|-+$", "")
+    return F.regexp_replace(F.regexp_replace(F.lower(F.regexp_replace(name, r"(?U)[^A-Za-z0-9\s]", "")), r"(?U)\s", "-"), r"^-+|-+$", "")
 
 
 def truncate(text: Column, n: int) -> Column:
@@ -105,9 +105,9 @@ def eightk_items(html: Column) -> Column:
         F.filter(F.slice(parts, 2, 1 << 20), lambda p: p.rlike(form)),
         lambda p: F.struct(F.concat_ws(".", F.regexp_extract(p, form, 1), F.regexp_extract(p, form, 2)).alias("item_code"), F.trim(F.regexp_extract(p, form, 3)).alias("description")),
     )
-    codes = F.transform(found, lambda x: x["item_code"])
-    first = F.filter(found, lambda x, i: F.array_position(codes, x["item_code"]) == i + 1)
-    return F.array_sort(first)
+    once = lambda found, codes: F.filter(found, lambda x, i: F.array_position(codes, x["item_code"]) == i + 1)
+    both = F.struct(found.alias("found"), F.transform(found, lambda x: x["item_code"]).alias("codes"))
+    return F.array_sort(F.element_at(F.transform(F.array(both), lambda b: once(b["found"], b["codes"])), 1))
 
 
 def is_item_code(text: Column) -> Column:

@@ -24,15 +24,8 @@ TABLE_13F = (
     "infoTable array<struct<nameOfIssuer:string,titleOfClass:string,cusip:string,figi:string,value:string,shrsOrPrnAmt:struct<sshPrnamt:string,sshPrnamtType:string>,putCall:string,investmentDiscretion:string,"
     "otherManager:array<string>,votingAuthority:struct<Sole:string,Shared:string,None:string>>>"
 )
-FORM_144 = (
-    "issuerInfo struct<issuerCik:string,issuerName:string,nameOfPersonForWhoseAccountTheSecuritiesAreToBeSold:string>,"
-    "securitiesInformation array<struct<securitiesClassTitle:string,noOfUnitsSold:string,aggregateMarketValue:string,approxSaleDate:string,brokerOrMarketmakerDetails:struct<name:string>>>,"
-    "securitiesSoldInPast3Months array<struct<securitiesClassTitle:string,saleDate:string,amountOfSecuritiesSold:string,grossProceeds:string>>"
-)
-FORM_D = (
-    "primaryIssuer struct<cik:string,entityName:string>, offeringData struct<offeringSalesAmounts:struct<totalOfferingAmount:string,totalAmountSold:string,totalRemaining:string>,useOfProceeds:struct<grossProceedsUsed:struct<dollarAmount:string>,clarificationOfResponse:string>>"
-)
-FACTS = "cik bigint, entityName string, facts map<string,map<string,struct<units:map<string,array<struct<start:string,end:string,val:double,fy:int,fp:string,form:string,accn:string,frame:string>>>>>>"
+_FACT = "array<struct<start:string,end:string,val:double,fy:int,fp:string,form:string,accn:string,frame:string>>"
+FACTS = f"cik bigint, entityName string, facts map<string,map<string,struct<units:map<string,{_FACT}>>>>"
 SUBMISSION = (
     "cik string, name string, sic string, sicDescription string, stateOfIncorporation string, fiscalYearEnd string, tickers array<string>, exchanges array<string>, entityType string,"
     "formerNames array<struct<name:string,`from`:string,`to`:string>>,"
@@ -56,15 +49,62 @@ def parse_xml(docs: DataFrame, schema: str, into: str, text: str = "text") -> Da
     return docs.withColumn(into, F.from_xml(text, schema, {"ignoreNamespace": "true"}))
 
 
+# ---- leaves: elements found by name wherever they stand ---------------------------------------
+
+
+def leaves(text: Column, *names: str) -> Column:
+    """The texts of the elements of these names, in order, trimmed and with references decoded; empty ones are left out."""
+    found = F.regexp_extract_all(text, F.lit(rf"<({'|'.join(names)})(?:\s[^<>]*)?>\s*+([^<]*)</\1>"), F.lit(2))
+    decoded = lambda x: F.when(F.contains(x, F.lit("&")), F.from_xml(F.concat(F.lit("<r><v>"), x, F.lit("</v></r>")), "v string")["v"]).otherwise(x)
+    return F.transform(F.filter(F.transform(found, lambda x: F.rtrim(x)), lambda x: x != ""), decoded)
+
+
+def leaf(text: Column, *names: str) -> Column:
+    """The last of leaves(), '' without one."""
+    return F.coalesce(F.try_element_at(leaves(text, *names), F.lit(-1)), F.lit(""))
+
+
+def blocks(text: Column, name: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(rf"(?s)<{name}(?:\s[^<>]*)?>(.*?)</{name}>"), F.lit(1))
+
+
+def notice(text: Column) -> Column:
+    """A sale notice as struct<filer_cik, filer_name, issuer_cik, broker_name, aggregate_market_value, securities_acquired_date, nature_of_acquisition, planned, past>."""
+    amount = lambda x, *names: money.number(leaf(x, *names))
+    planned = F.transform(blocks(text, "securitiesToBeSoldInfo"), lambda b: F.struct(leaf(b, "securitiesClassTitle").alias("security_class"), amount(b, "noOfUnitsToBeSold", "amountOfSecuritiesToBeSold").alias("shares"), leaf(b, "approxSaleDate").alias("approx_sale_date")))
+    past = F.transform(blocks(text, "sellerDetails"), lambda b: F.struct(leaf(b, "securitiesClassTitle").alias("security_title"), leaf(b, "saleDate").alias("transaction_date"), amount(b, "amountSold", "noOfUnitsSold").alias("shares"), amount(b, "grossProceeds").alias("total_value")))
+    return F.struct(
+        leaf(text, "filerCik", "personCik").alias("filer_cik"), leaf(text, "personName", "filerName").alias("filer_name"), leaf(text, "issuerCik").alias("issuer_cik"), leaf(text, "brokerName", "brokerOrDealerName").alias("broker_name"),
+        amount(text, "aggregateMarketValue").alias("aggregate_market_value"), leaf(text, "securitiesAcquiredDate").alias("securities_acquired_date"), leaf(text, "natureOfAcquisitionTransaction").alias("nature_of_acquisition"), planned.alias("planned"), past.alias("past"),
+    )
+
+
+def private_offering(text: Column) -> Column:
+    """A private placement's notice as struct<issuer_cik, gross_proceeds, net_proceeds, investors, narrative>."""
+    first = F.coalesce(F.try_element_at(leaves(text, "cik"), F.lit(1)), F.lit(""))
+    return F.struct(
+        first.alias("issuer_cik"), money.number(leaf(text, "totalOfferingAmount")).alias("gross_proceeds"), money.number(leaf(text, "totalAmountSold")).alias("net_proceeds"),
+        F.coalesce(money.digits_only(leaf(text, "totalNumberAlreadyInvested")), F.lit(0)).alias("investors"), leaf(text, "useOfProceedsSummary").alias("narrative"),
+    )
+
+
+def is_notice(text: Column) -> Column:
+    return text.rlike("<(?:securitiesToBeSoldInfo|sellerDetails)[\\s>]")
+
+
+def has_economics(text: Column) -> Column:
+    offering = private_offering(text)
+    return text.rlike("<(?:totalOfferingAmount|totalAmountSold|totalNumberAlreadyInvested)[\\s>]") & ((offering["gross_proceeds"] != 0) | (offering["net_proceeds"] != 0) | (offering["investors"] != 0))
+
+
 def classify(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with kind: form3, form4, form5, form144, formd or failed, by what their content has. A document is parsed only by the schemas whose words it has."""
+    """docs with kind: form3, form4, form5, form144, formd or failed, by what their content has."""
     whole = F.col(text)
-    only = lambda word, schema: F.from_xml(F.when(whole.rlike(word), whole), schema)
-    notice_schema = "securitiesInformation array<struct<securitiesClassTitle:string>>, securitiesSoldInPast3Months array<struct<securitiesClassTitle:string>>"
-    form = bound(only("documentType", "documentType string"), lambda d: F.regexp_extract(F.coalesce(d["documentType"], F.lit("")), r"^([345])(?:/A)?$", 1))
-    notice = bound(only("securitiesInformation|securitiesSoldInPast3Months", notice_schema), lambda d: F.coalesce(F.size(d["securitiesInformation"]), F.lit(0)) + F.coalesce(F.size(d["securitiesSoldInPast3Months"]), F.lit(0)) > 0)
-    offering = only("offeringData", "offeringData string")["offeringData"].isNotNull()
-    return docs.withColumn("_f", form).withColumn("kind", F.when(F.col("_f") != "", F.concat(F.lit("form"), F.col("_f"))).when(notice, F.lit("form144")).when(offering, F.lit("formd")).otherwise(F.lit("failed"))).drop("_f")
+    form = F.regexp_extract(leaf(whole, "documentType"), r"^([345])(?:/A)?$", 1)
+    return docs.withColumn("kind", F.when(form != "", F.concat(F.lit("form"), form)).when(is_notice(whole), F.lit("form144")).when(has_economics(whole), F.lit("formd")).otherwise(F.lit("failed")))
+
+
+# ---- ownership forms, from their parsed XML ----------------------------------------------------
 
 
 def owner_of(doc: Column) -> Column:
@@ -72,134 +112,165 @@ def owner_of(doc: Column) -> Column:
     return F.try_element_at(doc["reportingOwner"], F.lit(-1))
 
 
-def ownership_transactions(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Transactions of ownership forms, non-derivative first, numbered by lot; prices are repaired from their footnotes."""
-    doc = F.col("d")
-    rows = parse_xml(docs, OWNERSHIP, "d", text)
+def reporter_cik(doc: Column) -> Column:
+    return ids.strip_leading_zeros(owner_of(doc)["reportingOwnerId"]["rptOwnerCik"])
+
+
+def issuer_cik(doc: Column) -> Column:
+    return ids.strip_leading_zeros(doc["issuer"]["issuerCik"])
+
+
+def _tagged(plain: Column, derivative: Column, kind: str) -> Column:
+    """Both tables' entries in order, each with its flag."""
+    def flagged(a: Column, flag: int) -> Column:
+        return F.transform(F.coalesce(a, F.array().cast(kind)), lambda t: F.struct(t.alias("t"), F.lit(flag).alias("is_derivative")))
+
+    return F.concat(flagged(plain, 0), flagged(derivative, 1))
+
+
+def transactions(doc: Column) -> Column:
+    """array<struct> of an ownership form's transactions, non-derivative first; prices are repaired from their footnotes."""
     notes = F.map_from_entries(F.transform(F.coalesce(doc["footnotes"]["footnote"], F.array().cast("array<struct<_id:string,_VALUE:string>>")), lambda n: F.struct(n["_id"], n["_VALUE"])))
 
-    def tagged(a: Column, flag: int) -> Column:
-        return F.transform(F.coalesce(a, F.array().cast(_TX)), lambda t: F.struct(t.alias("t"), F.lit(flag).alias("is_derivative")))
-
-    both = F.concat(tagged(doc["nonDerivativeTable"]["nonDerivativeTransaction"], 0), tagged(doc["derivativeTable"]["derivativeTransaction"], 1))
-    owner = owner_of(doc)
-    out = rows.select("*", notes.alias("_notes"), F.posexplode(both).alias("lot", "x"))
-    t = F.col("x.t")
-    amounts = t["transactionAmounts"]
-    note = F.array_join(F.transform(F.coalesce(amounts["transactionPricePerShare"]["footnoteId"], F.array().cast("array<struct<_id:string>>")), lambda f: F.try_element_at(F.col("_notes"), f["_id"])), " ")
-    span = money.price_range(F.nullif(note, F.lit("")))
-    raw = money.number(F.coalesce(amounts["transactionPricePerShare"]["value"], F.lit("")), "")
-    price = F.coalesce(money.repaired_price(raw, span["low"], span["high"]), raw)
-    shares = money.number(F.coalesce(amounts["transactionShares"]["value"], F.lit("")), "")
-    return out.select(
-        *[c for c in docs.columns if c not in (text, "d")],
-        "lot",
-        ids.person_id(ids.strip_leading_zeros(owner["reportingOwnerId"]["rptOwnerCik"])).alias("person_nid"),
-        ids.strip_leading_zeros(doc["issuer"]["issuerCik"]).alias("issuer_cik"),
-        t["securityTitle"]["value"].alias("security_title"),
-        t["transactionDate"]["value"].alias("transaction_date"),
-        t["transactionCoding"]["transactionCode"].alias("transaction_code"),
-        amounts["transactionAcquiredDisposedCode"]["value"].alias("acquired_disposed"),
-        shares.alias("shares"),
-        price.alias("price_per_share"),
-        F.when((shares > 0) & (price > 0), shares * price).otherwise(F.lit(0.0)).alias("total_value"),
-        t["ownershipNature"]["directOrIndirectOwnership"]["value"].alias("direct_indirect"),
-        F.col("x.is_derivative").alias("is_derivative"),
-        money.number(F.coalesce(t["postTransactionAmounts"]["sharesOwnedFollowingTransaction"]["value"], F.lit("")), "").alias("owned_after"),
-        note.alias("footnote_text"),
-    )
+    def read(x: Column, notes: Column) -> Column:
+        t = x["t"]
+        amounts = t["transactionAmounts"]
+        marks = F.coalesce(amounts["transactionPricePerShare"]["footnoteId"], F.array().cast("array<struct<_id:string>>"))
+        given = F.struct(
+            money.number(F.coalesce(amounts["transactionPricePerShare"]["value"], F.lit("")), "").alias("price"), money.number(F.coalesce(amounts["transactionShares"]["value"], F.lit("")), "").alias("shares"),
+            F.array_join(F.transform(marks, lambda f: F.try_element_at(notes, f["_id"])), " ").alias("note"),
+        )
 
+        def priced(g: Column) -> Column:
+            span = F.when(g["note"] != "", money.price_range(g["note"]))
+            repaired = F.when(g["note"] == "", g["price"]).otherwise(bound(span, lambda p: F.coalesce(money.repaired_price(g["price"], p["low"], p["high"]), g["price"])))
+            return bound(F.struct(g["shares"].alias("shares"), repaired.alias("price"), g["note"].alias("note")), row)
+
+        def row(g: Column) -> Column:
+            return F.struct(
+                t["securityTitle"]["value"].alias("security_title"), t["transactionDate"]["value"].alias("transaction_date"), t["transactionCoding"]["transactionCode"].alias("transaction_code"), amounts["transactionAcquiredDisposedCode"]["value"].alias("acquired_disposed"),
+                g["shares"].alias("shares"), g["price"].alias("price_per_share"), F.when((g["shares"] > 0) & (g["price"] > 0), g["shares"] * g["price"]).otherwise(F.lit(0.0)).alias("total_value"), t["ownershipNature"]["directOrIndirectOwnership"]["value"].alias("direct_indirect"),
+                x["is_derivative"].alias("is_derivative"), money.number(F.coalesce(t["postTransactionAmounts"]["sharesOwnedFollowingTransaction"]["value"], F.lit("")), "").alias("owned_after"), g["note"].alias("footnote_text"),
+            )
+
+        return bound(given, priced)
+
+    both = _tagged(doc["nonDerivativeTable"]["nonDerivativeTransaction"], doc["derivativeTable"]["derivativeTransaction"], _TX)
+    return bound(notes, lambda n: F.transform(both, lambda x: read(x, n)))
+
+
+def transaction_count(doc: Column) -> Column:
+    return sum((F.greatest(F.coalesce(F.size(a), F.lit(0)), F.lit(0)) for a in (doc["nonDerivativeTable"]["nonDerivativeTransaction"], doc["derivativeTable"]["derivativeTransaction"])), F.lit(0))
 
-def ownership_roles(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Roles of an ownership form's owner: one row for each flag that is set."""
-    rel = owner_of(F.col("d"))["reportingOwnerRelationship"]
-    rows = parse_xml(docs, OWNERSHIP, "d", text)
-    flags = {"isDirector": "director", "isOfficer": "officer", "isTenPercentOwner": "ten_percent_owner", "isOther": "other"}
-    set_ = F.array_compact(F.array(*[F.when(money.truthy(rel[k]), F.lit(v)) for k, v in flags.items()]))
-    owner = owner_of(F.col("d"))["reportingOwnerId"]["rptOwnerCik"]
-    return rows.select(*[c for c in docs.columns if c not in (text, "d")], ids.person_id(ids.strip_leading_zeros(owner)).alias("person_nid"), ids.strip_leading_zeros(F.col("d.issuer.issuerCik")).alias("issuer_cik"), rel["officerTitle"].alias("officer_title"), F.col("d.periodOfReport").alias("period"), F.explode(set_).alias("role_type"))
 
+def roles(doc: Column) -> Column:
+    """array<struct<role_type, officer_title>>: one for each flag that is set; the title is the officer's."""
+    rel = owner_of(doc)["reportingOwnerRelationship"]
+    flags = {"isDirector": "director", "isOfficer": "officer", "isTenPercentOwner": "ten_pct_owner", "isOther": "other"}
+    title = lambda k: rel["officerTitle"] if k == "isOfficer" else F.lit(None).cast("string")
+    return F.array_compact(F.array(*[F.when(money.truthy(rel[k]), F.struct(F.lit(v).alias("role_type"), title(k).alias("officer_title"))) for k, v in flags.items()]))
 
-def ownership_owners(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The owner of each ownership form."""
-    rows = parse_xml(docs, OWNERSHIP, "d", text)
-    owner = owner_of(F.col("d"))["reportingOwnerId"]
-    cik = ids.strip_leading_zeros(owner["rptOwnerCik"])
-    return rows.where(owner["rptOwnerCik"].isNotNull()).select(*[c for c in docs.columns if c not in (text, "d")], ids.person_id(cik).alias("person_nid"), cik.alias("owner_cik"), owner["rptOwnerName"].alias("display_name"))
+
+def holdings(doc: Column) -> Column:
+    """array<struct> of the holdings that an ownership form states besides transactions."""
+    def read(x: Column) -> Column:
+        t = x["t"]
+        shares = money.number(F.coalesce(t["postTransactionAmounts"]["sharesOwnedFollowingTransaction"]["value"], F.lit("")), "")
+        return F.struct(t["securityTitle"]["value"].alias("security_title"), doc["periodOfReport"].alias("as_of_date"), shares.alias("shares"), t["ownershipNature"]["directOrIndirectOwnership"]["value"].alias("direct_indirect"), x["is_derivative"].alias("is_derivative"))
+
+    return F.transform(_tagged(doc["nonDerivativeTable"]["nonDerivativeHolding"], doc["derivativeTable"]["derivativeHolding"], _HOLD), read)
+
+
+def positions(doc: Column) -> Column:
+    """array<struct> of a manager's positions; position counts them before those without a CUSIP go."""
+    num = lambda c: money.number(F.coalesce(c, F.lit("")), ",")
+
+    def read(h: Column, i: Column) -> Column:
+        return F.struct(
+            i.alias("position"), h["cusip"].alias("cusip"), h["nameOfIssuer"].alias("name_of_issuer"), h["titleOfClass"].alias("title_of_class"), h["figi"].alias("figi"), num(h["value"]).alias("value"), num(h["shrsOrPrnAmt"]["sshPrnamt"]).alias("shares"),
+            h["shrsOrPrnAmt"]["sshPrnamtType"].alias("shares_type"), h["putCall"].alias("put_call"), h["investmentDiscretion"].alias("investment_discretion"), num(h["votingAuthority"]["Sole"]).alias("voting_sole"), num(h["votingAuthority"]["Shared"]).alias("voting_shared"),
+            num(h["votingAuthority"]["None"]).alias("voting_none"), F.array_join(h["otherManager"], ",").alias("other_managers"),
+        )
+
+    return F.filter(F.transform(doc["infoTable"], read), lambda h: F.coalesce(F.trim(h["cusip"]), F.lit("")) != "")
+
+
+def _each(docs: DataFrame, text: str, found: Column, schema: str | None, *also: Column) -> DataFrame:
+    """A row for each element of an array of structs, with its place as lot."""
+    rows = parse_xml(docs, schema, "d", text) if schema else docs
+    names = [c for c in docs.columns if c not in (text, "d")]
+    return rows.select(*names, *also, F.posexplode(found).alias("lot", "x")).select(*names, "lot", *[c for c in rows.select(*also).columns], "x.*")
+
+
+def _parties(doc: Column) -> list[Column]:
+    return [ids.person_id(reporter_cik(doc)).alias("person_nid"), issuer_cik(doc).alias("issuer_cik")]
+
+
+def ownership_transactions(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Transactions of ownership forms, numbered by lot."""
+    return _each(docs, text, transactions(F.col("d")), OWNERSHIP, *_parties(F.col("d")))
+
+
+def ownership_roles(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Roles of an ownership form's owner: one row for each flag that is set."""
+    return _each(docs, text, roles(F.col("d")), OWNERSHIP, *_parties(F.col("d")))
 
 
 def ownership_holdings(docs: DataFrame, text: str = "text") -> DataFrame:
     """Holdings that an ownership form states besides transactions, numbered by lot."""
-    rows = parse_xml(docs, OWNERSHIP, "d", text)
-    none = F.array().cast(_HOLD)
-
-    def tagged(a: Column, flag: int) -> Column:
-        return F.transform(F.coalesce(a, none), lambda t: F.struct(t.alias("t"), F.lit(flag).alias("is_derivative")))
-
-    both = F.concat(tagged(F.col("d.nonDerivativeTable.nonDerivativeHolding"), 0), tagged(F.col("d.derivativeTable.derivativeHolding"), 1))
-    t = F.col("x.t")
-    return rows.select("*", F.posexplode(both).alias("lot", "x")).select(
-        *[c for c in docs.columns if c not in (text, "d")], "lot", ids.person_id(ids.strip_leading_zeros(owner_of(F.col("d"))["reportingOwnerId"]["rptOwnerCik"])).alias("person_nid"), ids.strip_leading_zeros(F.col("d.issuer.issuerCik")).alias("issuer_cik"),
-        t["securityTitle"]["value"].alias("security_title"), F.col("d.periodOfReport").alias("as_of_date"), money.number(F.coalesce(t["postTransactionAmounts"]["sharesOwnedFollowingTransaction"]["value"], F.lit("")), "").alias("shares"),
-        t["ownershipNature"]["directOrIndirectOwnership"]["value"].alias("direct_indirect"), F.col("x.is_derivative").alias("is_derivative"),
-    )
+    return _each(docs, text, holdings(F.col("d")), OWNERSHIP, *_parties(F.col("d")))
 
 
 def manager_holdings(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Positions of a manager's information table; the number counts positions before those without a CUSIP go."""
-    rows = parse_xml(docs, TABLE_13F, "d", text).select(*[c for c in docs.columns if c not in (text, "d")], F.posexplode("d.infoTable").alias("position", "h"))
-    h = F.col("h")
-    num = lambda c: money.number(F.coalesce(c, F.lit("")), ",")
-    return rows.where(F.coalesce(F.trim(h["cusip"]), F.lit("")) != "").select(
-        *[c for c in docs.columns if c not in (text, "d")], "position", h["cusip"].alias("cusip"), h["nameOfIssuer"].alias("name_of_issuer"), h["titleOfClass"].alias("title_of_class"), num(h["value"]).alias("value"),
-        num(h["shrsOrPrnAmt"]["sshPrnamt"]).alias("shares"), h["shrsOrPrnAmt"]["sshPrnamtType"].alias("shares_type"), h["investmentDiscretion"].alias("investment_discretion"),
-        num(h["votingAuthority"]["Sole"]).alias("voting_sole"), num(h["votingAuthority"]["Shared"]).alias("voting_shared"), num(h["votingAuthority"]["None"]).alias("voting_none"), F.array_join(h["otherManager"], ",").alias("other_managers"),
-    )
+    """Positions of a manager's information table."""
+    return _each(docs, text, positions(F.col("d")), TABLE_13F).drop("lot")
 
 
-_SELLER = "d.issuerInfo.nameOfPersonForWhoseAccountTheSecuritiesAreToBeSold"
+def planned_sales(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Sales that a notice plans."""
+    n = notice(F.col(text))
+    return _each(docs, text, n["planned"], None, ids.strip_leading_zeros(n["issuer_cik"]).alias("issuer_cik"), n["filer_name"].alias("seller"))
 
 
 def past_sales(docs: DataFrame, text: str = "text") -> DataFrame:
     """Sales of the last three months that a notice lists, numbered after its planned ones."""
-    rows = parse_xml(docs, FORM_144, "d", text)
-    s, gross = F.col("s"), money.number(F.col("s.grossProceeds"))
-    planned = F.coalesce(F.size("d.securitiesInformation"), F.lit(0))
-    return rows.select(*[c for c in docs.columns if c not in (text, "d")], ids.strip_leading_zeros(F.col("d.issuerInfo.issuerCik")).alias("issuer_cik"), F.col(_SELLER).alias("seller"), planned.alias("_n"), F.posexplode("d.securitiesSoldInPast3Months").alias("_i", "s")).select(
-        *[c for c in docs.columns if c not in (text, "d")], "issuer_cik", "seller", (F.col("_i") + F.greatest("_n", F.lit(0))).alias("lot"), s["securitiesClassTitle"].alias("security_title"), s["saleDate"].alias("transaction_date"), money.number(s["amountOfSecuritiesSold"]).alias("shares"), gross.alias("total_value"),
-    )
+    n = notice(F.col(text))
+    rows = _each(docs, text, n["past"], None, ids.strip_leading_zeros(n["issuer_cik"]).alias("issuer_cik"), n["filer_name"].alias("seller"), F.size(n["planned"]).alias("_n"))
+    return rows.withColumn("lot", F.col("lot") + F.col("_n")).drop("_n")
 
 
-def planned_sales(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Sales that a notice plans."""
-    rows = parse_xml(docs, FORM_144, "d", text)
-    s = F.col("s")
-    return rows.select(*[c for c in docs.columns if c not in (text, "d")], ids.strip_leading_zeros(F.col("d.issuerInfo.issuerCik")).alias("issuer_cik"), F.col(_SELLER).alias("seller"), F.posexplode("d.securitiesInformation").alias("lot", "s")).select(
-        *[c for c in docs.columns if c not in (text, "d")], "issuer_cik", "seller", "lot", s["securitiesClassTitle"].alias("security_class"), money.number(s["noOfUnitsSold"]).alias("shares"), s["approxSaleDate"].alias("approx_sale_date"),
-        s["brokerOrMarketmakerDetails"]["name"].alias("broker_name"), money.number(s["aggregateMarketValue"]).alias("aggregate_market_value"),
-    )
+def private_offerings(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The offerings that notices of private placements state; notices without amounts or investors go."""
+    names = [c for c in docs.columns if c != text]
+    x = private_offering(F.col(text))
+    return docs.where(has_economics(F.col(text))).select(*names, x.alias("x")).select(*names, ids.strip_leading_zeros(F.col("x.issuer_cik")).alias("issuer_cik"), F.lit("private_placement").alias("offering_type"), "x.gross_proceeds", "x.net_proceeds", "x.narrative")
 
 
-def private_offerings(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The offering and its proceeds that a private placement's notice states."""
-    rows = parse_xml(docs, FORM_D, "d", text).where(F.col("d.offeringData").isNotNull())
-    a = F.col("d.offeringData.offeringSalesAmounts")
-    return rows.select(*[c for c in docs.columns if c not in (text, "d")], ids.strip_leading_zeros(F.col("d.primaryIssuer.cik")).alias("issuer_cik"), F.lit("private_placement").alias("offering_type"), money.number(a["totalOfferingAmount"]).alias("gross_proceeds"), money.number(a["totalAmountSold"]).alias("amount_sold"), money.number(F.col("d.offeringData.useOfProceeds.grossProceedsUsed.dollarAmount")).alias("amount_usd"))
+def fact_list(doc: Column, concepts: list[str] | None = None) -> Column:
+    """array<struct> of a company's facts of the wanted concepts, in order of taxonomy, concept, unit and place, as they stand in the file."""
+    wanted = concepts or CONCEPTS
+    blank = lambda c: F.coalesce(c, F.lit(""))
+
+    def read(f: Column, tag: Column, uom: Column, place: Column) -> Column:
+        context = F.when(blank(f["frame"]) != "", f["frame"]).otherwise(F.concat(F.coalesce(f["fy"], F.lit(0)).cast("string"), blank(f["fp"])))
+        qtrs = F.when(blank(f["start"]) == "", 0).when(f["fp"] == "FY", 4).when(f["fp"].isin("Q1", "Q2", "Q3", "Q4"), 1).otherwise(0)
+        form = F.when(blank(f["form"]) == "", F.lit("10-K")).otherwise(f["form"])
+        return F.struct(tag.alias("tag"), place.alias("place"), f["end"].alias("ddate"), qtrs.alias("qtrs"), uom.alias("uom"), f["val"].alias("value"), context.alias("dimensional_context"), f["accn"].alias("source_accession"), form.alias("form"))
+
+    def of_units(tag: Column, units: Column) -> Column:
+        return F.flatten(F.transform(F.map_entries(units), lambda u: F.transform(F.coalesce(u["value"], F.array().cast(_FACT)), lambda f, i: read(f, tag, u["key"], i))))
+
+    def of_taxonomy(t: Column) -> Column:
+        kept = F.filter(F.map_entries(t["value"]), lambda c: c["key"].isin(wanted) & c["value"]["units"].isNotNull())
+        return F.flatten(F.transform(kept, lambda c: of_units(F.concat_ws(":", t["key"], c["key"]), c["value"]["units"])))
+
+    return F.flatten(F.transform(F.filter(F.map_entries(doc["facts"]), lambda t: t["value"].isNotNull()), of_taxonomy))
 
 
 def company_facts(docs: DataFrame, concepts: list[str] | None = None, text: str = "text") -> DataFrame:
-    """Facts of company-facts JSON, of the wanted concepts, one row each, in order of taxonomy, concept, unit and place."""
-    wanted = concepts or CONCEPTS
-    rows = docs.withColumn("d", F.from_json(text, FACTS))
-    a = rows.select(F.col("d.cik").alias("issuer_cik"), F.explode("d.facts").alias("taxonomy", "_c"))
-    b = a.select("issuer_cik", "taxonomy", F.explode(F.map_filter("_c", lambda k, _: k.isin(wanted))).alias("concept", "_u"))
-    c = b.select("issuer_cik", "taxonomy", "concept", F.explode("_u.units").alias("uom", "_f"))
-    f = F.col("f")
-    context = F.when(F.coalesce(f["frame"], F.lit("")) != "", f["frame"]).otherwise(F.concat(F.coalesce(f["fy"], F.lit(0)).cast("string"), F.coalesce(f["fp"], F.lit(""))))
-    qtrs = F.when(F.coalesce(f["start"], F.lit("")) == "", 0).when(f["fp"] == "FY", 4).when(f["fp"].isin("Q1", "Q2", "Q3", "Q4"), 1).otherwise(0)
-    return c.select("issuer_cik", "taxonomy", "concept", "uom", F.posexplode("_f").alias("place", "f")).select(
-        "issuer_cik", F.concat_ws(":", "taxonomy", "concept").alias("tag"), "place", f["end"].alias("ddate"), qtrs.alias("qtrs"), "uom", f["val"].alias("value"), context.alias("dimensional_context"), f["accn"].alias("source_accession")
-    )
+    """Facts of company-facts JSON, one row each."""
+    rows = docs.select(F.from_json(text, FACTS).alias("d"))
+    return rows.select(F.col("d.cik").alias("issuer_cik"), F.explode(fact_list(F.col("d"), concepts)).alias("x")).select("issuer_cik", "x.tag", "x.place", "x.ddate", "x.qtrs", "x.uom", "x.value", "x.dimensional_context", "x.source_accession")
 
 
 def submissions(docs: DataFrame, text: str = "value") -> DataFrame:

@@ -56,7 +56,7 @@ def test_ids(spark):
     assert value(spark, ids.insert_accession_dashes(F.col("x")), x="12") == "12"
     assert tuple(value(spark, ids.filing_path_parts(F.col("x")), x="file:/r/660412/0000-1/a.htm")) == ("660412", "0000-1", "a.htm")
     assert value(spark, ids.stem(F.col("x")), x="a/b/field.csv") == "field"
-    assert value(spark, ids.is_exhibit21(F.col("x")), x="lkm-ex21.htm") and not value(spark, ids.is_exhibit21(F.col("x")), x="aapl-8k.htm")
+    assert value(spark, ids.is_exhibit21(F.col("x")), x="lkm-ex21.htm") and not value(spark, ids.is_exhibit21(F.col("x")), x="lkm-8k.htm") and not value(spark, ids.is_exhibit21(F.col("x")), x="ex-21.pdf")
     assert value(spark, ids.is_information_table(F.col("x")), x="13f-infotable.xml")
 
 

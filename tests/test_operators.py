@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from filigree.operators import forms, lookup, prose, reshape, scope
-from filigree.plans import blueprint
+from filigree.plans import blueprint, tables
 from filigree.sources import archive, files, sinks
 from filigree.streaming import landing, refresh
 
@@ -112,13 +112,13 @@ def test_blueprint(spark):
 def test_sources(spark, tmp_path):
     tree = tmp_path / "filings" / "660412" / "0000660412-24-000123"
     tree.mkdir(parents=True)
-    (tree / "aapl-8k.htm").write_bytes(b"Item 9.01 Exhibits")
+    (tree / "lkm-8k.htm").write_bytes(b"Item 9.01 Exhibits")
     (tree / "bad.htm").write_bytes(b"\xff\xfe")
     got = files.filing_tree(spark, str(tmp_path / "filings"))
-    assert rows(got.select("cik", "document", "valid")) == [("660412", "aapl-8k.htm", True), ("660412", "bad.htm", False)]
-    nt = ['<http://e/Q42> <http://www.w3.org/2000/01/rdf-schema#label> "Douglas Adams"@en .', '<http://e/Q42> <http://www.w3.org/2000/01/rdf-schema#label> "D"@de .', "<http://e/Q42> <http://e/prop/direct/P27> <http://e/Q145> .", "# no triple"]
+    assert rows(got.select("cik", "document", "valid")) == [("660412", "bad.htm", False), ("660412", "lkm-8k.htm", True)]
+    nt = ['<http://e/B7> <http://www.w3.org/2000/01/rdf-schema#label> "Bramble"@en .', '<http://e/B7> <http://www.w3.org/2000/01/rdf-schema#label> "Brombeere"@de .', "<http://e/B7> <http://e/prop/direct/G3> <http://e/B9> .", "# no triple"]
     nodes, edges = files.entity_graph(files.triples(spark.createDataFrame([(x,) for x in nt], "value string"), ["en"]))
-    assert rows(nodes) == [("Q42", "Douglas Adams")] and rows(edges) == [("Q42", "P27", "Q145")]
+    assert rows(nodes) == [("B7", "Bramble")] and rows(edges) == [("B7", "G3", "B9")]
     (tmp_path / "r.csv").write_text("a,b\n1,2\n3\n")
     assert rows(files.ragged_csv(spark, str(tmp_path / "r.csv"))) == [("1", "2"), ("3", None)] and files.line_count(spark, str(tmp_path / "r.csv")) == 2
 
@@ -166,27 +166,50 @@ def test_ingest(spark, tmp_path):
     assert rows(spark.read.parquet(table)) == [("a", 1), ("b", 2), ("c", 3)]
 
 
-def test_registry_tables(spark):
-    """An insider form, a manager's table, a current report and an exhibit become facts with keys and provenance."""
-    from filigree.plans import tables
-
-    table_13f = "<informationTable><infoTable><nameOfIssuer>APPLE</nameOfIssuer><cusip>037833100</cusip><value>50000</value><shrsOrPrnAmt><sshPrnamt>1000000</sshPrnamt></shrsOrPrnAmt></infoTable><infoTable><nameOfIssuer>MSFT</nameOfIssuer><cusip>594918104</cusip><value>40000</value></infoTable></informationTable>"
+def registry(spark):
+    table_13f = "<informationTable><infoTable><nameOfIssuer>LARKMOOR</nameOfIssuer><cusip>55X0001A1</cusip><value>700</value><shrsOrPrnAmt><sshPrnamt>31000</sshPrnamt></shrsOrPrnAmt></infoTable><infoTable><nameOfIssuer>PINECASK</nameOfIssuer><cusip>55X0002B2</cusip><value>90</value></infoTable></informationTable>"
     docs = spark.createDataFrame([
         ("660412", "a-10k", "lkm-ex21.htm", "Larkmoor Mills Abroad    Ireland\nPinecask Funding, Inc.   Nevada"),
         ("660412", "a-4", "form4.xml", FORM4.replace("<value>2204750</value>", "<value>2204.5</value>")),
-        ("660412", "a-8k", "aapl-8k.htm", "<p>Item 5.02 Departure of Directors</p><p>Item 9.01 Financial Statements</p>"),
-        ("1364742", "b-13f", "13f-infotable.xml", table_13f),
+        ("660412", "a-8k", "lkm-8k.htm", "<p>Item 5.02 Departure of Directors</p><p>Item 9.01 Financial Statements</p>"),
+        ("4410", "b-13f", "13f-infotable.xml", table_13f),
+        ("4410", "b-13f", "cover.xml", "<edgarSubmission/>"),
         ("1", "stray", "form4.xml", FORM4),
+        ("1", "a-8k", "empty.htm", None),
     ], "cik string, accession_number string, document string, text string")
-    index = spark.createDataFrame([("a-10k", "660412", "10-K", "2024-11-01", "", "x"), ("a-4", "660412", "4", "2024-09-15", "", "x"), ("a-8k", "660412", "8-K", "2024-09-01", "", "x"), ("b-13f", "1364742", "13F-HR", "2024-08-01", "", "x")], "accession_number string, cik string, form_type string, filed_date string, report_date string, primary_document string")
+    index = spark.createDataFrame([("a-10k", "660412", "10-K", "2024-11-01", "", "x"), ("a-4", "660412", "4", "2024-09-15", "", "x"), ("a-8k", "660412", "8-K", "2024-09-01", "", "x"), ("b-13f", "4410", "13F-HR", "2024-08-01", "", "x")], "accession_number string, cik string, form_type string, filed_date string, report_date string, primary_document string")
     parsed = forms.submissions(spark.createDataFrame([(json.dumps({"cik": "0000660412", "name": "Larkmoor", "sic": "3571", "sicDescription": "Computers"}),)], "value string"))
-    got = tables.build(docs, index, parsed, extracted_at="now")
-    assert len(got) == 35
-    few = {t: got[t] for t in ("company", "sic", "insider_transaction", "role", "institutional_holding", "security", "corporate_event", "subsidiary", "merger")}
-    assert {r.table: r.rows for r in tables.report(few).collect()} == {"company": 1, "sic": 1, "insider_transaction": 2, "role": 1, "institutional_holding": 2, "security": 2, "corporate_event": 2, "subsidiary": 2, "merger": 0}
-    tx = got["insider_transaction"].orderBy("transaction_nid").collect()
-    assert [r.transaction_nid for r in tx] == ["a-4-0-sale", "a-4-1-purchase"] and tx[0].source_url.endswith("/660412/a4/form4.xml") and tx[0].source_extracted_at == "now"
-    assert [r.event_nid for r in got["corporate_event"].orderBy("event_nid").collect()] == ["a-8k-5.02", "a-8k-9.01"]
+    return tables.build(docs, index, parsed, extracted_at="now")
+
+
+def test_registry_tables(spark, tmp_path):
+    """An insider form, a manager's table, a current report and an exhibit become facts with keys and provenance; stored facts give the same tables."""
+    got = registry(spark)
+    assert len(tables.NAMES) == 35
+    stored, counts = got.written(str(tmp_path))
+    few = ("company", "sic", "insider_transaction", "role", "institutional_holding", "security", "institutional_manager", "corporate_event", "subsidiary", "merger", "metric_fact")
+    want = {"company": 1, "sic": 1, "insider_transaction": 2, "role": 1, "institutional_holding": 2, "security": 2, "institutional_manager": 1, "corporate_event": 2, "subsidiary": 2, "merger": 0, "metric_fact": 0}
+    assert {r.table: r.rows for r in tables.report(stored, few).collect()} == want
+    assert {t: counts[t] for t in few if t in counts} == {t: n for t, n in want.items() if t in counts}  # counted by the job that wrote them
+    assert sorted(os.listdir(tmp_path / "facts"))[:2] == ["._SUCCESS.crc", "_SUCCESS"] and (tmp_path / "facts" / "table=subsidiary").is_dir()
+    for t in ("insider_transaction", "person"):
+        assert rows(got[t]) == rows(stored[t])
+    tx = stored["insider_transaction"].orderBy("transaction_nid").collect()
+    assert [r.transaction_nid for r in tx] == ["a-4-0-sale", "a-4-1-purchase"] and tx[0].source_url == "/Archives/edgar/data/777123/a4/form4.xml" and tx[0].source_extracted_at == "now"
+    assert [r.event_nid for r in stored["corporate_event"].orderBy("event_nid").collect()] == ["a-8k-5.02", "a-8k-9.01"]
+    assert dict(stored["insider_transaction"].dtypes)["shares"] == "double" and [r.officer_title for r in stored["role"].collect()] == ["CEO"]
+
+
+def test_only_wanted_parsers_are_planned(spark):
+    plan = lambda name: registry(spark)[name]._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_xml" not in plan("subsidiary").lower() and "xmltostructs" not in plan("subsidiary").lower() and "infoTable" in plan("security")
+
+
+def test_first_named_identity_wins(spark):
+    """Stages come before paths, paths before places; each kind of identity by its own key."""
+    variant = F.to_variant_object(F.struct(F.col("n").alias("display_name")))
+    facts = spark.createDataFrame([("person", "p-a", 5, "1", 0, "late"), ("person", "p-a", 4, "2", 3, "first"), ("person", "p-a", 4, "2", 9, "third"), ("security", "p-a", 1, "0", 0, "other"), ("role", "p-a", 0, "0", 0, "no")], "table string, nid string, stage int, path string, place int, n string").withColumn("cells", variant)
+    assert rows(tables.identities(facts).select("table", "nid", F.variant_get("cells", "$.display_name", "string"))) == [("person", "p-a", "first"), ("security", "p-a", "other")]
 
 
 def test_summary_table_is_found_by_its_labels(spark):
