@@ -621,7 +621,7 @@ def q_form144_xml(spark, d):
     return forms.planned_sales(spread(read_table(spark, d, "orders")).select("o_orderkey", doc.alias("text"))).select("o_orderkey", "issuer_cik", "shares", "approx_sale_date")
 
 
-@query("select o_orderkey, cast(o_custkey as varchar) as issuer_cik, 'private_placement' as offering_type, cast(o_custkey as double) * 1000 as gross_proceeds, cast(o_custkey as double) as net_proceeds, 'Plant & machines' as narrative from orders")
+@query("select o_orderkey, cast(o_custkey as varchar) as issuer_cik, 'private_placement' as offering_type, cast(o_custkey as double) * 1000 as gross_proceeds, cast(o_custkey as double) as net_proceeds, 'Plant & machines' as narrative from orders where o_custkey > 0")
 def q_formd_xml(spark, d):
     doc = _doc("<edgarSubmission><primaryIssuer><cik>0", col("o_custkey"), "</cik></primaryIssuer><offeringData><offeringSalesAmounts><totalOfferingAmount>$", F.format_number(col("o_custkey") * 1000, 0), "</totalOfferingAmount><totalAmountSold>", col("o_custkey"), "</totalAmountSold></offeringSalesAmounts><useOfProceeds><useOfProceedsSummary>Plant &amp; machines</useOfProceedsSummary></useOfProceeds></offeringData></edgarSubmission>")
     return forms.private_offerings(read_table(spark, d, "orders").select("o_orderkey", doc.alias("text"))).select("o_orderkey", "issuer_cik", "offering_type", "gross_proceeds", "net_proceeds", "narrative")

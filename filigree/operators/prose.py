@@ -344,7 +344,7 @@ def activist(html: Column) -> Column:
     """struct<purpose_text, percent_owned, amendment_no>: the purpose item, the largest percentage from 0.1 to 100, the amendment's number."""
 
     def of(text: Column, low: Column) -> Column:
-        return F.struct(truncate(F.coalesce(item_text(text, "4"), F.lit("")), 1000).alias("purpose_text"), max_percent(text).alias("percent_owned"), F.regexp_extract(text, r"(?is)amendment no\D*(\d+)", 1).try_cast("int").alias("amendment_no"))
+        return F.named_struct(F.lit("purpose_text"), truncate(F.coalesce(item_text(text, "4"), F.lit("")), 1000), F.lit("percent_owned"), max_percent(text), F.lit("amendment_no"), F.regexp_extract(text, r"(?is)amendment no\D*(\d+)", 1).try_cast("int"))
 
     return of_text(html, "plain", of)
 

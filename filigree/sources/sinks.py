@@ -16,9 +16,10 @@ class Store:
 
     def __init__(self, spark: SparkSession, root: str):
         self.root, self._files = root.rstrip("/"), spark._jvm.org.apache.hadoop.fs
+        self._jvm, self._gateway, self._conf = spark._jvm, spark.sparkContext._gateway, spark._jsc.hadoopConfiguration()
         self._io = spark._jvm.org.apache.commons.io.IOUtils
         # An own instance without checksum files, so that other programs may write small files there too.
-        self._system = self._files.FileSystem.newInstance(self._files.Path(self.root).toUri(), spark._jsc.hadoopConfiguration())
+        self._system = self._files.FileSystem.newInstance(self._files.Path(self.root).toUri(), self._conf)
         self._system.setVerifyChecksum(False)
         self._system.setWriteChecksum(False)
 
@@ -42,27 +43,67 @@ class Store:
             stream.close()
 
     def write(self, name: str, text: str) -> None:
-        """Replaces a small file: the new one is written beside it and then takes its name."""
+        """Replaces a small file in one step: the new one is written beside it and then takes its name. If that fails, the old one stays."""
         part = f"{name}.{uuid.uuid4().hex}.part"
         stream = self._system.create(self.path(part), True)
         try:
             self._io.write(text, stream, "UTF-8")
         finally:
             stream.close()
-        self.move(part, name)
+        try:
+            self.move(part, name)
+        except Exception:
+            self.remove(part)
+            raise
 
     def move(self, name: str, to: str) -> None:
-        if self.exists(to):
-            self._system.delete(self.path(to), True)
-        self._system.rename(self.path(name), self.path(to))
+        """Gives a file another name, in place of a file of that name if there is one: one rename, never a delete first. Raises where the store can't."""
+        kind = self._jvm.org.apache.hadoop.fs.Options.Rename
+        options = self._gateway.new_array(kind, 1)
+        options[0] = kind.OVERWRITE
+        self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._system.getUri(), self._conf).rename(self.path(name), self.path(to), options)
 
     def remove(self, name: str) -> None:
         self._system.delete(self.path(name), True)
 
 
+POINTERS = "_tables.json"
+
+
 def write_table(df: DataFrame, root: str, name: str) -> None:
-    """A parquet table; an empty one is written too, with its schema."""
-    df.write.mode("overwrite").parquet(f"{root}/{name}")
+    """A parquet table in place of one of that name; an empty one is written too, with its schema.
+
+    Rows go to a folder of their own; then the root's small file of pointers is replaced in one step. Until then, and if
+    anything fails, readers see the table that was there. The folder before is removed last.
+    """
+    spark = df.sparkSession
+    store, part = Store(spark, root), f"{name}.{uuid.uuid4().hex}"
+    df.write.parquet(f"{root}/{part}")
+    pointers = load_manifest(spark, root, POINTERS)
+    before = pointers.get(name)
+    store.write(POINTERS, json.dumps(pointers | {name: part}, indent=1, sort_keys=True))
+    if before:
+        store.remove(before)
+
+
+def table_path(spark: SparkSession, root: str, name: str) -> str | None:
+    """The folder that a table's rows are in now; null where there is no such table."""
+    found = load_manifest(spark, root, POINTERS).get(name)
+    return f"{root}/{found}" if found else None
+
+
+def open_table(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    path = table_path(spark, root, name)
+    return spark.read.parquet(path) if path else None
+
+
+def sweep(spark: SparkSession, root: str, name: str) -> list[str]:
+    """Removes folders that failed writes of a table have left, and names them; no write of it may be under way."""
+    store, kept = Store(spark, root), load_manifest(spark, root, POINTERS).get(name)
+    left = [n for n in store.names() if n.rpartition(".")[0] == name and len(n.rpartition(".")[2]) == 32 and n != kept]
+    for n in left:
+        store.remove(n)
+    return left
 
 
 def csv_cells(df: DataFrame) -> DataFrame:
@@ -85,10 +126,8 @@ def export_one_csv(df: DataFrame, root: str, name: str) -> None:
 
 
 def rewrite(spark: SparkSession, root: str, name: str, change) -> None:
-    """Replaces the table root/name by change(table): written beside it first, then swapped."""
-    store, part = Store(spark, root), f"{name}.{uuid.uuid4().hex}.part"
-    change(spark.read.parquet(f"{root}/{name}")).write.parquet(f"{root}/{part}")
-    store.move(part, name)
+    """Replaces a table by change(table), as write_table does: the old one stays until the new one is whole."""
+    write_table(change(open_table(spark, root, name)), root, name)
 
 
 def load_manifest(spark: SparkSession, root: str, name: str = "manifest.json") -> dict:
@@ -106,7 +145,7 @@ def save_manifest(spark: SparkSession, root: str, manifest: dict, name: str = "m
 
 def extracted(spark: SparkSession, root: str, sentinel: str, force: bool = False) -> bool:
     """Whether an extract in root is complete: the table written last is there."""
-    return not force and Store(spark, root).exists(f"{sentinel}/_SUCCESS")
+    return not force and table_path(spark, root, sentinel) is not None
 
 
 def write_generation(tables: dict[str, DataFrame], root: str, generation: str) -> None:
@@ -125,7 +164,7 @@ def current_generation(spark: SparkSession, root: str) -> str | None:
 
 def read_generation(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     found = current_generation(spark, root)
-    return spark.read.parquet(f"{root}/{found}/{name}") if found else None
+    return open_table(spark, f"{root}/{found}", name) if found else None
 
 
 def write_source_meta(spark: SparkSession, root: str, name: str, **what: str) -> None:

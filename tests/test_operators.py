@@ -149,6 +149,34 @@ def test_generations(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "csv")).count() == 2
 
 
+def test_a_failed_swap_keeps_the_old_table(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    sinks.write_table(spark.range(3), root, "t")
+    sinks.rewrite(spark, root, "t", lambda t: t.where("id > 0"))
+    assert sinks.open_table(spark, root, "t").count() == 2 and len(sinks.Store(spark, root).names()) == 2  # the table and the pointers
+    sinks.write_generation({"t": spark.range(1)}, root, "g1")
+
+    def broken(self, name, to):
+        raise OSError("no rename today")
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks.Store, "move", broken)
+        for attempt in (lambda: sinks.rewrite(spark, root, "t", lambda t: t.limit(0)), lambda: sinks.write_generation({"t": spark.range(9)}, root, "g2"), lambda: sinks.save_manifest(spark, root, {"a": 1})):
+            with pytest.raises(OSError, match="today"):
+                attempt()
+    assert sinks.open_table(spark, root, "t").count() == 2 and sinks.current_generation(spark, root) == "g1" and sinks.load_manifest(spark, root) == {}
+    assert len(sinks.sweep(spark, root, "t")) == 1 and sinks.open_table(spark, root, "t").count() == 2
+    with pytest.raises(ValueError):  # the change fails before anything is swapped
+        sinks.rewrite(spark, root, "t", lambda t: 1 / 0 if t is None else (_ for _ in ()).throw(ValueError()))
+    sinks.save_manifest(spark, root, {"a": 1})
+    sinks.save_manifest(spark, root, {"a": 2})
+    assert sinks.load_manifest(spark, root) == {"a": 2} and not [n for n in os.listdir(root) if n.endswith(".part")]
+    sinks.export_one_csv(spark.range(2), root, "r.csv")
+    sinks.export_one_csv(spark.range(1), root, "r.csv")
+    assert (tmp_path / "r.csv").read_text() == "id\n0\n"
+    assert sinks.extracted(spark, root, "t") and not sinks.extracted(spark, root, "t", force=True) and not sinks.extracted(spark, root, "u")
+
+
 def test_refresh(spark):
     m = spark.createDataFrame([("a", None, None), ("b", "2024-02-28T00:00:00", 100), ("c", "2024-02-28T00:00:00", 3), ("d", "2020-01-01T00:00:00", 100), ("e", "junk", 9)], "name string, fetched_at string, size_bytes int")
     now = F.lit("2024-03-01T00:00:00")
