@@ -10,7 +10,7 @@ from filigree.functions import dates, geo, ids, money, text
 from filigree.operators import forms, lookup, prose, reshape, scope
 from filigree.plans import blueprint
 from filigree.session import read_table, spread
-from filigree.sources import files
+from filigree.sources import datasets, files
 from filigree.streaming import refresh
 
 QUERIES: dict[str, Callable] = {}
@@ -786,3 +786,39 @@ def q_tumbling_windows(spark, d):
     from filigree.streaming.landing import windowed
 
     return windowed(read_table(spark, d, "events"), "ts", "1 day", "1 hour", "event_type").withColumn("total", F.round("total", 2))
+
+
+# ---- the petroleum registry's datasets -----------------------------------------------------------
+
+_VALUES = ", ".join(f"({i}, '{stem}', '{kind}', '{datasets.SERVICES[kind]}', {layer})" for i, (kind, stem, layer) in enumerate(datasets.ENTRIES))
+_NEEDED = f"(select p_partkey, coalesce(e.stem, 'own_' || p_partkey % 160) as stem from part left join (values {_VALUES}) e(i, stem, kind, service, layer) on e.i = p_partkey % 160)"
+
+
+def _needed(spark, d):
+    """Parts as names of datasets; one in fifteen is no name of the catalog."""
+    names = F.element_at(F.array(*[lit(stem) for _, stem, _ in datasets.ENTRIES]), (col("p_partkey") % 160 + 1).cast("int"))
+    return read_table(spark, d, "part").select("p_partkey", F.when(col("p_partkey") % 160 < len(datasets.ENTRIES), names).otherwise(F.concat(lit("own_"), col("p_partkey") % 160)).alias("stem"))
+
+
+@query(f"select p_partkey, n.stem, e.kind, e.service || '/' || e.layer || '/query?where=1%3D1&outFields=*&outSR=4326&f=geojson&resultOffset=' || p_partkey || '&resultRecordCount=1000' as url from {_NEEDED} n left join (values {_VALUES}) e(i, stem, kind, service, layer) on e.stem = n.stem")
+def q_dataset_catalog(spark, d):
+    """Where the catalog serves each name; unknown names have no kind and no address."""
+    found = _needed(spark, d).join(datasets.catalog(spark), "stem", "left")
+    return found.select("p_partkey", "stem", "kind", datasets.query_url(col("service"), col("layer"), col("p_partkey"), lit(1000)).alias("url"))
+
+
+@query(f"""with n as (select distinct stem from {_NEEDED}), there as (select distinct stem from {_NEEDED} where p_partkey % 3 = 0)
+    select n.stem, e.kind, case when e.stem is not null then 'served' when t.stem is not null then 'user_supplied' else 'unfetchable' end as standing from n left join (values {_VALUES}) e(i, stem, kind, service, layer) on e.stem = n.stem left join there t on t.stem = n.stem""")
+def q_dataset_plan(spark, d):
+    """What a blueprint needs except what the catalog serves, taken apart by the files that are there."""
+    needed = _needed(spark, d)
+    return datasets.plan(needed, datasets.catalog(spark), needed.where("p_partkey % 3 = 0")).select("stem", "kind", "standing")
+
+
+@query("select * from (select user_id, event_id, dense_rank() over (order by first, user_id) as n from (select user_id, event_id, min(event_id) over (partition by user_id) as first from events)) where n <= (select count(distinct user_id) // 2 from events)")
+def q_entity_cap_large(spark, d):
+    """The first half of the entities by where they first stand, numbered by ranges instead of one task's top."""
+    e = read_table(spark, d, "events").withColumnRenamed("user_id", "subject")
+    half = e.agg(F.countDistinct("subject")).first()[0] // 2
+    seen = lookup.sequential_key(e.groupBy("subject").agg(F.min("event_id").alias("_first")), ["_first", "subject"], "n").where(col("n") <= half)
+    return e.join(seen.select("subject", "n"), "subject").select(col("subject").alias("user_id"), "event_id", "n")

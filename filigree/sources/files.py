@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filigree.functions import dates, ids
+from filigree.operators.lookup import sequential_key
 
 
 def filing_tree(spark: SparkSession, root: str, content: bool = True) -> DataFrame:
@@ -64,11 +65,21 @@ def resolved(requests: DataFrame, known: DataFrame) -> DataFrame:
     return requests.join(by_name, F.upper("name") == F.col("_t"), "left").select(*requests.columns, F.coalesce(F.col("name").try_cast("bigint"), "_c").alias("cik"))
 
 
-def triples(lines: DataFrame, languages: list[str] | None = None, column: str = "value") -> DataFrame:
-    """(subject, predicate, object, lang) of N-Triples lines; literals in other languages go, those without one stay."""
+def triples(lines: DataFrame, languages: list[str] | None = None, column: str = "value", seen: Observation | None = None) -> DataFrame:
+    """(subject, predicate, object, is_iri, lang) of N-Triples lines; literals in other languages go, those without one stay.
+
+    One evaluation of one pattern cuts a line into its five parts. seen counts lines and those that are no triples (comments too).
+    """
     form = r'^\s*<([^>]*)>\s+<([^>]*)>\s+(?:<([^>]*)>|"((?:[^"\\]|\\.)*)"(?:@([A-Za-z0-9-]+))?(?:\^\^<[^>]*>)?)\s*\.\s*$'
-    part = lambda i: F.regexp_extract(column, form, i)
-    out = lines.where(F.col(column).rlike(form)).select(part(1).alias("subject"), part(2).alias("predicate"), F.when(part(3) != "", part(3)).otherwise(unescaped(part(4))).alias("object"), (part(3) != "").alias("is_iri"), F.nullif(part(5), F.lit("")).alias("lang"))
+    cut = F.when(~F.contains(column, F.lit("\x01")), F.regexp_replace(column, form, "\x01".join(f"${i}" for i in range(1, 6))))
+    part = F.split(cut, "\x01")
+    # Behind a generator, so that no filter takes the pattern along.
+    rows = lines.select(F.explode(F.array(part)).alias("p"))
+    good = F.coalesce(F.size("p") == 5, F.lit(False))
+    if seen is not None:
+        rows = rows.observe(seen, F.count("*").alias("lines"), F.count_if(~good).alias("bad"))
+    p = lambda i: F.col("p")[i]
+    out = rows.where(good).select(p(0).alias("subject"), p(1).alias("predicate"), F.when(p(2) != "", p(2)).otherwise(unescaped(p(3))).alias("object"), (p(2) != "").alias("is_iri"), F.nullif(p(4), F.lit("")).alias("lang"))
     return out.where(F.col("lang").isNull() | F.col("lang").isin(languages)) if languages else out
 
 
@@ -85,11 +96,15 @@ def _unescaped(part: Column) -> Column:
     return F.when(code.isNotNull(), point).otherwise(F.coalesce(letters, F.regexp_replace(part, r"^\\(.)$", "$1")))
 
 
+#: Up to so many subjects the first are found by a merge of each task's first; beyond, all are numbered.
+MERGED = 100_000
+
+
 def first_entities(found: DataFrame, order: str, most: int) -> DataFrame:
-    """The triples of the first `most` subjects by where they first stand (order)."""
+    """The triples of the first `most` subjects by where they first stand (order). However many those are, no task sees them all."""
     seen = found.groupBy("subject").agg(F.min(order).alias("_first"))
-    kept = seen.orderBy("_first", "subject").limit(most).select("subject")
-    return found.join(kept, "subject", "left_semi")
+    kept = seen.orderBy("_first", "subject").limit(most) if most <= MERGED else sequential_key(seen, ["_first", "subject"], "_n").where(F.col("_n") <= most)
+    return found.join(kept.select("subject"), "subject", "left_semi")
 
 
 def entity_id(iri: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,11 +64,14 @@ class Store:
         options[0] = kind.OVERWRITE
         self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._system.getUri(), self._conf).rename(self.path(name), self.path(to), options)
 
+    def size(self, name: str) -> int:
+        return self._system.getContentSummary(self.path(name)).getLength()
+
     def remove(self, name: str) -> None:
         self._system.delete(self.path(name), True)
 
 
-POINTERS = "_tables.json"
+POINTERS, _SWAPS = "_tables.json", threading.Lock()
 
 
 def write_table(df: DataFrame, root: str, name: str) -> None:
@@ -79,9 +83,10 @@ def write_table(df: DataFrame, root: str, name: str) -> None:
     spark = df.sparkSession
     store, part = Store(spark, root), f"{name}.{uuid.uuid4().hex}"
     df.write.parquet(f"{root}/{part}")
-    pointers = load_manifest(spark, root, POINTERS)
-    before = pointers.get(name)
-    store.write(POINTERS, json.dumps(pointers | {name: part}, indent=1, sort_keys=True))
+    with _SWAPS:  # threads of a driver take turns; a root has one driver that writes
+        pointers = load_manifest(spark, root, POINTERS)
+        before = pointers.get(name)
+        store.write(POINTERS, json.dumps(pointers | {name: part}, indent=1, sort_keys=True))
     if before:
         store.remove(before)
 
@@ -167,5 +172,28 @@ def read_generation(spark: SparkSession, root: str, name: str) -> DataFrame | No
     return open_table(spark, f"{root}/{found}", name) if found else None
 
 
+class Cache:
+    """Tables of generations kept in memory: one entry for each root, name and limit, taken up again as long as the pointer is the same."""
+
+    def __init__(self):
+        self._kept: dict[tuple, tuple[str, DataFrame]] = {}
+
+    def get(self, spark: SparkSession, root: str, name: str, limit: int | None = None) -> DataFrame | None:
+        key, now = (root, name, limit), current_generation(spark, root)
+        if key in self._kept and self._kept[key][0] != now:
+            self.drop(key)
+        if now and key not in self._kept:
+            found = read_generation(spark, root, name)
+            self._kept[key] = now, (found if limit is None else found.limit(limit)).persist()
+        return self._kept[key][1] if key in self._kept else None
+
+    def drop(self, key: tuple) -> None:
+        self._kept.pop(key)[1].unpersist()
+
+    def clear(self) -> None:
+        for key in list(self._kept):
+            self.drop(key)
+
+
 def write_source_meta(spark: SparkSession, root: str, name: str, **what: str) -> None:
     Store(spark, root).write(name, json.dumps(what, sort_keys=True))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from filigree.sources.sinks import Store
 
@@ -30,6 +33,48 @@ def ingest(spark: SparkSession, landing: str, schema, table: str, checkpoint: st
     sink.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def ingest_periods(spark: SparkSession, landing: str, schema, table: str, checkpoint: str, period: str, current: str, kind: str = "parquet") -> None:
+    """Takes files that have landed since the last run into a table partitioned by period (quarters, say), and ends.
+
+    A file is a whole snapshot of the periods in it. Of periods before the current one the first snapshot stays for good;
+    the current one's is replaced by each newer file, its partition alone. Of several snapshots in a batch the latest file counts.
+    """
+    stream = spark.readStream.schema(schema).format(kind).load(landing).withColumn("_landed", F.struct(F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("path")))
+
+    def take(batch: DataFrame, _: int) -> None:
+        names = [c for c in batch.columns if c != "_landed"]
+        closed = F.col(period) < current
+        snapshots = batch.groupBy(period).agg(F.min("_landed").alias("first"), F.max("_landed").alias("last"))
+        wanted = snapshots.select(period, F.when(closed, F.col("first")).otherwise(F.col("last")).alias("_landed"))
+        if Store(spark, table).names():
+            there = spark.read.schema(batch.select(names).schema).parquet(table).select(period).distinct().where(closed)
+            wanted = wanted.join(there, period, "left_anti")
+        rows = batch.join(wanted, [period, "_landed"], "left_semi").select(*names)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(period).parquet(table)
+
+    stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+class Progress(StreamingQueryListener):
+    """Tells a callback how streams go: start, update (rows and sources of each batch) and complete, with an error if there was one."""
+
+    def __init__(self, on_event: Callable[[dict], None]):
+        self.on_event = on_event
+
+    def onQueryStarted(self, event) -> None:
+        self.on_event({"event": "start", "id": str(event.runId), "name": event.name})
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.on_event({"event": "update", "id": str(p.runId), "name": p.name, "batch": p.batchId, "rows": p.numInputRows})
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.on_event({"event": "complete", "id": str(event.runId), "error": event.exception})
+
+
 def windowed(events: DataFrame, ts: str, width: str, late: str, *by: str, slide: str | None = None) -> DataFrame:
     """Counts and sums of value over tumbling or sliding windows of event time; rows later than late are left out of a stream."""
     w = F.window(ts, width, slide) if slide else F.window(ts, width)

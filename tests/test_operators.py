@@ -2,14 +2,16 @@
 
 import json
 import os
+import time
 import zipfile
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from filigree.operators import forms, lookup, prose, reshape, scope
 from filigree.plans import blueprint, tables
-from filigree.sources import archive, files, sinks
+from filigree.sources import archive, datasets, files, sinks
 from filigree.streaming import landing, refresh
 
 
@@ -119,6 +121,10 @@ def test_sources(spark, tmp_path):
     nt = ['<http://e/B7> <http://www.w3.org/2000/01/rdf-schema#label> "Bramble"@en .', '<http://e/B7> <http://www.w3.org/2000/01/rdf-schema#label> "Brombeere"@de .', "<http://e/B7> <http://e/prop/direct/G3> <http://e/B9> .", "# no triple"]
     nodes, edges = files.entity_graph(files.triples(spark.createDataFrame([(x,) for x in nt], "value string"), ["en"]))
     assert rows(nodes) == [("B7", "Bramble")] and rows(edges) == [("B7", "G3", "B9")]
+    seen = Observation("lines")
+    assert files.triples(spark.createDataFrame([(x,) for x in [*nt, None]], "value string"), seen=seen).count() == 3 and seen.get == {"lines": 5, "bad": 2}
+    plan = files.triples(spark.createDataFrame([(nt[0],)], "value string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("[A-Za-z0-9-]+") == 1  # the pattern stands in the plan once
     (tmp_path / "r.csv").write_text("a,b\n1,2\n3\n")
     assert rows(files.ragged_csv(spark, str(tmp_path / "r.csv"))) == [("1", "2"), ("3", None)] and files.line_count(spark, str(tmp_path / "r.csv")) == 2
 
@@ -132,6 +138,13 @@ def test_archive(spark, tmp_path):
     archive.register(spark)
     df = spark.read.format("submissions_zip").option("path", path).option("entriesPerPartition", "2").load()
     assert sorted(r.cik for r in df.collect()) == [1, 22, 333]
+    uri = spark.read.format("submissions_zip").option("path", f"file://{path}").load()
+    assert sorted(r.cik for r in uri.where("cik in (1, 333, 4)").collect()) == [1, 333] and uri.where("error is not null").count() == 0
+    whole = bytearray((tmp_path / "submissions.zip").read_bytes())
+    whole[whole.index(b"CIK0000000022.json") + 20] ^= 0xFF  # a damaged entry is a row, the others stay
+    (tmp_path / "bad.zip").write_bytes(whole)
+    bad = spark.read.format("submissions_zip").option("path", str(tmp_path / "bad.zip")).load().collect()
+    assert sorted((r.cik, r.value is None, r.error is None) for r in bad) == [(1, False, True), (22, True, False), (333, False, True)]
     one = forms.filing_index(forms.submissions(df.where("cik = 22")))
     assert rows(one.select("accession_number", "cik")) == [("a", "22")]
 
@@ -177,6 +190,82 @@ def test_a_failed_swap_keeps_the_old_table(spark, tmp_path, monkeypatch):
     assert sinks.extracted(spark, root, "t") and not sinks.extracted(spark, root, "t", force=True) and not sinks.extracted(spark, root, "u")
 
 
+def collection(*ids):
+    return json.dumps({"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"id": i}, "geometry": {"type": "Point", "coordinates": [i, 1]}} for i in ids]})
+
+
+@pytest.mark.parametrize("size", [1, 3, 4, 50])
+def test_pages_of_any_size_give_the_same_rows(spark, tmp_path, size):
+    ids = list(range(12))
+    for at in range(0, len(ids) + size, size):
+        (tmp_path / f"{at}.json").write_text(collection(*ids[at : at + size]))
+    (tmp_path / "9000.json").write_text(collection(77, 78))  # behind the end
+    (tmp_path / "notes.json").write_text("{}")
+    got = datasets.feature_rows(datasets.paged_features(spark, str(tmp_path), size))
+    assert sorted((int(r.properties["id"]), r.wkt_geometry) for r in got.collect()) == [(i, f"POINT({i} 1)") for i in ids]
+
+
+def test_dataset_catalog(spark):
+    found = datasets.catalog(spark)
+    assert found.count() == 149 and [tuple(r) for r in found.groupBy("kind").count().orderBy("kind").collect()] == [("factmaps", 39), ("layer", 39), ("table", 71)]
+    one = lambda xs: spark.createDataFrame([(x,) for x in xs], "stem string")
+    got = datasets.plan(one(["field", "field", "mine", "nobody", None]), found, one(["mine", "field"]))
+    assert rows(got.select("stem", "standing", "layer")) == [("field", "served", 7100), ("mine", "user_supplied", None), ("nobody", "unfetchable", None)]
+
+
+def test_a_refresh_that_is_stopped_goes_on(spark, tmp_path):
+    root, stems, fetched, events = str(tmp_path), ["company", "field", "play", "tuf", "wellbore"], [], []
+
+    def fetch(stem):
+        if stem == "play" and "play" not in fetched:
+            fetched.append(stem)
+            raise KeyboardInterrupt
+        fetched.append(stem)
+        return spark.range(len(stem))
+
+    with pytest.raises(KeyboardInterrupt):
+        datasets.refresh(spark, root, stems, fetch, "2024-03-01T00:00:00", workers=1, on_event=events.append)
+    assert fetched[:3] == ["company", "field", "play"] and set(datasets.Log(spark, root).entries()) == {"company", "field"}
+    assert [e["event"] for e in events] == ["start", "update", "update", "complete"]
+    report = datasets.refresh(spark, root, stems, fetch, "2024-03-01T00:00:00", workers=2)
+    assert sorted(report["fetched"]) == ["play", "tuf", "wellbore"] and sorted(report["cached"]) == ["company", "field"] and fetched.count("company") == 1
+    log = datasets.Log(spark, root)
+    log.compact()
+    assert log.entries()["wellbore"]["rows"] == 8 and sinks.open_table(spark, root, "wellbore").count() == 8 and len(log.store.names(datasets.LOG)) == 5
+
+    def broken(stem):
+        raise ValueError("gone")
+
+    later = datasets.refresh(spark, root, stems, broken, "2024-03-02T00:00:00", remote_rows=lambda s: 8 if s == "wellbore" else 0, sweep=True)
+    assert later["unchanged"] == ["wellbore"] and len(later["errors"]) == 4 and sinks.open_table(spark, root, "tuf").count() == 3  # what was there stays
+
+
+def test_a_cache_follows_the_pointer(spark, tmp_path):
+    root, cache = str(tmp_path), sinks.Cache()
+    assert cache.get(spark, root, "t") is None
+    sinks.write_generation({"t": spark.range(3)}, root, "g1")
+    first = cache.get(spark, root, "t")
+    assert cache.get(spark, root, "t") is first and first.storageLevel.useMemory and cache.get(spark, root, "t", 2).count() == 2
+    sinks.write_generation({"t": spark.range(5)}, root, "g2")
+    assert cache.get(spark, root, "t").count() == 5 and not first.storageLevel.useMemory
+    cache.clear()
+
+
+def test_open_period_is_replaced_and_closed_ones_stay(spark, tmp_path):
+    land, table, mark, events = str(tmp_path / "land"), str(tmp_path / "table"), str(tmp_path / "mark"), []
+    listener = landing.Progress(events.append)
+    spark.streams.addListener(listener)
+    try:
+        for values in ([("2023Q4", 1), ("2024Q1", 2)], [("2023Q4", 9), ("2024Q1", 3), ("2024Q1", 4)]):
+            df = spark.createDataFrame(values, "quarter string, v int")
+            df.coalesce(1).write.mode("append").parquet(land)
+            landing.ingest_periods(spark, land, df.schema, table, mark, "quarter", "2024Q1")
+    finally:
+        spark.streams.removeListener(listener)
+    assert rows(spark.read.parquet(table).select("quarter", "v")) == [("2023Q4", 1), ("2024Q1", 3), ("2024Q1", 4)]
+    assert [e["event"] for e in events if e["event"] != "update"] == ["start", "complete"] * 2 and sum(e["rows"] for e in events if e["event"] == "update") == 5
+
+
 def test_refresh(spark):
     m = spark.createDataFrame([("a", None, None), ("b", "2024-02-28T00:00:00", 100), ("c", "2024-02-28T00:00:00", 3), ("d", "2020-01-01T00:00:00", 100), ("e", "junk", 9)], "name string, fetched_at string, size_bytes int")
     now = F.lit("2024-03-01T00:00:00")
