@@ -42,6 +42,7 @@ def ingest_periods(spark: SparkSession, landing: str, schema, table: str, checkp
     stream = spark.readStream.schema(schema).format(kind).load(landing).withColumn("_landed", F.struct(F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("path")))
 
     def take(batch: DataFrame, _: int) -> None:
+        batch = batch.persist()  # read twice below
         names = [c for c in batch.columns if c != "_landed"]
         closed = F.col(period) < current
         snapshots = batch.groupBy(period).agg(F.min("_landed").alias("first"), F.max("_landed").alias("last"))
@@ -51,6 +52,7 @@ def ingest_periods(spark: SparkSession, landing: str, schema, table: str, checkp
             wanted = wanted.join(there, period, "left_anti")
         rows = batch.join(wanted, [period, "_landed"], "left_semi").select(*names)
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(period).parquet(table)
+        batch.unpersist()
 
     stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
