@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from filigree.operators import forms
 from filigree.operators.reshape import PROVENANCE
-from filigree.plans import tables
-from filigree.session import read_table, spread
+from filigree.plans import registry, tables
+from filigree.session import kept, read_table, spread
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
@@ -323,3 +323,42 @@ _TABLE_OF = {
 }
 QUERIES["q_facts_counts"] = q_facts_counts
 ORACLE["q_facts_counts"] = _counts_sql()
+
+
+# ---- the registry's graph ------------------------------------------------------------------------
+
+_GRAPH_KINDS = [0, 1, 2, 8]
+_GRAPH_NODES = ("Company", "SicCode", "Person", "Filing", "InsiderTransaction", "Holding", "Role", "CorporateEvent")
+
+
+def q_registry_graph(spark, d: str) -> DataFrame:
+    """The fingerprint of the registry's graph over insider forms and current reports: nodes of each label, edges of each type, the first ids. Facts are parsed once and stored; every second company is known."""
+    docs, index = filings(spark, d, _GRAPH_KINDS)
+    k = F.col("c_custkey")
+    known = read_table(spark, d, "customer").where((k % 2 == 0) & (k % len(KINDS)).isin(_GRAPH_KINDS))
+    sic = F.when(k % 3 == 0, "").otherwise(F.concat(F.lit("70"), k % 5))
+    parsed = forms.submissions(known.select(F.to_json(F.struct(F.lpad(k.cast("string"), 10, "0").alias("cik"), F.col("c_name").alias("name"), sic.alias("sic"), F.lit("Mills").alias("sicDescription"))).alias("value")))
+    facts_ = kept(tables.parse(docs, index, WHEN, ("insider_transaction", "holding", "role", "corporate_event", "person")))
+    index = index.withColumns({"report_date": F.lit(""), "primary_document": F.lit("")})
+    return registry.graph(tables.FactTables(facts_, index, parsed), _GRAPH_NODES).fingerprint()
+
+
+QUERIES["q_registry_graph"] = q_registry_graph
+_OWN = {n: f"({ORACLE[q].removeprefix(_BASE)})" for n, q in (("tx", "q_facts_transactions"), ("held", "q_facts_holdings"), ("role", "q_facts_roles"), ("ev", "q_facts_events"))}
+ORACLE["q_registry_graph"] = (
+    _BASE.rstrip()
+    + f""", co as (select cast(c_custkey as varchar) as cik, case when c_custkey % 3 = 0 then '' else '70' || (c_custkey % 5) end as sic from customer where c_custkey % 2 = 0 and c_custkey % 13 in (0, 1, 2, 8)),
+f as (select * from d where kind in (0, 1, 2, 8)), tx as (select * from {_OWN["tx"]} where source_form <> '144'), held as (select * from {_OWN["held"]}), role as (select * from {_OWN["role"]}), ev as (select * from {_OWN["ev"]}),
+days as (select cast(unnest(generate_series(date '1994-01-01', date '2031-12-31', interval 1 day)) as date) as day),
+who as (select 'cik-' || (k + 1) as nid from f where kind in (0, 1) and shape < 2 or kind = 2 union all select distinct 'p-rowan' from f where kind = 8 and shape = 1),
+n as (select 'Company' as label, cik as id from co union all select 'SicCode', sic from (select distinct sic from co where sic <> '') union all select 'Person', nid from who union all select 'Filing', acc from f
+    union all select 'InsiderTransaction', transaction_nid from tx union all select 'Holding', holding_nid from held union all select 'Role', role_nid from role union all select 'CorporateEvent', event_nid from ev
+    union all select 'Day', cast(day as varchar) from days union all select 'InsiderActivity', person_nid || '|' || issuer_cik from tx),
+e as (select 'IN_INDUSTRY' as type from co where sic <> '' union all select 'FILED_BY' from f where cik in (select cik from co) union all select 'BY_INSIDER' from tx union all select 'IN_COMPANY' from tx where issuer_cik in (select cik from co)
+    union all select 'REPORTED_IN' from (select source_accession from tx union all select source_accession from held union all select source_accession from role union all select source_accession from ev)
+    union all select 'OWNED_BY' from held union all select 'IN_COMPANY' from held where issuer_cik in (select cik from co) union all select 'OF_PERSON' from role
+    union all select 'AT_COMPANY' from role where issuer_cik in (select cik from co) union all select 'AT_COMPANY' from ev where issuer_cik in (select cik from co)
+    union all select 'NEXT_DAY' from days where day < date '2031-12-31' union all select 'FILED_ON' from f union all select 'TRADED_ON' from tx union all select 'HELD_ON' from held where as_of_date is not null
+    union all select 'ACTIVITY_OF' from tx union all select 'ACTIVITY_AT' from tx where issuer_cik in (select cik from co))
+select 'label' as what, label as name, count(*) as n from n group by label union all select 'edge', type, count(*) from e group by type union all select 'id', id, 0 from (select id, label from n order by id, label limit 25)"""
+)
