@@ -1,7 +1,7 @@
 """SpotSigs document fingerprints, with built-in functions only.
 
 A text is lower-cased and reduced to its words of letters. Wherever one of some very common words (an anchor)
-stands, a signature runs from it to the second content word after it, common words between them included. A
+stands, a chain runs from it over the next two content words, whatever common words stand between them. A
 text's set holds its distinct signatures, as 64-bit hashes; a text without an anchor, or with too few words
 after it, has its whole word sequence as its one signature. The fingerprint is that sorted set, written as text.
 
@@ -44,7 +44,10 @@ def alternatives(words: list[str]) -> str:
 
 
 _ANY = alternatives(sorted(set(ANCHORS)))
-CHAIN = f"(?<= )(?=({_ANY} (?:{_ANY} )*+[^ ]+ (?:{_ANY} )*+[^ ]+ ))"
+#: A run of anchors with the two content words behind it, if there are two, and what stands between those. A run is taken
+#: whole whether or not words follow, so that no place is looked at from each of its anchors.
+CHAIN = f"(?<= )(?=((?:{_ANY} )++(?:[^ ]+ (?:{_ANY} )*+[^ ]+ )?+))(?:{_ANY} )++"
+_LEAD, _PAIR = f"^(?:{_ANY} )++", f"^([^ ]+ )(?:{_ANY} )*+"
 
 
 def words_text(text: Column) -> Column:
@@ -54,8 +57,14 @@ def words_text(text: Column) -> Column:
 
 def signatures(words: Column) -> Column:
     """The sorted distinct signature hashes of words_text(...)."""
+    def of_run(chain: Column) -> Column:
+        """The run's anchors, each once, with the two content words: each starts a chain of its own."""
+        pair = F.regexp_replace(F.regexp_replace(chain, _LEAD, ""), _PAIR, "$1")
+        anchors = F.array_distinct(F.split(F.rtrim(F.regexp_extract(chain, _LEAD, 0)), " "))
+        return F.when(pair.rlike("^[^ ]+ [^ ]+ $"), F.transform(anchors, lambda a: F.xxhash64(a, pair))).otherwise(F.array().cast("array<bigint>"))
+
     chains = F.regexp_extract_all(words, F.lit(CHAIN), F.lit(1))
-    hashes = F.array_sort(F.array_distinct(F.transform(chains, lambda x: F.xxhash64(x))))
+    hashes = F.array_sort(F.array_distinct(F.flatten(F.transform(F.array_distinct(chains), of_run))))
     return F.when(F.length(words) <= 2, F.array().cast("array<bigint>")).otherwise(F.when(F.size(hashes) > 0, hashes).otherwise(F.array(F.xxhash64(words))))
 
 
