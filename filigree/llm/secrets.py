@@ -21,6 +21,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from filigree.functions.geo import bound
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -42,6 +44,8 @@ PEM = Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", r"-----BEGIN [A-Z ]*
 BASE = (ASSIGN, ACCESS, HEX)
 RULES = (*BASE, PEM)
 SALTS = 32
+#: Matches of a run, within which offsets are added up one by one.
+RUN = 64
 SPAN = "struct<kind:string,start:bigint,end:bigint>"
 LEDGER = f"blob_id string, rule string, version int, spans array<{SPAN}>"
 
@@ -56,15 +60,29 @@ def spans_of(text: Column, rule: Rule) -> Column:
     group, least = rule.least
     told = hits if group == 0 else F.regexp_extract_all(text, whole, F.lit(2 + group))
     parts = F.transform(F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), told.alias("told")), lambda x: F.struct(F.length(x["gap"]).cast("long").alias("gap"), F.length(x["hit"]).cast("long").alias("hit"), F.length(x["told"]).alias("told")))
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+    empty = F.array().cast(f"array<{SPAN}>")
+
+    def of_run(run: Column, at: Column) -> Column:
+        zero = F.struct(at.alias("at"), empty.alias("out"))
+
+        def step(acc: Column, x: Column) -> Column:
+            start = acc["at"] + x["gap"]
+            span = F.array(F.struct(F.lit(rule.kind).alias("kind"), start.alias("start"), (start + x["hit"]).alias("end")))
+            return F.struct((start + x["hit"]).alias("at"), F.when(x["told"] >= least, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
+
+        return F.aggregate(run, zero, step, lambda acc: acc["out"])
+
+    # Offsets are running sums. They are taken in runs of RUN matches, each from its own start, so that the arrays that grow
+    # by one element a step stay short and the whole is nearly linear in the matches.
+    def cut(parts: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(parts) / RUN).cast("int") - 1, F.lit(0))), lambda r: F.slice(parts, r * RUN + 1, RUN))
 
-    def step(acc, x):
-        start = acc["at"] + x["gap"]
-        end = start + x["hit"]
-        span = F.array(F.struct(F.lit(rule.kind).alias("kind"), start.alias("start"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(x["told"] >= least, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
+    def placed(runs: Column) -> Column:
+        length = lambda run: F.aggregate(run, F.lit(0).cast("long"), lambda n, x: n + x["gap"] + x["hit"])
+        starts = F.aggregate(F.transform(runs, length), F.array(F.lit(0).cast("long")), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+        return F.flatten(F.transform(F.arrays_zip(runs.alias("run"), F.slice(starts, 1, F.size(runs)).alias("at")), lambda x: of_run(x["run"], x["at"])))
 
-    return F.when(text.rlike(rule.needed), F.aggregate(parts, zero, step, lambda acc: acc["out"])).otherwise(F.array().cast(f"array<{SPAN}>"))
+    return F.when(text.rlike(rule.needed), bound(bound(parts, cut), placed)).otherwise(empty)
 
 
 def ledger_of(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -50,6 +51,14 @@ def test_secrets(spark, tmp_path):
     assert secrets.scan(docs.limit(0)).count() == 0
 
 
+def test_very_many_spans(spark):
+    """Tens of thousands of spans in one text, within seconds."""
+    text = " ".join(f"{i:016x}" for i in range(40_000))
+    began = time.time()
+    found = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).where("rule = 'hex'").first().spans
+    assert [(s.start, s.end) for s in found] == [(17 * i, 17 * i + 16) for i in range(40_000)] and time.time() - began < 20
+
+
 def words(t):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
 
@@ -107,7 +116,7 @@ def signature_set(text):
         if w in spotsigs.ANCHORS:
             content = [j for j in range(i + 1, len(words)) if words[j] not in spotsigs.ANCHORS][:2]
             if len(content) == 2:
-                out.add(" ".join(words[i : content[1] + 1]))
+                out.add((w, words[content[0]], words[content[1]]))
     return out or ({" ".join(words)} if words else set())
 
 
@@ -131,6 +140,14 @@ def test_query_against_brute_force(spark, tmp_path):
         assert (r.fingerprint == r.edited_fingerprint) == (signature_set(t) == signature_set(edited))
 
 
+def test_long_runs_of_anchors_are_linear(spark):
+    """A megabyte of anchors, in one run and in many, within seconds."""
+    docs = spark.createDataFrame([(1, "the " * 250_000 + "cat sat "), (2, "the a of cat " * 80_000), (3, "the " * 250_000)], "doc_id long, text string")
+    began = time.time()
+    got = {r.doc_id: r.n for r in spotsigs.with_signatures(docs).select("doc_id", F.size("signatures").alias("n")).collect()}
+    assert got == {1: 1, 2: 3, 3: 1} and time.time() - began < 20
+
+
 def test_similar_pairs_against_brute_force(spark):
     rng = random.Random(4)
     base = [rng.choice(["the", "a", "of"] + [f"w{c}" for c in "abcdefghijkl"]) + "x" * (rng.random() < 0.2) for _ in range(150)]
