@@ -132,7 +132,6 @@ def learn(rows: DataFrame, bits: int = BITS, max_rows: int = 3000, max_chars: in
         return Model(bits, np.zeros((1 << bits) + 1), np.zeros(1 << bits), 1.0, float(np.log(share / (1 - share))))
     p, q = smooth + counts[1], smooth + counts[0]
     scale = np.log((p / p.sum()) / (q / q.sum()))
-    scale[counts.sum(0) < 4] = 0  # an n-gram of a few texts tells little of others
     short = rows.where(F.coalesce(F.length("text"), F.lit(0)) <= max_chars)
     flat, sizes, labels = sample_features(short, lambda texts: shape_ngrams(texts, bits), max_rows)
     if not len(sizes):
