@@ -8,8 +8,9 @@ model from calling every positive's neighbour negative. The classifier is linear
 words, trained in numpy with minibatches.
 
 Spark counts every n-gram over all confirmed and all unlabelled texts. From these counts each of the 2 ** bits n-grams
-gets a scale: the log of how much more often confirmed texts have it than clean ones would, shrunk where that may be
-chance. No n-gram is left out. Scaled rows are brought to length 1. The fit starts from the scales and takes bounded samples: max_positive and max_unlabelled
+gets a scale: the log of how much more often confirmed texts have it than clean ones of as many n-grams would, shrunk
+where that may be chance, and where it is small: many rows make sure of ratios near 1, too, and a text has thousands of
+those beside a few telling ones. No n-gram is left out. Scaled rows are brought to length 1. The fit starts from the scales and takes bounded samples: max_positive and max_unlabelled
 rows with the smallest id hashes, among those of at most max_chars characters, whose n-grams are computed by tasks.
 N-grams that no sampled row has keep the factor that all began with. Scores cover every text.
 
@@ -129,17 +130,25 @@ def word_counts(rows: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return quality.summed(rows, count, bits)
 
 
+def scales(totals: np.ndarray, counts: np.ndarray, prior: float) -> np.ndarray:
+    """The scale of each n-gram, from word_counts()."""
+    p, u = counts[1] / totals[1], counts[0] / totals[0]
+    # How often the confirmed texts would have it, were they clean: the unlabelled cleared of their toxic share, brought
+    # to as many n-grams in all, so that the length of texts tells nothing.
+    clean = np.maximum(u - prior * p, 0)
+    chance = clean * (counts[1].sum() / max(clean.sum(), 1e-12))
+    sure = (counts[1] - chance) ** 2 / (chance + 0.5)
+    ratio = np.log((counts[1] + 1) / (chance + 1))
+    return ratio * sure / (sure + SURE**2) * ratio**2 / (ratio**2 + 1)
+
+
 def learn(positive: DataFrame, unlabelled: DataFrame, prior: float, bits: int = BITS, max_positive: int = 1000, max_unlabelled: int = 3000, max_chars: int = 10_000) -> Model:
     """A model from confirmed (doc_id, text) rows, unlabelled (doc_id, text) rows and the share of toxic texts among the latter."""
     rows = positive.select("doc_id", "text", F.lit(1).alias("label")).unionByName(unlabelled.select("doc_id", "text", F.lit(0).alias("label")))
     totals, counts = word_counts(rows, bits)
     if not totals.all() or prior <= 0:
         return Model(bits, np.zeros(1 << bits), np.zeros(1 << bits), -30.0 if not totals[1] else 0.0)
-    p, u = counts[1] / totals[1], counts[0] / totals[0]
-    # How often the confirmed texts would have it, were they clean: the unlabelled cleared of their toxic share.
-    chance = np.maximum(u - prior * p, 0) / max(1 - prior, 1e-9) * totals[1]
-    sure = (counts[1] - chance) ** 2 / (chance + 0.5)
-    scale = np.log((counts[1] + 1) / (chance + 1)) * sure / (sure + SURE**2)
+    scale = scales(totals, counts, prior)
 
     def features(df: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
         short = df.where(F.coalesce(F.length("text"), F.lit(0)) <= max_chars)

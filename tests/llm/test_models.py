@@ -76,6 +76,21 @@ def test_toxicity_held_out(spark):
     assert recall >= 0.6 and alarms <= 0.03 and area >= 0.95
 
 
+def test_toxicity_of_longer_texts(spark, monkeypatch):
+    """Confirmed texts that are longer than the rest, counted over 100 times the rows: n-grams are surely a little more frequent in them, few are telling."""
+    count = toxicity.word_counts
+    monkeypatch.setattr(toxicity, "word_counts", lambda *a: tuple(100 * x for x in count(*a)))
+    rng = random.Random(3)
+    common = ["".join(rng.choice("abcdefghijklm") for _ in range(6)) for _ in range(1500)]
+    text = lambda n, toxic: " ".join([*rng.sample(common, n), *(rng.sample(["zuzzy", "worzt", "quozz"], 1) if toxic else [])])
+    rows = [(i, text(500 if i < 200 else rng.choice([400, 450, 500]), i < 250), i < 200) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, confirmed boolean")
+    model = toxicity.learn(docs.where("confirmed"), docs.where("not confirmed"), 0.05)
+    fresh = spark.createDataFrame([(i, text(500, i < 50)) for i in range(200)], "doc_id long, text string")
+    score = {r.doc_id: r.score for r in toxicity.predict(fresh, model).collect()}
+    assert min(score[i] for i in range(50)) > max(score[i] for i in range(50, 200))
+
+
 def test_word_grams_against_plain_python():
     rng = random.Random(2)
     texts = ["".join(rng.choice("ab é1.") for _ in range(rng.randint(0, 80))) for _ in range(30)] + [None, "", "...", "İİ ab ab"]
