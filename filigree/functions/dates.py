@@ -29,8 +29,13 @@ def year_prefix(x: Column) -> Column:
     return F.when(F.substring(x, 1, 4).rlike(r"^\d{4}$"), F.substring(x, 1, 4).cast("int"))
 
 
-def years(text: Column, low: int, high: int) -> Column:
-    found = F.transform(F.regexp_extract_all(text, F.lit(r"(?<!\d)(\d{4})(?!\d)"), F.lit(1)), lambda y: y.cast("int"))
+#: Four digits, and such that are no amount after a dollar sign and no side of a ratio.
+ANY_YEAR = r"(?<!\d)(\d{4})(?!\d)"
+NO_AMOUNT = r"(?<!\d)(?<!\$\s{0,3})(\d{4})(?!\d| to 1(?!\d)|-to-1(?!\d)| ?: ?1(?![\d,.]*\d))"
+
+
+def years(text: Column, low: int, high: int, form: str = ANY_YEAR) -> Column:
+    found = F.transform(F.regexp_extract_all(text, F.lit(form), F.lit(1)), lambda y: y.cast("int"))
     return F.filter(found, lambda y: y.between(low, high))
 
 
@@ -38,8 +43,8 @@ def first_year(text: Column) -> Column:
     return F.try_element_at(years(text, 1990, 2099), F.lit(1))
 
 
-def max_year(text: Column, place: Column | None = None, window: int = 0) -> Column:
-    return F.array_max(years(text if place is None else piece(text, F.greatest(place, F.lit(0)), window), 2010, 2099))
+def max_year(text: Column, place: Column | None = None, window: int = 0, form: str = ANY_YEAR) -> Column:
+    return F.array_max(years(text if place is None else piece(text, F.greatest(place, F.lit(0)), window), 2010, 2099, form))
 
 
 def month_date(text: Column) -> Column:

@@ -200,7 +200,7 @@ def pay_ratio(html: Column) -> Column:
         ratio = money.ratio_to_one(text)
         median = money.plain_dollar(text, at(low, "median employee"), 400)
         ceo = money.plain_dollar(text, first_of(low, ["our ceo", "chief executive officer"]), 400)
-        year = dates.max_year(text, at(low, "pay ratio") - 200, 400)
+        year = dates.max_year(text, at(low, "pay ratio") - 200, 400, dates.NO_AMOUNT)
         row = F.struct(year.alias("fiscal_year"), ceo.alias("ceo_total_comp"), median.alias("median_employee_comp"), ratio.alias("ratio"))
         return F.when(contains_any(low, ["pay ratio", "median employee"]) & (ratio.isNotNull() | median.isNotNull()), row)
 
@@ -212,7 +212,7 @@ def audit_fees(html: Column) -> Column:
         place = at(low, "audit fees")
         fee = money.plain_dollar(text, place, 160)
         row = F.struct(
-            dates.max_year(text, place - 300, 360).alias("fiscal_year"), first_label(text, AUDITORS).alias("auditor_name"), fee.alias("audit_fees"), money.plain_dollar(text, first_of(low, ["audit-related fees", "audit related fees"]), 160).alias("audit_related_fees"),
+            dates.max_year(text, place - 300, 360, dates.NO_AMOUNT).alias("fiscal_year"), first_label(text, AUDITORS).alias("auditor_name"), fee.alias("audit_fees"), money.plain_dollar(text, first_of(low, ["audit-related fees", "audit related fees"]), 160).alias("audit_related_fees"),
             money.plain_dollar(text, at(low, "tax fees"), 160).alias("tax_fees"), money.plain_dollar(text, first_of(low, ["all other fees", "other fees"]), 160).alias("other_fees"),
         )
         return F.when(fee >= 50_000, row)
