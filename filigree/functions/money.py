@@ -154,8 +154,9 @@ def format_float(x: Column) -> Column:
 
 
 def ratio_to_one(text: Column) -> Column:
-    """N of "N to 1" or "N:1" within 220 characters after "ratio"; 2 to 100,000, no year."""
+    """N of "N to 1" or "N:1" within 220 characters after "ratio", from 2 on: the first that is no year and 100,000 at the most, else the first that is spelled out ("N to 1"), whatever its size."""
     windows = F.regexp_extract_all(text, F.lit(r"(?is)ratio(?=(.{0,215}))"), F.lit(1))
-    value = lambda w: F.replace(F.regexp_extract(w, r"(?is)([\d,.]*\d)(?: to 1|-to-1| ?: ?1)(?!\d)", 1), F.lit(","), F.lit("")).try_cast("double")
-    fits = F.filter(F.transform(windows, value), lambda v: (v >= 2) & (v <= 100_000) & ~v.between(1900, 2100))
-    return F.try_element_at(fits, F.lit(1))
+    stated = lambda w, one: F.replace(F.regexp_extract(w, rf"(?is)([\d,.]*\d)(?:{one})(?!\d)", 1), F.lit(","), F.lit("")).try_cast("double")
+    likely = F.filter(F.transform(windows, lambda w: stated(w, " to 1|-to-1| ?: ?1")), lambda v: (v >= 2) & (v <= 100_000) & ~v.between(1900, 2100))
+    spelled = F.filter(F.transform(windows, lambda w: stated(w, " to 1|-to-1")), lambda v: v >= 2)
+    return F.coalesce(F.try_element_at(likely, F.lit(1)), F.try_element_at(spelled, F.lit(1)))

@@ -81,6 +81,13 @@ def test_money(spark):
     assert value(spark, money.digits_only(F.col("s")), s="a1b2") == 12
 
 
+def test_amounts_and_ratios_are_no_years(spark):
+    year = lambda s: value(spark, dates.max_year(F.col("s"), F.lit(0), 400, dates.NO_AMOUNT), s=s)
+    assert [year(s) for s in ("In 2023: $ 2024, $2025", "2023 CEO pay ratio: 2050 to 1", "ratio 2051:1 in 2024", "In 2023: 1,000 or 2022: 15")] == [2023, 2023, 2024, 2023]
+    ratio = lambda s: value(spark, money.ratio_to_one(F.col("s")), s=s)
+    assert [ratio(s) for s in ("The ratio was 2000 to 1.", "The ratio was 123456 to 1.", "The ratio of 2024: 1", "The ratio in 1999 to 1 a pay ratio was 312:1", "ratio 1 to 1")] == [2000.0, 123456.0, None, 312.0, None]
+
+
 def test_dates(spark):
     assert value(spark, dates.epoch_ms_date(F.col("x")), x=946684800000) == "2000-01-01"
     assert value(spark, dates.max_year(F.col("s")), s="2024, 2023 and 12024") == 2024
