@@ -682,14 +682,14 @@ def q_item_text(spark, d):
 @query("select s_suppkey, j.name as name, j.jurisdiction as jurisdiction from supplier, lateral (values (s_name || ' Holdings', 'Ireland'), ('Pinecask ' || s_suppkey || ', Inc.', 'Nevada'), ('Voltbarn ' || s_suppkey || ', LLC', '')) j(name, jurisdiction)")
 def q_exhibit21(spark, d):
     doc = _doc("<html><h1>List of Subsidiaries</h1><p>", col("s_name"), " Holdings   Ireland</p><p>Pinecask ", col("s_suppkey"), ", Inc.  Nevada</p><p>Delaware</p><p>Voltbarn ", col("s_suppkey"), ", LLC</p><p>12</p></html>")
-    rows = read_table(spark, d, "supplier").select("s_suppkey", F.explode(prose.subsidiaries(doc)).alias("x"))
+    rows = spread(read_table(spark, d, "supplier")).select("s_suppkey", F.explode(prose.subsidiaries(doc)).alias("x"))
     return rows.select("s_suppkey", "x.name", "x.jurisdiction")
 
 
 @query("""select c_custkey, n.name, n.holder_type, n.shares, n.percent_of_class from customer, lateral (values ('Holder ' || c_custkey || ' Capital LLC', '5pct_holder', 1000 + c_custkey, 5.5), ('All directors and executive officers as a group', 'group_total', 9000 + c_custkey, null)) n(name, holder_type, shares, percent_of_class)""")
 def q_ownership(spark, d):
     doc = _doc("<h2>Security Ownership of Certain Beneficial Owners</h2><table><tr><td>Holder ", col("c_custkey"), " Capital LLC</td><td>", F.format_number(col("c_custkey") + 1000, 0), "</td><td>5.5%</td></tr><tr><td>All directors and executive officers as a group</td><td>", F.format_number(col("c_custkey") + 9000, 0), "</td></tr><tr><td>Malvern, PA</td><td>19355</td></tr></table><p>Proposal 2</p><table><tr><td>Late Name Here</td><td>5,000</td></tr></table>")
-    rows = read_table(spark, d, "customer").select("c_custkey", F.explode(prose.beneficial_owners(doc)).alias("x"))
+    rows = spread(read_table(spark, d, "customer")).select("c_custkey", F.explode(prose.beneficial_owners(doc)).alias("x"))
     return rows.select("c_custkey", "x.name", "x.holder_type", "x.shares", "x.percent_of_class")
 
 
@@ -697,14 +697,14 @@ def q_ownership(spark, d):
 def q_comp_table(spark, d):
     row = lambda name, y: ["<tr><td>", name, f"</td><td>{y}</td><td>$", F.format_number(col("s_suppkey") + 1000, 0), "</td><td>&#8212;</td><td>", F.format_number(col("s_suppkey") + 2000, 0), "</td><td>(5)</td></tr>"]
     doc = _doc("<p>Contents: Summary Compensation Table 31</p><p>", F.repeat(lit("filler text "), 3500), "</p><p>Summary Compensation Table</p><table><tr><th>Name</th><th>Year</th><th>Salary</th><th>Total</th></tr>", *row("Jane Q Doe, Chief Executive Officer", 2023), *row("", 2022), "</table>")
-    rows = read_table(spark, d, "supplier").select("s_suppkey", F.explode(prose.compensation_rows(doc)).alias("x"))
+    rows = spread(read_table(spark, d, "supplier")).select("s_suppkey", F.explode(prose.compensation_rows(doc)).alias("x"))
     return rows.select("s_suppkey", "x.name", col("x.fiscal_year").cast("long").alias("fiscal_year"), col("x.amounts")[0].alias("salary"), F.element_at("x.amounts", -1).alias("total"))
 
 
 @query("select s_suppkey, n.number, n.description, n.board_recommendation, n.proposal_type from supplier, lateral (values ('1', 'Election of Directors ' || s_suppkey, 'FOR', 'company'), ('2', 'Report on Climate', 'AGAINST', 'shareholder')) n(number, description, board_recommendation, proposal_type)")
 def q_proposals(spark, d):
     doc = _doc("<p>Proposal One: Election of Directors ", col("s_suppkey"), ". The board recommends a vote FOR each nominee.</p><p>", F.repeat(lit("filler text "), 70), "</p><p>Proposal 2 - Report on Climate. A stockholder proposal. The board recommends a vote AGAINST it.</p><p>see proposal 400 there</p>")
-    rows = read_table(spark, d, "supplier").select("s_suppkey", F.explode(prose.proposals(doc)).alias("x"))
+    rows = spread(read_table(spark, d, "supplier")).select("s_suppkey", F.explode(prose.proposals(doc)).alias("x"))
     return rows.select("s_suppkey", "x.*")
 
 
@@ -712,27 +712,27 @@ def q_proposals(spark, d):
 def q_pay_ratio(spark, d):
     doc = _doc("<p>2024 CEO pay ratio. Our median employee earned $", F.format_number(col("s_suppkey") + 60000, 0), ". The ratio was ", col("s_suppkey") + 100, " to 1.</p>")
     x = prose.pay_ratio(doc)
-    return read_table(spark, d, "supplier").select("s_suppkey", x["fiscal_year"].cast("long").alias("fiscal_year"), x["median_employee_comp"].alias("median_employee_comp"), x["ratio"].alias("ratio"))
+    return spread(read_table(spark, d, "supplier")).select("s_suppkey", x["fiscal_year"].cast("long").alias("fiscal_year"), x["median_employee_comp"].alias("median_employee_comp"), x["ratio"].alias("ratio"))
 
 
 @query("select s_suppkey, 'KPMG' as auditor_name, cast(2023 as bigint) as fiscal_year, cast(s_suppkey + 50000 as double) as audit_fees, cast(s_suppkey as double) as tax_fees from supplier")
 def q_audit_fees(spark, d):
     doc = _doc("<p>KPMG LLP billed in 2023:</p><table><tr><td>Audit Fees</td><td>$", F.format_number(col("s_suppkey") + 50000, 0), "</td></tr><tr><td>Tax Fees</td><td>$ ", col("s_suppkey"), "</td></tr></table>")
     x = prose.audit_fees(doc)
-    return read_table(spark, d, "supplier").select("s_suppkey", x["auditor_name"].alias("auditor_name"), x["fiscal_year"].cast("long").alias("fiscal_year"), x["audit_fees"].alias("audit_fees"), x["tax_fees"].alias("tax_fees"))
+    return spread(read_table(spark, d, "supplier")).select("s_suppkey", x["auditor_name"].alias("auditor_name"), x["fiscal_year"].cast("long").alias("fiscal_year"), x["audit_fees"].alias("audit_fees"), x["tax_fees"].alias("tax_fees"))
 
 
 @query("select s_suppkey, 'Smith' as person_name, 'resignation' as change_type, 'Chief Financial Officer' as position_title, 'March 3, 2024' as effective_date from supplier")
 def q_officer_change(spark, d):
     doc = _doc("<p>Item 5.02 Departure of Officers</p><p>Mr. Smith will resign as Chief Financial Officer, effective March 3, 2024. (", col("s_suppkey"), ")</p>")
-    rows = read_table(spark, d, "supplier").select("s_suppkey", F.explode(prose.officer_changes(doc)).alias("x"))
+    rows = spread(read_table(spark, d, "supplier")).select("s_suppkey", F.explode(prose.officer_changes(doc)).alias("x"))
     return rows.select("s_suppkey", "x.person_name", "x.change_type", "x.position_title", "x.effective_date")
 
 
 @query("select s_suppkey, 'director' as relationship, cast(2023 as bigint) as year, (s_suppkey + 1) * 1000000.0 as amount_usd from supplier")
 def q_related_party(spark, d):
     doc = _doc("<p>Related Person Transactions</p> In 2023 we paid a firm of a director $", col("s_suppkey") + 1, " million for work. A fee of $12 was waived. ")
-    rows = read_table(spark, d, "supplier").select("s_suppkey", F.explode(prose.related_parties(doc)).alias("x"))
+    rows = spread(read_table(spark, d, "supplier")).select("s_suppkey", F.explode(prose.related_parties(doc)).alias("x"))
     return rows.select("s_suppkey", "x.relationship", col("x.year").cast("long").alias("year"), "x.amount_usd")
 
 
@@ -740,13 +740,13 @@ def q_related_party(spark, d):
 def q_offering(spark, d):
     doc = _doc("<h1>Prospectus</h1> This is our initial public offering. We are offering ", F.format_number(col("s_suppkey") + 10000, 0), " shares of common stock at $18.00 per share. We expect net proceeds of $", col("s_suppkey") + 1, " million. The underwriters are Morgan Stanley and Goldman Sachs.")
     x = prose.offering(doc)
-    return read_table(spark, d, "supplier").select("s_suppkey", x["offering_type"].alias("offering_type"), x["shares_offered"].alias("shares_offered"), x["price_per_share"].alias("price_per_share"), x["net_proceeds"].alias("net_proceeds"), prose.underwriters(doc).alias("banks"))
+    return spread(read_table(spark, d, "supplier")).select("s_suppkey", x["offering_type"].alias("offering_type"), x["shares_offered"].alias("shares_offered"), x["price_per_share"].alias("price_per_share"), x["net_proceeds"].alias("net_proceeds"), prose.underwriters(doc).alias("banks"))
 
 
 @query("select s_suppkey, 'Quillfen Holdings Trust' as holder_name, 3141000.0::double as shares_before, cast(s_suppkey + 1000 as double) as shares_offered, 2718000.0::double as shares_after from supplier")
 def q_selling_holders(spark, d):
     doc = _doc("<h2>Selling Stockholders</h2><table><tr><td>Name</td><td>Before</td></tr><tr><td>1</td><td>Quillfen Holdings Trust</td><td>3,141,000</td><td>", F.format_number(col("s_suppkey") + 1000, 0), "</td><td>2,718,000</td></tr></table>")
-    rows = read_table(spark, d, "supplier").select("s_suppkey", F.explode(prose.selling_holders(doc)).alias("x"))
+    rows = spread(read_table(spark, d, "supplier")).select("s_suppkey", F.explode(prose.selling_holders(doc)).alias("x"))
     return rows.select("s_suppkey", "x.*")
 
 
@@ -761,7 +761,7 @@ def q_earnings(spark, d):
 def q_sc13d(spark, d):
     doc = _doc("<p>(Amendment No. 3)</p>(1) NAMES OF REPORTING PERSON\n", col("s_name"), "\n(2) CHECK\n(4) WC\n(6) Delaware\n(7) ", F.format_number(col("s_suppkey") + 1000, 0), "\n(8) 0\n(11) ", F.format_number(col("s_suppkey") + 5000, 0), "\n(13) 7.5%\n(14) IA\n")
     a = prose.activist(doc)
-    rows = read_table(spark, d, "supplier").select("s_suppkey", F.explode(prose.reporting_persons(doc)).alias("x"), a["amendment_no"].cast("long").alias("amendment_no"), a["percent_owned"].alias("percent_owned"))
+    rows = spread(read_table(spark, d, "supplier")).select("s_suppkey", F.explode(prose.reporting_persons(doc)).alias("x"), a["amendment_no"].cast("long").alias("amendment_no"), a["percent_owned"].alias("percent_owned"))
     return rows.select("s_suppkey", *[f"x.{c}" for c in ("name", "source_of_funds", "sole_voting_power", "aggregate_amount", "percent_of_class", "type_of_reporting_person")], "amendment_no", "percent_owned")
 
 
