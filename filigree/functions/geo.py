@@ -64,6 +64,34 @@ def _plain_text(s: Column) -> Column:
     return F.when(name == "POINT", F.concat(F.lit("POINT("), F.substring(bare, 6, 1 << 20), F.lit(")"))).otherwise(F.concat(name, F.substr(bare, F.length(name) + 1)))
 
 
+#: Points of plain numbers and plain texts that are none, and what is left when points of either sort are called p.
+_TEXT = r'"[^"\\\[\],]*"'
+_NO_POINT = rf"\[(?:{_NUMBER}|(?:{_NUMBER},)?{_TEXT}(?:,(?:{_NUMBER}|{_TEXT}))*)\]"
+_POINTS = r"\[p(?:,p)*+\]"
+_NESTED = rf"^(?:Pointp|(?:MultiPoint|LineString){_POINTS}|Polygon\[{_POINTS}(?:,{_POINTS})*+\]|MultiPolygon\[\[{_POINTS}(?:,{_POINTS})*+\](?:,\[{_POINTS}(?:,{_POINTS})*+\])*+\])$"
+_SHORT_RING = r"\[(?:[^,\[\]]+(?:,[^,\[\]]+)?)?\]"
+
+
+def _nested(s: Column) -> Column:
+    """Whether type and coordinates, set end to end, are nested as the type has it, down to points or what stands for them."""
+    return F.regexp_replace(F.regexp_replace(s, _PLAIN_POINT, "p"), _NO_POINT, "p").rlike(_NESTED)
+
+
+def _nested_text(s: Column) -> Column:
+    """The text of a nested geometry, with what isn't whole left out of it; null where nothing is left."""
+    tidy = lambda x: F.regexp_replace(x, r"(?<=\[),+|,+(?=[,\]])", "")
+    points = tidy(F.regexp_replace(F.regexp_replace(s, _PLAIN_POINT, "$1 $2"), _NO_POINT, ""))
+    rings = tidy(F.regexp_replace(points, _SHORT_RING, ""))
+    left = F.when(F.startswith(s, F.lit("MultiPolygon")), tidy(F.replace(rings, F.lit("[]"), F.lit("")))).when(F.startswith(s, F.lit("Polygon")), rings).otherwise(points)
+
+    def text(x: Column) -> Column:
+        nothing = x.rlike(r"^(?:Point|MultiPolygon|LineString\[[^,]*\])$") | F.endswith(x, F.lit("[]"))
+        listed = F.when(F.startswith(x, F.lit("Point")), F.concat(F.lit("Point["), F.substring(x, 6, 1 << 20), F.lit("]"))).otherwise(x)
+        return F.when(~nothing, F.replace(F.translate(F.upper(listed), "[]", "()"), F.lit(","), F.lit(", ")))
+
+    return bound(left, text)
+
+
 def wkt(geometry: Column) -> Column:
     """POINT, MULTIPOINT, LINESTRING (2 points or more), POLYGON (rings of 3 or more), MULTIPOLYGON; null for anything else.
 
@@ -80,4 +108,4 @@ def wkt(geometry: Column) -> Column:
 
     # Most geometries are rewritten as text; only others are taken apart.
     whole = F.concat(F.get_json_object(geometry, "$.type"), F.get_json_object(geometry, "$.coordinates"))
-    return bound(F.struct(whole.alias("s"), geometry.alias("g")), lambda x: F.when(_plain(x["s"]), _plain_text(x["s"])).otherwise(bound(F.from_json(x["g"], "type string, coordinates string"), read)))
+    return bound(F.struct(whole.alias("s"), geometry.alias("g")), lambda x: F.when(_plain(x["s"]), _plain_text(x["s"])).when(_nested(x["s"]), _nested_text(x["s"])).otherwise(bound(F.from_json(x["g"], "type string, coordinates string"), read)))

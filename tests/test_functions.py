@@ -114,3 +114,19 @@ def test_dates(spark):
 ])
 def test_wkt(spark, geometry, want):
     assert value(spark, geo.wkt(F.col("g")), g=geometry) == want
+
+
+def test_geometries_with_something_left_out_are_rewritten_as_text(spark, monkeypatch):
+    """Plain and nested forms give the same text as taking the geometry apart does."""
+    shapes = {
+        "Point": ["[1,2]", "[1]", '["3",4]'], "MultiPoint": ["[[1],[2,3],[4]]", "[[1]]", '[[1,"2"],[3,4]]'], "LineString": ["[[1,2]]", "[[1],[1,2],[3],[4,5,6]]", "[[1]]"],
+        "Polygon": ["[[[0,0],[1,0],[2],[1,1]],[[1,1],[2,2]]]", "[[[1,1],[2,2]],[[0,0],[1,0],[1,1]]]", "[[[1,1]]]", "[[[1],[2]]]"],
+        "MultiPolygon": ['[[[[0,0],[1],["2",3],[5,0],[0,-7.25,9]],[[1,1],[2,2]]],[[[3,3],[4,5]]]]', "[[[[1,1]]],[[[0,0],[1,0],[1,1]]],[[[2]]]]", "[[[[1,1]]]]", "[[[[1]]]]"],
+    }
+    texts = spark.createDataFrame([(f'{{"type":"{k}","coordinates":{x}}}',) for k, xs in shapes.items() for x in xs], "g string").cache()
+    fast = [r.w for r in texts.select(geo.wkt(F.col("g")).alias("w")).collect()]
+    whole = F.concat(F.get_json_object("g", "$.type"), F.get_json_object("g", "$.coordinates"))
+    assert [r.n for r in texts.select((geo._plain(whole) | geo._nested(whole)).alias("n")).collect()] == [True] * len(fast)
+    for name in ("_plain", "_nested"):
+        monkeypatch.setattr(geo, name, lambda s: F.lit(False))
+    assert fast == [r.w for r in texts.select(geo.wkt(F.col("g")).alias("w")).collect()]
