@@ -7,19 +7,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from filigree.functions import ids, money
 from filigree.functions.geo import bound
 
-_V = "struct<value:string>"
-_TX = f"array<struct<securityTitle:{_V},transactionDate:{_V},transactionCoding:struct<transactionCode:string,equitySwapInvolved:string>,transactionAmounts:struct<transactionShares:{_V},transactionPricePerShare:struct<value:string,footnoteId:array<struct<_id:string>>>,transactionAcquiredDisposedCode:{_V}>,postTransactionAmounts:struct<sharesOwnedFollowingTransaction:{_V}>,ownershipNature:struct<directOrIndirectOwnership:{_V}>>>"
-_HOLD = f"array<struct<securityTitle:{_V},postTransactionAmounts:struct<sharesOwnedFollowingTransaction:{_V}>,ownershipNature:struct<directOrIndirectOwnership:{_V}>>>"
-OWNERSHIP = (
-    "documentType string, periodOfReport string, issuer struct<issuerCik:string,issuerName:string,issuerTradingSymbol:string>,"
-    "reportingOwner array<struct<reportingOwnerId:struct<rptOwnerCik:string,rptOwnerName:string>,reportingOwnerRelationship:struct<isDirector:string,isOfficer:string,isTenPercentOwner:string,isOther:string,officerTitle:string>>>,"
-    f"nonDerivativeTable struct<nonDerivativeTransaction:{_TX},nonDerivativeHolding:{_HOLD}>, derivativeTable struct<derivativeTransaction:{_TX},derivativeHolding:{_HOLD}>,"
-    "footnotes struct<footnote:array<struct<_id:string,_VALUE:string>>>"
-)
+
+
+def _ownership_schema(whole: bool, transactions: bool = True, roles: bool = True, holdings: bool = True) -> str:
+    """An ownership form's elements; those of a few texts are structs if whole, else maps, which take from_xml half the time."""
+    few = lambda names: f"struct<{','.join(f'{n}:string' for n in names.split())}>" if whole else "map<string,string>"
+    v = few("value")
+    after = f"postTransactionAmounts:struct<sharesOwnedFollowingTransaction:{v}>,ownershipNature:struct<directOrIndirectOwnership:{v}>"
+    traded = f"transactionAmounts:struct<transactionShares:{v},transactionPricePerShare:struct<value:string,footnoteId:array<struct<_id:string>>>,transactionAcquiredDisposedCode:{v}>"
+    tx = f"array<struct<securityTitle:{v},transactionDate:{v},transactionCoding:{few('transactionCode equitySwapInvolved')},{traded},{after}>>"
+    table = lambda kind: f"{kind}Table struct<{','.join([f'{kind}Transaction:{tx}'] * transactions + [f'{kind}Holding:array<struct<securityTitle:{v},{after}>>'] * holdings)}>"
+    owner = [f"reportingOwnerId:{few('rptOwnerCik rptOwnerName')}"] + [f"reportingOwnerRelationship:{few('isDirector isOfficer isTenPercentOwner isOther officerTitle')}"] * roles
+    fields = ["documentType string", "periodOfReport string", f"issuer {few('issuerCik issuerName issuerTradingSymbol')}", f"reportingOwner array<struct<{','.join(owner)}>>"]
+    fields += [table("nonDerivative"), table("derivative")] * (transactions or holdings) + ["footnotes struct<footnote:array<struct<_id:string,_VALUE:string>>>"] * transactions
+    return ", ".join(fields)
+
+
+OWNERSHIP = _ownership_schema(True)
 TABLE_13F = (
     "infoTable array<struct<nameOfIssuer:string,titleOfClass:string,cusip:string,figi:string,value:string,shrsOrPrnAmt:struct<sshPrnamt:string,sshPrnamtType:string>,putCall:string,investmentDiscretion:string,"
     "otherManager:array<string>,votingAuthority:struct<Sole:string,Shared:string,None:string>>>"
@@ -49,6 +58,32 @@ def parse_xml(docs: DataFrame, schema: str, into: str, text: str = "text") -> Da
     return docs.withColumn(into, F.from_xml(text, schema, {"ignoreNamespace": "true"}))
 
 
+def _like(x: Column, given: DataType, wanted: DataType) -> Column:
+    """A parsed value with maps in place of structs, where they are wanted."""
+    if isinstance(wanted, MapType):
+        return F.when(x.isNotNull(), F.create_map(*[c for n in given.names for c in (F.lit(n), x[n])]))
+    if isinstance(wanted, ArrayType):
+        return F.transform(x, lambda e: _like(e, given.elementType, wanted.elementType))
+    if isinstance(wanted, StructType):
+        return F.when(x.isNotNull(), F.struct(*[_like(x[f.name], given[f.name].dataType, f.dataType).alias(f.name) for f in wanted]))
+    return x
+
+
+def ownership(text: Column, **parts: bool) -> Column:
+    """An ownership form's parsed text, with the parts that are wanted; small elements are maps.
+
+    Text where elements should stand is no map: such forms, and broken ones, are parsed again with structs, which pass over it.
+    """
+    small, whole = _ownership_schema(False, **parts), _ownership_schema(True, **parts)
+    types = [StructType.fromDDL(s) for s in (whole, small)]
+
+    def read(x: Column) -> Column:
+        again = bound(F.from_xml(x["text"], whole, {"ignoreNamespace": "true"}), lambda d: F.struct(*[_like(d[f.name], types[0][f.name].dataType, f.dataType).alias(f.name) for f in types[1]], F.lit(None).cast("string").alias("_corrupt_record")))
+        return F.when(x["d"]["_corrupt_record"].isNull(), x["d"]).otherwise(again)
+
+    return bound(F.struct(text.alias("text"), F.from_xml(text, small + ", _corrupt_record string", {"ignoreNamespace": "true"}).alias("d")), read)
+
+
 # ---- leaves: elements found by name wherever they stand ---------------------------------------
 
 
@@ -120,10 +155,10 @@ def issuer_cik(doc: Column) -> Column:
     return ids.strip_leading_zeros(doc["issuer"]["issuerCik"])
 
 
-def _tagged(plain: Column, derivative: Column, kind: str) -> Column:
+def _tagged(plain: Column, derivative: Column) -> Column:
     """Both tables' entries in order, each with its flag."""
     def flagged(a: Column, flag: int) -> Column:
-        return F.transform(F.coalesce(a, F.array().cast(kind)), lambda t: F.struct(t.alias("t"), F.lit(flag).alias("is_derivative")))
+        return F.coalesce(F.transform(a, lambda t: F.struct(t.alias("t"), F.lit(flag).alias("is_derivative"))), F.array())
 
     return F.concat(flagged(plain, 0), flagged(derivative, 1))
 
@@ -137,7 +172,7 @@ def transactions(doc: Column) -> Column:
         amounts = t["transactionAmounts"]
         marks = F.coalesce(amounts["transactionPricePerShare"]["footnoteId"], F.array().cast("array<struct<_id:string>>"))
         given = F.struct(
-            money.number(F.coalesce(amounts["transactionPricePerShare"]["value"], F.lit("")), "").alias("price"), money.number(F.coalesce(amounts["transactionShares"]["value"], F.lit("")), "").alias("shares"),
+            money.number(amounts["transactionPricePerShare"]["value"], "").alias("price"), money.number(amounts["transactionShares"]["value"], "").alias("shares"),
             F.array_join(F.transform(marks, lambda f: F.try_element_at(notes, f["_id"])), " ").alias("note"),
         )
 
@@ -150,12 +185,12 @@ def transactions(doc: Column) -> Column:
             return F.struct(
                 t["securityTitle"]["value"].alias("security_title"), t["transactionDate"]["value"].alias("transaction_date"), t["transactionCoding"]["transactionCode"].alias("transaction_code"), amounts["transactionAcquiredDisposedCode"]["value"].alias("acquired_disposed"),
                 g["shares"].alias("shares"), g["price"].alias("price_per_share"), F.when((g["shares"] > 0) & (g["price"] > 0), g["shares"] * g["price"]).otherwise(F.lit(0.0)).alias("total_value"), t["ownershipNature"]["directOrIndirectOwnership"]["value"].alias("direct_indirect"),
-                x["is_derivative"].alias("is_derivative"), money.number(F.coalesce(t["postTransactionAmounts"]["sharesOwnedFollowingTransaction"]["value"], F.lit("")), "").alias("owned_after"), g["note"].alias("footnote_text"),
+                x["is_derivative"].alias("is_derivative"), money.number(t["postTransactionAmounts"]["sharesOwnedFollowingTransaction"]["value"], "").alias("owned_after"), g["note"].alias("footnote_text"),
             )
 
         return bound(given, priced)
 
-    both = _tagged(doc["nonDerivativeTable"]["nonDerivativeTransaction"], doc["derivativeTable"]["derivativeTransaction"], _TX)
+    both = _tagged(doc["nonDerivativeTable"]["nonDerivativeTransaction"], doc["derivativeTable"]["derivativeTransaction"])
     return bound(notes, lambda n: F.transform(both, lambda x: read(x, n)))
 
 
@@ -175,15 +210,15 @@ def holdings(doc: Column) -> Column:
     """array<struct> of the holdings that an ownership form states besides transactions."""
     def read(x: Column) -> Column:
         t = x["t"]
-        shares = money.number(F.coalesce(t["postTransactionAmounts"]["sharesOwnedFollowingTransaction"]["value"], F.lit("")), "")
+        shares = money.number(t["postTransactionAmounts"]["sharesOwnedFollowingTransaction"]["value"], "")
         return F.struct(t["securityTitle"]["value"].alias("security_title"), doc["periodOfReport"].alias("as_of_date"), shares.alias("shares"), t["ownershipNature"]["directOrIndirectOwnership"]["value"].alias("direct_indirect"), x["is_derivative"].alias("is_derivative"))
 
-    return F.transform(_tagged(doc["nonDerivativeTable"]["nonDerivativeHolding"], doc["derivativeTable"]["derivativeHolding"], _HOLD), read)
+    return F.transform(_tagged(doc["nonDerivativeTable"]["nonDerivativeHolding"], doc["derivativeTable"]["derivativeHolding"]), read)
 
 
 def positions(doc: Column) -> Column:
     """array<struct> of a manager's positions; position counts them before those without a CUSIP go."""
-    num = lambda c: money.number(F.coalesce(c, F.lit("")), ",")
+    num = lambda c: money.number(c, ",")
 
     def read(h: Column, i: Column) -> Column:
         return F.struct(
@@ -206,19 +241,23 @@ def _parties(doc: Column) -> list[Column]:
     return [ids.person_id(reporter_cik(doc)).alias("person_nid"), issuer_cik(doc).alias("issuer_cik")]
 
 
+def _form(docs: DataFrame, text: str, **parts: bool) -> DataFrame:
+    return docs if "d" in docs.columns else docs.withColumn("d", ownership(F.col(text), **parts))
+
+
 def ownership_transactions(docs: DataFrame, text: str = "text") -> DataFrame:
     """Transactions of ownership forms, numbered by lot."""
-    return _each(docs, text, transactions(F.col("d")), OWNERSHIP, *_parties(F.col("d")))
+    return _each(_form(docs, text, roles=False, holdings=False), text, transactions(F.col("d")), OWNERSHIP, *_parties(F.col("d")))
 
 
 def ownership_roles(docs: DataFrame, text: str = "text") -> DataFrame:
     """Roles of an ownership form's owner: one row for each flag that is set."""
-    return _each(docs, text, roles(F.col("d")), OWNERSHIP, *_parties(F.col("d")))
+    return _each(_form(docs, text, transactions=False, holdings=False), text, roles(F.col("d")), OWNERSHIP, *_parties(F.col("d")))
 
 
 def ownership_holdings(docs: DataFrame, text: str = "text") -> DataFrame:
     """Holdings that an ownership form states besides transactions, numbered by lot."""
-    return _each(docs, text, holdings(F.col("d")), OWNERSHIP, *_parties(F.col("d")))
+    return _each(_form(docs, text, transactions=False, roles=False), text, holdings(F.col("d")), OWNERSHIP, *_parties(F.col("d")))
 
 
 def manager_holdings(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -347,7 +347,7 @@ def _of_form(names: list[str]) -> Column:
 
 #: Extractors: name -> (whether a document is one of theirs, what they read it as, its facts).
 EXTRACTORS: dict[str, tuple[Callable[[], Column], Callable[[Column], Column], Callable[[Column], Parts]]] = {
-    "ownership": (lambda: ids.is_ownership_xml(F.col("document")) & F.contains("text", F.lit("<ownershipDocument")), lambda t: F.from_xml(t, forms.OWNERSHIP, {"ignoreNamespace": "true"}), ownership),
+    "ownership": (lambda: ids.is_ownership_xml(F.col("document")) & F.contains("text", F.lit("<ownershipDocument")), forms.ownership, ownership),
     "notice": (lambda: ids.is_ownership_xml(F.col("document")) & ~F.contains("text", F.lit("<ownershipDocument")) & forms.is_notice(F.col("text")), forms.notice, sale_notice),
     "placement": (lambda: ids.is_ownership_xml(F.col("document")) & ~F.contains("text", F.lit("<ownershipDocument")) & ~forms.is_notice(F.col("text")) & forms.has_economics(F.col("text")), forms.private_offering, placement),
     "manager": (lambda: ids.is_information_table(F.col("document")), lambda t: F.from_xml(t, forms.TABLE_13F, {"ignoreNamespace": "true"}), manager_table),

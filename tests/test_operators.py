@@ -351,3 +351,17 @@ def test_selling_holder_behind_other_cells(spark):
 def test_documents_of_few_splits_are_dealt_to_all_cores(spark, name):
     rows = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
     assert rows.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism > 1
+
+
+def test_ownership_forms_read_as_maps_or_structs(spark):
+    """Small elements are maps; text in place of their elements, other prefixes and broken forms give what structs give, and other parts are left alone."""
+    assert "nonDerivativeTransaction:array<struct<securityTitle:map<string,string>" in forms._ownership_schema(False, holdings=False) and "Holding" not in forms._ownership_schema(False, holdings=False)
+    shares, owner = "<transactionShares><value>100</value></transactionShares>", "<reportingOwnerId><rptOwnerCik>0000777123</rptOwnerCik></reportingOwnerId>"
+    texts = [FORM4, FORM4.replace(shares, "<transactionShares>100</transactionShares>"), FORM4.replace(shares, "<transactionShares>x<value> 7\n</value></transactionShares>"), FORM4.replace(shares, "<transactionShares/>"), FORM4.replace(shares, shares + shares.replace("100", "200")), FORM4.replace(owner, "<reportingOwnerId>7</reportingOwnerId>"), FORM4.replace("<issuerCik>", "<q><z>1</z></q><n:issuerCik>").replace("</issuerCik>", "</n:issuerCik>"), FORM4[:-9], None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = {(r.i, r.lot): (r.person_nid, r.issuer_cik, r.shares) for r in forms.ownership_transactions(docs).collect()}
+    cik = "cik-777123"
+    assert got == {(0, 0): (cik, "660412", 100.0), (1, 0): (cik, "660412", 0.0), (2, 0): (cik, "660412", 7.0), (3, 0): (cik, "660412", 0.0), (4, 0): (cik, "660412", 200.0), (5, 0): ("cik-0", "660412", 100.0), (6, 0): (cik, "660412", 100.0)} | {(i, 1): ("cik-0" if i == 5 else cik, "660412", 5.0) for i in range(7)}
+    structs = docs.withColumn("d", F.from_xml("text", forms.OWNERSHIP, {"ignoreNamespace": "true"}))
+    for emit in (forms.ownership_transactions, forms.ownership_roles, forms.ownership_holdings):
+        assert rows(emit(docs)) == rows(emit(structs))
