@@ -15,7 +15,7 @@ from filigree.functions.geo import bound
 
 
 def _ownership_schema(whole: bool, transactions: bool = True, roles: bool = True, holdings: bool = True) -> str:
-    """An ownership form's elements; those of a few texts are structs if whole, else maps, which take from_xml half the time."""
+    """An ownership form's elements; those of a few texts are structs if whole, else maps, which from_xml fills sooner."""
     few = lambda names: f"struct<{','.join(f'{n}:string' for n in names.split())}>" if whole else "map<string,string>"
     v = few("value")
     after = f"postTransactionAmounts:struct<sharesOwnedFollowingTransaction:{v}>,ownershipNature:struct<directOrIndirectOwnership:{v}>"
