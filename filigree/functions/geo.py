@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from filigree.functions.money import plain_decimal
 
@@ -45,51 +51,100 @@ def _text(kind: Column, polygons: Column) -> Column:
     )
 
 
-#: Numbers whose text is already the shortest, points of them, and what is left of a whole geometry when each point is
-#: called p, each ring r and each polygon y.
-_NUMBER = r"-?(?:0|[1-9]\d{0,6})(?:\.\d{0,7}[1-9])?"
-_PLAIN_POINT = rf"\[({_NUMBER}),({_NUMBER})(?:,{_NUMBER})?\]"
-_WHOLE = r"^(?:Pointp|MultiPoint\[p[p,]*+\]|LineString\[p,p[p,]*+\]|Polygony|MultiPolygon\[y[y,]*+\])$"
+#: Numbers whose text is already the shortest (15 digits at the most), points of two, texts without marks of JSON, and points
+#: of up to three numbers or those that are none.
+_NUMBER = r"-?(?:0|[1-9][0-9]{0,14}|(?:0|[1-9][0-9]{0,2})\.[0-9]{0,11}[1-9]|[1-9][0-9]{0,6}\.[0-9]{0,7}[1-9]|[1-9][0-9]{0,10}\.[0-9]{0,3}[1-9])"
+_POINT = rf"\[{_NUMBER},{_NUMBER}\]"
+_TEXT = r'"[^"\\\[\],]*"'
+_TEXTS = rf"{_TEXT}(?:,(?:{_NUMBER}|{_TEXT}))*"
+_ANY_POINT = rf"\[(?:{_NUMBER}(?:,(?:{_NUMBER}(?:,{_NUMBER})?|{_TEXTS}))?|{_TEXTS})\]"
 
 
-def _plain(s: Column) -> Column:
-    """Whether type and coordinates, set end to end, are a geometry without anything to leave out or to rewrite."""
-    rings = F.regexp_replace(F.regexp_replace(s, _PLAIN_POINT, "p"), r"\[p,p,p[p,]*+\]", "r")
-    return F.regexp_replace(rings, r"\[r[r,]*+\]", "y").rlike(_WHOLE)
+def _list_of(one: str, least: int = 1) -> str:
+    return rf"\[{one}(?:,{one}){{{least - 1},}}\]"
 
 
-def _plain_text(s: Column) -> Column:
-    bare = F.replace(F.translate(F.regexp_replace(s, _PLAIN_POINT, "$1 $2"), "[]", "()"), F.lit(","), F.lit(", "))
-    name = F.upper(F.regexp_extract(bare, "^([A-Za-z]+)", 1))
-    return F.when(name == "POINT", F.concat(F.lit("POINT("), F.substring(bare, 6, 1 << 20), F.lit(")"))).otherwise(F.concat(name, F.substr(bare, F.length(name) + 1)))
+def _coordinates(point: str, line: int, ring: int) -> dict[str, str]:
+    """Patterns of the coordinates of each type; line and ring are how many points those have at least."""
+    rings = _list_of(_list_of(point, ring))
+    return {"Point": point, "MultiPoint": _list_of(point), "LineString": _list_of(point, line), "Polygon": rings, "MultiPolygon": _list_of(rings)}
 
 
-#: Points of plain numbers and plain texts that are none, and what is left when points of either sort are called p.
-_TEXT = r'"[^"\\\[\],]*"'
-_NO_POINT = rf"\[(?:{_NUMBER}|(?:{_NUMBER},)?{_TEXT}(?:,(?:{_NUMBER}|{_TEXT}))*)\]"
-_POINTS = r"\[p(?:,p)*+\]"
-_NESTED = rf"^(?:Pointp|(?:MultiPoint|LineString){_POINTS}|Polygon\[{_POINTS}(?:,{_POINTS})*+\]|MultiPolygon\[\[{_POINTS}(?:,{_POINTS})*+\](?:,\[{_POINTS}(?:,{_POINTS})*+\])*+\])$"
-_SHORT_RING = r"\[(?:[^,\[\]]+(?:,[^,\[\]]+)?)?\]"
+#: How a geometry as JSON begins that has a type and coordinates in this order, without blanks.
+_HEADS = {kind: f'{{"type":"{kind}","coordinates":' for kind in DEPTH}
 
 
-def _nested(s: Column) -> Column:
-    """Whether type and coordinates, set end to end, are nested as the type has it, down to points or what stands for them."""
-    return F.regexp_replace(F.regexp_replace(s, _PLAIN_POINT, "p"), _NO_POINT, "p").rlike(_NESTED)
+def _rewriter():
+    """Column function: the text of a geometry of plain numbers, with what isn't whole left out of it; empty where nothing is left, null where numbers or lists are other than these.
+
+    It takes JSON that begins as in _HEADS, or type and coordinates set end to end. Patterns are matched in linear time, a batch at once.
+    """
+    whole, nested = _coordinates(_POINT, 2, 3), _coordinates(_ANY_POINT, 1, 1)
+    marks = bytes.maketrans(b"[],", b"() ")
+
+    def left(kind, x):
+        """Coordinates without third numbers, points that are none, short rings and empty polygons; where nothing is left, they are an empty list, or empty."""
+        tidy = lambda x: pc.replace_substring(x, ",]", "]")
+        x = pc.replace_substring_regex(x, r"(\[[^\[\],]*,[^\[\],]*),[^\[\],]*\]", r"\1]")
+        x = tidy(pc.replace_substring_regex(x, r'\[(?:[^\[\],]*|[^\[\]"]*"[^\[\]]*)\],?', ""))
+        if kind in ("Polygon", "MultiPolygon"):
+            x = tidy(pc.replace_substring_regex(x, r"\[(?:\[[^\[\]]+\](?:,\[[^\[\]]+\])?)?\],?", ""))
+        if kind == "MultiPolygon":
+            x = pc.replace_substring(pc.replace_substring(x, "[],", ""), ",[]", "")
+        return x
+
+    def nothing(kind, x):
+        if kind == "LineString":
+            return pc.invert(pc.match_substring(x, "],["))
+        return pc.equal(x, "") if kind == "Point" else pc.match_substring(x, "[]")
+
+    def text(kind, x):
+        x = pc.utf8_slice_codeunits(x, 1, -1)
+        _, offsets, data = x.buffers()
+        x = pa.StringArray.from_buffers(len(x), offsets, pa.py_buffer((data.to_pybytes() if data else b"").translate(marks)))
+        x = pc.replace_substring(x, ") (", ", ")  # points lose a bracket on either side, here or above
+        return pc.binary_join_element_wise(kind.upper(), *(["(", x, ")"] if kind == "Point" else [x]), "")
+
+    def rewrite(s: pa.Array) -> pa.Array:
+        out, s = pa.nulls(len(s), pa.string()), s.fill_null("")
+        for kind, head, tail in [(kind, *ends) for kind in whole for ends in ((_HEADS[kind], "}"), (kind, ""))]:
+            here = pc.starts_with(s, f"{head}[")
+            if not here.true_count:
+                continue
+            x = s.filter(here)
+            fits = lambda x, of: pc.match_substring_regex(x, f"^{re.escape(head)}{of[kind]}{re.escape(tail)}$")  # noqa: B023, E731
+            bare = lambda x: pc.utf8_slice_codeunits(x, len(head), -len(tail) or None)  # noqa: B023, E731
+            known = fits(x, whole)
+            if known.true_count == len(x):
+                found = text(kind, bare(x))
+            else:
+                known = pc.or_(known, fits(x, nested))
+                y = left(kind, bare(x.filter(known)))
+                found = pc.replace_with_mask(pa.nulls(len(x), pa.string()), known, pc.if_else(nothing(kind, y), "", text(kind, y)))
+            out = pc.replace_with_mask(out, here, found)
+        return out
+
+    return F.arrow_udf(rewrite, T.StringType())
+
+
+_rewritten = _rewriter()
+
 
+def _plain(s: Column) -> Column:
+    """Whether a geometry can be rewritten as text."""
+    return _rewritten(s) != ""
 
-def _nested_text(s: Column) -> Column:
-    """The text of a nested geometry, with what isn't whole left out of it; null where nothing is left."""
-    tidy = lambda x: F.regexp_replace(x, r"(?<=\[),+|,+(?=[,\]])", "")
-    points = tidy(F.regexp_replace(F.regexp_replace(s, _PLAIN_POINT, "$1 $2"), _NO_POINT, ""))
-    rings = tidy(F.regexp_replace(points, _SHORT_RING, ""))
-    left = F.when(F.startswith(s, F.lit("MultiPolygon")), tidy(F.replace(rings, F.lit("[]"), F.lit("")))).when(F.startswith(s, F.lit("Polygon")), rings).otherwise(points)
 
-    def text(x: Column) -> Column:
-        nothing = x.rlike(r"^(?:Point|MultiPolygon|LineString\[[^,]*\])$") | F.endswith(x, F.lit("[]"))
-        listed = F.when(F.startswith(x, F.lit("Point")), F.concat(F.lit("Point["), F.substring(x, 6, 1 << 20), F.lit("]"))).otherwise(x)
-        return F.when(~nothing, F.replace(F.translate(F.upper(listed), "[]", "()"), F.lit(","), F.lit(", ")))
+def _nested(s: Column) -> Column:
+    """Whether a geometry could be, but nothing of it is left."""
+    return _rewritten(s) == ""
+
 
-    return bound(left, text)
+def _short(g: Column) -> Column:
+    """A geometry as _rewritten takes it. JSON is read only where it isn't such already."""
+    kind = F.get_json_object(g, "$.type")
+    usual = reduce(or_, [F.startswith(g, F.lit(head)) for head in _HEADS.values()])
+    return F.when(usual, g).when(kind.isin(*DEPTH), F.concat(kind, F.get_json_object(g, "$.coordinates")))
 
 
 def wkt(geometry: Column) -> Column:
@@ -107,5 +162,5 @@ def wkt(geometry: Column) -> Column:
         return bound(F.struct(g["type"].alias("kind"), polygons.alias("polygons")), lambda x: _text(x["kind"], x["polygons"]))
 
     # Most geometries are rewritten as text; only others are taken apart.
-    whole = F.concat(F.get_json_object(geometry, "$.type"), F.get_json_object(geometry, "$.coordinates"))
-    return bound(F.struct(whole.alias("s"), geometry.alias("g")), lambda x: F.when(_plain(x["s"]), _plain_text(x["s"])).when(_nested(x["s"]), _nested_text(x["s"])).otherwise(bound(F.from_json(x["g"], "type string, coordinates string"), read)))
+    s = _short(geometry)
+    return F.when(_plain(s), _rewritten(s)).when(_nested(s), F.lit(None)).otherwise(bound(F.from_json(geometry, "type string, coordinates string"), read))
